@@ -5,22 +5,51 @@ from __future__ import annotations
 from strandweave.llm.common import read_table
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_sentencepiece(spark, sf_dir):
+    from strandweave.llm.sentencepiece_ops import encode_and_verify
+
+    return encode_and_verify(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op2_quality_classifier(spark, sf_dir):
+    from strandweave.llm.quality import score_quality, train_quality
+
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return score_quality(docs, train_quality(docs, labels))
+
+
+def op3_best_fit_packing(spark, sf_dir):
+    from strandweave.llm.packing import pack_documents
+
+    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     from strandweave.llm.exact_dedup import exact_dedup
 
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark, sf_dir):
+    from strandweave.llm.toxicity import score_toxicity, train_toxicity
+
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return score_toxicity(docs, train_toxicity(docs, labels))
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     from strandweave.llm.simhash import simhash_groups
 
     return simhash_groups(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op4_exact_dedup": op4_exact_dedup,
-    "op9_simhash_near_dedup": op9_simhash_near_dedup,
-}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_classifier, op3_best_fit_packing, op4_exact_dedup, op7_toxicity, op9_simhash_near_dedup)}
 
 ORACLE_SQL = {
     "op4_exact_dedup": """
