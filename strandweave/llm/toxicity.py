@@ -23,6 +23,8 @@ from strandweave.llm.quality import _drawn, fold, keep_scored
 #: Bounds of the training sample, in rows; rows with texts over SAMPLE_CHARS aren't drawn.
 TOXIC, CLEAN, SAMPLE_CHARS = 1000, 2000, 100_000
 THRESHOLD, SPAN = 0.3, 0.5
+#: Marginals up to FAINT don't count towards a document's score; RIDGE bounds the score's weights.
+FAINT, RIDGE = 0.05, 0.3
 #: A chain is a sentence of at most CHAIN tokens.
 CHAIN = 256
 STEPS, RATE, DECAY = 60, 0.5, 2e-3
@@ -115,10 +117,11 @@ class ToxicityModel:
     weights: dict[str, float]
     bias: float
     trans: np.ndarray
+    head: np.ndarray = field(default_factory=lambda: np.zeros(4))
     known: dict = field(default_factory=dict, repr=False, compare=False)
 
     def __getstate__(self):
-        return {"weights": self.weights, "bias": self.bias, "trans": self.trans, "known": {}}
+        return {"weights": self.weights, "bias": self.bias, "trans": self.trans, "head": self.head, "known": {}}
 
     def _value(self, token: bytes) -> float:
         """A token's potential; _END_MARK is added where it ends a sentence."""
@@ -148,14 +151,25 @@ class ToxicityModel:
         begins = chains(ends, np.unique(bounds[:-1]))
         return (marginals(emit, begins, self.trans)[0] if len(flat) else flat), bounds
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """The largest marginal of each text; 0 without tokens."""
-        p, bounds = self.tag(texts)
-        out = np.zeros(len(texts))
-        full = np.flatnonzero(np.diff(bounds))
+    def aggregate(self, p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Each document's log expected number and percentage of toxic tokens, its most toxic token's
+        marginal and a constant; FAINT marginals count nothing."""
+        n = np.diff(bounds)
+        full = np.flatnonzero(n)
+        expected, most = np.zeros(len(n)), np.zeros(len(n))
         if len(full):
-            out[full] = np.maximum.reduceat(p, bounds[:-1][full])
-        return out
+            at = bounds[:-1][full]
+            expected[full] = np.add.reduceat(np.where(p > FAINT, p, 0.0), at)
+            most[full] = np.maximum.reduceat(p, at)
+        return np.stack([np.log1p(expected), np.minimum(100 * expected / (n + 20), 4.0), most, np.ones(len(n))], axis=1)
+
+    def document_scores(self, p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        scores = 1 / (1 + np.exp(-np.clip(self.aggregate(p, bounds) @ self.head, -30, 30)))
+        return np.where(np.diff(bounds) > 0, scores, 0.0)
+
+    def score(self, texts: list[bytes]) -> np.ndarray:
+        """Probability that each text is toxic, from its tokens' marginals; 0 without tokens."""
+        return self.document_scores(*self.tag(texts))
 
     def spans(self, text: str, p: np.ndarray, least: float = SPAN) -> list[tuple[int, int, float]]:
         """(start, end, largest marginal) in characters of each run of tokens with at least ``least``."""
@@ -206,8 +220,20 @@ def toxic_traits(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
     return out
 
 
-def fit(toxic: list[bytes], clean: list[bytes]) -> ToxicityModel | None:
-    """A chain fitted to labelled documents; None where no trait stands out."""
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Ridge logistic regression by Newton steps."""
+    w = np.zeros(x.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        grad = x.T @ (p - y) + RIDGE * w
+        move = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(len(w)), grad)
+        w -= move * min(1.0, 5 / (np.abs(move).max() + 1e-12))
+    return w
+
+
+def fit(toxic: list[bytes], clean: list[bytes], share: float | None = None) -> ToxicityModel | None:
+    """A chain fitted to labelled documents, ``share`` of whose population is toxic; None where no
+    trait stands out."""
     toxic, clean = list(dict.fromkeys(toxic)), list(dict.fromkeys(clean))
     index: dict[bytes, int] = {}
     docs = [[index.setdefault(w, len(index)) for w in doc.split()] for doc in [*toxic, *clean]]
@@ -249,7 +275,13 @@ def fit(toxic: list[bytes], clean: list[bytes]) -> ToxicityModel | None:
         v = 0.99 * v + 0.01 * grad * grad
         theta -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 0.01)
     weights = {x: float(theta[k]) for x, k in names.items() if abs(theta[k]) > 1e-3}
-    return ToxicityModel(weights, float(theta[n]), theta[-4:].reshape(2, 2).copy())
+    model = ToxicityModel(weights, float(theta[n]), theta[-4:].reshape(2, 2).copy())
+    texts = [*toxic, *clean]
+    parts = [model.aggregate(*model.tag(texts[i : i + 256])) for i in range(0, len(texts), 256)]
+    model.head = _logistic(np.concatenate(parts), np.arange(len(texts)) < len(toxic))
+    if share:  # the sample's mix of toxic and clean documents is not the labels' mix
+        model.head[-1] += log(share / (1 - share)) - log(len(toxic) / len(clean))
+    return model
 
 
 def train_toxicity(
@@ -264,7 +296,8 @@ def train_toxicity(
     chosen = _drawn(marks.where("y = 1"), toxic, 3).unionByName(_drawn(marks.where("y = 0"), clean, 4))
     got = base.join(F.broadcast(chosen), "id").select("text", "y", F.xxhash64("id", "y").alias("order"))
     rows = sorted(((r.order, bytes(r.text), r.y) for r in got.collect()), key=lambda r: r[:2])
-    return fit([t for _, t, y in rows if y == 1][:toxic], [t for _, t, y in rows if y == 0][:clean])
+    share = marks.agg(F.avg("y")).first()[0]
+    return fit([t for _, t, y in rows if y == 1][:toxic], [t for _, t, y in rows if y == 0][:clean], share)
 
 
 def score_toxicity(
@@ -292,11 +325,10 @@ def score_toxicity(
                 scores, found = np.zeros(len(texts)), [[] for _ in texts]
                 if fitted is not None:
                     p, bounds = fitted.tag(texts)
-                    for i, t in enumerate(texts):
-                        own = p[bounds[i] : bounds[i + 1]]
-                        scores[i] = own.max(initial=0.0)
-                        if with_spans and scores[i] >= SPAN:
-                            found[i] = [dict(zip(("start", "end", "probability"), s, strict=True)) for s in fitted.spans(t.decode("utf-8", "replace"), own)]
+                    scores = fitted.document_scores(p, bounds)
+                    for i in np.unique(np.searchsorted(bounds, np.flatnonzero(p >= SPAN), side="right") - 1) if with_spans else ():
+                        spans = fitted.spans(texts[i].decode("utf-8", "replace"), p[bounds[i] : bounds[i + 1]])
+                        found[i] = [dict(zip(("start", "end", "probability"), s, strict=True)) for s in spans]
                 out = [part.column(0), part.column(1), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
                 yield pa.record_batch(out + ([pa.array(found, span)] if with_spans else []), names=names)
 
