@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from strandweave.llm.common import read_table
 
 
@@ -36,6 +38,12 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark, sf_dir):
+    from strandweave.llm.warc import round_trip
+
+    return round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark, sf_dir):
     from strandweave.llm.toxicity import score_toxicity, train_toxicity
 
@@ -43,13 +51,33 @@ def op7_toxicity(spark, sf_dir):
     return score_toxicity(docs, train_toxicity(docs, labels))
 
 
+def op8_embedding_near_dedup(spark, sf_dir):
+    from strandweave.llm.embedding_dedup import embedding_groups
+
+    return embedding_groups(read_table(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     from strandweave.llm.simhash import simhash_groups
 
     return simhash_groups(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_classifier, op3_best_fit_packing, op4_exact_dedup, op7_toxicity, op9_simhash_near_dedup)}
+def op10_chat_preferences(spark, sf_dir):
+    from strandweave.llm.chat import format_preferences, reply_swaps
+
+    out = format_preferences(reply_swaps(read_table(spark, sf_dir, "conversations")))
+    as_text = {c: F.array_join(F.transform(c, lambda r: F.concat(r["start"], F.lit("-"), r["end"])), ",") for c in ("chosen_loss", "rejected_loss")}
+    return out.withColumns(as_text)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_sentencepiece, op2_quality_classifier, op3_best_fit_packing, op4_exact_dedup, op5_warc, op7_toxicity,
+        op8_embedding_near_dedup, op9_simhash_near_dedup, op10_chat_preferences,
+    )
+}
 
 ORACLE_SQL = {
     "op4_exact_dedup": """
@@ -58,4 +86,25 @@ ORACLE_SQL = {
         ), g AS (SELECT h, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY h)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 FROM d JOIN g USING (h)
     """,
+    "op5_warc": """
+        WITH p AS (
+          SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+        ), g AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY ALL)
+        SELECT page_id, payload_bytes, p.payload_digest,
+               CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND payload_bytes >= 100
+    """,
+    "op8_embedding_near_dedup": """
+        WITH RECURSIVE v AS (
+          SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE label IS NOT NULL
+        ), l AS (
+          SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+        ), r(u, w) AS (SELECT u, w FROM l UNION SELECT r.u, l.w FROM r JOIN l ON r.w = l.u)
+        SELECT vec_id, (SELECT count(*) FROM l WHERE u = vec_id) AS n_links,
+               least(vec_id, coalesce((SELECT min(w) FROM r WHERE u = vec_id), vec_id)) AS component_id,
+               vec_id <= coalesce((SELECT min(w) FROM r WHERE u = vec_id), vec_id) AS kept
+        FROM embeddings
+    """,
 }

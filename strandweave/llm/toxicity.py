@@ -10,6 +10,7 @@ each document a score and the offsets of its offending spans.
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass, field
 from math import lgamma, log
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from strandweave.llm.quality import _drawn, fold, keep_scored
 
 #: Bounds of the training sample, in rows; rows with texts over SAMPLE_CHARS aren't drawn.
-TOXIC, CLEAN, SAMPLE_CHARS = 1000, 2000, 100_000
+TOXIC, CLEAN, SAMPLE_CHARS = 800, 1600, 20_000
 THRESHOLD, SPAN = 0.3, 0.5
 #: Marginals up to FAINT don't count towards a document's score; RIDGE bounds the score's weights.
 FAINT, RIDGE = 0.05, 0.3
@@ -66,8 +67,8 @@ def chains(ends: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return at
 
 
-def marginals(emit: np.ndarray, begins: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """P(token toxic) and, for training, P(both ends of a step) of exact forward-backward.
+def marginals(emit: np.ndarray, begins: np.ndarray, trans: np.ndarray, steps_too: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """P(token toxic) and, if asked, the expected steps between states, of exact forward-backward.
 
     ``emit``: toxic minus other potential of each token; ``trans``: 2x2 log potentials. All chains
     advance together, longest first, so that those still running are always a leading block.
@@ -103,13 +104,14 @@ def marginals(emit: np.ndarray, begins: np.ndarray, trans: np.ndarray) -> tuple[
         backward[at, 0], backward[at, 1] = b0 / total, b1 / total
     joint = forward * backward
     p = joint[:, 1] / joint.sum(1)
+    if not steps_too:
+        return p, None
     inner = np.ones(n, bool)
     inner[begins] = False
     i = np.flatnonzero(inner)
-    pair = np.stack(
-        [forward[i - 1, s] * a[s, t] * (odds[i] if t else 1.0) * backward[i, t] for s in (0, 1) for t in (0, 1)], axis=1
-    )
-    return p, pair / pair.sum(1, keepdims=True)
+    pair = [forward[i - 1, s] * a[s, t] * (odds[i] if t else 1.0) * backward[i, t] for s in (0, 1) for t in (0, 1)]
+    total = sum(pair)
+    return p, np.array([(x / total).sum() for x in pair])
 
 
 @dataclass
@@ -187,36 +189,31 @@ class ToxicityModel:
         return [tuple(x) for x in out]
 
 
-def toxic_traits(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
-    """Traits in so many more toxic than clean documents that chance gives one under SIGNIFICANCE.
+def toxic_traits(toxic: list[np.ndarray], clean: list[np.ndarray], n_traits: int) -> np.ndarray:
+    """Which traits are in so many more toxic than clean documents that chance gives one of them under
+    SIGNIFICANCE. Documents are arrays of distinct trait numbers.
 
     Each round looks only at the toxic documents that no trait found so far explains.
     """
-    df0: dict[str, int] = {}
-    for doc in clean:
-        for w in doc:
-            df0[w] = df0.get(w, 0) + 1
-    out: set[str] = set()
+    count = lambda docs: np.bincount(np.concatenate([np.empty(0, np.int64), *docs]), minlength=n_traits)
+    df0 = count(clean)
+    out = np.zeros(n_traits, bool)
     rest = toxic
     while rest and clean:
-        df1: dict[str, int] = {}
-        for doc in rest:
-            for w in doc:
-                df1[w] = df1.get(w, 0) + 1
+        df1 = count(rest)
         n1, n0 = len(rest), len(clean)
         share = n1 / (n1 + n0)
-        tested = [(w, k) for w, k in df1.items() if k > 2 and k / n1 > RATIO * df0.get(w, 0) / n0]
-        bar = log(SIGNIFICANCE / max(1, len(df1) // 8, len(tested)))
-        new = set()
-        for w, k in tested:
-            n = k + df0.get(w, 0)
+        tested = np.flatnonzero((df1 > 2) & (df1 / n1 > RATIO * df0 / n0))
+        bar = log(SIGNIFICANCE / max(1, int((df1 > 0).sum()) // 8, len(tested)))
+        new = np.zeros(n_traits, bool)
+        for w in tested.tolist():
+            k, n = int(df1[w]), int(df1[w] + df0[w])
             tail = [lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * log(share) + (n - i) * log(1 - share) for i in range(k, n + 1)]
-            if np.logaddexp.reduce(tail) < bar:
-                new.add(w)
-        if not new:
+            new[w] = np.logaddexp.reduce(tail) < bar
+        if not new.any():
             break
         out |= new
-        rest = [doc for doc in rest if not doc & new]
+        rest = [doc for doc in rest if not new[doc].any()]
     return out
 
 
@@ -237,18 +234,30 @@ def fit(toxic: list[bytes], clean: list[bytes], share: float | None = None) -> T
     toxic, clean = list(dict.fromkeys(toxic)), list(dict.fromkeys(clean))
     index: dict[bytes, int] = {}
     docs = [[index.setdefault(w, len(index)) for w in doc.split()] for doc in [*toxic, *clean]]
+    docs = [np.array(doc, dtype=np.int64) for doc in docs]
     forms = [form(w) for w in index]
-    own = [traits(f) if len(f) > 1 else [] for f in forms]
-    sets = [set().union(*(own[w] for w in set(doc))) for doc in docs]
-    bad = toxic_traits(sets[: len(toxic)], sets[len(toxic) :])
-    if not bad:
+    of_word, of_trait, numbers = array("q"), array("q"), {}
+    for i, f in enumerate(forms):
+        for x in traits(f) if len(f) > 1 else ():
+            of_word.append(i)
+            of_trait.append(numbers.setdefault(x, len(numbers)))
+    of_word, of_trait = np.frombuffer(of_word, np.int64), np.frombuffer(of_trait, np.int64)
+    first = np.searchsorted(of_word, np.arange(len(forms) + 1))
+    sets = [np.unique(np.concatenate([np.empty(0, np.int64), *(of_trait[first[w] : first[w + 1]] for w in np.unique(doc))])) for doc in docs]
+    bad = toxic_traits(sets[: len(toxic)], sets[len(toxic) :], len(numbers))
+    if not bad.any():
         return None
-    is_bad = np.array([not bad.isdisjoint(t) for t in own])
+    is_bad = np.bincount(of_word, bad[of_trait], len(forms)) > 0
+    del sets, of_word, of_trait, numbers
     closes = np.array([w.endswith((b".", b"!", b"?")) for w in index])
     names: dict[str, int] = {}
-    pairs = [(i, names.setdefault(x, len(names))) for i, f in enumerate(forms) for x in token_features(f)]
-    of_word, of_name = np.array(pairs, dtype=np.int64).T
-    flat = np.array([w for doc in docs for w in doc], dtype=np.int64)
+    of_word, of_name = array("q"), array("q")
+    for i, f in enumerate(forms):
+        for x in token_features(f):
+            of_word.append(i)
+            of_name.append(names.setdefault(x, len(names)))
+    of_word, of_name = np.frombuffer(of_word, np.int64), np.frombuffer(of_name, np.int64)
+    flat = np.concatenate(docs)
     sizes = [len(doc) for doc in docs]
     starts = np.cumsum([0, *sizes])[:-1]
     y = np.zeros(len(flat))
@@ -268,9 +277,9 @@ def fit(toxic: list[bytes], clean: list[bytes], share: float | None = None) -> T
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
         potential = np.bincount(of_word, theta[of_name], v_words) + theta[n]
-        p, pair = marginals(potential[flat], begins, theta[-4:].reshape(2, 2))
+        p, pair = marginals(potential[flat], begins, theta[-4:].reshape(2, 2), True)
         wrong = np.bincount(flat, p - y, v_words)
-        grad = np.concatenate([np.bincount(of_name, wrong[of_word], n), [wrong.sum()], pair.sum(0) - seen]) / scale + DECAY * theta
+        grad = np.concatenate([np.bincount(of_name, wrong[of_word], n), [wrong.sum()], pair - seen]) / scale + DECAY * theta
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
         theta -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 0.01)
