@@ -24,8 +24,9 @@ END_ID = 1
 #: Open bins of a task, pieces of a window and pieces of a task.
 OPEN_BINS, WINDOW, TASK_PIECES = 65_536, 50_000, 1_000_000
 #: Words remembered by a worker; longer words than LONG aren't.
-MEMORY, LONG = 400_000, 64
+MEMORY, LONG = 800_000, 64
 ROWS = 256
+_SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
 class BestFit:
@@ -64,6 +65,11 @@ class BestFit:
         return chosen, self.capacity - space
 
 
+def _is_letters(word: str) -> bool:
+    """Letters that stay letters in lower case, which puts a mark in place of some."""
+    return word.isalpha() and word.lower().isalpha()
+
+
 class WordIds:
     """Ids of whole texts by words: ASCII white space always ends a token and is dropped."""
 
@@ -74,23 +80,56 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        vocab = self.tokenizer.get_vocab()
+        # ids that end a word, where the vocabulary marks them
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
+
+    def _each(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words, each encoded by itself."""
+        got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return dict(zip(words, (np.array(e.ids, dtype="<u4").tobytes() for e in got), strict=True))
+
+    def _letters(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words of letters, encoded as one text and cut after the ids that end a word.
+
+        Every word has one such id at least; so where there are as many as words, each has one.
+        """
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(words) or cuts[-1] != len(ids):
+            return self._each(words)
+        data, bounds = ids.tobytes(), [0, *(4 * cuts).tolist()]
+        return {w: data[a:b] for w, a, b in zip(words, bounds, bounds[1:], strict=False)}
+
+    def _new(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words not known yet. Signs after a word of letters are a token of their own."""
+        stems = {w: w.rstrip(_SIGNS) for w in words}
+        plain = {s: _is_letters(s.decode("utf-8", "replace")) for s in stems.values()}
+        parts = {x for w, s in stems.items() if plain[s] for x in (s, w[len(s) :]) if x and x not in self.known}
+        letters = [x for x in parts if plain.get(x)]
+        other = [x for x in parts if not plain.get(x)] + [w for w, s in stems.items() if not plain[s] and w not in parts]
+        out: dict[bytes, bytes] = {}
+        for at in range(0, len(letters), 500):
+            out.update(self._letters(letters[at : at + 500]))
+        for at in range(0, len(other), 500):
+            out.update(self._each(other[at : at + 500]))
+        get = lambda x: self.known[x] if x in self.known else out[x]
+        out.update({w: get(s) + get(w[len(s) :]) for w, s in stems.items() if plain[s] and s != w})
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         split = [t.lower().split() if b"<|" not in t else t.split() for t in texts]
         known = self.known
         new = list(set().union(*split).difference(known))
-        fresh = {}
-        for at in range(0, len(new), 1000):
-            some = new[at : at + 1000]
-            got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            fresh.update(zip(some, (np.array(e.ids, dtype="<u4").tobytes() for e in got), strict=True))
+        fresh = self._new(new) if new else {}
         if len(known) + len(fresh) <= MEMORY:
             known.update((w, i) for w, i in fresh.items() if len(w) <= LONG)
             fresh = {w: i for w, i in fresh.items() if len(w) > LONG}
         if not fresh:
             return [b"".join(map(known.__getitem__, words)) for words in split]
-        return [b"".join([known.get(w) or fresh.get(w, b"") for w in words]) for words in split]
+        return [b"".join([known[w] if w in known else fresh[w] for w in words]) for words in split]
 
 
 _tokenizers: dict[str, WordIds] = {}
