@@ -51,10 +51,12 @@ def similar_pairs(sequences: DataFrame, least: float) -> DataFrame:
         F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), differences), lambda i: F.substr("sequence", i * piece + 1, F.col("k"))))).alias("word"),
     )
     lengths = [r[0] for r in seeds.select("k").distinct().collect()]  # at most the word length many
-    words = rows.select(
-        F.col("ordinal").alias("leader"), F.col("place").alias("earlier"),
-        F.explode(F.array_distinct(F.flatten(F.array(*(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("sequence") - n + 1)), lambda i, n=n: F.substr("sequence", i, F.lit(n))) for n in lengths or [word]))))).alias("word"),
-    )
+
+    def of_length(n: int):
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("sequence") - n + 1)), lambda i: F.substr("sequence", i, F.lit(n)))
+
+    every = F.array_distinct(F.flatten(F.array(*map(of_length, lengths or [word]))))
+    words = rows.select(F.col("ordinal").alias("leader"), F.col("place").alias("earlier"), F.explode(every).alias("word"))
     pairs = seeds.join(words, "word").where("earlier < later").select("leader", "member").distinct()
     text = sequences.select("ordinal", F.upper("sequence").alias("s"))
     both = pairs.join(text.select(F.col("ordinal").alias("leader"), F.col("s").alias("long")), "leader").join(text.select(F.col("ordinal").alias("member"), F.col("s").alias("short")), "member")

@@ -316,9 +316,10 @@ def q20_detectable_probe(spark, sf):
 
 
 def _evaluation(spark, sf) -> DataFrame:
-    """The alignment's rows without their gaps."""
+    """The alignment's rows without their gaps; some are turned around, some are cut short."""
     rows = alignment(spark, sf).where("symbol <> '-'").groupBy("ordinal", "sequence_id").agg(F.sort_array(F.collect_list(F.struct("alignment_position", "symbol"))).alias("s"))
-    return rows.select("ordinal", "sequence_id", F.array_join("s.symbol", "").alias("sequence"))
+    plain, k = F.array_join("s.symbol", ""), F.col("ordinal") % 10
+    return rows.select("ordinal", "sequence_id", F.when(k == 3, iupac.reverse_complement(plain)).when(k == 7, F.left(plain, F.lit(130))).otherwise(plain).alias("sequence"))
 
 
 def _assays(spark, sf) -> DataFrame:
@@ -334,7 +335,8 @@ def _assays(spark, sf) -> DataFrame:
 
 
 _RC = "reverse(translate({0}, 'ACMGRSVTWYHKDBN', 'TGKCYSBAWRDMHVN'))"
-INCSQL = f"""{ALN}, ev AS (SELECT ordinal, sequence_id, string_agg(symbol, '' ORDER BY alignment_position) AS s FROM aln WHERE symbol <> '-' GROUP BY ALL),
+INCSQL = f"""{ALN}, ev AS (SELECT ordinal, sequence_id, CASE ordinal % 10 WHEN 3 THEN {_RC.format('s0')} WHEN 7 THEN left(s0, 130) ELSE s0 END AS s
+  FROM (SELECT ordinal, sequence_id, string_agg(symbol, '' ORDER BY alignment_position) AS s0 FROM aln WHERE symbol <> '-' GROUP BY ALL)),
 base AS (SELECT string_agg(reference_base, '' ORDER BY reference_position) AS b FROM ref),
 spot AS (SELECT 'assay-' || a AS assay_id, role, st, st + k - 1 AS en, k, rs + 19 - fs + 1 AS size, substr(b, st, k) AS pat FROM base, (SELECT 0 AS a, 11 AS fs, 51 AS ps, 91 AS rs UNION ALL SELECT 1, 61, 100, 141 UNION ALL SELECT 2, 121, 160, 201),
   LATERAL (SELECT 'FORWARD' AS role, fs AS st, 20 AS k UNION ALL SELECT 'PROBE', ps, 22 UNION ALL SELECT 'REVERSE', rs, 20)),
