@@ -59,3 +59,14 @@ def researcher_page(run, status: str) -> str:
     text = sinks.page("Assay evidence", f"<p>{outcome(status, classes)}</p>", *parts)
     sinks.replace_text(Path(run.root) / "report.html", text)
     return text
+
+
+def provenance(run) -> dict:
+    """What a run's results rest on: its attempts, and each stage's request and result fingerprints."""
+    import json
+
+    stages = {}
+    for path in sorted((Path(run.root) / ".checkpoints").glob("*/manifest.json")):
+        m = json.loads(path.read_text(encoding="utf-8"))
+        stages[m["stage"]] = {k: m.get(k) for k in ("status", "fingerprint", "result_fingerprint")} | {"software": m["request"]["software"], "inputs": m["request"]["inputs"]}
+    return {"attempts": [{k: a.get(k) for k in ("number", "status", "started_at", "ended_at")} for a in run.recorder.manifest["attempts"]], "stages": stages}

@@ -135,3 +135,8 @@ def line_chart(points: list[tuple[float, float | None]], width: int = 640, heigh
 
 def page(title: str, *parts: str) -> str:
     return f'<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1>{"".join(parts)}</body></html>'
+
+
+def read_table(spark, path: str, schema: str) -> DataFrame:
+    """A published table with stated types: ids and position lists stay text whatever they look like."""
+    return spark.read.option("sep", "\t").option("header", True).option("mode", "FAILFAST").option("nullValue", "").schema(schema).csv(path)
