@@ -75,7 +75,20 @@ def op10_chat_preferences(spark, sf_dir):
 
     out = format_preferences(reply_swaps(read_table(spark, sf_dir, "conversations")))
     as_text = {c: F.array_join(F.transform(c, lambda r: F.concat(r["start"], F.lit("-"), r["end"])), ",") for c in ("chosen_loss", "rejected_loss")}
-    return out.withColumns(as_text)
+    return out.withColumns(as_text).withColumn("n_prompt_turns", F.col("n_prompt_turns").cast("long"))
+
+
+_MARK = lambda c: f"replace({c}, '<|im_', '<\\|im_')"
+_HEAD = lambda t: f"'<|im_start|>' || {_MARK(t + '.role')} || chr(10)"
+_TAIL = lambda t: f"{_MARK(t + '.text')} || '<|im_end|>'"
+_SHOWN = lambda turns: f"array_to_string(list_transform({turns}, lambda t: {_HEAD('t')} || {_TAIL('t')} || chr(10)), '')"
+
+
+def _ranges(side: str) -> str:
+    """SQL for the seen ranges of a side's completion, from the turn after the prompt."""
+    start = f"length({_SHOWN(f'{side}[n + 1:i - 1]')}) + length({_HEAD(f'{side}[i]')})"
+    own = f"list_filter(generate_series(n + 1, len({side})), lambda i: {side}[i].role = 'assistant')"
+    return f"array_to_string(list_transform({own}, lambda i: ({start}) || '-' || ({start} + length({_TAIL(f'{side}[i]')}))), ',')"
 
 
 QUERIES = {
@@ -137,4 +150,19 @@ ORACLE_SQL = {
                vec_id <= coalesce((SELECT min(w) FROM r WHERE u = vec_id), vec_id) AS kept
         FROM embeddings
     """,
+    "op10_chat_preferences": f"""
+        WITH c AS (
+          SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn, role, text) AS t FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), l AS (
+          SELECT *, coalesce(list_max(list_filter(generate_series(1, len(t)), lambda i: t[i].role = 'assistant')), 0) AS last FROM c
+        ), p AS (
+          SELECT x.conv_id AS pair_id, CASE WHEN x.last > 0 THEN x.t[:x.last] ELSE x.t END AS a,
+                 CASE WHEN x.last > 0 AND y.last > 0 THEN list_append(x.t[:x.last - 1], y.t[y.last]) ELSE [] END AS b
+          FROM l x LEFT JOIN l y ON y.conv_id = xor(x.conv_id, 1)
+        ), m AS (
+          SELECT *, coalesce(list_min(list_filter(generate_series(1, least(len(a), len(b))), lambda i: a[i] <> b[i])) - 1, least(len(a), len(b))) AS n FROM p
+        )
+        SELECT pair_id, n AS n_prompt_turns, {_SHOWN('a[:n]')} AS prompt, {_SHOWN('a[n + 1:]')} AS chosen, {_ranges('a')} AS chosen_loss,
+               {_SHOWN('b[n + 1:]')} AS rejected, {_ranges('b')} AS rejected_loss FROM m
+    """,
 }
