@@ -112,4 +112,5 @@ def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         key_type=slim.schema["_order"].dataType.simpleString(),
     )
     kept = exact_dedup(slim, index, "_order", "text").where("kept").select(F.col("_order.place").alias("_place"))
-    return placed.join(kept, "_place", "left_semi").drop("_place")
+    # the kept places, a number a row, are hashed; the texts move once and are never sorted
+    return placed.join(kept.hint("shuffle_hash"), "_place", "left_semi").drop("_place")

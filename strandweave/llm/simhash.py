@@ -201,4 +201,5 @@ def near_dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     grouped = stored(rows.join(ids, "_place").select("_place", "component_id", "_id"), f"{folder}/grouped")
     first = F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_place").alias("place"))).alias("first")
     kept = grouped.groupBy("component_id").agg(first).select(F.col("first.place").alias("_place"))
-    return placed.join(kept, "_place", "left_semi").drop("_place")
+    # the kept places, a number a row, are hashed; the texts move once and are never sorted
+    return placed.join(kept.hint("shuffle_hash"), "_place", "left_semi").drop("_place")
