@@ -132,25 +132,28 @@ def _parse(pieces, with_payload: bool):
             if head is not None:
                 yield close(True)
             head, block, need, file = None, [], 0, name
-        if head is None:
-            start = piece.lstrip(b"\r\n")
-            if not start.startswith(b"WARC/"):
-                continue
-            head, block = start, []
-            size = _headers(head).get("content-length", "0")
-            need = int(size) if size.isdigit() else 0
-            if need == 0:  # an empty block: its end follows the head's at once
-                block = [b""]
-                yield close(False)
-                head = None
-            continue
-        block.append(piece)
-        have = sum(map(len, block)) + 4 * (len(block) - 1)
-        if have >= need:
-            if have > need:
-                block[-1] = block[-1][: len(block[-1]) - (have - need)]
+        while True:
+            if head is None:
+                start = piece.lstrip(b"\r\n")
+                if start.startswith(b"WARC/"):
+                    size = _headers(start).get("content-length", "0")
+                    head, block, need = start, [], int(size) if size.isdigit() else 0
+                    if need == 0:  # an empty block: its end follows the head's at once
+                        block = [b""]
+                        yield close(False)
+                        head = None
+                break
+            block.append(piece)
+            have = sum(map(len, block)) + 4 * (len(block) - 1)
+            if have < need:
+                break
+            # a block that ends in a line end is cut early, and the next head then comes with it
+            whole = RECORD_END.encode().join(block)
+            block, piece = [whole[:need]], whole[need:]
             yield close(False)
             head = None
+            if not piece.strip(b"\r\n"):
+                break
     if head is not None:
         yield close(True)
 
