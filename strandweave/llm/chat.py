@@ -30,8 +30,8 @@ def conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "
 def common_prefix(a: Column, b: Column) -> Column:
     """Number of leading turns that two arrays of turns share."""
     shorter = F.least(F.size(a), F.size(b))
-    differs = F.filter(F.sequence(F.lit(1), F.greatest(shorter, F.lit(1))), lambda i: (i > shorter) | ~F.element_at(a, i).eqNullSafe(F.element_at(b, i)))
-    return F.coalesce(F.element_at(F.slice(differs, 1, 1), 1) - 1, shorter)
+    differs = F.filter(F.sequence(F.lit(1), F.greatest(shorter, F.lit(1))), lambda i: (i > shorter) | ~F.try_element_at(a, i).eqNullSafe(F.try_element_at(b, i)))
+    return F.coalesce(F.try_element_at(differs, F.lit(1)) - 1, shorter)
 
 
 def _safe(text: Column) -> Column:
@@ -96,10 +96,10 @@ def reply_swaps(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "tu
     whose partner has none, has a null rejected side.
     """
     convs = conversations(turns, conv_col, turn_col, role_col, text_col)
-    spots = F.filter(F.sequence(F.lit(1), F.size("turns")), lambda i: F.element_at("turns", i)["role"] == "assistant")
+    spots = F.filter(F.sequence(F.lit(1), F.size("turns")), lambda i: F.try_element_at("turns", i)["role"] == "assistant")
     rows = convs.withColumn("last", F.coalesce(F.array_max(spots), F.lit(0)))
     mine = rows.select("conv_id", "turns", "last")
-    reply = rows.where("last > 0").select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.element_at("turns", F.col("last")).alias("reply"))
+    reply = rows.where("last > 0").select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.try_element_at("turns", F.col("last")).alias("reply"))
     both = mine.join(reply, "conv_id", "left")
     cut = F.when(F.col("last") > 0, F.slice("turns", 1, F.col("last"))).otherwise(F.col("turns"))
     swapped = F.when((F.col("last") > 0) & F.col("reply").isNotNull(), F.concat(F.slice("turns", 1, F.col("last") - 1), F.array("reply")))
