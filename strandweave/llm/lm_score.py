@@ -12,6 +12,8 @@ lets some others through, which the counts then drop).
 from __future__ import annotations
 
 import gc
+import time
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ HOT = 65_536
 #: Filter size: SEGMENTS of SEGMENT_BITS bits, 16 MB at any corpus size; PROBES bits for each n-gram.
 SEGMENTS, SEGMENT_BITS, PROBES = 1024, 1 << 17, 4
 #: n-grams held by a worker before they are counted and passed on; words remembered.
-HELD, MEMORY = 2_000_000, 400_000
+HELD, MEMORY = 500_000, 400_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -123,40 +125,43 @@ def _levels(words: np.ndarray, order: int, filters: list[np.ndarray], last_filte
             yield k, prefix[ok], suffix[ok], key[ok]
 
 
-def _count(order: int, filters):
-    """Rows (prefix, suffix, n, docs) of the k-grams of one order, counted per worker's hold."""
+COUNTS = "k int, prefix long, suffix long, n long, docs long"
+
+
+def _count(orders: tuple[int, ...], filters):
+    """Rows (k, prefix, suffix, n, docs) of the k-grams of some orders, counted per worker's hold."""
 
     def run(batches):
-        held_a, held_b, size = [], [], 0
+        held: dict[int, list[list[np.ndarray]]] = {k: [[], [], [], []] for k in orders}
+        size = 0
 
         def flush():
-            a, b = np.concatenate(held_a), np.concatenate(held_b)
-            at = np.lexsort((b, a)) if order > 1 else np.argsort(a)
-            a, b = a[at], b[at]
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            first = np.flatnonzero(new)
-            return a[first], b[first], np.add.reduceat(np.concatenate(held_n)[at], first), np.diff(np.append(first, len(a)))
-
-        held_n: list[np.ndarray] = []
+            for k, (prefixes, suffixes, counts, keys) in held.items():
+                if not prefixes:
+                    continue
+                at = np.argsort(np.concatenate(keys))
+                a, b = np.concatenate(prefixes)[at], np.concatenate(suffixes)[at]
+                new = np.ones(len(a), bool)
+                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+                first = np.flatnonzero(new)
+                n, docs = np.add.reduceat(np.concatenate(counts)[at], first), np.diff(np.append(first, len(a)))
+                yield pa.record_batch([pa.array(np.full(len(first), k, np.int32)), _signed(a[first]), _signed(b[first]), pa.array(n), pa.array(docs)], names=["k", "prefix", "suffix", "n", "docs"])
+                held[k] = [[], [], [], []]
+
         bits = filters.value if filters is not None else []
         for batch in batches:
             for text in batch.column(0):
-                for k, prefix, suffix, key in _levels(words_of(text.as_py()), order, bits, False):
-                    if k != order or not len(key):
+                for k, prefix, suffix, key in _levels(words_of(text.as_py()), max(orders), bits, True):
+                    if k not in held or not len(key):
                         continue
-                    _, at, n = np.unique(key, return_index=True, return_counts=True)
-                    held_a.append(prefix[at])
-                    held_b.append(suffix[at])
-                    held_n.append(n)
+                    own, at, n = np.unique(key, return_index=True, return_counts=True)
+                    for part, values in zip(held[k], (prefix[at], suffix[at], n, own), strict=True):
+                        part.append(values)
                     size += len(at)
-                    if size >= HELD:
-                        a, b, n, d = flush()
-                        yield pa.record_batch([_signed(a), _signed(b), pa.array(n), pa.array(d)], names=["prefix", "suffix", "n", "docs"])
-                        held_a, held_b, held_n, size = [], [], [], 0
-        if size:
-            a, b, n, d = flush()
-            yield pa.record_batch([_signed(a), _signed(b), pa.array(n), pa.array(d)], names=["prefix", "suffix", "n", "docs"])
+                if size >= HELD:
+                    yield from flush()
+                    size = 0
+        yield from flush()
 
     return run
 
@@ -169,13 +174,21 @@ def _with_keys(counts: DataFrame) -> DataFrame:
             a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
             yield pa.record_batch([_signed(join_keys(a, b)), *batch.columns], names=["key", *batch.schema.names])
 
-    return counts.mapInArrow(run, "key long, prefix long, suffix long, n long, docs long")
+    return counts.select("prefix", "suffix", "n").mapInArrow(run, "key long, prefix long, suffix long, n long")
+
+
+def _delete(spark, path: str) -> None:
+    """Remove a written step that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def _release(spark) -> None:
     """Lets Spark drop the shuffle files of finished steps, which it does when their handles are collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, alpha: float = ALPHA, min_docs: int = MIN_DOCS):
@@ -183,32 +196,40 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, alpha: fl
     spark = docs.sparkSession
     folder = workspace(spark, "lm")
     texts = docs.select(F.col(text_col).cast("binary").alias("text"))
-    merge = lambda rows: rows.groupBy("prefix", "suffix").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    shape = "prefix long, suffix long, n long, docs long"
-    single = merge(texts.mapInArrow(_count(1, None), shape)).select(F.col("prefix").alias("key"), "n")
-    single = stored(single, f"{folder}/counts-1")
+    least = F.expr(f"k = 1 or docs >= {int(min_docs)}")
+
+    def counted(orders, filters):
+        sent = spark.sparkContext.broadcast(filters) if filters else None
+        rows = texts.mapInArrow(_count(orders, sent), COUNTS).groupBy("k", "prefix", "suffix").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        out = stored(rows.where(least).drop("docs"), f"{folder}/counts-{orders[-1]}")
+        _release(spark)
+        return out
+
+    counts = counted((1, 2) if order > 1 else (1,), [])
+    single = counts.where("k = 1").select(F.col("prefix").alias("key"), "n")
     tokens = single.agg(F.sum("n")).first()[0] or 0
-    level = stored(single.select("key", F.lit(1).alias("k"), "n", F.log(F.col("n") / F.lit(max(1, tokens)).cast("double")).alias("weight"), F.log(F.col("n") / F.lit(max(1, tokens)).cast("double")).alias("value")), f"{folder}/weights-1")
-    tables, filters = [level], []
+    value = F.log(F.col("n") / F.lit(max(1, tokens)).cast("double"))
+    tables, filters = [stored(single.select("key", F.lit(1).alias("k"), "n", value.alias("weight"), value.alias("value")), f"{folder}/weights-1")], []
     for k in range(2, order + 1):
-        _release(spark)
-        sent = spark.sparkContext.broadcast(filters) if filters else None
-        kept = stored(_with_keys(merge(texts.mapInArrow(_count(k, sent), shape)).where(F.col("docs") >= min_docs)), f"{folder}/counts-{k}")
-        filters = [*filters, build_filter(kept.select("key"))]
+        if k > 2:
+            counts = counted((k,), filters)
         # the suffix was counted and, as part of a kept n-gram, kept; so was the prefix
         prior = tables[-1]
         ends = prior.select(F.col("key").alias("suffix"), F.col("value").alias("back"))
         starts = prior.select(F.col("key").alias("prefix"), F.col("n").alias("of"))
         value = F.log(F.col("n") / F.col("of"))
-        level = kept.join(ends, "suffix").join(starts, "prefix").select(
-            "key", F.lit(k).alias("k"), "n", (value - F.lit(float(np.log(alpha))) - F.col("back")).alias("weight"), value.alias("value")
+        level = _with_keys(counts.where(F.col("k") == k)).join(ends, "suffix").join(starts, "prefix").select(
+            "key", F.lit(k).alias("k"), "n", (value - F.lit(float(np.log(alpha))) - F.col("back")).alias("weight"), *([value.alias("value")] if k < order else [])
         )
         tables.append(stored(level, f"{folder}/weights-{k}"))
-    weights = tables[0]
+        _delete(spark, f"{folder}/counts-{k}")
+        filters = [*filters, build_filter(tables[-1].select("key"))]
+    columns = ("key", "k", "n", "weight")
+    weights = tables[0].select(*columns)
     for t in tables[1:]:
-        weights = weights.unionByName(t)
+        weights = weights.unionByName(t.select(*columns))
     _release(spark)
-    return weights.drop("value"), filters, tokens
+    return weights, filters, tokens
 
 
 def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, alpha: float = ALPHA) -> DataFrame:
@@ -225,7 +246,7 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
     slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     back = float(np.log(alpha))
 
-    def run(batches):
+    def run(batches, orders=()):
         bits, hot_keys, hot_weights = sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -233,9 +254,13 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
                 rows, keys, counts, base, size = [], [], [], [], []
                 for row, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
                     words = words_of(text.as_py())
-                    total = back * sum(min(i, order - 1) for i in range(min(len(words), order - 1)))
-                    total += back * (order - 1) * max(0, len(words) - order + 1)
-                    for _, _, _, key in _levels(words, order, bits, True):
+                    total = 0.0
+                    if orders[0] == 1:
+                        total = back * sum(min(i, order - 1) for i in range(min(len(words), order - 1)))
+                        total += back * (order - 1) * max(0, len(words) - order + 1)
+                    for k, _, _, key in _levels(words, orders[-1], bits, True):
+                        if k not in orders:
+                            continue
                         own, n = np.unique(key, return_counts=True)
                         own = own.view(np.int64)
                         known = np.zeros(len(own), bool)
@@ -247,7 +272,7 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
                         counts.append(n[~known])
                         rows.append(np.full(len(keys[-1]), row))
                     base.append(total)
-                    size.append(len(words))
+                    size.append(len(words) if orders[0] == 1 else 0)
                 own_rows = part.column(0).to_numpy()
                 cold = sum(map(len, keys))
                 zero = np.zeros(cold + len(own_rows))
@@ -260,11 +285,17 @@ def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "tex
                 counts = np.concatenate([*counts, np.zeros(len(own_rows))]).astype(np.int64)
                 yield pa.record_batch([pa.array(x) for x in (rows, keys, counts, zero, tokens)], names=["row", "key", "n", "base", "tokens"])
 
-    exploded = slim.select("row", "text").mapInArrow(run, "row long, key long, n long, base double, tokens long")
-    cold = weights.where(F.col("n") * HOT <= F.lit(tokens)).select("key", "weight")
-    gained = F.coalesce(F.col("n") * F.col("weight"), F.lit(0.0)) + F.col("base")
-    sums = exploded.join(cold.hint("merge"), "key", "left").groupBy("row").agg(F.sum(gained).alias("log_score"), F.sum("tokens").alias("n_tokens"))
-    out = sums.join(slim.select("row", "id"), "row")
+    folder = workspace(spark, "lm-score")
+    parts = None
+    for orders in [(1, 2)[:order], *((k,) for k in range(3, order + 1))]:  # in turns, so that the n-grams of few orders move at once
+        exploded = slim.select("row", "text").mapInArrow(partial(run, orders=orders), "row long, key long, n long, base double, tokens long")
+        cold = weights.where(F.col("k").isin(*orders) & (F.col("n") * HOT <= F.lit(tokens))).select("key", "weight")
+        gained = F.coalesce(F.col("n") * F.col("weight"), F.lit(0.0)) + F.col("base")
+        sums = exploded.join(cold.hint("merge"), "key", "left").groupBy("row").agg(F.sum(gained).alias("s"), F.sum("tokens").alias("t"))
+        sums = stored(sums, f"{folder}/{orders[0]}")
+        _release(spark)
+        parts = sums if parts is None else parts.unionByName(sums)
+    out = parts.groupBy("row").agg(F.sum("s").alias("log_score"), F.sum("t").alias("n_tokens")).join(slim.select("row", "id"), "row")
     return out.select(F.col("id").alias(id_col), "n_tokens", "log_score", F.expr("log_score / nullif(n_tokens, 0)").alias("mean_log_score"))
 
 
