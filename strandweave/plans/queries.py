@@ -421,7 +421,7 @@ def q27_similarity_local(spark, sf):
 SIMSQL = f"""{WIN}, cellm AS (SELECT s_nationkey, aln.ordinal, reference_position, symbol = major_symbol AS same FROM aln JOIN pos USING (alignment_position) JOIN supplier ON s_suppkey = ordinal),
 per AS (SELECT reference_start, reference_end, s_nationkey, ordinal, avg(same::INT) AS sim FROM win JOIN cellm ON reference_position BETWEEN reference_start AND reference_end GROUP BY ALL),
 ds AS (SELECT reference_start, reference_end, n_name AS dataset, n_nationkey AS o, ['CRITICAL', 'IMPORTANT', 'BACKGROUND'][(n_nationkey % 3 + 1)::INT] AS criticality, coalesce(max(sim), 0) AS sim
-  FROM win CROSS JOIN nation LEFT JOIN per USING (reference_start, reference_end) WHERE per.s_nationkey = n_nationkey OR n_nationkey NOT IN (SELECT s_nationkey FROM supplier) GROUP BY ALL),
+  FROM (SELECT reference_start, reference_end, n_name, n_nationkey FROM win CROSS JOIN nation) LEFT JOIN (SELECT reference_start, reference_end, s_nationkey AS n_nationkey, sim FROM per) USING (reference_start, reference_end, n_nationkey) GROUP BY ALL),
 summ AS (SELECT reference_start, reference_end, arg_max(dataset, (sim, -o)) AS worst_dataset, max(sim) AS worst, max(sim) FILTER (criticality = 'CRITICAL') AS wc, max(sim) FILTER (criticality = 'IMPORTANT') AS wi FROM ds GROUP BY ALL)"""
 
 
