@@ -4,9 +4,10 @@ S(w | history) is the relative frequency of the longest kept n-gram, else ALPHA
 a shorter history. Written in logs, a k-gram that is kept adds a gain to what backing off would have
 given, so a document's score is a plain sum over its exploded n-grams of all orders of one weight
 per n-gram: tables of counts partitioned by hash give the weights, and one join and one sum give all
-scores. n-grams in fewer than MIN_DOCS documents are not kept; as an n-gram is in no more documents
-than its parts, each order counts only n-grams whose parts may be kept (a filter of fixed size that
-lets some others through, which the counts then drop).
+scores. All n-grams are kept. Where ``min_docs`` asks for more than one document, n-grams in fewer
+are dropped, which is not the whole model: seen n-grams then score by backing off. As an n-gram is in
+no more documents than its parts, each order then counts only n-grams whose parts may be kept (a
+filter of fixed size that lets some others through, which the counts then drop).
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from strandweave.llm.common import stored, workspace
 
-ORDER, ALPHA, MIN_DOCS = 3, 0.4, 2
+ORDER, ALPHA, MIN_DOCS = 3, 0.4, 1
 #: n-grams with over 1/HOT of all tokens are at most HOT of each order: they are broadcast.
 HOT = 65_536
 #: Filter size: SEGMENTS of SEGMENT_BITS bits, 16 MB at any corpus size; PROBES bits for each n-gram.
@@ -223,7 +224,8 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, alpha: fl
         )
         tables.append(stored(level, f"{folder}/weights-{k}"))
         _delete(spark, f"{folder}/counts-{k}")
-        filters = [*filters, build_filter(tables[-1].select("key"))]
+        if min_docs > 1:  # otherwise all n-grams are kept and a filter saves nothing
+            filters = [*filters, build_filter(tables[-1].select("key"))]
     columns = ("key", "k", "n", "weight")
     weights = tables[0].select(*columns)
     for t in tables[1:]:

@@ -47,6 +47,14 @@ def op5_warc(spark, sf_dir):
 def op6_lm_scoring(spark, sf_dir):
     from strandweave.llm.lm_score import lm_scores
 
+    out = lm_scores(read_table(spark, sf_dir, "documents"), min_docs=2)  # as its SQL does
+    return out.withColumns({c: F.round(c, 5) for c in ("log_score", "mean_log_score")})
+
+
+def op6_lm_scoring_full(spark, sf_dir):
+    """The whole model: n-grams of a single document are kept too."""
+    from strandweave.llm.lm_score import lm_scores
+
     out = lm_scores(read_table(spark, sf_dir, "documents"))
     return out.withColumns({c: F.round(c, 5) for c in ("log_score", "mean_log_score")})
 
@@ -94,8 +102,8 @@ def _ranges(side: str) -> str:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_sentencepiece, op2_quality_classifier, op3_best_fit_packing, op4_exact_dedup, op5_warc, op6_lm_scoring, op7_toxicity,
-        op8_embedding_near_dedup, op9_simhash_near_dedup, op10_chat_preferences,
+        op1_sentencepiece, op2_quality_classifier, op3_best_fit_packing, op4_exact_dedup, op5_warc, op6_lm_scoring, op6_lm_scoring_full,
+        op7_toxicity, op8_embedding_near_dedup, op9_simhash_near_dedup, op10_chat_preferences,
     )
 }
 

@@ -102,6 +102,14 @@ def test_language_model_equals_brute_force(spark, tmp_path, monkeypatch, order,
         assert sorted(got[i]) == pytest.approx(sorted(want[i]))
 
 
+@pytest.mark.parametrize("given,min_docs", [({}, 1), ({"min_docs": 1}, 1), ({"min_docs": 2}, 2)])
+def test_language_model_keeps_ngrams_of_one_document(spark, tmp_path, given, min_docs):
+    texts = ["one two three " * 5, "one two four", "five six one two", "seven eight nine seven eight nine"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    got = {r.doc_id: r.log_score for r in lm_score.lm_scores(spark.read.parquet(str(tmp_path / "d")), **given).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(brute_lm(texts, 3, lm_score.ALPHA, min_docs))
+
+
 def test_language_model_of_nothing(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
     assert lm_score.lm_scores(spark.read.parquet(str(tmp_path / "d"))).count() == 0
