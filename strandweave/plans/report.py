@@ -34,27 +34,27 @@ def stage_counts(run) -> dict:
 
 
 def researcher_page(run, status: str) -> str:
-    """The HTML page of a finished run; small aggregates only."""
+    """The HTML page of a finished run: all rows of its tables, except that the best windows are a top 10."""
     parts, classes = [], []
     if run.has("ranking", "ranked"):
-        rows = run.get("ranking", "ranked").orderBy("rank").select("rank", "assay_id", "classification", F.round("final_score", 3).alias("final_score"), F.array_join("reasons.code", ", ").alias("reasons")).limit(100).collect()
+        rows = run.get("ranking", "ranked").orderBy("rank").select("rank", "assay_id", "classification", F.round("final_score", 3).alias("final_score"), F.array_join("reasons.code", ", ").alias("reasons")).toLocalIterator()
         classes = [r.classification for r in run.get("ranking", "ranked").select("classification").distinct().collect()]
         best = ranking.recommended(run.get("ranking", "ranked")).first().assay_id
         parts.append(f"<p>Recommended: {best or 'none'}</p>" + sinks.html_table("Assays", ("rank", "assay_id", "classification", "final_score", "reasons"), (r.asDict() for r in rows)))
-        anchors = design.contains_anchor(run.get("primer_design", "assays"), run.get("primer_design", "regions")).limit(100).collect()
+        anchors = design.contains_anchor(run.get("primer_design", "assays"), run.get("primer_design", "regions")).orderBy("assay_id").toLocalIterator()
         parts.append(sinks.html_table("Anchor", ("assay_id", "contains_anchor"), (r.asDict() for r in anchors)))
     if run.has("conservation", "windows"):
         win = run.get("conservation", "windows")
-        points = win.orderBy("reference_start").select(((F.col("reference_start") + F.col("reference_end")) / 2).alias("x"), F.col("mean_conservation").alias("y")).limit(2000).collect()
+        points = win.orderBy("reference_start").select(((F.col("reference_start") + F.col("reference_end")) / 2).alias("x"), F.col("mean_conservation").alias("y")).toLocalIterator()
         parts.append("<h2>Conservation</h2>" + sinks.line_chart([(r.x, r.y) for r in points]))
         parts.append(sinks.html_table("Best windows", sinks.WINDOWS, (r.asDict() for r in conserve.top_windows(win).collect())))
     if run.has("contrastive_conservation", "evidence"):
         names = [o.name for o in run.config.off_targets]
-        states = contrast.heat_map(run.get("contrastive_conservation", "evidence"), names).orderBy("reference_start").limit(500).collect()
+        states = contrast.heat_map(run.get("contrastive_conservation", "evidence"), names).orderBy("reference_start").toLocalIterator()
         parts.append(sinks.html_table("Similarity to other datasets", ("reference_start", "reference_end", *names), (r.asDict() for r in states)))
     if run.has("specificity", "hits"):
         names = run.spark.createDataFrame([(o.name,) for o in run.config.off_targets], "dataset string")
-        told = specificity.by_dataset(run.get("specificity", "hits"), run.get("specificity", "amplicons"), names, run.assays()).orderBy("assay_id", "dataset").limit(500).collect()
+        told = specificity.by_dataset(run.get("specificity", "hits"), run.get("specificity", "amplicons"), names, run.assays()).orderBy("assay_id", "dataset").toLocalIterator()
         parts.append(sinks.html_table("Off-target evidence", ("assay_id", "dataset", "hit_count", "plausible_count", "detectable_count"), (r.asDict() for r in told)))
     text = sinks.page("Assay evidence", f"<p>{outcome(status, classes)}</p>", *parts)
     sinks.replace_text(Path(run.root) / "report.html", text)

@@ -73,3 +73,24 @@ def test_unapproved_panel_stops_a_run(spark, setup, tmp_path):
     run = Run(spark, replace(config, panel=PanelConfig(proposal=str(root / "p.json"))), str(tmp_path / "o"))
     assert run.execute() == "ACTION_REQUIRED"
     assert json.loads((tmp_path / "o/run_manifest.json").read_text())["attempts"][0]["status"] == "ACTION_REQUIRED"
+
+
+def test_page_has_all_rows(spark, tmp_path):
+    """More windows, assays and datasets than a first page's worth."""
+    n = 2100
+    win = spark.range(1, n + 1).selectExpr("int(id) reference_start", "int(id) reference_end", "1 position_count", *(f"0.5D {c}" for c in sinks.WINDOWS[3:]))
+    evidence = win.selectExpr("reference_start", "reference_end", "'other' dataset", "0.5D similarity", "'o1' sequence_id")
+
+    class Finished:
+        root, config = str(tmp_path), PipelineConfig(off_targets=(OffTargetConfig("other", fasta="x"),))
+        tables = {("conservation", "windows"): win, ("contrastive_conservation", "evidence"): evidence}
+
+        def has(self, stage, name):
+            return (stage, name) in self.tables
+
+        def get(self, stage, name):
+            return self.tables[stage, name]
+
+    text = report.researcher_page(Finished(), "COMPLETED")
+    assert len(text.split('points="')[1].split('"')[0].split()) == n
+    assert text.count("<td>observed</td>") == n and f"<td>{n}</td>" in text
