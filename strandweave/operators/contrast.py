@@ -95,7 +95,10 @@ def best_matches(windows: DataFrame, sequences: DataFrame) -> DataFrame:
 
 
 def evidence(windows: DataFrame, datasets: DataFrame, matches: DataFrame) -> DataFrame:
-    """Every window and dataset (name, panel_ordinal, criticality); no match is similarity 0 without id."""
+    """Every window and dataset (name, panel_ordinal, criticality); no match is similarity 0 without id.
+
+    A dataset's sequence_count, where given, goes along: with 0 it was never evaluated.
+    """
     keys = ["reference_start", "reference_end", "dataset"]
     grid = windows.crossJoin(F.broadcast(datasets))
     return grid.join(matches, keys, "left").withColumn("similarity", F.coalesce("similarity", F.lit(0.0)))
@@ -138,6 +141,11 @@ def select_candidates(candidates_: DataFrame, c: PrimerDesignConfig) -> DataFram
 
 
 def heat_map(evidence_: DataFrame, datasets: list[str]) -> DataFrame:
-    """One row per window, a column per dataset of the panel: its similarity's state."""
-    state = F.when(F.col("similarity").isNull(), "missing").when(F.col("sequence_id").isNull(), "no-match").otherwise("observed")
-    return evidence_.withColumn("state", state).groupBy("reference_start", "reference_end").pivot("dataset", datasets).agg(F.first("state"))
+    """One row per window, a column per dataset of the panel: its similarity's state.
+
+    A dataset without sequences is unevaluated (where sequence_count is given), one without a row missing.
+    """
+    count = F.col("sequence_count") if "sequence_count" in evidence_.columns else F.lit(None)
+    state = F.when(count == 0, "unevaluated").when(F.col("similarity").isNull(), "missing").when(F.col("sequence_id").isNull(), "no-match").otherwise("observed")
+    wide = evidence_.withColumn("state", state).groupBy("reference_start", "reference_end").pivot("dataset", datasets).agg(F.first("state"))
+    return wide.na.fill("missing", [f"`{d}`" for d in datasets])

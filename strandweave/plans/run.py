@@ -126,6 +126,8 @@ class Run:
         ref, win, pos = self.get("alignment", "reference").first(), self.get("conservation", "windows"), self.get("conservation", "positions")
         names = self.spark.createDataFrame([(o.name,) for o in self.config.off_targets], "dataset string")
         bound = panel.bind_challenges(self.get("panel", "panel"), names).select("dataset", "criticality", "panel_ordinal")
+        counts = self.datasets().groupBy("dataset").agg(F.count(F.lit(1)).alias("sequence_count"))
+        bound = bound.join(counts, "dataset", "left").na.fill(0, ["sequence_count"])
         base = self.get("conservation", "consensus").select("major_consensus")
         asked = win.crossJoin(F.broadcast(base)).withColumn("query", F.substr("major_consensus", F.col("reference_start"), F.col("reference_end") - F.col("reference_start") + 1)).drop("major_consensus")
         found = contrast.best_matches(asked, self.datasets().join(F.broadcast(bound.select("dataset")), "dataset", "left_semi"))

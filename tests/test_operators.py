@@ -340,3 +340,13 @@ def test_clstr_lines(spark):
     lines = [">Cluster 0", "0\t100nt, >a... *", "1\t98nt, >b... at +/97.96%", ">Cluster 1", "0\t90nt, >c... *"]
     got = [(r.cluster, r.sequence_id, r.is_representative, r.identity, r.strand) for r in cluster.parse_clstr(spark.createDataFrame(list(enumerate(lines)), "number int, value string")).orderBy("number").collect()]
     assert got == [(0, "a", True, None, None), (0, "b", False, pytest.approx(0.9796), "+"), (1, "c", True, None, None)]
+
+
+def test_heat_map_tells_datasets_never_evaluated(spark):
+    windows = spark.createDataFrame([(1, 60), (31, 90)], "reference_start int, reference_end int")
+    panel = spark.createDataFrame([("a b.c", 0, "CRITICAL", 3), ("none", 1, "CRITICAL", 2), ("empty", 2, "IMPORTANT", 0)], "dataset string, panel_ordinal int, criticality string, sequence_count long")
+    found = spark.createDataFrame([(1, 60, "a b.c", 0.5, "s1"), (31, 90, "a b.c", 0.75, "s2")], "reference_start int, reference_end int, dataset string, similarity double, sequence_id string")
+    rows = contrast.evidence(windows, panel, found)
+    got = contrast.heat_map(rows, ["a b.c", "none", "empty", "gone"]).collect()
+    assert [tuple(r)[2:] for r in got] == [("observed", "no-match", "unevaluated", "missing")] * 2
+    assert {r.similarity for r in rows.where("dataset = 'empty'").collect()} == {0.0}
