@@ -4,7 +4,9 @@ A sequence leads a cluster if no leader before it (longer, then earlier) is simi
 join their best leader. Decided in rounds: a sequence without undecided similar sequences before it
 is decided by the leaders among them. That gives what one pass in order gives, in few rounds.
 Similar pairs come from shared words: an alignment with at most e differences leaves one of e+1
-pieces of the shorter sequence whole, so its first letters are a word of the longer one.
+pieces of the shorter sequence whole, so its first letters are a word of the longer one. That holds
+where letters inserted in the longer sequence count as differences; ``identity`` doesn't count them,
+so pairs alike but for many insertions may share no word and are never compared.
 """
 
 from __future__ import annotations
