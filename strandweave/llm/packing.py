@@ -71,19 +71,34 @@ def _is_letters(word: str) -> bool:
 
 
 class WordIds:
-    """Ids of whole texts by words: ASCII white space always ends a token and is dropped."""
+    """Ids of whole texts, by words where the tokenizer allows it.
+
+    Where ASCII white space ends a token and is dropped and letters are lower-cased (tried on load),
+    each word has ids of its own. Texts that may hold one of the tokenizer's added tokens, which it
+    finds before it splits words, and all texts of other tokenizers are encoded whole.
+    """
+
+    PROBE = "The QUICK  brown\t\nFox's 12,345 (odd) Ünï-Code\x0b\x0c\r re-tokenised... a"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        added = {t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.marks = sorted(added)
         vocab = self.tokenizer.get_vocab()
         # ids that end a word, where the vocabulary marks them
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
+        probe = self.PROBE.encode()
+        each = self._each(list(dict.fromkeys(probe.lower().split())))
+        self.by_words = b"".join(each[w] for w in probe.lower().split()) == self._whole(probe) and self._whole(b" \t\n") == b""
+
+    def _whole(self, text: bytes) -> bytes:
+        ids = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
 
     def _each(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words, each encoded by itself."""
@@ -120,16 +135,18 @@ class WordIds:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [t.lower().split() if b"<|" not in t else t.split() for t in texts]
+        split: list[list[bytes] | None] = []
+        for text in texts:
+            low = text.lower()
+            split.append(low.split() if self.by_words and not any(m in low for m in self.marks) else None)
         known = self.known
-        new = list(set().union(*split).difference(known))
+        new = list(set().union(*(words for words in split if words)).difference(known))
         fresh = self._new(new) if new else {}
         if len(known) + len(fresh) <= MEMORY:
             known.update((w, i) for w, i in fresh.items() if len(w) <= LONG)
             fresh = {w: i for w, i in fresh.items() if len(w) > LONG}
-        if not fresh:
-            return [b"".join(map(known.__getitem__, words)) for words in split]
-        return [b"".join([known[w] if w in known else fresh[w] for w in words]) for words in split]
+        get = known.__getitem__ if not fresh else lambda w: known[w] if w in known else fresh[w]
+        return [self._whole(text) if words is None else b"".join(map(get, words)) for text, words in zip(texts, split, strict=True)]
 
 
 _tokenizers: dict[str, WordIds] = {}

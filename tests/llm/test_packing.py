@@ -13,7 +13,6 @@ from strandweave.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 PLAIN = Tokenizer.from_file(PATH)
-PLAIN.encode_special_tokens = True
 
 
 def ids(data: bytes):
@@ -27,7 +26,7 @@ def test_words_give_the_whole_texts_ids(text):
     assert ids(got[0]) == PLAIN.encode(text.encode("utf-8", "replace").decode(), add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("text", ["", "Don't stop... NOW!!", "<|endoftext|> <|ENDOFTEXT|>", "áb " * 50, "x" * 5000, "$$$, a,%%% b$$$"])
+@pytest.mark.parametrize("text", ["", "Don't stop... NOW!!", "<|endoftext|> <|ENDOFTEXT|>", "áb " * 50, "x" * 5000, "$$$, a,%%% b$$$", "hello <|endoftext|> world", "<|startoftext|>a<|endoftext|>", "A<|EndOfText|> b"])
 def test_plain_cases(text):
     assert ids(packing._word_ids(PATH).encode([text.encode()])[0]) == PLAIN.encode(text, add_special_tokens=False).ids
 

@@ -50,7 +50,6 @@ def test_stages_equal_plain_versions(spark, tmp_path):
     assert set(rows(after[3])) == {i for i in ids if roots[i] == i}
 
     plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    plain.encode_special_tokens = True
     texts, pieces, bins = rows(inputs[4]), defaultdict(dict), defaultdict(list)
     for r in after[4].collect():
         pieces[r.doc_id][r.piece] = r
