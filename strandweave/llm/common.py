@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A key counts as hot when it holds more than one in HOT_SHARE rows; so at most HOT_SHARE keys are.
@@ -19,10 +19,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Where the session names none (tests on one machine), a temporary folder serves.
+    Where the session names none, a temporary folder serves on one machine; on a cluster, whose
+    executors would each write to a disk of their own, that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="strandweave-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -44,3 +47,40 @@ def join_to_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, tota
     near = rows.join(F.broadcast(hot), key)
     far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold.hint("merge"), key)
     return near.unionByName(far)
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_order(id_col: str, text_col: str) -> Column:
+    """What a row is told apart by, which no re-read or re-split of the input changes: its id (nulls
+    last in the order) and 128 bits of its text's hash."""
+    text = F.col(text_col).cast("binary")
+    return F.struct(
+        F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"),
+    )
+
+
+def pick_rows(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, folder: str) -> DataFrame:
+    """Rows of ``docs``, columns as they are, whose ``row_order`` is among ``chosen`` (key, copies):
+    one for each key, ``copies`` being the number of rows that have it.
+
+    Keys are hashed and texts move once, unsorted. Only rows that repeat both id and text take
+    another way: they are reduced to one each before they move.
+    """
+    chosen = stored(chosen, f"{folder}/chosen")
+    name = fresh_name(docs, "_row")
+    keyed = docs.withColumn(name, row_order(id_col, text_col))
+    once = chosen.where("copies = 1").select(F.col("key").alias(name))
+    out = keyed.join(once.hint("shuffle_hash"), name, "left_semi")
+    repeated = chosen.where("copies > 1").select(F.col("key").alias(name), "copies")
+    if not repeated.isEmpty():
+        count = fresh_name(docs, "_copies")
+        again = join_to_groups(keyed, repeated.withColumnRenamed("copies", count), name, count, docs.count())
+        out = out.unionByName(again.drop(count).dropDuplicates([name]))
+    return out.drop(name)

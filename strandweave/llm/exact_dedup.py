@@ -12,7 +12,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandweave.llm.common import join_to_groups, stored, workspace
+from strandweave.llm.common import join_to_groups, pick_rows, row_order, stored, workspace
 
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -35,14 +35,19 @@ class DigestIndex:
         self.spark, self.folder = spark, folder
         self.buckets = buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.table = "digest_index_" + hashlib.md5(folder.encode()).hexdigest()
+        place = folder.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id {key_type}) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{folder}'"
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{place}'"
         )
 
     def entries(self) -> DataFrame:
         return self.spark.table(self.table)
 
+    def forget(self) -> None:
+        """Take the table's name out of the session's catalogue; its files stay where they are."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
     def add(self, groups: DataFrame) -> None:
         """``groups``: one row per digest with its ``keep_id``. Digests already present stay as they are."""
         new = groups.select("digest", "keep_id").repartition(self.buckets, "digest")
@@ -78,6 +83,7 @@ def exact_dedup(
     """
     spark = docs.sparkSession
     folder = workspace(spark, "exact-dedup")
+    own = index is None
     index = index or DigestIndex(spark, f"{folder}/index")
     mine = row_col or id_col
     rows = docs.select(F.col(id_col).alias("_id"), F.col(mine).alias("_row"), text_digest(text_col).alias("digest"))
@@ -87,7 +93,9 @@ def exact_dedup(
         f"{folder}/groups",
     )
     index.add(groups)
-    known = groups.select("digest", "group_size").join(index.entries().hint("merge"), "digest")
+    known = stored(groups.select("digest", "group_size").join(index.entries().hint("merge"), "digest"), f"{folder}/known")
+    if own:
+        index.forget()
     out = join_to_groups(rows, known, "digest", "group_size", rows.count())
     columns = [F.col("_id").alias(id_col), "keep_id", "group_size"]
     columns += [F.col("_row").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")]
@@ -97,20 +105,16 @@ def exact_dedup(
 def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, the one with the least id; columns as before.
 
-    Rows with equal id and text are told apart by their place in the stored input, so just one stays.
-    ``docs`` must read stored data (a table or files), whose rows keep their places when read again.
+    Null texts count as empty; null ids come last. Of rows with equal id and equal texts the least
+    text hash stays, and of rows that repeat both id and text any one, whatever their other columns,
+    which may have any names. Rows are told apart by what they hold, so reading ``docs`` again in
+    other splits changes nothing. An empty table gives no rows.
     """
-    placed = docs.withColumn("_place", F.monotonically_increasing_id())
-    slim = placed.select(
-        F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_place").alias("place")).alias("_order"),
-        F.col(text_col).alias("text"),
-    )
     spark = docs.sparkSession
-    index = DigestIndex(
-        spark,
-        workspace(spark, "digest-index"),
-        key_type=slim.schema["_order"].dataType.simpleString(),
-    )
-    kept = exact_dedup(slim, index, "_order", "text").where("kept").select(F.col("_order.place").alias("_place"))
-    # the kept places, a number a row, are hashed; the texts move once and are never sorted
-    return placed.join(kept.hint("shuffle_hash"), "_place", "left_semi").drop("_place")
+    folder = workspace(spark, "dedup-documents")
+    slim = docs.select(row_order(id_col, text_col).alias("_order"), F.col(text_col).alias("text"))
+    index = DigestIndex(spark, f"{folder}/index", key_type=slim.schema["_order"].dataType.simpleString())
+    kept = exact_dedup(slim, index, "_order", "text").where("kept").groupBy(F.col("_order").alias("key")).agg(F.count(F.lit(1)).alias("copies"))
+    out = pick_rows(docs, kept, id_col, text_col, folder)
+    index.forget()
+    return out

@@ -15,12 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandweave.llm.common import join_to_groups, stored, workspace
+from strandweave.llm.common import join_to_groups, pick_rows, row_order, stored, workspace
 from strandweave.llm.components import connected_components
 
 SEED = 42
-#: Buckets of more distinct fingerprints than this leave the all-against-all check for the exact
-#: one-bit-variant path, whose groups never hold over BITS + 1 fingerprints.
+#: Buckets of more distinct fingerprints than this are dealt to finer covering tables.
 BUCKET_LIMIT = 512
 BITS = 64
 #: Rows of hashes whose bits are counted at once; bounds the memory of very long texts.
@@ -99,37 +98,64 @@ def _forest(fps: np.ndarray, reps: np.ndarray, radius: int) -> tuple[np.ndarray,
 
 
 def _in_buckets(radius: int, limit: int):
-    """Rows come sorted by (slot, bucket); yields links (u, v), or (fp, rep, big) of too large buckets."""
+    """Rows come sorted by (slot, bucket); yields links (u, v), or the rows of too large buckets dealt
+    to the covering tables of those bits on which the bucket's fingerprints may still differ.
+
+    Each turn leaves under half of the bits, so the buckets of all slots end: where no more than
+    ``radius`` bits are left, all of a bucket is within the radius and a star keeps its connection.
+    """
+    names = ["u", "v", "big", "slot", "bucket", "rest"]
+    deals: dict[int, list[int]] = {}
+
+    def masks(rest: int) -> list[int]:
+        if rest not in deals:
+            at = [i for i in range(BITS) if rest >> i & 1]
+            # with fewer bits than the tables have vectors, one of radius + 1 parts is surely equal
+            parts = [sum(1 << i for i in range(k, len(at), radius + 1)) for k in range(radius + 1)]
+            local = covering_masks(radius, len(at)) if len(at) >= (2 << radius) - 1 else parts
+            deals[rest] = [sum(1 << at[i] for i in range(len(at)) if m >> i & 1) for m in local]
+        return deals[rest]
+
+    def links(u, v):
+        n = len(u)
+        none = pa.nulls(n, pa.int64())
+        return pa.record_batch([pa.array(u), pa.array(v), pa.array(np.zeros(n, bool)), none, none, none], names=names)
+
+    def deal(key, rest, rows):
+        fps, reps = (np.array(x, dtype=np.int64) for x in zip(*rows, strict=True))
+        fill = lambda x: pa.array(np.full(len(fps), _signed(x), np.int64))
+        for i, m in enumerate(masks(rest)):
+            slot = xxhash.xxh64_intdigest(f"{key[0]} {key[1]} {i}", SEED)
+            yield pa.record_batch([pa.array(fps), pa.array(reps), pa.array(np.ones(len(fps), bool)), fill(slot), pa.array(fps & np.int64(_signed(m))), fill(rest & ~m)], names=names)
 
     def run(batches):
-        key, held, big = None, [], False
+        key, rest, held, big, first = None, 0, [], False, None
 
         def close():
-            if big and held:
-                yield spill(held)
-            elif held:
-                fps, reps = (np.array(x, dtype=np.int64) for x in zip(*held, strict=True))
-                if len(fps) > 1:
-                    u, v = _forest(fps.view(np.uint64), reps, radius)
-                    if len(u):
-                        yield pa.record_batch([pa.array(u), pa.array(v), pa.array(np.zeros(len(u), bool))], names=["u", "v", "big"])
-
-        def spill(rows):
-            fps, reps = (np.array(x, dtype=np.int64) for x in zip(*rows, strict=True))
-            return pa.record_batch([pa.array(fps), pa.array(reps), pa.array(np.ones(len(fps), bool))], names=["u", "v", "big"])
+            nonlocal held
+            rows, held = held, []
+            if not rows:
+                return
+            if first is not None:
+                yield links(np.array([r for _, r in rows if r != first], dtype=np.int64), np.full(sum(r != first for _, r in rows), first, dtype=np.int64))
+            elif big:
+                yield from deal(key, rest, rows)
+            elif len(rows) > 1:
+                fps, reps = (np.array(x, dtype=np.int64) for x in zip(*rows, strict=True))
+                u, v = _forest(fps.view(np.uint64), reps, radius)
+                if len(u):
+                    yield links(u, v)
 
         for batch in batches:
-            for slot, bucket, fp, rep in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for slot, bucket, fp, rep, left in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (slot, bucket) != key:
                     yield from close()
-                    key, held, big = (slot, bucket), [], False
+                    key, rest, big = (slot, bucket), left & ((1 << BITS) - 1), False
+                    first = rep if rest.bit_count() <= radius else None
                 held.append((fp, rep))
-                if len(held) > limit or (big and len(held) >= 1024):
-                    yield spill(held)
-                    held, big = [], True
-            if big and held:
-                yield spill(held)
-                held = []
+                if len(held) > limit:
+                    big = True
+                    yield from close()
         yield from close()
 
     return run
@@ -137,29 +163,41 @@ def _in_buckets(radius: int, limit: int):
 
 def fingerprint_links(groups: DataFrame, radius: int = 2, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """``groups``: distinct fingerprints (fp, rep). Returns links (u, v) between reps that connect
-    exactly what the pairs within the radius connect, without listing all pairs of a bucket."""
+    exactly what the pairs within the radius connect, without listing all pairs of a bucket.
+
+    Buckets over ``bucket_limit`` are dealt again to the covering tables of the bits they leave open,
+    at any radius, until none is left; the limit changes the work and never the components.
+    """
     folder = workspace(groups.sparkSession, "covering")
     masks = covering_masks(radius)
-    tables = F.array(*(F.struct(F.lit(i).alias("slot"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("bucket")) for i, m in enumerate(masks)))
-    keyed = groups.select(F.inline(tables), "fp", "rep")
-    found = (
-        keyed.repartition("slot", "bucket")
-        .sortWithinPartitions("slot", "bucket", "fp")
-        .mapInArrow(_in_buckets(radius, bucket_limit), "u long, v long, big boolean")
+    whole = (1 << BITS) - 1
+    tables = F.array(
+        *(F.struct(F.lit(i).cast("long").alias("slot"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("bucket"), F.lit(_signed(whole & ~m)).alias("rest")) for i, m in enumerate(masks))
     )
-    found = stored(found, f"{folder}/found")
-    links = found.where("not big").select("u", "v")
-    # Two fingerprints are within two bits of each other just when they share a variant with at most
-    # one bit changed; all who share a variant are within two bits, so a star keeps their connection.
-    flips = F.array(F.lit(0).cast("long"), *(F.lit(_signed(1 << i)) for i in range(BITS)))
-    crowded = found.where("big").select(F.col("u").alias("fp"), F.col("v").alias("rep")).distinct()
-    if radius != 2:
-        if not crowded.isEmpty():
-            raise ValueError("buckets over the limit need radius 2; raise bucket_limit")
-        return links
-    shared = crowded.select(F.explode(F.transform(flips, lambda x: x.bitwiseXOR(F.col("fp")))).alias("near"), "rep")
-    stars = shared.groupBy("near").agg(F.min("rep").alias("v"), F.collect_list("rep").alias("us")).where(F.size("us") > 1)
-    return links.unionByName(stars.select(F.explode("us").alias("u"), "v").where("u <> v"))
+    keyed = groups.select(F.inline(tables), "fp", "rep")
+    links, turn = None, 0
+    while True:
+        dealt = keyed.select("slot", "bucket", "fp", "rep", "rest").repartition("slot", "bucket").sortWithinPartitions("slot", "bucket", "fp")
+        found = stored(dealt.mapInArrow(_in_buckets(radius, bucket_limit), "u long, v long, big boolean, slot long, bucket long, rest long"), f"{folder}/{turn}")
+        own = found.where("not big").select("u", "v")
+        links = own if links is None else links.unionByName(own)
+        crowded = found.where("big")
+        if crowded.isEmpty():
+            return links
+        keyed = crowded.select("slot", "bucket", F.col("u").alias("fp"), F.col("v").alias("rep"), "rest")
+        turn += 1
+
+
+def _homes(rows: DataFrame, radius: int, bucket_limit: int, folder: str) -> DataFrame:
+    """``rows`` (key, fp): (fp, size, first), first being the least key of the fingerprint's component."""
+    groups = stored(rows.groupBy("fp").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("size")), f"{folder}/groups")
+    links = fingerprint_links(groups.select("fp", F.col("fp").alias("rep")), radius, bucket_limit)
+    joined = connected_components(links, "simhash-components").withColumnRenamed("node", "fp")
+    linked = stored(groups.join(joined, "fp"), f"{folder}/linked")
+    least = stored(linked.groupBy("component").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("members")), f"{folder}/least")
+    told = join_to_groups(linked, least, "component", "members", linked.count()).select("fp", "size", F.col("least").alias("first"), "component")
+    alone = groups.join(joined.select("fp"), "fp", "left_anti").select("fp", "size", "first", F.col("fp").alias("component"))
+    return stored(told.unionByName(alone), f"{folder}/homes")
 
 
 def simhash_groups(
@@ -175,31 +213,25 @@ def simhash_groups(
     spark = docs.sparkSession
     folder = workspace(spark, "simhash")
     rows = stored(simhash(docs, id_col, text_col, width), f"{folder}/fingerprints")
-    named = rows.where("id is not null")
-    groups = stored(named.groupBy("fp").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size")), f"{folder}/groups")
-    joined = connected_components(fingerprint_links(groups.select("fp", "rep"), radius, bucket_limit), "simhash-components")
-    homes = groups.join(joined, groups.rep == joined.node, "left").select("fp", "size", F.coalesce("component", "rep").alias("component_id"))
-    homes = stored(homes, f"{folder}/homes")
-    out = join_to_groups(named, homes, "fp", "size", named.count())
-    lone = rows.where("id is null").select("fp", "id", F.lit(None).cast("long").alias("component_id"))
-    return out.select("fp", "id", "component_id").unionByName(lone).select(
-        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    named = rows.where("id is not null").select(F.col("id").alias("key"), "fp")
+    homes = _homes(named, radius, bucket_limit, folder)
+    out = join_to_groups(named, homes, "fp", "size", named.count()).select("fp", F.col("key").alias("id"), F.col("first").alias("component_id"))
+    lone = rows.where("id is null").select("fp", "id", F.lit(None).cast(rows.schema["id"].dataType).alias("component_id"))
+    return out.unionByName(lone).select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def near_dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: the one with the least id (nulls last).
+    """``docs`` with one row of each near-duplicate group, the one with the least id; columns as before.
 
-    Rows are told apart by their place in the stored input, so of rows with one id only one stays.
+    Null texts count as empty, and empty texts are near-duplicates of each other; null ids come last.
+    Of rows with equal id the least text hash stays, and of rows that repeat both id and text any
+    one. Rows are told apart by what they hold, so reading ``docs`` again in other splits changes
+    nothing. Other columns may have any names; an empty table gives no rows.
     """
-    placed = docs.withColumn("_place", F.monotonically_increasing_id())
-    spark = docs.sparkSession
-    folder = workspace(spark, "near-dedup")
-    order = placed.select(F.col(id_col).alias("_id"), F.col("_place"), F.col(text_col).alias("_text"))
-    rows = simhash_groups(order, "_place", "_text", width, radius)
-    ids = order.select("_id", "_place")
-    grouped = stored(rows.join(ids, "_place").select("_place", "component_id", "_id"), f"{folder}/grouped")
-    first = F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_place").alias("place"))).alias("first")
-    kept = grouped.groupBy("component_id").agg(first).select(F.col("first.place").alias("_place"))
-    # the kept places, a number a row, are hashed; the texts move once and are never sorted
-    return placed.join(kept.hint("shuffle_hash"), "_place", "left_semi").drop("_place")
+    folder = workspace(docs.sparkSession, "near-dedup")
+    slim = docs.select(row_order(id_col, text_col).alias("_key"), F.col(text_col).alias("_text"))
+    rows = stored(simhash(slim, "_key", "_text", width).withColumnRenamed("id", "key"), f"{folder}/fingerprints")
+    homes = _homes(rows, radius, BUCKET_LIMIT, folder)
+    firsts = homes.groupBy("component").agg(F.min("first").alias("key"))
+    copies = rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+    return pick_rows(docs, copies.join(firsts, "key", "left_semi"), id_col, text_col, folder)

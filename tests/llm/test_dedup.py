@@ -163,3 +163,47 @@ def test_forest_is_spanning():
     u, v = simhash._forest(fps, np.arange(40), 1)
     links = [(i, j) for i in range(40) for j in range(i) if (int(fps[i]) ^ int(fps[j])).bit_count() <= 1]
     assert brute_components(range(40), list(zip(u, v, strict=True))) == brute_components(range(40), links)
+
+
+@pytest.mark.parametrize("stage", [dedup_documents, simhash.near_dedup_documents])
+def test_rows_survive_other_splits_and_clashing_names(spark, tmp_path, stage):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("abcdefghijklmnop") * 4 for _ in range(30)), i % 7, "p", "q") for i in range(3000)]
+    rows += [(None, "same text " * 20, 1, "p", "q")] * 40 + [(i, rows[i - 5000][1], 0, "p", "q") for i in range(5000, 5300)]
+    names = "doc_id long, text string, _place int, _row string, _copies string"
+    spark.createDataFrame(rows, names).repartition(8).write.parquet(str(tmp_path / "d"))
+    keys = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    spark.conf.set(keys[0], "4")
+    try:
+        docs = spark.read.parquet(str(tmp_path / "d"))
+        out = stage(docs)
+        spark.conf.set(keys[0], "64")
+        spark.conf.set(keys[1], "1")
+        got = out.collect()
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert out.columns == docs.columns
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == list(range(3000))
+    assert sum(r.doc_id is None for r in got) == 1 and all(r._place == r.doc_id % 7 for r in got if r.doc_id is not None)
+
+
+@pytest.mark.parametrize("stage", [dedup_documents, simhash.near_dedup_documents])
+def test_stages_on_nothing(spark, stage):
+    assert stage(spark.createDataFrame([], "doc_id long, text string, id string")).collect() == []
+
+
+@pytest.mark.parametrize("radius", [1, 3, 4])
+def test_links_at_any_radius_and_bucket_size(spark, radius):
+    rng = random.Random(radius)
+    fps = set()
+    for _ in range(4):
+        x = rng.getrandbits(64)
+        for _ in range(60):
+            fps.add(x)
+            x ^= sum(1 << b for b in rng.sample(range(24), rng.choice([1, radius, radius + 1])))
+    fps = sorted(fps)
+    rows = [(simhash._signed(f), i) for i, f in enumerate(fps)]
+    got = {r.node: r.component for r in connected_components(simhash.fingerprint_links(spark.createDataFrame(rows, "fp long, rep long"), radius, 5)).collect()}
+    links = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= radius]
+    assert {i: got.get(i, i) for i in range(len(fps))} == brute_components(range(len(fps)), links)
