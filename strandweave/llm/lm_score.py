@@ -1,20 +1,23 @@
 """Stupid-backoff language-model scores (Brants et al., 2007), computed relationally.
 
-S(w | history) is the relative frequency of the longest kept n-gram, else ALPHA times the score with
-a shorter history. Written in logs, a k-gram that is kept adds a gain to what backing off would have
-given, so a document's score is a plain sum over its exploded n-grams of all orders of one weight
-per n-gram: tables of counts partitioned by hash give the weights, and one join and one sum give all
-scores. All n-grams are kept. Where ``min_docs`` asks for more than one document, n-grams in fewer
-are dropped, which is not the whole model: seen n-grams then score by backing off. As an n-gram is in
-no more documents than its parts, each order then counts only n-grams whose parts may be kept (a
-filter of fixed size that lets some others through, which the counts then drop).
+S(w | history) is the relative frequency of the n-gram where the corpus has it, else ALPHA times the
+score with a shorter history. All n-grams of all documents are counted; none is dropped.
+
+Tables of counts are partitioned by the hash of the history, so an n-gram meets its history's count
+in the partition where it is counted. To score, texts are exploded into their n-grams, dealt to the
+same partitions and joined there; what a partition doesn't know goes on to the next shorter order,
+and the parts are summed per document. Both work in TURNS turns, each for the n-grams of one range of
+hashes, so that no shuffle holds all n-grams of an order at once; rows travel packed, one row for
+many n-grams. N-grams with over 1/HOT of all tokens are few: scores of those come from a broadcast,
+and n-grams after such a history are dealt by their own hash, so that no partition is crowded.
 """
 
 from __future__ import annotations
 
-import gc
-import time
-from functools import partial
+from collections import defaultdict
+from contextlib import contextmanager
+from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,21 +25,34 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.llm.common import stored, workspace
+from strandweave.llm.common import join_to_groups, row_order, stored, workspace
 
-ORDER, ALPHA, MIN_DOCS = 3, 0.4, 1
+ORDER, ALPHA, TURNS = 3, 0.4, 3
 #: n-grams with over 1/HOT of all tokens are at most HOT of each order: they are broadcast.
 HOT = 65_536
-#: Filter size: SEGMENTS of SEGMENT_BITS bits, 16 MB at any corpus size; PROBES bits for each n-gram.
-SEGMENTS, SEGMENT_BITS, PROBES = 1024, 1 << 17, 4
-#: n-grams held by a worker before they are counted and passed on; words remembered.
-HELD, MEMORY = 500_000, 400_000
+#: Tokens that a worker holds before it passes on their n-grams; n-grams of a partition and turn;
+#: n-grams of a row of a table; words remembered.
+HOLD, PART, ROW, MEMORY = 1_000_000, 3_000_000, 500_000, 400_000
+#: In place of an n-gram's key: the history stands at the end of a text.
+END = np.uint64(0)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released_shuffles(spark):
+    """Spark drops the shuffle files of each query that ends in here, which it stores elsewhere."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word, 42)
+        h = xxhash.xxh64_intdigest(word, 42) or 1
         if len(self) < MEMORY and len(word) <= 64:
             self[word] = h
         return h
@@ -52,255 +68,430 @@ def words_of(text: bytes | None) -> np.ndarray:
 
 
 def join_keys(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
-    """Key of the n-grams with these (n-1)-gram prefixes and suffixes."""
+    """Key of the n-grams with these (n-1)-gram prefixes and suffixes; never END."""
     with np.errstate(over="ignore"):
         z = prefix * _MIX[0] + (suffix ^ (suffix >> np.uint64(29))) * _MIX[1] + np.uint64(1)
         z = (z ^ (z >> np.uint64(30))) * _MIX[1]
         z = (z ^ (z >> np.uint64(27))) * _MIX[2]
-        return z ^ (z >> np.uint64(31))
+        z ^= z >> np.uint64(31)
+        return z + (z == END)
 
 
-def _probes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Segment of each key and its bits' places in it."""
-    with np.errstate(over="ignore"):
-        more = keys * _MIX[2]
-        places = [(keys >> np.uint64(10)) & np.uint64(SEGMENT_BITS - 1), (keys >> np.uint64(32)) & np.uint64(SEGMENT_BITS - 1)]
-        places += [(more >> np.uint64(20)) & np.uint64(SEGMENT_BITS - 1), (more >> np.uint64(44)) & np.uint64(SEGMENT_BITS - 1)]
-    return (keys & np.uint64(SEGMENTS - 1)).astype(np.int64), np.stack(places[:PROBES], axis=1).astype(np.int64)
-
-
-def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    segment, places = _probes(keys)
-    at = segment * (SEGMENT_BITS // 8)
-    out = np.ones(len(keys), bool)
-    for i in range(PROBES):
-        out &= (bits[at + (places[:, i] >> 3)] >> (places[:, i] & 7).astype(np.uint8)) & 1 > 0
+def _keys(words: np.ndarray, order: int) -> list[np.ndarray]:
+    """Keys of the n-grams of 1 to ``order`` words that end at each token (of texts run together)."""
+    out = [words]
+    for _ in range(order - 1):
+        key = np.ones_like(words)
+        key[1:] = join_keys(out[-1][:-1], out[-1][1:])
+        out.append(key)
     return out
 
 
-def build_filter(keys: DataFrame) -> np.ndarray:
-    """The filter of a column of keys (long): each segment is built where its keys are."""
+def _find(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where, found) of keys in a sorted array."""
+    if not len(known):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    where = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return where, known[where] == keys
 
-    def run(batches):
-        own: dict[int, np.ndarray] = {}
-        for batch in batches:
-            keys = batch.column(0).to_numpy().view(np.uint64)
-            segment, places = _probes(keys)
-            for s in np.unique(segment).tolist():
-                bits = own.setdefault(s, np.zeros(SEGMENT_BITS, np.uint8))
-                bits[places[segment == s].ravel()] = 1
-        yield pa.record_batch(
-            [pa.array(list(own), pa.int32()), pa.array([np.packbits(b, bitorder="little").tobytes() for b in own.values()], pa.binary())], names=["segment", "bits"]
-        )
-
-    rows = keys.repartition(F.col("key").bitwiseAND(F.lit(SEGMENTS - 1))).mapInArrow(run, "segment int, bits binary")
-    out = np.zeros(SEGMENTS * SEGMENT_BITS // 8, np.uint8)
-    for r in rows.collect():  # SEGMENTS rows at most
-        at = r.segment * (SEGMENT_BITS // 8)
-        out[at : at + SEGMENT_BITS // 8] = np.frombuffer(bytes(r.bits), np.uint8)
-    return out
 
+def _pack(a: np.ndarray) -> bytes:
+    """Non-negative whole numbers in as few bytes each as the largest needs, which the last byte tells."""
+    kind = next(w for w in (1, 2, 4, 8) if w == 8 or not len(a) or a.max() < 1 << 8 * w)
+    return a.astype(f"<u{kind}").tobytes() + bytes([kind])
 
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(x).view(np.int64))
 
+def _unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(memoryview(data)[:-1], f"<u{data[-1]}").astype(np.int64)
 
-def _levels(words: np.ndarray, order: int, filters: list[np.ndarray], last_filtered: bool):
-    """(k, prefix, suffix, key) of a document's k-grams that may be kept, k from 1 to order.
 
-    A k-gram may be kept if both its parts may; ``filters[k-2]`` tells for k-grams of order k >= 2.
-    """
-    key, alive = words, np.ones(len(words), bool)
-    yield 1, words, words, words
-    for k in range(2, order + 1):
-        if len(key) < 2:
-            return
-        prefix, suffix, ok = key[:-1], key[1:], alive[:-1] & alive[1:]
-        key = join_keys(prefix, suffix)
-        if k - 2 < len(filters):
-            ok = ok.copy()
-            at = np.flatnonzero(ok)
-            ok[at] = may_hold(filters[k - 2], key[at])
-        alive = ok
-        if k == order or last_filtered:
-            yield k, prefix[ok], suffix[ok], key[ok]
+def _holds(batches):
+    """(other columns, words, starts) of texts, the last column, of about HOLD tokens at a time."""
+    others, words, size = [], [], 0
+
+    def close():
+        sizes = np.array([len(w) for w in words])
+        return [list(chain.from_iterable(c)) for c in zip(*others, strict=True)], np.concatenate(words), np.concatenate([[0], np.cumsum(sizes)])
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
+            own = [words_of(x.as_py()) for x in part.columns[-1]]
+            others.append([c.to_pylist() for c in part.columns[:-1]])
+            words += own
+            size += sum(map(len, own)) + len(own)
+            if size >= HOLD:
+                yield close()
+                others, words, size = [], [], 0
+    if words:
+        yield close()
+
+
+@dataclass
+class NgramModel:
+    """``table``: stored rows (k, turn, part, total, key, n, of) of packed n-grams, sorted by key: how
+    often each occurs and how often its history does. ``hot``: (keys, n, log of n / of) of each order."""
+
+    order: int
+    alpha: float
+    parts: int
+    turns: int
+    tokens: int = 0
+    table: DataFrame | None = None
+    hot: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
+
+    def shape(self) -> NgramModel:
+        """What tasks need to know."""
+        return NgramModel(self.order, self.alpha, self.parts, self.turns, self.tokens, None, self.hot)
+
+    def places(self, k: int, hist: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(turn, part) of n-grams of k words."""
+        by = key if k == 1 else np.where(_find(self.hot[k - 2][0], hist)[1], key, hist)
+        with np.errstate(over="ignore"):
+            slot = ((by * _MIX[2]) >> np.uint64(20)).astype(np.int64)
+        return slot % self.turns, slot // self.turns % self.parts
+
+    def ngrams(self) -> DataFrame:
+        """(k, key, n, of): a row for each n-gram of the model, by the 64-bit hash of its words."""
+        tokens = self.tokens
+
+        def run(batches):
+            for batch in batches:
+                for r in batch.to_pylist():
+                    n, of = _unpack(r["n"]), _unpack(r["of"]) if r["k"] > 1 else None
+                    keys = np.frombuffer(r["key"], np.int64)
+                    yield pa.record_batch([pa.array(np.full(len(n), r["k"], np.int32)), pa.array(keys), pa.array(n), pa.array(np.full(len(n), tokens) if of is None else of)], names=["k", "key", "n", "of"])
 
+        return self.table.select("k", "key", "n", "of").mapInArrow(run, "k int, key long, n long, of long")
 
-COUNTS = "k int, prefix long, suffix long, n long, docs long"
 
+TABLE = "k int, turn int, part int, total long, key binary, n binary, of binary"
 
-def _count(orders: tuple[int, ...], filters):
-    """Rows (k, prefix, suffix, n, docs) of the k-grams of some orders, counted per worker's hold."""
+
+def _parcels(part: np.ndarray, make, names: list[str]):
+    """One row for each part that occurs: ``make(part, rows of it)``."""
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
+    rows = [make(int(part[own[0]]), own) for own in np.split(order, cuts[1:])] if len(order) else []
+    for at in range(0, len(rows), 64):
+        columns = list(zip(*rows[at : at + 64], strict=True))
+        kinds = [pa.int32() if isinstance(c[0], int) else pa.binary() for c in columns]
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
+
+def _explode_counts(k: int, turn: int, model: NgramModel):
+    """Texts to (part, hist, key, n): n-grams of k words of one turn, counted for each hold."""
 
     def run(batches):
-        held: dict[int, list[list[np.ndarray]]] = {k: [[], [], [], []] for k in orders}
-        size = 0
+        for _, words, starts in _holds(batches):
+            sizes = np.diff(starts)
+            place = np.arange(len(words)) - np.repeat(starts[:-1], sizes)
+            keys = _keys(words, k)
+            at = np.flatnonzero(place >= k - 1)
+            key, hist = keys[k - 1][at], (keys[k - 2][at - 1] if k > 1 else np.zeros(len(at), np.uint64))
+            if k > 1:
+                ends = keys[k - 2][starts[1:][sizes >= k - 1] - 1]
+                ends = ends[~_find(model.hot[k - 2][0], ends)[1]]
+                key, hist = np.concatenate([key, np.full(len(ends), END)]), np.concatenate([hist, ends])
+            turns, part = model.places(k, hist, key)
+            own = np.flatnonzero(turns == turn)
+            key, hist, part = key[own], hist[own], part[own]
+            # an n-gram's key tells its history; ends of texts are told by their history
+            tell = np.where(key == END, hist, key)
+            order = np.argsort(tell)
+            tell, key = tell[order], key[order]
+            new = np.ones(len(tell), bool)
+            new[1:] = (tell[1:] != tell[:-1]) | (key[1:] != key[:-1])
+            first = np.flatnonzero(new)
+            n = np.diff(np.append(first, len(tell)))
+            key, hist, part = key[first], hist[order][first], part[order][first]
+            yield from _parcels(part, lambda p, i: (p, hist[i].tobytes(), key[i].tobytes(), _pack(n[i])), ["part", "hist", "key", "n"])  # noqa: B023
 
-        def flush():
-            for k, (prefixes, suffixes, counts, keys) in held.items():
-                if not prefixes:
-                    continue
-                at = np.argsort(np.concatenate(keys))
-                a, b = np.concatenate(prefixes)[at], np.concatenate(suffixes)[at]
-                new = np.ones(len(a), bool)
-                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-                first = np.flatnonzero(new)
-                n, docs = np.add.reduceat(np.concatenate(counts)[at], first), np.diff(np.append(first, len(a)))
-                yield pa.record_batch([pa.array(np.full(len(first), k, np.int32)), _signed(a[first]), _signed(b[first]), pa.array(n), pa.array(docs)], names=["k", "prefix", "suffix", "n", "docs"])
-                held[k] = [[], [], [], []]
-
-        bits = filters.value if filters is not None else []
+    return run
+
+
+def _count(k: int, turn: int, model: NgramModel):
+    """The rows of a part to rows of the table."""
+
+    def run(batches):
+        held = defaultdict(lambda: ([], [], []))
         for batch in batches:
-            for text in batch.column(0):
-                for k, prefix, suffix, key in _levels(words_of(text.as_py()), max(orders), bits, True):
-                    if k not in held or not len(key):
-                        continue
-                    own, at, n = np.unique(key, return_index=True, return_counts=True)
-                    for part, values in zip(held[k], (prefix[at], suffix[at], n, own), strict=True):
-                        part.append(values)
-                    size += len(at)
-                if size >= HELD:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+            for part, hist, key, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for own, x in zip(held[part], (np.frombuffer(hist, np.uint64), np.frombuffer(key, np.uint64), _unpack(n)), strict=True):
+                    own.append(x)
+        for part, columns in held.items():
+            hist, key, n = (np.concatenate(c) for c in columns)
+            end = key == END
+            end_hist, end_n = hist[end], n[end]
+            hist, key, n = hist[~end], key[~end], n[~end]
+            order = np.argsort(key)
+            key = key[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+            if not len(first):
+                continue
+            key, hist, n = key[first], hist[order][first], np.add.reduceat(n[order], first)
+            of = n
+            if k > 1:
+                known, inverse = np.unique(hist, return_inverse=True)
+                where, found = _find(known, end_hist)
+                total = np.bincount(inverse, n, len(known)) + np.bincount(where[found], end_n[found], len(known))
+                of = total.astype(np.int64)[inverse]
+                keys, counts, _ = model.hot[k - 2]
+                where, found = _find(keys, hist)
+                of[found] = counts[where[found]]
+            for i in range(0, len(key), ROW):
+                s = slice(i, i + ROW)
+                yield pa.record_batch(
+                    [pa.array([k], pa.int32()), pa.array([turn], pa.int32()), pa.array([part], pa.int32()), pa.array([int(n[s].sum())]), pa.array([key[s].tobytes()]), pa.array([_pack(n[s])]), pa.array([_pack(of[s]) if k > 1 else b"\x01"])],
+                    names=["k", "turn", "part", "total", "key", "n", "of"],
+                )
 
     return run
 
 
-def _with_keys(counts: DataFrame) -> DataFrame:
-    """counts with the n-grams' own keys."""
+def _hot_of(table: DataFrame, k: int, tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-grams of k words with over 1/HOT of all tokens: at most HOT."""
 
     def run(batches):
         for batch in batches:
-            a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            yield pa.record_batch([_signed(join_keys(a, b)), *batch.columns], names=["key", *batch.schema.names])
+            for r in batch.to_pylist():
+                n = _unpack(r["n"])
+                of = np.full(len(n), tokens) if k == 1 else _unpack(r["of"])
+                i = np.flatnonzero(n * HOT > tokens)
+                yield pa.record_batch([pa.array(np.frombuffer(r["key"], np.int64)[i]), pa.array(n[i]), pa.array(of[i])], names=["key", "n", "of"])
+
+    rows = table.select("key", "n", "of").mapInArrow(run, "key long, n long, of long").collect()
+    key, n, of = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+    order = np.argsort(key.view(np.uint64))
+    return key.view(np.uint64)[order], n[order], np.log(n[order] / of[order])
+
+
+def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, alpha: float = ALPHA, turns: int = TURNS, folder: str | None = None) -> NgramModel:
+    """Counts of all n-grams of 1 to ``order`` words of all texts, stored below ``folder`` (a fresh
+    one where none is given). Null texts have no words; repeated rows count each. No rows give an
+    empty model.
+    """
+    spark = docs.sparkSession
+    folder = folder or workspace(spark, "ngrams")
+    texts = docs.select(F.col(text_col).cast("binary").alias("text"))
+    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    # six bytes a word or so; only the size of parts hangs on it
+    parts = max(spark.sparkContext.defaultParallelism, -(-size // (6 * turns * PART)))
+    model = NgramModel(order, alpha, parts, turns)
+    with released_shuffles(spark):
+        for k in range(1, order + 1):
+            own = []
+            for turn in range(turns):
+                sent = model.shape()
+                exploded = texts.mapInArrow(_explode_counts(k, turn, sent), "part int, hist binary, key binary, n binary")
+                counted = exploded.repartitionById(parts, "part").mapInArrow(_count(k, turn, sent), TABLE)
+                own.append(stored(counted, f"{folder}/{k}-{turn}"))
+            for t in own:
+                model.table = t if model.table is None else model.table.unionByName(t)
+            level = own[0]
+            for t in own[1:]:
+                level = level.unionByName(t)
+            if k == 1:
+                model.tokens = level.agg(F.sum("total")).first()[0] or 0
+            model.hot.append(_hot_of(level, k, max(1, model.tokens)))
+    return model
+
+
+ENTRIES = "kind int, k int, part int, a binary, b binary, doc binary, key binary, more binary"
+
+
+def _lower(keys: list[np.ndarray], k: int, at: np.ndarray) -> list[np.ndarray]:
+    """What n-grams of k words ending at these tokens need to be looked up by shorter histories."""
+    out = []
+    for j in range(k - 1, 0, -1):
+        out += [*([keys[j - 2][at - 1]] if j > 1 else []), keys[j - 1][at]]
+    return out
 
-    return counts.select("prefix", "suffix", "n").mapInArrow(run, "key long, prefix long, suffix long, n long")
 
+def _entries(model: NgramModel, k: int, a: np.ndarray, b: np.ndarray, doc: np.ndarray, hist: np.ndarray, key: np.ndarray, lower: list[np.ndarray], turn: int | None):
+    """Rows of the n-grams of k words, but hot ones, of one turn or all, for their parts."""
+    rest = ~_find(model.hot[k - 1][0], key)[1]
+    turns, part = model.places(k, hist, key)
+    own = np.flatnonzero(rest & (turns == turn) if turn is not None else rest)
+    part = part[own]
 
-def _delete(spark, path: str) -> None:
-    """Remove a written step that nothing reads any more."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    def make(p, i):
+        i = own[i]
+        docs, local = np.unique(doc[i], return_inverse=True)
+        return 1, k, p, a[docs].tobytes(), b[docs].tobytes(), _pack(local), key[i].tobytes(), b"".join(x[i].tobytes() for x in lower)
 
+    yield from _parcels(part, make, [c.split()[0] for c in ENTRIES.split(", ")])
 
-def _release(spark) -> None:
-    """Lets Spark drop the shuffle files of finished steps, which it does when their handles are collected."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
 
+def _explode(model: NgramModel, orders: tuple[int, ...], turn: int | None, seen: bool):
+    """Texts (a, b, text) to their n-grams of some orders: of the model's own order those at all
+    tokens, of shorter ones those at the texts' beginnings."""
 
-def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, alpha: float = ALPHA, min_docs: int = MIN_DOCS):
-    """(weights, filters, tokens): weights is a stored table (key, k, n, weight) of all kept n-grams."""
-    spark = docs.sparkSession
-    folder = workspace(spark, "lm")
-    texts = docs.select(F.col(text_col).cast("binary").alias("text"))
-    least = F.expr(f"k = 1 or docs >= {int(min_docs)}")
-
-    def counted(orders, filters):
-        sent = spark.sparkContext.broadcast(filters) if filters else None
-        rows = texts.mapInArrow(_count(orders, sent), COUNTS).groupBy("k", "prefix", "suffix").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-        out = stored(rows.where(least).drop("docs"), f"{folder}/counts-{orders[-1]}")
-        _release(spark)
-        return out
-
-    counts = counted((1, 2) if order > 1 else (1,), [])
-    single = counts.where("k = 1").select(F.col("prefix").alias("key"), "n")
-    tokens = single.agg(F.sum("n")).first()[0] or 0
-    value = F.log(F.col("n") / F.lit(max(1, tokens)).cast("double"))
-    tables, filters = [stored(single.select("key", F.lit(1).alias("k"), "n", value.alias("weight"), value.alias("value")), f"{folder}/weights-1")], []
-    for k in range(2, order + 1):
-        if k > 2:
-            counts = counted((k,), filters)
-        # the suffix was counted and, as part of a kept n-gram, kept; so was the prefix
-        prior = tables[-1]
-        ends = prior.select(F.col("key").alias("suffix"), F.col("value").alias("back"))
-        starts = prior.select(F.col("key").alias("prefix"), F.col("n").alias("of"))
-        value = F.log(F.col("n") / F.col("of"))
-        level = _with_keys(counts.where(F.col("k") == k)).join(ends, "suffix").join(starts, "prefix").select(
-            "key", F.lit(k).alias("k"), "n", (value - F.lit(float(np.log(alpha))) - F.col("back")).alias("weight"), *([value.alias("value")] if k < order else [])
-        )
-        tables.append(stored(level, f"{folder}/weights-{k}"))
-        _delete(spark, f"{folder}/counts-{k}")
-        if min_docs > 1:  # otherwise all n-grams are kept and a filter saves nothing
-            filters = [*filters, build_filter(tables[-1].select("key"))]
-    columns = ("key", "k", "n", "weight")
-    weights = tables[0].select(*columns)
-    for t in tables[1:]:
-        weights = weights.unionByName(t.select(*columns))
-    _release(spark)
-    return weights, filters, tokens
-
-
-def score(docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, alpha: float = ALPHA) -> DataFrame:
+    def run(batches):
+        for (a, b), words, starts in _holds(batches):
+            a, b = (np.array(x, np.int64) for x in (a, b))
+            sizes = np.diff(starts)
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(len(words)) - starts[doc]
+            keys = _keys(words, max(orders))
+            for k in orders:
+                at = np.flatnonzero(place >= k - 1 if k == model.order else place == k - 1)
+                hist = keys[k - 2][at - 1] if k > 1 else np.zeros(len(at), np.uint64)
+                yield from _entries(model, k, a, b, doc[at], hist, keys[k - 1][at], [] if seen else _lower(keys, k, at), turn)
+
+    return run
+
+
+JOINED = "a long, b long, s double, entry struct<kind int, k int, part int, a binary, b binary, doc binary, key binary, more binary>"
+_ENTRY = pa.struct([("kind", pa.int32()), ("k", pa.int32()), ("part", pa.int32()), *((n, pa.binary()) for n in ("a", "b", "doc", "key", "more"))])
+
+
+def _join(model: NgramModel, seen: bool):
+    """Rows of a part, the table's (kind 0) first: sums per text, and entries of the next order."""
+    back = np.log(model.alpha)
+
+    def run(batches):
+        known: dict[int, list] = {}
+        ready: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def table(k):
+            if k not in ready:
+                rows = known.pop(k, [])
+                keys = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(r[0], np.uint64) for r in rows)])
+                n = np.concatenate([np.empty(0), *(_unpack(r[1]) for r in rows)])
+                of = np.concatenate([np.empty(0), *(_unpack(r[2]) for r in rows)]) if k > 1 else model.tokens
+                value = np.log(n / of)
+                if (keys[1:] < keys[:-1]).any():
+                    order = np.argsort(keys)
+                    keys, value = keys[order], value[order]
+                ready[k] = keys, value
+            return ready[k]
+
+        def sums(a, b, doc, value):
+            own, local = np.unique(doc, return_inverse=True)
+            total = np.bincount(local, value, len(own))
+            return pa.record_batch([pa.array(a[own]), pa.array(b[own]), pa.array(total), pa.nulls(len(own), _ENTRY)], names=["a", "b", "s", "entry"])
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                k = r["k"]
+                if r["kind"] == 0:
+                    known.setdefault(k, []).append((r["key"], r["more"], r["doc"]))
+                    continue
+                a, b = np.frombuffer(r["a"], np.int64), np.frombuffer(r["b"], np.int64)
+                doc, key = _unpack(r["doc"]), np.frombuffer(r["key"], np.uint64)
+                keys, value = table(k)
+                where, found = _find(keys, key)
+                if found.any():
+                    yield sums(a, b, doc[found], value[where[found]])
+                if found.all() or k == 1:
+                    continue
+                if seen:
+                    raise RuntimeError("a text holds an n-gram that was not counted; score it with seen=False")
+                lower = np.frombuffer(r["more"], np.uint64).reshape(-1, len(key))
+                left = np.flatnonzero(~found)
+                yield sums(a, b, doc[left], np.full(len(left), back))
+                # hot n-grams are known here; the others go on to their parts
+                k -= 1
+                hist, key = (lower[0], lower[1]) if k > 1 else (np.zeros(lower.shape[1], np.uint64), lower[0])
+                hot, _, values = model.hot[k - 1]
+                where, found = _find(hot, key[left])
+                if found.any():
+                    yield sums(a, b, doc[left[found]], values[where[found]])
+                left = left[~found]
+                for e in _entries(model, k, a, b, doc[left], hist[left], key[left], [x[left] for x in lower[2:]], None):
+                    none = [pa.nulls(e.num_rows, t) for t in (pa.int64(), pa.int64(), pa.float64())]
+                    yield pa.record_batch([*none, pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(e.columns, _ENTRY, strict=True)], fields=list(_ENTRY))], names=["a", "b", "s", "entry"])
+
+    return run
+
+
+def _beginnings(model: NgramModel, kind: str):
+    """Each text's row: (id, a, b, number of tokens, score of its hot n-grams)."""
+
+    def run(batches):
+        for (ids, a, b), words, starts in _holds(batches):
+            sizes = np.diff(starts)
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(len(words)) - starts[doc]
+            keys = _keys(words, model.order)
+            total = np.zeros(len(sizes))
+            for k in range(1, model.order + 1):
+                at = np.flatnonzero(place >= k - 1 if k == model.order else place == k - 1)
+                where, found = _find(model.hot[k - 1][0], keys[k - 1][at])
+                total += np.bincount(doc[at][found], model.hot[k - 1][2][where[found]], len(sizes))
+            yield pa.record_batch([pa.array(ids, kind), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sizes.astype(np.int64)), pa.array(total)], names=["id", "a", "b", "t", "s"])
+
+    return run
+
+
+def score(docs: DataFrame, model: NgramModel, id_col: str = "doc_id", text_col: str = "text", seen: bool = False) -> DataFrame:
     """(id_col, n_tokens, log_score, mean_log_score): natural logs; the mean is null without tokens.
 
     Words that training never saw count nothing but their backing off. A null text has no tokens.
     Rows that repeat an id are scored each. Other columns are ignored; no rows give no rows.
+    ``seen``: the texts are among those counted, so nothing can be missing and no row needs to bring
+    along what shorter histories would ask for. Texts are told apart by id and text hash.
     """
-    weights, filters, tokens = trained
     spark = docs.sparkSession
-    hot_rows = weights.where(F.col("n") * HOT > F.lit(tokens)).select("key", "weight").collect()  # at most HOT of each order
-    hot = np.array(sorted((r.key, r.weight) for r in hot_rows), dtype=[("key", np.int64), ("weight", np.float64)])
-    sent = spark.sparkContext.broadcast((filters, hot["key"].copy(), hot["weight"].copy()))
-    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    back = float(np.log(alpha))
-
-    def run(batches, orders=()):
-        bits, hot_keys, hot_weights = sent.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                rows, keys, counts, base, size = [], [], [], [], []
-                for row, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                    words = words_of(text.as_py())
-                    total = 0.0
-                    if orders[0] == 1:
-                        total = back * sum(min(i, order - 1) for i in range(min(len(words), order - 1)))
-                        total += back * (order - 1) * max(0, len(words) - order + 1)
-                    for k, _, _, key in _levels(words, orders[-1], bits, True):
-                        if k not in orders:
-                            continue
-                        own, n = np.unique(key, return_counts=True)
-                        own = own.view(np.int64)
-                        known = np.zeros(len(own), bool)
-                        if len(hot_keys):
-                            where = np.minimum(np.searchsorted(hot_keys, own), len(hot_keys) - 1)
-                            known = hot_keys[where] == own
-                            total += float((hot_weights[where[known]] * n[known]).sum())
-                        keys.append(own[~known])
-                        counts.append(n[~known])
-                        rows.append(np.full(len(keys[-1]), row))
-                    base.append(total)
-                    size.append(len(words) if orders[0] == 1 else 0)
-                own_rows = part.column(0).to_numpy()
-                cold = sum(map(len, keys))
-                zero = np.zeros(cold + len(own_rows))
-                zero[cold:] = base
-                tokens = np.zeros(len(zero), np.int64)
-                tokens[cold:] = size
-                # a text's own row matches no n-gram: its count is zero and its key its number's hash
-                keys.append(join_keys(own_rows.astype(np.uint64), own_rows.astype(np.uint64)).view(np.int64))
-                rows, keys = (np.concatenate([*x]).astype(np.int64) for x in ([*rows, own_rows], keys))
-                counts = np.concatenate([*counts, np.zeros(len(own_rows))]).astype(np.int64)
-                yield pa.record_batch([pa.array(x) for x in (rows, keys, counts, zero, tokens)], names=["row", "key", "n", "base", "tokens"])
-
     folder = workspace(spark, "lm-score")
-    parts = None
-    for orders in [(1, 2)[:order], *((k,) for k in range(3, order + 1))]:  # in turns, so that the n-grams of few orders move at once
-        exploded = slim.select("row", "text").mapInArrow(partial(run, orders=orders), "row long, key long, n long, base double, tokens long")
-        cold = weights.where(F.col("k").isin(*orders) & (F.col("n") * HOT <= F.lit(tokens))).select("key", "weight")
-        gained = F.coalesce(F.col("n") * F.col("weight"), F.lit(0.0)) + F.col("base")
-        sums = exploded.join(cold.hint("merge"), "key", "left").groupBy("row").agg(F.sum(gained).alias("s"), F.sum("tokens").alias("t"))
-        sums = stored(sums, f"{folder}/{orders[0]}")
-        _release(spark)
-        parts = sums if parts is None else parts.unionByName(sums)
-    out = parts.groupBy("row").agg(F.sum("s").alias("log_score"), F.sum("t").alias("n_tokens")).join(slim.select("row", "id"), "row")
+    key = row_order(id_col, text_col)
+    slim = docs.select(F.col(id_col).alias("id"), key.alias("_key"), F.col(text_col).cast("binary").alias("text"))
+    slim = slim.select("id", F.xxhash64("id", "_key.a").alias("a"), F.xxhash64("_key.b", "id").alias("b"), "text")
+    sent = model.shape()
+
+    def joined(entries, orders, turn, path):
+        own = model.table.where(F.col("k").isin(*orders))
+        if turn is not None:
+            own = own.where(F.col("turn") == turn)
+        own = own.select(F.lit(0).alias("kind"), "k", "part", *(F.lit(None).cast("binary").alias(c) for c in "ab"), F.col("of").alias("doc"), "key", F.col("n").alias("more"))
+        dealt = own.unionByName(entries).repartitionById(model.parts, "part").sortWithinPartitions("kind")
+        return stored(dealt.mapInArrow(_join(sent, seen), JOINED), path)
+
+    with released_shuffles(spark):
+        first = slim.schema["id"].dataType
+        base = stored(slim.mapInArrow(_beginnings(sent, _arrow_type(first)), f"id {first.simpleString()}, a long, b long, t long, s double"), f"{folder}/base")
+        texts = slim.select("a", "b", "text")
+        found, waiting = [], []
+        for turn in range(model.turns):
+            entries = texts.mapInArrow(_explode(sent, (model.order,), turn, seen), ENTRIES)
+            out = joined(entries, (model.order,), turn, f"{folder}/{model.order}-{turn}")
+            found.append(out)
+            waiting.append(out)
+        below = [tuple(range(model.order - 1, 0, -1))] if seen else [(k,) for k in range(model.order - 1, 0, -1)]
+        for orders in below:
+            if not orders:
+                continue
+            entries = texts.mapInArrow(_explode(sent, orders, None, seen), ENTRIES)
+            for w in waiting if not seen else ():
+                entries = entries.unionByName(w.where(F.col("entry.k").isin(*orders)).select("entry.*"))
+            out = joined(entries, orders, None, f"{folder}/{orders[0]}")
+            found.append(out)
+            waiting.append(out)
+        none = F.lit(None).cast(first).alias("id")
+        rows = base.select("id", "a", "b", "t", "s", F.lit(1).cast("long").alias("m"))
+        for f in found:
+            rows = rows.unionByName(f.where("a is not null").select(none, "a", "b", F.lit(0).cast("long").alias("t"), "s", F.lit(0).cast("long").alias("m")))
+        total = rows.groupBy("a", "b").agg(F.max("id").alias("id"), F.max("t").alias("n_tokens"), F.sum("m").alias("m"), F.sum("s").alias("s"))
+        total = stored(total.select(F.struct("a", "b").alias("key"), "id", "n_tokens", "m", (F.col("s") / F.col("m")).alias("log_score")), f"{folder}/scores")
+    out = total.where("m = 1").select("id", "n_tokens", "log_score")
+    again = total.where("m > 1").drop("id")
+    if not again.isEmpty():  # rows that repeat both id and text
+        again = join_to_groups(base.select("id", F.struct("a", "b").alias("key")), again, "key", "m", base.count())
+        out = out.unionByName(again.select("id", "n_tokens", "log_score"))
     return out.select(F.col("id").alias(id_col), "n_tokens", "log_score", F.expr("log_score / nullif(n_tokens, 0)").alias("mean_log_score"))
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, alpha: float = ALPHA, min_docs: int = MIN_DOCS) -> DataFrame:
-    """Scores of all rows under the model of all rows; ``docs`` must read stored data."""
-    return score(docs, train(docs, text_col, order, alpha, min_docs), id_col, text_col, order, alpha)
+def _arrow_type(kind) -> pa.DataType:
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(kind)
+
+
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, alpha: float = ALPHA, turns: int = TURNS) -> DataFrame:
+    """Scores of all rows under the model of all rows: (id_col, n_tokens, log_score, mean_log_score).
+
+    Every n-gram of a row was counted, so its longest history always answers. Nulls, empty tables
+    and repeated rows are as for ``train`` and ``score``.
+    """
+    return score(docs, train(docs, text_col, order, alpha, turns), id_col, text_col, seen=True)
