@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 
 from strandweave.llm.quality import _drawn, fold, keep_scored
 
-#: Bounds of the training sample, in rows; rows with texts over SAMPLE_CHARS aren't drawn.
-TOXIC, CLEAN, SAMPLE_CHARS = 800, 1600, 20_000
+#: Bounds of the training sample, in labelled rows, whatever the length of their texts.
+TOXIC, CLEAN = 1000, 2000
 THRESHOLD, SPAN = 0.3, 0.5
 #: Marginals up to FAINT don't count towards a document's score; RIDGE bounds the score's weights.
 FAINT, RIDGE = 0.05, 0.3
-#: A chain is a sentence of at most CHAIN tokens.
-CHAIN = 256
+#: A chain is a whole sentence; longer ones are worked through in chunks that hand on their messages.
+CHUNK = 256
 STEPS, RATE, DECAY = 60, 0.5, 2e-3
 #: Chance of calling any harmless trait toxic, over all traits tested in a round.
 SIGNIFICANCE = 0.05
@@ -60,46 +60,106 @@ def chains(ends: np.ndarray, starts: np.ndarray) -> np.ndarray:
     cut = np.zeros(n, bool)
     cut[1:] = ends[:-1]
     cut[starts[starts < n]] = True
-    at = np.flatnonzero(cut)
-    lengths = np.diff(np.append(at, n))
-    if len(lengths) and lengths.max() > CHAIN:
-        at = np.concatenate([np.arange(a, a + k, CHAIN) for a, k in zip(at, lengths, strict=True)])
-    return at
+    return np.flatnonzero(cut)
+
+
+def _runs(first: np.ndarray, lengths: np.ndarray):
+    """Order, longest first, of runs of tokens, and how many are still running at each step."""
+    order = np.argsort(-lengths, kind="stable")
+    lengths = lengths[order]
+    steps = int(lengths[0]) if len(lengths) else 0
+    return order, first[order], lengths, np.searchsorted(-lengths, -np.arange(1, steps + 1), side="right")
+
+
+def _messages(odds: np.ndarray, a: np.ndarray, first: np.ndarray, lengths: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For chunks of chains: the forward message that enters each from the chunk before, and the
+    backward message at each one's last token. Chunks that begin a chain get (1, 0) forward.
+
+    A chunk acts on messages as one 2x2 matrix, the product over its tokens; those of all chunks are
+    found together, and only the products over chunks run one after the other.
+    """
+    n = len(first)
+    act = np.tile(np.eye(2), (n, 1, 1))
+    order, at0, _, alive = _runs(first, lengths)
+    for t in range(len(alive)):
+        own, at = order[: alive[t]], at0[: alive[t]] + t
+        step = act[own] @ a
+        step[:, :, 1] *= odds[at][:, None]
+        act[own] = step / step.sum(axis=(1, 2), keepdims=True)
+    enter, leave = np.zeros((n, 2)), np.ones((n, 2))
+    enter[:, 0] = 1.0
+    begin = np.zeros(n, bool)
+    begin[np.searchsorted(first, begins)] = True
+    # the first chunk's own forward message starts without a step between states
+    for c in np.flatnonzero(~begin).tolist():
+        if begin[c - 1]:
+            f = _first_chunk(odds[first[c - 1] : first[c - 1] + lengths[c - 1]], a)
+        else:
+            f = enter[c - 1] @ act[c - 1]
+        enter[c] = f / f.sum()
+    for c in np.flatnonzero(~begin)[::-1].tolist():
+        g = act[c] @ leave[c]
+        leave[c - 1] = g / g.sum()
+    return enter, leave
+
+
+def _first_chunk(odds: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Forward message at the last token of a chain's first chunk."""
+    f0, f1 = 1.0, float(odds[0])
+    (p, q), (r, s) = a.tolist()
+    for o in odds[1:].tolist():
+        f0, f1 = f0 * p + f1 * r, (f0 * q + f1 * s) * o
+        total = f0 + f1
+        f0, f1 = f0 / total, f1 / total
+    return np.array([f0, f1])
 
 
 def marginals(emit: np.ndarray, begins: np.ndarray, trans: np.ndarray, steps_too: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
     """P(token toxic) and, if asked, the expected steps between states, of exact forward-backward.
 
-    ``emit``: toxic minus other potential of each token; ``trans``: 2x2 log potentials. All chains
-    advance together, longest first, so that those still running are always a leading block.
+    ``emit``: toxic minus other potential of each token; ``trans``: 2x2 log potentials. Chains of any
+    length are cut into chunks, which advance together, longest first, so that those still running
+    are always a leading block; the messages between chunks of a chain are found before.
     """
     n = len(emit)
-    lengths = np.diff(np.append(begins, n))
-    order = np.argsort(-lengths, kind="stable")
-    first, lengths = begins[order], lengths[order]
     a = np.exp(trans)
     odds = np.exp(np.clip(emit, -30, 30))
+    first, lengths = begins, np.diff(np.append(begins, n))
+    enter = leave = None
+    if len(lengths) and lengths.max() > CHUNK:
+        counts = -(-lengths // CHUNK)
+        first = np.repeat(begins, counts) + CHUNK * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
+        lengths = np.diff(np.append(first, n))
+        enter, leave = _messages(odds, a, first, lengths, begins)
+    order, first, lengths, alive = _runs(first, lengths)
+    begin = np.ones(len(first), bool)
+    if enter is not None:
+        enter, leave = enter[order], leave[order]
+        begin = np.isin(first, begins)
     forward, backward = np.empty((n, 2)), np.empty((n, 2))
-    steps = int(lengths[0]) if len(lengths) else 0
-    alive = np.searchsorted(-lengths, -np.arange(1, steps + 1), side="right")
-    for t in range(steps):
+    for t in range(len(alive)):
         at = first[: alive[t]] + t
         if t:
             before = forward[at - 1]
+        elif enter is not None:
+            before = enter
+        if t or enter is not None:
             f0 = before[:, 0] * a[0, 0] + before[:, 1] * a[1, 0]
             f1 = (before[:, 0] * a[0, 1] + before[:, 1] * a[1, 1]) * odds[at]
+            if not t:
+                f0, f1 = np.where(begin, 1.0, f0), np.where(begin, odds[at], f1)
         else:
             f0, f1 = np.ones(len(at)), odds[at]
         total = f0 + f1
         forward[at, 0], forward[at, 1] = f0 / total, f1 / total
     last = first + lengths - 1
-    for t in range(steps):
+    for t in range(len(alive)):
         at = last[: alive[t]] - t
         if t:
             after0, after1 = backward[at + 1, 0], backward[at + 1, 1] * odds[at + 1]
             b0, b1 = a[0, 0] * after0 + a[0, 1] * after1, a[1, 0] * after0 + a[1, 1] * after1
         else:
-            b0 = b1 = np.ones(len(at))
+            b0, b1 = (np.ones(len(at)), np.ones(len(at))) if leave is None else leave.T
         total = b0 + b1
         backward[at, 0], backward[at, 1] = b0 / total, b1 / total
     joint = forward * backward
@@ -297,14 +357,19 @@ def train_toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     toxic: int = TOXIC, clean: int = CLEAN,
 ) -> ToxicityModel | None:
-    """Fit on at most ``toxic`` and ``clean`` labelled rows, none of them held out."""
+    """Fit on at most ``toxic`` and ``clean`` labelled rows of ``docs``, none of them held out.
+
+    They are drawn by least hash among the labelled rows that ``docs`` has, so rows that an earlier
+    stage dropped cost the sample nothing. Null ids and marks aren't drawn; a null text is empty; an
+    id that is labelled both ways counts as either. None where there is no toxic row or no trait stands out.
+    """
     train = F.col("id").isNotNull() & (fold("id") != 2)
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    base = base.where(train & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS))
+    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text")).where(train)
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(train & F.col("y").isin(0, 1)).distinct()
+    marks = base.select("id").distinct().join(marks, "id")
     chosen = _drawn(marks.where("y = 1"), toxic, 3).unionByName(_drawn(marks.where("y = 0"), clean, 4))
     got = base.join(F.broadcast(chosen), "id").select("text", "y", F.xxhash64("id", "y").alias("order"))
-    rows = sorted(((r.order, bytes(r.text), r.y) for r in got.collect()), key=lambda r: r[:2])
+    rows = sorted(((r.order, bytes(r.text), r.y) for r in got.toLocalIterator()), key=lambda r: r[:2])
     share = marks.agg(F.avg("y")).first()[0]
     return fit([t for _, t, y in rows if y == 1][:toxic], [t for _, t, y in rows if y == 0][:clean], share)
 
@@ -347,7 +412,10 @@ def score_toxicity(
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` whose text scores under ``threshold``; all where nothing could be learnt."""
+    """Rows of ``docs``, columns as they are, whose text scores under ``threshold``; all of them where
+    nothing could be learnt. Null and empty texts score 0 and stay; repeated rows are scored alike
+    and stay or go together; other columns may have any names; an empty table gives no rows.
+    """
     fitted = train_toxicity(docs, labels, id_col, text_col)
     if fitted is None:
         return docs
