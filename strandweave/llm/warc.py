@@ -9,7 +9,6 @@ such line ends in order and joins them again by each record's Content-Length.
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -60,7 +59,8 @@ def write_captures(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
     The payload is ``payload_col`` in UTF-8, null as empty. Of rows with equal payloads of at least
     ``least`` bytes the one with the least id is the response and others are revisits of it; rows
-    with a null id are responses. Rows that repeat an id repeat its capture; null urls are empty.
+    with a null id are responses. Rows that repeat an id repeat its capture; null urls are empty. An
+    empty table gives a folder without records.
     """
     folder = workspace(pages.sparkSession, "warc-plan")
     revisits = plan_revisits(pages, id_col, payload_col, least, folder)
@@ -68,7 +68,9 @@ def write_captures(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         F.col(id_col).alias("_id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("_url"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("_payload"),
     )
-    rows = slim.join(revisits, "_id", "left")
+    # a row without id revisits nothing: no join, in which all such rows would meet in one task
+    rows = slim.where("_id is not null").join(revisits, "_id", "left")
+    rows = rows.unionByName(slim.where("_id is null").withColumn("_first", F.lit(None).cast(rows.schema["_first"].dataType)))
 
     def run(batches):
         for batch in batches:
@@ -212,12 +214,17 @@ def assemble(records: DataFrame) -> DataFrame:
         named = own.groupBy(F.col("record_id").alias("_to")).agg(F.min(small).alias(f"_named_{kind}"))
         return direct, named
 
-    out = main
-    for kind in ("request", "metadata"):
-        direct, named = side(kind)
-        out = out.join(direct, "_id", "left").join(named, "_to", "left")
-        out = out.withColumn(kind, F.coalesce(kind, f"_named_{kind}")).drop(f"_named_{kind}")
-    return out.select("capture", "request", "metadata")
+    sides = {kind: side(kind) for kind in ("request", "metadata")}
+    out = main.where("_id is not null")
+    for kind, (direct, _) in sides.items():
+        out = out.join(direct, "_id", "left")
+    none = [F.lit(None).cast(direct.schema[kind].dataType).alias(kind) for kind, (direct, _) in sides.items()]
+    out = out.unionByName(main.where("_id is null").select("*", *none))
+    # captures that name no concurrent record, as a rule all, take no part in the joins on that name
+    naming = out.where("_to is not null")
+    for kind, (_, named) in sides.items():
+        naming = naming.join(named, "_to", "left").withColumn(kind, F.coalesce(kind, f"_named_{kind}")).drop(f"_named_{kind}")
+    return out.where("_to is null").unionByName(naming).select("capture", "request", "metadata")
 
 
 def capture_key(metadata: str = "metadata"):
@@ -238,17 +245,10 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     records = stored(read_warc(spark, f"{folder}/archive", with_payload=False), f"{folder}/records")
     captures = assemble(records).select(F.nullif(capture_key(), F.lit("")).cast(kind).alias("id"), "capture.*")
     captures = stored(captures, f"{folder}/captures")
-    # a response may be referred to by many: those rows meet it in a join that Spark can split
+    # only revisits refer; a response to which many do is a hot key, whose one row goes to theirs
+    refer = captures.where("refers_to is not null")
     first = captures.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("id").alias("first")).distinct()
-    out = captures.join(first, "refers_to", "left")
+    asked = refer.groupBy("refers_to").agg(F.count(F.lit(1)).alias("size")).join(first, "refers_to", "left")
+    told = join_to_groups(refer, stored(asked, f"{folder}/asked"), "refers_to", "size", refer.count())
+    out = told.drop("size").unionByName(captures.where("refers_to is null").withColumn("first", F.lit(None).cast(kind)))
     return out.select(F.col("id").alias(id_col), "payload_bytes", "payload_digest", "record_type", F.col("first").alias("refers_to"))
-
-
-def gunzip_members(data: bytes) -> bytes:
-    """All members of a gzip file, for readers of single small archives."""
-    out = []
-    while data:
-        d = zlib.decompressobj(31)
-        out.append(d.decompress(data))
-        data = d.unused_data
-    return b"".join(out)
