@@ -14,22 +14,32 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandweave.llm.common import join_to_groups, stored, workspace
 from strandweave.llm.components import connected_components
 
 #: Leading principal dimensions of the grid, vectors of a block and of a base case.
-GRID_DIMS, BLOCK, BASE = 6, 1024, 256
-#: Pairs of blocks of a task, about a MB each.
-TASK_PAIRS = 16
+GRID_DIMS, BLOCK, BASE = 6, 2048, 256
+#: Partners that a block meets in one task.
+PARTNERS = 16
+#: Blocks that may touch find each other by their cells in so many dimensions, in STRIPES steps each.
+KEY_DIMS, STRIPES = 3, 12
 #: Cells are this much wider than e, so that rounding never parts a pair.
 SLACK = 1e-6
 
 
-def _canonical(batches):
-    """(id, label, digest, vec): usable vectors as doubles; the digest tells equal vectors."""
+def _canonical(kind: str):
+    """(id, label, digest, vec): usable vectors as numbers of the input's kind; the digest tells equal ones."""
+
+    def run(batches):
+        yield from _usable(batches, kind)
+
+    return run
+
+
+def _usable(batches, kind: str):
     for batch in batches:
         ids, labels, digests, vectors = [], [], [], []
         for i, label, vec in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -37,7 +47,7 @@ def _canonical(batches):
                 continue
             v = np.array(vec, dtype=np.float64) + 0.0
             if len(v) and np.isfinite(v).all() and v.any():
-                data = v.tobytes()
+                data = v.astype(kind).tobytes()
                 ids.append(i)
                 labels.append(label)
                 digests.append(hashlib.blake2b(data, digest_size=16).digest())
@@ -48,24 +58,25 @@ def _canonical(batches):
         )
 
 
-def _units(vectors: list[bytes]) -> np.ndarray:
-    v = np.frombuffer(b"".join(vectors), np.float64).reshape(len(vectors), -1)
+def _units(vectors: list[bytes], kind: str) -> np.ndarray:
+    """The vectors' directions, in double precision."""
+    v = np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1).astype(np.float64)
     v = v / np.abs(v).max(axis=1, keepdims=True)
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-def principal_axes(vectors: DataFrame, dims: int, keep: int) -> np.ndarray:
+def principal_axes(vectors: DataFrame, dims: int, keep: int, kind: str = "<f8") -> np.ndarray:
     """Leading eigenvectors of the second moments of all unit vectors of ``dims`` components."""
 
     def moments(batches):
         total = np.zeros((dims, dims))
         for batch in batches:
             if batch.num_rows:
-                u = _units(batch.column(0).to_pylist())
+                u = _units(batch.column(0).to_pylist(), kind)
                 total += u.T @ u
         yield pa.record_batch([pa.array(range(dims), pa.int32()), pa.array(list(total))], names=["row", "values"])
 
-    parts = vectors.where(F.length("vec") == 8 * dims).select("vec").mapInArrow(moments, "row int, values array<double>")
+    parts = vectors.where(F.length("vec") == np.dtype(kind).itemsize * dims).select("vec").mapInArrow(moments, "row int, values array<double>")
     sums = parts.select("row", F.posexplode("values")).groupBy("row", "pos").agg(F.sum("col").alias("s"))
     total = np.zeros((dims, dims))
     for r in sums.collect():  # dims squared numbers, however many vectors
@@ -74,7 +85,7 @@ def principal_axes(vectors: DataFrame, dims: int, keep: int) -> np.ndarray:
 
 
 def _blocks(size: int):
-    """Rows in grid order to blocks of one label: cell bounds, ids, weights and unit vectors."""
+    """Rows in grid order to blocks of one label: cell bounds, ids, weights and vectors."""
 
     def run(batches):
         label, rows, serial = None, [], TaskContext.get().partitionId() << 32
@@ -84,7 +95,6 @@ def _blocks(size: int):
             if not rows:
                 return
             cells = np.array([r[1] for r in rows])
-            units = _units([r[4] for r in rows])
             yield pa.record_batch(
                 [
                     pa.array([serial], pa.int64()), pa.array([label], pa.string()),
@@ -92,9 +102,9 @@ def _blocks(size: int):
                     pa.array([cells.astype("<i4").tobytes()], pa.binary()),
                     pa.array([np.array([r[2] for r in rows], "<i8").tobytes()], pa.binary()),
                     pa.array([np.array([r[3] for r in rows], "<i8").tobytes()], pa.binary()),
-                    pa.array([units.tobytes()], pa.binary()),
+                    pa.array([b"".join(r[4] for r in rows)], pa.binary()),
                 ],
-                names=["block", "label", "low", "high", "cells", "ids", "weights", "units"],
+                names=["block", "label", "low", "high", "cells", "ids", "weights", "vecs"],
             )
             serial, rows = serial + 1, []
 
@@ -110,12 +120,12 @@ def _blocks(size: int):
 
 
 class _Side:
-    def __init__(self, cells: bytes, ids: bytes, weights: bytes, units: bytes):
+    def __init__(self, cells: bytes, ids: bytes, weights: bytes, vecs: bytes, kind: str):
         self.ids = np.frombuffer(ids, "<i8")
         n = len(self.ids)
         self.cells = np.frombuffer(cells, "<i4").reshape(n, -1)
         self.weights = np.frombuffer(weights, "<i8")
-        self.units = np.frombuffer(units, np.float64).reshape(n, -1)
+        self.units = _units([vecs], kind).reshape(n, -1) if n == 1 else _units([vecs[i * len(vecs) // n : (i + 1) * len(vecs) // n] for i in range(n)], kind)
 
 
 def _join(a: _Side, b: _Side, least: float, same: bool):
@@ -188,15 +198,20 @@ def _connect(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         names = np.array([find(i) for i in range(len(root))])
 
 
-def _pairs_join(least: float):
+def _pairs_join(least: float, kind: str):
+    """Rows come sorted by group: a block (partner false), then its partners there; itself, if it is one."""
+
     def run(batches):
+        group, a, own = None, None, None
         for batch in batches:
             for row in batch.to_pylist():
-                a = _Side(row["a_cells"], row["a_ids"], row["a_weights"], row["a_units"])
-                same = row["a"] == row["b"]
-                b = a if same else _Side(row["b_cells"], row["b_ids"], row["b_weights"], row["b_units"])
-                if a.units.shape[1] != b.units.shape[1]:
+                side = _Side(row["cells"], row["ids"], row["weights"], row["vecs"], kind)
+                if not row["partner"]:
+                    group, a, own = (row["a"], row["turn"]), side, row["block"]
                     continue
+                assert group == (row["a"], row["turn"])
+                same = row["block"] == own
+                b = a if same else side
                 counts_a, counts_b, links = _join(a, b, least, same)
                 u = [np.empty(0, np.int64), *(x for x, _ in links), a.ids[counts_a > 0], b.ids[counts_b > 0]]
                 v = [np.empty(0, np.int64), *(y for _, y in links), a.ids[counts_a > 0], b.ids[counts_b > 0]]
@@ -223,17 +238,19 @@ def embedding_groups(
     spark = vectors.sparkSession
     folder = workspace(spark, "embedding")
     slim = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("vec"))
-    usable = slim.where("id is not null and label is not null").mapInArrow(_canonical, "id long, label string, digest binary, vec binary")
+    kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
+    width = np.dtype(kind).itemsize
+    usable = slim.where("id is not null and label is not null").mapInArrow(_canonical(kind), "id long, label string, digest binary, vec binary")
     usable = stored(usable, f"{folder}/usable")
     classes = stored(
         usable.groupBy("label", "digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.max("vec").alias("vec")),
         f"{folder}/classes",
     )
-    lengths = [r[0] for r in classes.select((F.length("vec") / 8).cast("int")).distinct().collect()]
+    lengths = [r[0] for r in classes.select((F.length("vec") / width).cast("int")).distinct().collect()]
     side = float(np.sqrt(2 - 2 * least)) + SLACK
     found = None
     for dims in lengths:  # as a rule one
-        part = _joined(classes.where(F.length("vec") == 8 * dims), dims, side, least, grid_dims, block, f"{folder}/{dims}")
+        part = _joined(classes.where(F.length("vec") == width * dims), dims, side, least, grid_dims, block, kind, f"{folder}/{dims}")
         found = part if found is None else found.unionByName(part)
     everyone = slim.select("id")
     if found is None:
@@ -263,14 +280,37 @@ def embedding_groups(
     return linked.unionByName(rest).select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
-def _joined(classes: DataFrame, dims: int, side: float, least: float, grid_dims: int, block: int, folder: str) -> DataFrame:
-    axes = principal_axes(classes, dims, min(grid_dims, dims))
+def touching_blocks(bounds: DataFrame, dims: int, side: float) -> DataFrame:
+    """(a, b), a <= b: pairs of blocks (block, label, low, high) of a label whose cells may touch.
+
+    Blocks meet on their cells in up to KEY_DIMS dimensions, taken together STRIPES to the whole
+    range, so that few blocks of far cells are ever compared; a pair meets once, at the least cells
+    that both reach.
+    """
+    keys = min(KEY_DIMS, dims)
+    width = max(1, int(np.ceil(2 / side / STRIPES)))
+    stripe = lambda x: F.floor(x / width).cast("int")
+    left = bounds.select(F.col("block").alias("a"), "label", F.col("low").alias("a_low"), F.col("high").alias("a_high"))
+    right = bounds.select(F.col("block").alias("b"), "label", F.col("low").alias("b_low"), F.col("high").alias("b_high"))
+    for i in range(keys):
+        left = left.withColumn(f"c{i}", F.explode(F.sequence(stripe(F.col("a_low")[i]), stripe(F.col("a_high")[i]))))
+        right = right.withColumn(f"c{i}", F.explode(F.sequence(stripe(F.col("b_low")[i] - 1), stripe(F.col("b_high")[i] + 1))))
+    touch = F.col("a") <= F.col("b")
+    for i in range(dims):
+        touch = touch & (F.col("a_low")[i] - F.col("b_high")[i] <= 1) & (F.col("b_low")[i] - F.col("a_high")[i] <= 1)
+    for i in range(keys):
+        touch = touch & (F.col(f"c{i}") == F.greatest(stripe(F.col("a_low")[i]), stripe(F.col("b_low")[i] - 1)))
+    return left.join(right, ["label", *(f"c{i}" for i in range(keys))]).where(touch).select("a", "b")
+
+
+def _joined(classes: DataFrame, dims: int, side: float, least: float, grid_dims: int, block: int, kind: str, folder: str) -> DataFrame:
+    axes = principal_axes(classes, dims, min(grid_dims, dims), kind)
     keep = axes.shape[1]
 
     def grid(batches):
         for batch in batches:
             if batch.num_rows:
-                cells = np.floor(_units(batch.column(3).to_pylist()) @ axes / side).astype(np.int32)
+                cells = np.floor(_units(batch.column(3).to_pylist(), kind) @ axes / side).astype(np.int32)
                 yield pa.record_batch([batch.column(0), pa.array(list(cells), pa.list_(pa.int32())), *batch.columns[1:]], names=["label", "cell", "rep", "weight", "vec"])
 
     count = classes.count()
@@ -282,21 +322,16 @@ def _joined(classes: DataFrame, dims: int, side: float, least: float, grid_dims:
         .repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
     )
-    shape = "block long, label string, low array<int>, high array<int>, cells binary, ids binary, weights binary, units binary"
+    shape = "block long, label string, low array<int>, high array<int>, cells binary, ids binary, weights binary, vecs binary"
     blocks = stored(ordered.mapInArrow(_blocks(block), shape), f"{folder}/blocks")
-    bounds = blocks.select("block", "label", "low", "high")
-    first = F.col("low")[0], F.col("high")[0]
-    left = bounds.select(F.col("block").alias("a"), "label", F.col("low").alias("a_low"), F.col("high").alias("a_high"), F.explode(F.sequence(*first)).alias("c"))
-    right = bounds.select(F.col("block").alias("b"), "label", F.col("low").alias("b_low"), F.col("high").alias("b_high"), F.explode(F.sequence(first[0] - 1, first[1] + 1)).alias("c"))
-    # a pair of blocks meets once: at the least first cell that both reach
-    touch = F.col("c") == F.greatest(F.col("a_low")[0], F.col("b_low")[0] - 1)
-    for i in range(1, keep):
-        touch = touch & (F.col("a_low")[i] - F.col("b_high")[i] <= 1) & (F.col("b_low")[i] - F.col("a_high")[i] <= 1)
-    pairs = left.join(right, ["label", "c"]).where(touch & (F.col("a") <= F.col("b"))).select("a", "b")
-    body = ("cells", "ids", "weights", "units")
-    one = blocks.select(F.col("block").alias("a"), *(F.col(c).alias(f"a_{c}") for c in body))
-    two = blocks.select(F.col("block").alias("b"), *(F.col(c).alias(f"b_{c}") for c in body))
-    tasks = max(1, -(-pairs.count() // TASK_PAIRS))
-    # each pair gets its own place, so that a block with many partners doesn't gather them in a task
-    both = pairs.join(one, "a").join(two, "b").repartition(tasks, F.xxhash64("a", "b"))
-    return both.mapInArrow(_pairs_join(least), "u long, v long, n long")
+    pairs = touching_blocks(blocks.select("block", "label", "low", "high"), keep, side)
+    # a block's partners are dealt to turns, in each of which it is sent once and they are
+    turn = F.floor((F.row_number().over(Window.partitionBy("a").orderBy("b")) - 1) / PARTNERS).cast("int")
+    pairs = stored(pairs.withColumn("turn", turn), f"{folder}/pairs")
+    body = ("cells", "ids", "weights", "vecs")
+    whole = blocks.select("block", *body)
+    lead = pairs.select("a", "turn", F.lit(False).alias("partner"), F.col("a").alias("block")).distinct()
+    rows = lead.unionByName(pairs.select("a", "turn", F.lit(True).alias("partner"), F.col("b").alias("block"))).join(whole, "block")
+    tasks = max(1, -(-pairs.count() // PARTNERS))
+    dealt = rows.repartition(tasks, F.xxhash64("a", "turn")).sortWithinPartitions("a", "turn", "partner")
+    return dealt.mapInArrow(_pairs_join(least, kind), "u long, v long, n long")
