@@ -88,19 +88,23 @@ def format_preferences(pairs: DataFrame, id_col: str = "pair_id", chosen_col: st
     )
 
 
-def reply_swaps(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """(pair_id, chosen, rejected) for integer conversation ids: each conversation against itself with
-    its last reply put in place by the last reply of its partner, the id that differs in the last bit.
-
-    What follows the last assistant turn is left off on both sides. A conversation without reply, or
-    whose partner has none, has a null rejected side.
+def spliced_pairs(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """(pair_id, chosen, rejected) for integer conversation ids: each whole conversation against its
+    own beginning, gone on with by its partner, the id that differs in the last bit.
+
+    Of n assistant turns the one numbered id mod n is where the conversations part: the rejected side
+    has the turns before it and then the partner's turns from the partner's own such turn to its end.
+    So prefixes differ in length, and are longer where partners go on alike. A conversation without
+    assistant turns parts after its end, a partner without them gives all its turns; no turn of
+    either is left off. A conversation whose partner doesn't exist has a null rejected side.
     """
     convs = conversations(turns, conv_col, turn_col, role_col, text_col)
     spots = F.filter(F.sequence(F.lit(1), F.size("turns")), lambda i: F.try_element_at("turns", i)["role"] == "assistant")
-    rows = convs.withColumn("last", F.coalesce(F.array_max(spots), F.lit(0)))
-    mine = rows.select("conv_id", "turns", "last")
-    reply = rows.where("last > 0").select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.try_element_at("turns", F.col("last")).alias("reply"))
-    both = mine.join(reply, "conv_id", "left")
-    cut = F.when(F.col("last") > 0, F.slice("turns", 1, F.col("last"))).otherwise(F.col("turns"))
-    swapped = F.when((F.col("last") > 0) & F.col("reply").isNotNull(), F.concat(F.slice("turns", 1, F.col("last") - 1), F.array("reply")))
-    return both.select(F.col("conv_id").alias("pair_id"), cut.alias("chosen"), swapped.alias("rejected"))
+    rows = convs.withColumn("spots", spots)
+    at = F.try_element_at("spots", (F.pmod("conv_id", F.size("spots")) + 1).cast("int"))
+    some = F.size("spots") > 0
+    mine = rows.select("conv_id", "turns", F.when(some, at - 1).otherwise(F.size("turns")).alias("own"))
+    start = F.when(some, at).otherwise(F.lit(1))
+    tail = rows.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.slice("turns", start, F.size("turns")).alias("tail"))
+    both = mine.join(tail, "conv_id", "left")
+    return both.select(F.col("conv_id").alias("pair_id"), F.col("turns").alias("chosen"), F.concat(F.slice("turns", F.lit(1), F.col("own")), "tail").alias("rejected"))

@@ -47,14 +47,6 @@ def op5_warc(spark, sf_dir):
 def op6_lm_scoring(spark, sf_dir):
     from strandweave.llm.lm_score import lm_scores
 
-    out = lm_scores(read_table(spark, sf_dir, "documents"), min_docs=2)  # as its SQL does
-    return out.withColumns({c: F.round(c, 5) for c in ("log_score", "mean_log_score")})
-
-
-def op6_lm_scoring_full(spark, sf_dir):
-    """The whole model: n-grams of a single document are kept too."""
-    from strandweave.llm.lm_score import lm_scores
-
     out = lm_scores(read_table(spark, sf_dir, "documents"))
     return out.withColumns({c: F.round(c, 5) for c in ("log_score", "mean_log_score")})
 
@@ -79,9 +71,9 @@ def op9_simhash_near_dedup(spark, sf_dir):
 
 
 def op10_chat_preferences(spark, sf_dir):
-    from strandweave.llm.chat import format_preferences, reply_swaps
+    from strandweave.llm.chat import format_preferences, spliced_pairs
 
-    out = format_preferences(reply_swaps(read_table(spark, sf_dir, "conversations")))
+    out = format_preferences(spliced_pairs(read_table(spark, sf_dir, "conversations")))
     as_text = {c: F.array_join(F.transform(c, lambda r: F.concat(r["start"], F.lit("-"), r["end"])), ",") for c in ("chosen_loss", "rejected_loss")}
     return out.withColumns(as_text).withColumn("n_prompt_turns", F.col("n_prompt_turns").cast("long"))
 
@@ -102,7 +94,7 @@ def _ranges(side: str) -> str:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_sentencepiece, op2_quality_classifier, op3_best_fit_packing, op4_exact_dedup, op5_warc, op6_lm_scoring, op6_lm_scoring_full,
+        op1_sentencepiece, op2_quality_classifier, op3_best_fit_packing, op4_exact_dedup, op5_warc, op6_lm_scoring,
         op7_toxicity, op8_embedding_near_dedup, op9_simhash_near_dedup, op10_chat_preferences,
     )
 }
@@ -132,8 +124,8 @@ ORACLE_SQL = {
           SELECT doc_id, i, w[i] AS w3, CASE WHEN i > 1 THEN w[i - 1] END AS w2, CASE WHEN i > 2 THEN w[i - 2] END AS w1 FROM p
         ), total AS (SELECT count(*) AS n FROM t
         ), u AS (SELECT w3 AS a, count(*) AS n FROM t GROUP BY ALL
-        ), b AS (SELECT w2 AS a, w3 AS b, count(*) AS n FROM t WHERE i > 1 GROUP BY ALL HAVING count(DISTINCT doc_id) >= 2
-        ), c AS (SELECT w1 AS a, w2 AS b, w3 AS c, count(*) AS n FROM t WHERE i > 2 GROUP BY ALL HAVING count(DISTINCT doc_id) >= 2
+        ), b AS (SELECT w2 AS a, w3 AS b, count(*) AS n FROM t WHERE i > 1 GROUP BY ALL 
+        ), c AS (SELECT w1 AS a, w2 AS b, w3 AS c, count(*) AS n FROM t WHERE i > 2 GROUP BY ALL 
         ), s AS (
           SELECT doc_id, CASE
               WHEN c.n IS NOT NULL THEN ln(c.n / p12.n)
@@ -162,11 +154,13 @@ ORACLE_SQL = {
         WITH c AS (
           SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn, role, text) AS t FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
         ), l AS (
-          SELECT *, coalesce(list_max(list_filter(generate_series(1, len(t)), lambda i: t[i].role = 'assistant')), 0) AS last FROM c
+          SELECT *, list_filter(generate_series(1, len(t)), lambda i: t[i].role = 'assistant') AS spots FROM c
+        ), k AS (
+          SELECT *, CASE WHEN len(spots) > 0 THEN spots[conv_id % len(spots) + 1] END AS at FROM l
         ), p AS (
-          SELECT x.conv_id AS pair_id, CASE WHEN x.last > 0 THEN x.t[:x.last] ELSE x.t END AS a,
-                 CASE WHEN x.last > 0 AND y.last > 0 THEN list_append(x.t[:x.last - 1], y.t[y.last]) ELSE [] END AS b
-          FROM l x LEFT JOIN l y ON y.conv_id = xor(x.conv_id, 1)
+          SELECT x.conv_id AS pair_id, x.t AS a,
+                 CASE WHEN y.conv_id IS NULL THEN [] ELSE list_concat(x.t[:coalesce(x.at - 1, len(x.t))], y.t[coalesce(y.at, 1):]) END AS b
+          FROM k x LEFT JOIN k y ON y.conv_id = xor(x.conv_id, 1)
         ), m AS (
           SELECT *, coalesce(list_min(list_filter(generate_series(1, least(len(a), len(b))), lambda i: a[i] <> b[i])) - 1, least(len(a), len(b))) AS n FROM p
         )

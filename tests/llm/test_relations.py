@@ -59,39 +59,43 @@ def test_embedding_without_usable_vectors(spark):
     assert embedding_dedup.embedding_groups(df.limit(0)).count() == 0
 
 
-def brute_lm(texts, order, alpha, min_docs):
+def brute_lm(texts, order, alpha, asked=None):
     docs = [(t or "").encode().lower().split() for t in texts]
-    grams, seen, n = {}, {}, 0
-    for d, words in enumerate(docs):
+    grams, n = {}, 0
+    for words in docs:
         n += len(words)
         for k in range(1, order + 1):
             for i in range(len(words) - k + 1):
                 g = tuple(words[i : i + k])
                 grams[g] = grams.get(g, 0) + 1
-                seen.setdefault(g, set()).add(d)
 
     def s(history, w):
         g = (*history, w)
         if len(g) == 1:
-            return np.log(grams[g] / n)
-        if len(seen[g]) >= min_docs:
+            return np.log(grams[g] / n) if g in grams else 0.0
+        if g in grams:
             return np.log(grams[g] / grams[g[:-1]])
         return np.log(alpha) + s(history[1:], w)
 
+    docs = docs if asked is None else [(t or "").encode().lower().split() for t in asked]
     return [sum(s(tuple(words[max(0, i - order + 1) : i]), words[i]) for i in range(len(words))) for words in docs]
 
 
-@pytest.mark.parametrize("order,hot", [(1, 65_536), (2, 65_536), (3, 65_536), (3, 20), (4, 20)])
-def test_language_model_equals_brute_force(spark, tmp_path, monkeypatch, order, hot):
-    monkeypatch.setattr(lm_score, "HOT", hot)
-    rng = random.Random(4)
+def lm_cases(rng, n):
     words = ["aa", "b", "Cé", "dd", "e", "f", "gg"]
-    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 40))) for _ in range(40)] + ["", None, "one", "never seen twice", "\x85 x"]
-    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(3, texts[3], "s"), (None, "aa b", "s")]
+    return [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 40))) for _ in range(n)] + ["", None, "one", "never seen twice", "\x85 x"]
+
+
+@pytest.mark.parametrize("order,hot,hold", [(1, 65_536, 1000), (2, 65_536, 50), (3, 65_536, 1000), (3, 20, 50), (4, 20, 1000)])
+def test_language_model_equals_brute_force(spark, tmp_path, monkeypatch, order, hot, hold):
+    monkeypatch.setattr(lm_score, "HOT", hot)
+    monkeypatch.setattr(lm_score, "HOLD", hold)
+    texts = lm_cases(random.Random(4), 40)
+    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(3, texts[3], "s"), (3, texts[3], "s"), (None, "aa b", "s"), (None, "aa b", "s"), (3, "gg", "s")]
     spark.createDataFrame(rows, "doc_id long, text string, n_tokens string").repartition(3).write.parquet(str(tmp_path / "d"))
     out = lm_score.lm_scores(spark.read.parquet(str(tmp_path / "d")), order=order).collect()
     want = {}
-    for (i, _, _), s in zip(rows, brute_lm([t for _, t, _ in rows], order, lm_score.ALPHA, lm_score.MIN_DOCS), strict=True):
+    for (i, _, _), s in zip(rows, brute_lm([t for _, t, _ in rows], order, lm_score.ALPHA), strict=True):
         want.setdefault(i, []).append(s)
     got = {}
     for r in out:
@@ -102,12 +106,19 @@ def test_language_model_equals_brute_force(spark, tmp_path, monkeypatch, order,
         assert sorted(got[i]) == pytest.approx(sorted(want[i]))
 
 
-@pytest.mark.parametrize("given,min_docs", [({}, 1), ({"min_docs": 1}, 1), ({"min_docs": 2}, 2)])
-def test_language_model_keeps_ngrams_of_one_document(spark, tmp_path, given, min_docs):
-    texts = ["one two three " * 5, "one two four", "five six one two", "seven eight nine seven eight nine"]
-    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "d"))
-    got = {r.doc_id: r.log_score for r in lm_score.lm_scores(spark.read.parquet(str(tmp_path / "d")), **given).collect()}
-    assert [got[i] for i in range(len(texts))] == pytest.approx(brute_lm(texts, 3, lm_score.ALPHA, min_docs))
+@pytest.mark.parametrize("order,hot", [(2, 65_536), (3, 65_536), (3, 8), (4, 20)])
+def test_language_model_backs_off_on_other_texts(spark, monkeypatch, order, hot):
+    monkeypatch.setattr(lm_score, "HOT", hot)
+    shape = "doc_id long, text string"
+    known = lm_cases(random.Random(5), 12)
+    other = [*lm_cases(random.Random(6), 30), "unheard of words", "aa unheard b dd e", "gg gg gg gg gg"]
+    model = lm_score.train(spark.createDataFrame(list(enumerate(known)), shape), order=order)
+    got = {r.doc_id: r.log_score for r in lm_score.score(spark.createDataFrame(list(enumerate(other)), shape), model).collect()}
+    want = brute_lm(known, order, lm_score.ALPHA, other)
+    assert [got[i] for i in range(len(other))] == pytest.approx(want)
+    rows = model.ngrams().collect()
+    assert sum(r.n for r in rows if r.k == 1) == model.tokens == sum(len((t or "").encode().split()) for t in known)
+    assert all(0 < r.n <= r.of for r in rows) and len({(r.k, r.key) for r in rows}) == len(rows)
 
 
 def test_language_model_of_nothing(spark, tmp_path):
@@ -188,10 +199,20 @@ def test_preference_pairs(spark):
     assert chat.format_preferences(spark.createDataFrame([], SHAPE)).count() == 0
 
 
-def test_reply_swaps(spark):
-    rows = [(0, 0, "user", "q", 1), (0, 1, "assistant", "a0", 1), (0, 2, "user", "thanks", 1), (1, 1, "assistant", "a1", 1), (1, 0, "user", "p", 1), (2, 0, "user", None, 1), (None, 0, "user", "x", 1), (3, 0, "assistant", "a3", 1)]
-    got = {r.pair_id: r for r in chat.reply_swaps(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, chosen int")).collect()}
-    assert [t.text for t in got[0].chosen] == ["q", "a0"] and [t.text for t in got[0].rejected] == ["q", "a1"]
-    assert [t.text for t in got[1].rejected] == ["p", "a0"] and got[2].rejected is None and got[3].rejected is None and set(got) == {0, 1, 2, 3}
-    plan = chat.format_preferences(chat.reply_swaps(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, chosen int")))._jdf.queryExecution().executedPlan().toString()
+def test_spliced_pairs(spark):
+    rows = [(0, 0, "user", "q", 1), (0, 1, "assistant", "a0", 1), (0, 2, "user", "thanks", 1), (1, 1, "assistant", "a1", 1), (1, 0, "user", "p", 1), (2, 0, "user", None, 1), (None, 0, "user", "x", 1), (3, 0, "assistant", "a3", 1), (3, 1, "assistant", "b3", 1), (6, 0, "assistant", "z", 1)]
+    rows += [(8, i, "user" if i % 2 else "assistant", f"same {i}", 1) for i in range(5)] + [(9, i, "user" if i % 2 else "assistant", f"same {i}" if i < 4 else "other", 1) for i in range(7)]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, chosen int")
+    got = {r.pair_id: r for r in chat.spliced_pairs(table).collect()}
+    said = lambda side: None if side is None else [t.text for t in side]
+    assert said(got[0].chosen) == ["q", "a0", "thanks"] and said(got[0].rejected) == ["q", "a1"]
+    assert said(got[1].rejected) == ["p", "a0", "thanks"] and said(got[2].rejected) == ["", "b3"] and said(got[3].rejected) == ["a3", ""]
+    assert got[6].rejected is None and set(got) == {0, 1, 2, 3, 6, 8, 9}
+    # 8 parts at its last reply (8 mod 3 = 2), 9 at its second (9 mod 4 = 1)
+    assert said(got[8].rejected) == [f"same {i}" for i in range(4)] + ["same 2", "same 3", "other", "other", "other"]
+    assert said(got[9].rejected) == ["same 0", "same 1", "same 4"]
+    shown = {r.pair_id: r for r in chat.format_preferences(chat.spliced_pairs(table)).collect()}
+    assert (shown[8].n_prompt_turns, shown[9].n_prompt_turns, shown[6].n_prompt_turns) == (4, 2, 0)
+    plan = chat.format_preferences(chat.spliced_pairs(table))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+    assert chat.spliced_pairs(table.limit(0)).count() == 0

@@ -188,8 +188,35 @@ def test_toxicity(spark):
     assert toxicity.score_toxicity(docs.limit(0), fitted).count() == 0
 
 
-@pytest.mark.parametrize("cut", [1, 256, 257, 1000])
-def test_chains_cut_sentences(cut):
-    ends = np.zeros(cut, bool)
-    begins = toxicity.chains(ends, np.array([0]))
-    assert begins.tolist() == list(range(0, cut, toxicity.CHAIN))
+@pytest.mark.parametrize("sizes", [[1], [7], [8], [9], [3, 25, 1, 40, 8, 17], [100]])
+def test_long_chains_are_not_cut(monkeypatch, sizes):
+    rng = np.random.default_rng(1)
+    emit, trans = rng.normal(size=sum(sizes)) * 2, rng.normal(size=(2, 2)) * 2
+    begins = np.cumsum([0, *sizes])[:-1]
+    whole, steps = toxicity.marginals(emit, begins, trans, True)
+    monkeypatch.setattr(toxicity, "CHUNK", 8)
+    got, got_steps = toxicity.marginals(emit, begins, trans, True)
+    assert np.allclose(got, whole) and np.allclose(got_steps, steps)
+    assert toxicity.chains(np.zeros(1000, bool), np.array([0])).tolist() == [0]
+
+
+def test_chain_tells_what_its_emissions_alone_do_not():
+    # a token of its own doubtful is toxic between toxic ones and harmless between harmless ones
+    trans = np.array([[2.0, -2.0], [-2.0, 2.0]])
+    emit = np.array([4.0, 0.0, 4.0, -4.0, 0.0, -4.0])
+    begins = np.array([0, 3])
+    chained, alone = toxicity.marginals(emit, begins, trans)[0], toxicity.marginals(emit, begins, np.zeros((2, 2)))[0]
+    assert chained[1] > 0.99 and chained[4] < 0.01 and np.allclose(alone[[1, 4]], 0.5)
+
+
+@pytest.mark.parametrize("keep", [lambda d, y: quality.keep_quality(d, y), lambda d, y: toxicity.drop_toxic(d, y)])
+def test_filters_keep_columns_and_take_edges(spark, keep):
+    docs, labels, _ = corpus(spark, "toxic")
+    labels = labels.withColumn("quality", labels.toxic)
+    rows = [(i, "kadal ren lo. " * 30, i, "a") for i in range(3)] * 2 + [(9, None, 1, "a"), (10, "", 1, "a"), (None, "x", 1, None), (11, "long " * 100_000, 1, "a")]
+    rows += [(r.doc_id, r.text, 0, "b") for r in docs.collect()]
+    table = spark.createDataFrame(rows, "doc_id long, text string, score int, held_out string")
+    out = keep(table, labels).collect()
+    assert out and set(out[0].asDict()) == set(table.columns) and {tuple(r) for r in out} <= set(rows)
+    assert all(sum(r.doc_id == i and r.held_out == "a" for r in out) in (0, 2) for i in range(3))
+    assert keep(table.limit(0), labels).count() == 0 and keep(table, labels.limit(0)).count() == len(rows)
