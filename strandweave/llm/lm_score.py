@@ -3,13 +3,21 @@
 S(w | history) is the relative frequency of the n-gram where the corpus has it, else ALPHA times the
 score with a shorter history. All n-grams of all documents are counted; none is dropped.
 
-Tables of counts are partitioned by the hash of the history, so an n-gram meets its history's count
-in the partition where it is counted. To score, texts are exploded into their n-grams, dealt to the
-same partitions and joined there; what a partition doesn't know goes on to the next shorter order,
-and the parts are summed per document. Both work in TURNS turns, each for the n-grams of one range of
-hashes, so that no shuffle holds all n-grams of an order at once; rows travel packed, one row for
-many n-grams. N-grams with over 1/HOT of all tokens are few: scores of those come from a broadcast,
-and n-grams after such a history are dealt by their own hash, so that no partition is crowded.
+``train`` and ``score``: tables of counts are partitioned by the hash of the history, so an n-gram
+meets its history's count in the partition where it is counted. To score, texts are exploded into
+their n-grams, dealt to the same partitions and joined there; what a partition doesn't know goes on
+to the next shorter order, and the parts are summed per document. N-grams with over 1/HOT of all
+tokens are few: scores of those come from a broadcast, and n-grams after such a history are dealt by
+their own hash, so that no partition is crowded.
+
+``lm_scores`` counts and scores the same texts, so every longest history answers and the logs of a
+text's relative frequencies, a difference of two counts' logs each, chain up: n-grams of the model's
+order add the log of their count, the (order - 1)-grams within the text take theirs off. One
+exploded row then serves both: a partition counts its n-grams and joins the counts to them at once.
+
+Both work in turns, each for the n-grams of one range of hashes, so that no shuffle holds all n-grams
+of an order at once; rows travel packed, one row for many n-grams of a hold of texts. An n-gram that
+is frequent in a hold is dealt as one count, which the partition answers to the hold.
 """
 
 from __future__ import annotations
@@ -22,19 +30,23 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandweave.llm.common import join_to_groups, row_order, stored, workspace
 
-ORDER, ALPHA, TURNS = 3, 0.4, 3
+ORDER, ALPHA, TURNS = 3, 0.4, 2
 #: n-grams with over 1/HOT of all tokens are at most HOT of each order: they are broadcast.
 HOT = 65_536
 #: Tokens that a worker holds before it passes on their n-grams; n-grams of a partition and turn;
 #: n-grams of a row of a table; words remembered.
-HOLD, PART, ROW, MEMORY = 1_000_000, 3_000_000, 500_000, 400_000
+HOLD, PART, ROW, MEMORY = 600_000, 2_000_000, 500_000, 400_000
+#: n-grams that are so often in a hold are answered to it instead of bringing their texts along.
+OFTEN = 256
 #: In place of an n-gram's key: the history stands at the end of a text.
 END = np.uint64(0)
+_MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -323,7 +335,7 @@ def _entries(model: NgramModel, k: int, a: np.ndarray, b: np.ndarray, doc: np.nd
     yield from _parcels(part, make, [c.split()[0] for c in ENTRIES.split(", ")])
 
 
-def _explode(model: NgramModel, orders: tuple[int, ...], turn: int | None, seen: bool):
+def _explode(model: NgramModel, orders: tuple[int, ...], turn: int | None):
     """Texts (a, b, text) to their n-grams of some orders: of the model's own order those at all
     tokens, of shorter ones those at the texts' beginnings."""
 
@@ -337,7 +349,7 @@ def _explode(model: NgramModel, orders: tuple[int, ...], turn: int | None, seen:
             for k in orders:
                 at = np.flatnonzero(place >= k - 1 if k == model.order else place == k - 1)
                 hist = keys[k - 2][at - 1] if k > 1 else np.zeros(len(at), np.uint64)
-                yield from _entries(model, k, a, b, doc[at], hist, keys[k - 1][at], [] if seen else _lower(keys, k, at), turn)
+                yield from _entries(model, k, a, b, doc[at], hist, keys[k - 1][at], _lower(keys, k, at), turn)
 
     return run
 
@@ -346,7 +358,7 @@ JOINED = "a long, b long, s double, entry struct<kind int, k int, part int, a bi
 _ENTRY = pa.struct([("kind", pa.int32()), ("k", pa.int32()), ("part", pa.int32()), *((n, pa.binary()) for n in ("a", "b", "doc", "key", "more"))])
 
 
-def _join(model: NgramModel, seen: bool):
+def _join(model: NgramModel):
     """Rows of a part, the table's (kind 0) first: sums per text, and entries of the next order."""
     back = np.log(model.alpha)
 
@@ -386,8 +398,6 @@ def _join(model: NgramModel, seen: bool):
                     yield sums(a, b, doc[found], value[where[found]])
                 if found.all() or k == 1:
                     continue
-                if seen:
-                    raise RuntimeError("a text holds an n-gram that was not counted; score it with seen=False")
                 lower = np.frombuffer(r["more"], np.uint64).reshape(-1, len(key))
                 left = np.flatnonzero(~found)
                 yield sums(a, b, doc[left], np.full(len(left), back))
@@ -425,19 +435,16 @@ def _beginnings(model: NgramModel, kind: str):
     return run
 
 
-def score(docs: DataFrame, model: NgramModel, id_col: str = "doc_id", text_col: str = "text", seen: bool = False) -> DataFrame:
+def score(docs: DataFrame, model: NgramModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_tokens, log_score, mean_log_score): natural logs; the mean is null without tokens.
 
     Words that training never saw count nothing but their backing off. A null text has no tokens.
-    Rows that repeat an id are scored each. Other columns are ignored; no rows give no rows.
-    ``seen``: the texts are among those counted, so nothing can be missing and no row needs to bring
-    along what shorter histories would ask for. Texts are told apart by id and text hash.
+    Rows that repeat an id are scored each. Other columns are ignored; no rows give no rows. Texts are
+    told apart by id and text hash.
     """
     spark = docs.sparkSession
     folder = workspace(spark, "lm-score")
-    key = row_order(id_col, text_col)
-    slim = docs.select(F.col(id_col).alias("id"), key.alias("_key"), F.col(text_col).cast("binary").alias("text"))
-    slim = slim.select("id", F.xxhash64("id", "_key.a").alias("a"), F.xxhash64("_key.b", "id").alias("b"), "text")
+    slim = _keyed(docs, id_col, text_col)
     sent = model.shape()
 
     def joined(entries, orders, turn, path):
@@ -446,7 +453,7 @@ def score(docs: DataFrame, model: NgramModel, id_col: str = "doc_id", text_col:
             own = own.where(F.col("turn") == turn)
         own = own.select(F.lit(0).alias("kind"), "k", "part", *(F.lit(None).cast("binary").alias(c) for c in "ab"), F.col("of").alias("doc"), "key", F.col("n").alias("more"))
         dealt = own.unionByName(entries).repartitionById(model.parts, "part").sortWithinPartitions("kind")
-        return stored(dealt.mapInArrow(_join(sent, seen), JOINED), path)
+        return stored(dealt.mapInArrow(_join(sent), JOINED), path)
 
     with released_shuffles(spark):
         first = slim.schema["id"].dataType
@@ -454,16 +461,14 @@ def score(docs: DataFrame, model: NgramModel, id_col: str = "doc_id", text_col:
         texts = slim.select("a", "b", "text")
         found, waiting = [], []
         for turn in range(model.turns):
-            entries = texts.mapInArrow(_explode(sent, (model.order,), turn, seen), ENTRIES)
+            entries = texts.mapInArrow(_explode(sent, (model.order,), turn), ENTRIES)
             out = joined(entries, (model.order,), turn, f"{folder}/{model.order}-{turn}")
             found.append(out)
             waiting.append(out)
-        below = [tuple(range(model.order - 1, 0, -1))] if seen else [(k,) for k in range(model.order - 1, 0, -1)]
-        for orders in below:
-            if not orders:
-                continue
-            entries = texts.mapInArrow(_explode(sent, orders, None, seen), ENTRIES)
-            for w in waiting if not seen else ():
+        for k in range(model.order - 1, 0, -1):
+            orders = (k,)
+            entries = texts.mapInArrow(_explode(sent, orders, None), ENTRIES)
+            for w in waiting:
                 entries = entries.unionByName(w.where(F.col("entry.k").isin(*orders)).select("entry.*"))
             out = joined(entries, orders, None, f"{folder}/{orders[0]}")
             found.append(out)
@@ -474,12 +479,7 @@ def score(docs: DataFrame, model: NgramModel, id_col: str = "doc_id", text_col:
             rows = rows.unionByName(f.where("a is not null").select(none, "a", "b", F.lit(0).cast("long").alias("t"), "s", F.lit(0).cast("long").alias("m")))
         total = rows.groupBy("a", "b").agg(F.max("id").alias("id"), F.max("t").alias("n_tokens"), F.sum("m").alias("m"), F.sum("s").alias("s"))
         total = stored(total.select(F.struct("a", "b").alias("key"), "id", "n_tokens", "m", (F.col("s") / F.col("m")).alias("log_score")), f"{folder}/scores")
-    out = total.where("m = 1").select("id", "n_tokens", "log_score")
-    again = total.where("m > 1").drop("id")
-    if not again.isEmpty():  # rows that repeat both id and text
-        again = join_to_groups(base.select("id", F.struct("a", "b").alias("key")), again, "key", "m", base.count())
-        out = out.unionByName(again.select("id", "n_tokens", "log_score"))
-    return out.select(F.col("id").alias(id_col), "n_tokens", "log_score", F.expr("log_score / nullif(n_tokens, 0)").alias("mean_log_score"))
+    return _per_row(total, slim, id_col)
 
 
 def _arrow_type(kind) -> pa.DataType:
@@ -488,10 +488,212 @@ def _arrow_type(kind) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, alpha: float = ALPHA, turns: int = TURNS) -> DataFrame:
+OWN = "part int, kind int, hold long, size int, sign int, key binary, n binary, m binary, doc binary, a binary, b binary"
+_OWN = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("hold", pa.int64()), ("size", pa.int32()), ("sign", pa.int32()), *((c, pa.binary()) for c in ("key", "n", "m", "doc", "a", "b"))])
+#: Kinds of rows: a hold's texts; its n-grams for a part; those it has often, their counts for a part and their
+#: texts for itself; a part's sums and its answers for a hold.
+TEXTS, GRAMS, COUNTS, PLACES, SUMS, ANSWERS = range(6)
+
+
+def _classes(words: np.ndarray, starts: np.ndarray, order: int):
+    """(keys, texts, is it counted, which occurrences a text's score takes, sign) of n-grams of a hold.
+
+    For a text of n words: +log count of each n-gram of ``order`` words; -log count of each
+    (order - 1)-gram but the first and the last; for n < order +log count of the whole text.
+    """
+    sizes = np.diff(starts)
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(words)) - starts[doc]
+    keys = _keys(words, order)
+    at = np.flatnonzero(place >= order - 1)
+    yield keys[order - 1][at], doc[at], True, np.ones(len(at), bool), 1
+    if order == 1:
+        return
+    at = np.flatnonzero(place >= order - 2)
+    inner = (place[at] > order - 2) & (place[at] < sizes[doc[at]] - 1)
+    yield keys[order - 2][at], doc[at], True, inner, -1
+    for k in range(1, order):
+        short = np.flatnonzero(sizes == k)
+        if len(short):
+            yield keys[k - 1][starts[1:][short] - 1], short, False, np.ones(len(short), bool), 1
+        if k < order - 1:
+            at = np.flatnonzero(place >= k - 1)
+            yield keys[k - 1][at], doc[at], True, np.zeros(len(at), bool), 1
+
+
+def _explode_own(order: int, turn: int, turns: int, parts: int):
+    """Texts (a, b, text) to the packed n-grams of one turn, by the part that counts them."""
+
+    def run(batches):
+        serial = TaskContext.get().partitionId() << 32
+        for (a, b), words, starts in _holds(batches):
+            hold, size, rows = serial, len(starts) - 1, []
+            serial += 1
+
+            def add(part, kind, sign=0, key=None, n=None, m=None, doc=None, a=None, b=None):
+                rows.append((part, kind, hold, size, sign, key, n, m, doc, a, b))  # noqa: B023
+
+            sizes = np.diff(starts)
+            add(hold % parts, TEXTS, n=_pack(sizes), a=np.array(a, np.int64).tobytes(), b=np.array(b, np.int64).tobytes())
+            for key, doc, counted, taken, sign in _classes(words, starts, order):
+                own = np.flatnonzero((key >> np.uint64(9)) % np.uint64(turns) == turn) if turns > 1 else slice(None)
+                with np.errstate(over="ignore"):
+                    key = key[own] * _MULTIPLY  # one to one; parts are ranges of it
+                if not len(key):
+                    continue
+                by = np.argsort(key)
+                key, doc, taken = key[by], doc[own][by], taken[own][by]
+                new = np.ones(len(key), bool)
+                new[1:] = key[1:] != key[:-1]
+                first = np.flatnonzero(new)
+                key, n = key[first], np.diff(np.append(first, len(key)))
+                m = np.add.reduceat(taken.astype(np.int64), first)
+                doc = doc[taken]
+                part = (((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+                often = n >= OFTEN if counted else np.zeros(len(n), bool)
+                if often.any():
+                    mine = np.repeat(often, m)
+                    add(hold % parts, PLACES, sign, key[often].tobytes(), m=_pack(m[often]), doc=_pack(doc[mine]))
+                    for p in np.unique(part[often]).tolist():
+                        i = often & (part == p)
+                        add(p, COUNTS, 0, key[i].tobytes(), _pack(n[i]))
+                    key, n, m, part, doc = key[~often], n[~often], m[~often], part[~often], doc[~mine]
+                cuts = np.searchsorted(part, np.arange(parts + 1))
+                ends = np.concatenate([[0], np.cumsum(m)])
+                for p in np.flatnonzero(np.diff(cuts)).tolist():
+                    i, j = cuts[p], cuts[p + 1]
+                    add(p, GRAMS, sign, key[i:j].tobytes(), _pack(n[i:j]) if counted else None, _pack(m[i:j]), _pack(doc[ends[i] : ends[j]]))
+            for i in range(0, len(rows), 64):
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows[i : i + 64], strict=True), _OWN, strict=True)], schema=_OWN)
+
+    return run
+
+
+def _row(kind, hold, **values):
+    own = {"part": 0, "kind": kind, "hold": hold} | values
+    return pa.RecordBatch.from_pylist([own], schema=_OWN)
+
+
+def _count_own():
+    """A part's rows: its n-grams are counted, and the counts joined to the n-grams of each hold."""
+
+    def run(batches):
+        held = []
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["kind"] in (GRAMS, COUNTS):
+                    keys = np.frombuffer(r["key"], np.uint64)
+                    held.append((r["kind"], r["hold"], r["sign"], keys, r["n"], r["m"], r["doc"]))
+                else:
+                    yield pa.RecordBatch.from_pylist([r], schema=_OWN)
+        counted = [(k, n) for _, _, _, k, n, _, _ in held if n is not None]
+        if not held:
+            return
+        keys, n = np.concatenate([k for k, _ in counted]), np.concatenate([_unpack(n) for _, n in counted])
+        by = np.argsort(keys)
+        keys = keys[by]
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        first = np.flatnonzero(new)
+        keys, count = keys[first], np.add.reduceat(n[by], first)
+        del n, by, new
+        logs = np.log(count)
+        for kind, hold, sign, own, _, m, doc in held:
+            at = np.searchsorted(keys, own)
+            if kind == COUNTS:
+                yield _row(ANSWERS, hold, key=own.tobytes(), n=_pack(count[at]))
+                continue
+            doc = _unpack(doc)
+            if len(doc):
+                texts, local = np.unique(doc, return_inverse=True)
+                sums = np.bincount(local, sign * np.repeat(logs[at], _unpack(m)), len(texts))
+                yield _row(SUMS, hold, doc=_pack(texts), m=sums.tobytes())
+
+    return run
+
+
+def _sum_own(first_turn: bool):
+    """Rows sorted by hold: sums of its texts, (a, b, s, t); words are told in the first turn."""
+
+    def close(rows):
+        head = next(r for r in rows if r["kind"] == TEXTS)
+        a, b, sizes = np.frombuffer(head["a"], np.int64), np.frombuffer(head["b"], np.int64), _unpack(head["n"])
+        total = np.zeros(len(a))
+        for r in rows:
+            if r["kind"] == SUMS:
+                total[_unpack(r["doc"])] += np.frombuffer(r["m"], np.float64)
+        answers = [(np.frombuffer(r["key"], np.uint64), _unpack(r["n"])) for r in rows if r["kind"] == ANSWERS]
+        if answers:
+            keys, counts = (np.concatenate(c) for c in zip(*answers, strict=True))
+            by = np.argsort(keys)
+            keys, logs = keys[by], np.log(counts[by])
+            for r in rows:
+                if r["kind"] == PLACES:
+                    at = np.searchsorted(keys, np.frombuffer(r["key"], np.uint64))
+                    total += np.bincount(_unpack(r["doc"]), r["sign"] * np.repeat(logs[at], _unpack(r["m"])), len(a))
+        return pa.record_batch([pa.array(a), pa.array(b), pa.array(total), pa.array(sizes if first_turn else np.zeros(len(a), np.int64))], names=["a", "b", "s", "t"])
+
+    def run(batches):
+        rows: list[dict] = []
+        for batch in batches:
+            for r in batch.to_pylist():
+                if rows and rows[0]["hold"] != r["hold"]:
+                    yield close(rows)
+                    rows = []
+                rows.append(r)
+        if rows:
+            yield close(rows)
+
+    return run
+
+
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, turns: int = TURNS) -> DataFrame:
     """Scores of all rows under the model of all rows: (id_col, n_tokens, log_score, mean_log_score).
 
-    Every n-gram of a row was counted, so its longest history always answers. Nulls, empty tables
-    and repeated rows are as for ``train`` and ``score``.
+    As each n-gram of a row was counted, its longest history always answers and nothing backs off:
+    what ``score(docs, train(docs))`` gives, at the cost of reading the texts once a turn. Natural
+    logs; a null text has no tokens; a text without tokens scores 0 with a null mean. Rows that repeat
+    an id are scored each; rows that repeat id and text share their score. Other columns are ignored;
+    no rows give no rows.
     """
-    return score(docs, train(docs, text_col, order, alpha, turns), id_col, text_col, seen=True)
+    spark = docs.sparkSession
+    folder = workspace(spark, "lm-scores")
+    slim = _keyed(docs, id_col, text_col)
+    texts = slim.select("a", "b", "text")
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    parts = max(spark.sparkContext.defaultParallelism, -(-size // (4 * turns * PART)))  # six bytes a word, three n-grams for two words
+    found = None
+    with released_shuffles(spark):
+        for turn in range(turns):
+            dealt = texts.mapInArrow(_explode_own(order, turn, turns, parts), OWN).repartitionById(parts, "part")
+            told = stored(dealt.mapInArrow(_count_own(), OWN), f"{folder}/parts-{turn}")
+            out = told.repartition(parts, "hold").sortWithinPartitions("hold").mapInArrow(_sum_own(turn == 0), "a long, b long, s double, t long")
+            out = stored(out, f"{folder}/sums-{turn}")
+            spark.createDataFrame([], told.schema).write.mode("overwrite").parquet(f"{folder}/parts-{turn}")  # nothing reads it any more
+            found = out if found is None else found.unionByName(out)
+        total = found.agg(F.sum("t")).first()[0] or 1
+        kind = slim.schema["id"].dataType
+        rows = slim.select("id", "a", "b", F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("t"), F.lit(1).cast("long").alias("m"))
+        rows = rows.unionByName(found.select(F.lit(None).cast(kind).alias("id"), "a", "b", "s", "t", F.lit(0).cast("long").alias("m")))
+        rows = rows.groupBy("a", "b").agg(F.max("id").alias("id"), F.sum("t").alias("t"), F.sum("m").alias("m"), F.sum("s").alias("s"))
+        n = (F.col("t") / F.col("m")).cast("long")
+        base = F.log(F.lit(float(total))) * (F.col("n_tokens") if order == 1 else F.when(F.col("n_tokens") > 0, 1.0).otherwise(0.0))
+        rows = rows.select(F.struct("a", "b").alias("key"), "id", n.alias("n_tokens"), "m", (F.col("s") / F.col("m")).alias("s"))
+        rows = stored(rows.select("key", "id", "n_tokens", "m", (F.col("s") - base).alias("log_score")), f"{folder}/scores")
+    return _per_row(rows, slim, id_col)
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, a, b, text): a and b tell a row by its id and its text's hash."""
+    slim = docs.select(F.col(id_col).alias("id"), row_order(id_col, text_col).alias("_key"), F.col(text_col).cast("binary").alias("text"))
+    return slim.select("id", F.xxhash64("id", "_key.a").alias("a"), F.xxhash64("_key.b", "id").alias("b"), "text")
+
+
+def _per_row(total: DataFrame, slim: DataFrame, id_col: str) -> DataFrame:
+    """Scores of (key, id, n_tokens, m, log_score) for each row; m rows that repeat id and text share one."""
+    out = total.where("m = 1").select("id", "n_tokens", "log_score")
+    again = total.where("m > 1").drop("id")
+    if not again.isEmpty():
+        rows = slim.select("id", F.struct("a", "b").alias("key"))
+        out = out.unionByName(join_to_groups(rows, again, "key", "m", rows.count()).select("id", "n_tokens", "log_score"))
+    return out.select(F.col("id").alias(id_col), "n_tokens", "log_score", F.expr("log_score / nullif(n_tokens, 0)").alias("mean_log_score"))

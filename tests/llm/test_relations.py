@@ -86,9 +86,9 @@ def lm_cases(rng, n):
     return [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 40))) for _ in range(n)] + ["", None, "one", "never seen twice", "\x85 x"]
 
 
-@pytest.mark.parametrize("order,hot,hold", [(1, 65_536, 1000), (2, 65_536, 50), (3, 65_536, 1000), (3, 20, 50), (4, 20, 1000)])
-def test_language_model_equals_brute_force(spark, tmp_path, monkeypatch, order, hot, hold):
-    monkeypatch.setattr(lm_score, "HOT", hot)
+@pytest.mark.parametrize("order,often,hold", [(1, 256, 1000), (1, 3, 50), (2, 256, 50), (2, 2, 1000), (3, 256, 1000), (3, 2, 50), (4, 3, 1000), (5, 256, 90)])
+def test_language_model_equals_brute_force(spark, tmp_path, monkeypatch, order, often, hold):
+    monkeypatch.setattr(lm_score, "OFTEN", often)
     monkeypatch.setattr(lm_score, "HOLD", hold)
     texts = lm_cases(random.Random(4), 40)
     rows = [(i, t, "s") for i, t in enumerate(texts)] + [(3, texts[3], "s"), (3, texts[3], "s"), (None, "aa b", "s"), (None, "aa b", "s"), (3, "gg", "s")]
