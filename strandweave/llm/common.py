@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,3 +86,16 @@ def pick_rows(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, fo
         again = join_to_groups(keyed, repeated.withColumnRenamed("copies", count), name, count, docs.count())
         out = out.unionByName(again.drop(count).dropDuplicates([name]))
     return out.drop(name)
+
+
+def fitted_in_task(sample: DataFrame, fit):
+    """``fit(rows)`` of a bounded sample (a list of tuples in no order), run in one task, where the
+    memory it takes is an executor's and a lost one is tried again; None where there are no rows."""
+
+    def run(batches):
+        rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        if rows:
+            yield pa.record_batch([pa.array([pickle.dumps(fit(rows))], pa.binary())], names=["model"])
+
+    found = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(bytes(found[0].model)) if found else None

@@ -28,7 +28,8 @@ class DigestIndex:
 
     ``folder`` holds the Parquet files; any later session opens it again by the same folder and
     bucket number (the session's shuffle partitions where none is given). Appends are Spark writes,
-    so a failed batch leaves no part of itself behind.
+    so a failed batch leaves no part of itself behind. One writer at a time: two batches that are added
+    at once may each append a digest that both bring.
     """
 
     def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None, key_type: str = "bigint"):

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandweave.llm.common import fitted_in_task
+
 #: Bounds of the training sample, in rows, whatever the length of their texts. The risk is a mean over
 #: the sample: at 12,000 unlabelled rows its standard error is under 1/100 of the loss's spread at
 #: any size of the corpus, and the prior's slack, which the estimate allows for, is 0.012.
@@ -175,15 +177,19 @@ def train_quality(
             yield pa.record_batch([pa.array(rows, pa.binary()), batch.column(1), batch.column(2)], names=["x", "kind", "order"])
 
     joined = base.join(F.broadcast(chosen), "id").select("text", "kind", F.xxhash64("id", "kind").alias("order"))
-    rows = joined.mapInArrow(run, "x binary, kind int, order long").toLocalIterator()
-    rows = sorted(((r.order, bytes(r.x), r.kind) for r in rows), key=lambda r: r[:2])
+    return fitted_in_task(joined.mapInArrow(run, "x binary, kind int, order long"), lambda rows: fit(rows, positives, unlabelled))
+
+
+def fit(rows: list[tuple[bytes, int, int]], positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> QualityModel | None:
+    """The model of rows of (features, 1 for trusted or 0, order)."""
+    rows = sorted(((order, x, kind) for x, kind, order in rows), key=lambda r: r[:2])
     kind = np.array([r[2] for r in rows], np.int64)
     x = np.empty((len(rows), WIDTH + 1), np.float32)
     for i, r in enumerate(rows):
         x[i] = np.frombuffer(r[1], np.float32)
     del rows
     trust = x[:, -1:].copy()
-    mean = np.average(x[:, :-1], axis=0, weights=trust[:, 0].astype(np.float64) + 1e-9) if len(x) else np.zeros(WIDTH)
+    mean = np.average(x[:, :-1], axis=0, weights=trust[:, 0].astype(np.float64) + 1e-9)
     x = x[:, :-1]
     x -= mean.astype(np.float32)
     x *= trust

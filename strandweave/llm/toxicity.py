@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandweave.llm.common import fitted_in_task
 from strandweave.llm.quality import _drawn, fold, keep_scored
 
 #: Bounds of the training sample, in labelled rows, whatever the length of their texts.
@@ -369,9 +370,13 @@ def train_toxicity(
     marks = base.select("id").distinct().join(marks, "id")
     chosen = _drawn(marks.where("y = 1"), toxic, 3).unionByName(_drawn(marks.where("y = 0"), clean, 4))
     got = base.join(F.broadcast(chosen), "id").select("text", "y", F.xxhash64("id", "y").alias("order"))
-    rows = sorted(((r.order, bytes(r.text), r.y) for r in got.toLocalIterator()), key=lambda r: r[:2])
     share = marks.agg(F.avg("y")).first()[0]
-    return fit([t for _, t, y in rows if y == 1][:toxic], [t for _, t, y in rows if y == 0][:clean], share)
+
+    def run(rows):
+        rows = sorted(((order, text, y) for text, y, order in rows), key=lambda r: r[:2])
+        return fit([t for _, t, y in rows if y == 1][:toxic], [t for _, t, y in rows if y == 0][:clean], share)
+
+    return fitted_in_task(got, run)
 
 
 def score_toxicity(
