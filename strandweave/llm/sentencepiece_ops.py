@@ -67,9 +67,9 @@ class PieceModel:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             charsmap, self.prefix, self.squeeze = _normalizer(f.read())
-        if charsmap:
-            raise ValueError("models with a character map are not supported")
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        # a character map is compiled for the library, whose normaliser then does all of it
+        self.mapped = sp.normalize if charsmap else None
         n = sp.vocab_size()
         plain = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.unknown = sp.unk_id()
@@ -139,6 +139,8 @@ class PieceModel:
         return out[::-1]
 
     def normalize(self, text: str) -> str:
+        if self.mapped is not None:
+            return self.mapped(text)
         if self.squeeze:
             text = re.sub(" +", " ", text).strip(" ")
         if not text:
