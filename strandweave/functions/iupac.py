@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import log2
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,6 +42,11 @@ def symbol(mask_: Column) -> Column:
     return F.substr(F.lit(CODES), mask_, F.lit(1))
 
 
+def bases(mask_: Column) -> Column:
+    """The bases of a mask as an array, in the order A, C, G, T."""
+    return F.array_compact(F.array(*(F.when(mask_.bitwiseAND(F.lit(1 << i)) != 0, F.lit(b)) for i, b in enumerate("ACGT"))))
+
+
 def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, CODES, PAIRED))
 
@@ -63,6 +70,13 @@ def degeneracy(seq: Column) -> Column:
     return F.aggregate(symbols, F.lit(1).cast("long"), lambda acc, s: acc * F.bit_count(mask(s)))
 
 
+def log2_degeneracy(seq: Column) -> Column:
+    """Logarithm to base 2 of the number of plain sequences, which for long sequences no integer holds."""
+    n = lambda codes: F.length(F.regexp_replace(seq, f"[^{codes}]", ""))
+    by_size = {size: "".join(c for m, c in enumerate(CODES, 1) if m.bit_count() == size) for size in (2, 3, 4)}
+    return n(by_size[2]) + n(by_size[3]) * float(log2(3)) + n(by_size[4]) * 2.0
+
+
 def ambiguous_fraction(seq: Column) -> Column:
     """Share of symbols other than A, C, G and T; null for an empty sequence."""
     return F.length(F.regexp_replace(seq, "[ACGT]", "")) / F.nullif(F.length(seq), F.lit(0))

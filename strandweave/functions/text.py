@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values.
-NUCLEOTIDE_RUN = "(?i)[ACGTURYSWKMBDHVN]{40,}"
+NUCLEOTIDE_RUN = "[ACGTURYSWKMBDHVNacgturyswkmbdhvn-]{40,}"
 REDACTED = "[SEQUENCE_REDACTED]"
 LOG_CHARS = 1000
 

@@ -58,20 +58,23 @@ class Policy:
 def plan(policy: Policy, valid) -> dict[str, str]:
     """RUN, REUSE or FORCED for each stage. ``valid(stage)`` tells whether its checkpoint holds.
 
-    A stage that can't be reused makes all that rest on it run. From a step, every stage before it
-    that it needs must hold, or nothing is planned.
+    Without resuming all run. From a step, it and what rests on it are forced, and what those need
+    besides must hold, or nothing is planned; stages that none of them needs are left as they are.
+    When resuming, a stage that is named, and all that rest on it, are forced; of the others those
+    that don't hold run, which forces all that rest on them.
     """
     if policy.from_step:
-        again = {policy.from_step, *descendants(policy.from_step)}
-        needed = {d for s in again for d in dependencies(s)} - again
+        forced = {policy.from_step, *descendants(policy.from_step)}
+        needed = {d for s in forced for d in dependencies(s)} - forced
         if bad := [s for s in STAGES if s in needed and not valid(s)]:
             raise ValueError(f"cannot start from {policy.from_step}: no valid checkpoint of {', '.join(bad)}")
-        return {s: "RUN" if s in again else "REUSE" if s in needed or valid(s) else "RUN" for s in STAGES}
+        return {s: "FORCED" if s in forced else "REUSE" for s in STAGES}
     if not policy.resume:
-        return {s: "RUN" for s in STAGES}
-    forced = {policy.force_step} if policy.force_step else set()
-    out: dict[str, str] = {}
+        return dict.fromkeys(STAGES, "RUN")
+    forced = {policy.force_step, *descendants(policy.force_step)} if policy.force_step else set()
+    out = {}
     for s in STAGES:
-        upset = any(out[d] != "REUSE" for d in NEEDS[s])
-        out[s] = "FORCED" if s in forced or any(out[d] == "FORCED" for d in NEEDS[s]) else "RUN" if upset or not valid(s) else "REUSE"
+        out[s] = "FORCED" if s in forced else "REUSE" if valid(s) else "RUN"
+        if out[s] == "RUN":
+            forced |= set(descendants(s))
     return out

@@ -7,6 +7,7 @@ import re
 from datetime import datetime, timezone
 from pathlib import Path
 
+from strandweave.functions.text import LOG_CHARS, NUCLEOTIDE_RUN, REDACTED
 from strandweave.sources.panel import write_json
 
 # Events and the fields each may carry; parts of names that hold secrets.
@@ -16,15 +17,16 @@ EVENTS = {
     "run_completed": ("status", "missing_evidence"), "run_action_required": ("status", "code", "artifact"), "run_failed": ("status", "stage", "message", "error_type"),
 }
 SECRET = ("token", "api_key", "secret", "password", "authorization", "email")
-RUN = re.compile(r"[ACGTURYSWKMBDHVNacgturyswkmbdhvn-]{40,}")
+RUN = re.compile(NUCLEOTIDE_RUN)
 
 
 def clean(value, name: str = ""):
     """A value fit for a log: no secrets, no long runs of nucleotides, at most 1000 characters."""
-    if any(s in name.lower() for s in SECRET):
+    plain = name.lower().replace("-", "_")
+    if any(plain == s or plain.endswith("_" + s) for s in SECRET):
         return "[REDACTED]"
     if isinstance(value, str):
-        return RUN.sub("[SEQUENCE_REDACTED]", value)[:1000]
+        return RUN.sub(REDACTED, value)[:LOG_CHARS]
     if isinstance(value, dict):
         return {k: clean(v, k) for k, v in value.items()}
     if isinstance(value, (list, tuple)):
