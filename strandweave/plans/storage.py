@@ -9,12 +9,44 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: A key is hot when it holds over one in HOT_SHARE rows; so at most HOT_SHARE keys are.
+HOT_SHARE = 1000
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; a temporary one where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="strandweave-")
+    """A fresh folder below ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where the session names none, a temporary folder serves on one machine; on a cluster that is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="strandweave-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` to ``groups`` (one row a key, ``size`` rows each): groups of hot keys are
+    broadcast, at most HOT_SHARE of them, so their rows stay where they are; others are merged."""
+    hot = groups.where(F.col(size) * HOT_SHARE > F.lit(total))
+    cold = groups.where(F.col(size) * HOT_SHARE <= F.lit(total))
+    near = rows.join(F.broadcast(hot), key)
+    return near.unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
+
+
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows, else as it is, to be merged."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores where its files give fewer splits than there are, as one file of one
+    row group does; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """Write and read back: cuts lineage in storage that outlives executors."""
     path = path or shared_folder(df.sparkSession, name)

@@ -9,12 +9,14 @@ from __future__ import annotations
 import html
 import json
 import os
+import re
+import shutil
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Columns of the published tables.
 COORDINATES = ("alignment_position", "reference_position", "reference_base")
@@ -35,6 +37,35 @@ AMPLICONS = (
     "dataset_name", "assay_id", "sequence_id", "orientation", "source_start", "source_end", "amplicon_size", "forward_source_start", "forward_source_end", "reverse_source_start",
     "reverse_source_end", "probe_source_sites", "forward_hit_rank", "reverse_hit_rank", "probe_hit_ranks", "primer_amplicon_plausible", "detectable_off_target",
 )
+OLIGO_FIELDS = ("sequence", "reference_start", "reference_end", "length", "tm", "gc_percent", "penalty")
+ASSAYS = ("assay_id", "region_id", "primer3_index", *(f"{o}_{c}" for o in ("forward", "probe", "reverse") for c in OLIGO_FIELDS), "product_size", "pair_penalty")
+OLIGO_MATCHES = (
+    "assay_id", "sequence_id", "role", "orientation", "hit_rank", "source_start", "source_end", "expected_start", "expected_end", "displacement", "mismatch_positions",
+    "mismatch_count", "exact_match", "three_prime_mismatch", "probe_mismatch", "compatible", "selected",
+)
+ASSAY_INCLUSIVITY = (
+    "assay_id", "sequence_id", "orientation", "geometry_found", "source_amplicon_start", "source_amplicon_end", "amplicon_size", "forward_hit_rank", "probe_hit_rank",
+    "reverse_hit_rank", "original_forward_compatible", "original_probe_compatible", "original_reverse_compatible", "original_compatible", "proposed_forward_compatible",
+    "proposed_probe_compatible", "proposed_reverse_compatible", "proposed_compatible",
+)
+VARIATIONS = (
+    "assay_id", "role", "oligo_position", "original_symbol", "original_support", "observed_symbol", "observed_support", "affected_sequence_ids", "affected_sequence_count",
+    "affected_fraction", "primer_3_prime_position",
+)
+PROPOSALS = (
+    "assay_id", "role", "original_sequence", "proposed_sequence", "status", "reason", "original_degeneracy", "proposed_degeneracy", "changed_positions", "binding_site_count",
+    "original_exact_count", "original_exact_fraction", "proposed_exact_count", "proposed_exact_fraction",
+)
+_WORST = ("worst_dataset_name", "worst_dataset_criticality", "worst_similarity", "worst_critical_similarity", "worst_important_similarity", "contrast_margin")
+CONTRAST_WINDOWS = (
+    "reference_start", "reference_end", "target_mean_conservation", "target_minimum_conservation", "target_mean_coverage", "target_mean_gap_frequency",
+    "target_mean_entropy_bits", "target_eligible", *_WORST,
+)
+CONTRAST_DATASETS = ("reference_start", "reference_end", "dataset_name", "criticality", "sequence_count", "best_sequence_id", "best_orientation", "similarity")
+CONTRAST_REGIONS = (
+    "region_id", "rank", "reference_start", "reference_end", "peak_start", "peak_end", "contributing_windows", "mean_conservation", "minimum_conservation", "mean_coverage",
+    "mean_gap_frequency", "mean_entropy_bits", *_WORST,
+)
 RANKING = (
     "rank", "assay_id", "region_id", "classification", "score_status", "final_score", "inclusivity", "specificity", "conservation", "primer3_quality", "robustness",
     "original_compatible_count", "evaluation_sequence_count", "inclusivity_fraction", "compatible_off_target_hit_count", "plausible_off_target_count",
@@ -42,27 +73,43 @@ RANKING = (
 )
 
 
-def field(column: str, kind: T.DataType) -> Column:
+def cell(value) -> str:
     """A table cell: nothing for null, true and false, lists by commas, (start, end) pairs as a-b."""
-    c = F.col(column)
-    if isinstance(kind, T.ArrayType):
-        if isinstance(kind.elementType, T.StructType):
-            c = F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
-        else:
-            c = F.array_join(c.cast("array<string>"), ",")
-    elif isinstance(kind, (T.StructType, T.MapType)):
-        c = F.to_json(c)
-    return F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), "[\t\r\n]", " ").alias(column)
+    if value is None:
+        return ""
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, list):
+        return ",".join(map(cell, value))
+    if isinstance(value, dict):
+        return "-".join(cell(x) for x in value.values())
+    return re.sub("[\t\r\n]", " ", value) if isinstance(value, str) else str(value)
+
+
+def quoted_cell(value) -> str:
+    """A cell of the tables that quote: as it is, in quotation marks where it holds a tab, a quote or a
+    line end; lists of pairs as JSON."""
+    if isinstance(value, list):
+        value = json.dumps([list(x.values()) if isinstance(x, dict) else x for x in value])
+    text = "" if value is None else str(value)
+    return '"' + text.replace('"', '""') + '"' if any(ch in text for ch in '\t"\r\n') else text
+
+
+def lines(df: DataFrame, columns: tuple[str, ...], quoted: bool = False) -> DataFrame:
+    """(value): a line of text for each row, made where the rows are."""
+    form = quoted_cell if quoted else cell
 
+    def run(batches):
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            yield pa.record_batch([pa.array(["\t".join(map(form, row)) for row in rows], pa.string())], names=["value"])
 
-def tsv_rows(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    kinds = {f.name: f.dataType for f in df.schema}
-    return df.select(*(field(c, kinds[c]) for c in columns))
+    return df.select(*(F.col(c) for c in columns)).mapInArrow(run, "value string")
 
 
-def write_tsv(df: DataFrame, path: str, columns: tuple[str, ...]) -> None:
-    """A folder of TSV parts, each with the header."""
-    tsv_rows(df, columns).write.option("sep", "\t").option("header", True).option("emptyValue", "").mode("overwrite").csv(path)
+def write_parts(df: DataFrame, path: str, columns: tuple[str, ...], *order, quoted: bool = False) -> None:
+    """A folder of parts without header, which in the order of their names hold the rows in order."""
+    lines(df.orderBy(*order) if order else df, columns, quoted).write.mode("overwrite").text(path)
 
 
 def replace_text(path: Path, text: str) -> None:
@@ -73,15 +120,61 @@ def replace_text(path: Path, text: str) -> None:
     os.replace(part, path)
 
 
-def write_table(df: DataFrame, path: str, columns: tuple[str, ...], *order) -> None:
-    """One TSV file in order, streamed through the driver a partition at a time."""
+def write_table(df: DataFrame, path: str, columns: tuple[str, ...], *order, quoted: bool = False, bare: bool = False) -> None:
+    """One TSV file in order: its lines are made and sorted in tasks; the driver only joins their files.
+
+    ``bare``: one column's text as it is, without header.
+    """
+    target = Path(path)
+    target.parent.mkdir(parents=True, exist_ok=True)
+    parts, part = target.with_name(f".{target.name}.parts"), target.with_name(f".{target.name}.part")
+    if bare:
+        whole = F.regexp_replace(columns[0], "\n$", "")  # the writer ends each row with a line end
+        df.orderBy(*order).select(whole.alias("value")).write.mode("overwrite").text(f"file://{parts.resolve()}")
+    else:
+        write_parts(df, f"file://{parts.resolve()}", columns, *order, quoted=quoted)
+    with part.open("wb") as out:
+        out.write(b"" if bare else ("\t".join(columns) + "\n").encode())
+        for p in sorted(parts.glob("part-*")):
+            with p.open("rb") as f:
+                shutil.copyfileobj(f, out)
+    shutil.rmtree(parts)
+    os.replace(part, target)
+
+
+def write_fasta(df: DataFrame, path: str, *order, line: int = 60) -> None:
+    """One FASTA file of (sequence_id, sequence) in order, as ``write_table`` does."""
+    record = F.concat(F.lit(">"), F.col("sequence_id"), F.lit("\n"), F.regexp_replace(F.regexp_replace("sequence", f"(.{{1,{line}}})", "$1\n"), "\n$", ""))
+    target = Path(path)
+    target.parent.mkdir(parents=True, exist_ok=True)
+    parts, part = target.with_name(f".{target.name}.parts"), target.with_name(f".{target.name}.part")
+    df.orderBy(*order).select(record.alias("value")).write.mode("overwrite").text(f"file://{parts.resolve()}")
+    with part.open("wb") as out:
+        for p in sorted(parts.glob("part-*")):
+            with p.open("rb") as f:
+                shutil.copyfileobj(f, out)
+    shutil.rmtree(parts)
+    os.replace(part, target)
+
+
+def write_json_rows(path: str, name: str, rows: DataFrame, *order, **more) -> None:
+    """A JSON file of an object with a list ``name`` of rows, in order, and ``more``. Rows become text
+    in tasks and pass through the driver a line at a time."""
     target = Path(path)
     target.parent.mkdir(parents=True, exist_ok=True)
-    part = target.with_name(f".{target.name}.part")
-    with part.open("w", encoding="utf-8") as f:
-        f.write("\t".join(columns) + "\n")
-        for row in tsv_rows(df.orderBy(*order) if order else df, columns).toLocalIterator():
-            f.write("\t".join(row) + "\n")
+    parts, part = target.with_name(f".{target.name}.parts"), target.with_name(f".{target.name}.part")
+    rows.orderBy(*order).select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(f"file://{parts.resolve()}")
+    with part.open("w", encoding="utf-8") as out:
+        rest = json.dumps(more, sort_keys=True, allow_nan=False)[1:-1]
+        out.write("{" + (rest + ", " if rest else "") + json.dumps(name) + ": [")
+        gap = "\n"
+        for p in sorted(parts.glob("part-*")):
+            with p.open(encoding="utf-8") as f:
+                for line in f:
+                    out.write(gap + line.rstrip("\n"))
+                    gap = ",\n"
+        out.write("\n]}\n")
+    shutil.rmtree(parts)
     os.replace(part, target)
 
 
@@ -93,22 +186,37 @@ def write_report(path: str, report: dict, publish) -> None:
     replace_text(target, json.dumps(report, indent=2, sort_keys=True, allow_nan=False) + "\n")
 
 
-#: What a bundle may hold, by suffix.
-BUNDLED = (".json", ".jsonl", ".tsv", ".fasta", ".html", ".yaml")
+# What a bundle may hold, files of the run's folder and whole folders below it.
+BUNDLED_FILES = ("report.html", "report_error.json", "run_manifest.json", "run_summary.json", "qc_report.json", "ncbi_dataset_manifest.json")
+BUNDLED_FOLDERS = ("panel", "conservation", "contrastive_conservation", "primer_design", "inclusivity", "specificity", "ranking")
 
 
-def bundle(folder: str, target: str) -> list[str]:
-    """A ZIP of a run's published files, the same bytes for the same files; links are left out."""
+def bundle(folder: str, target: str, extra: tuple[str, ...] = ()) -> list[str]:
+    """A ZIP of a run's published files and of its checkpoints' manifests, the same bytes for the same
+    files; links are left out. ``extra`` files go below inputs/ and must not share a name."""
     root, out = Path(folder), Path(target)
-    names = sorted(p.relative_to(root).as_posix() for p in root.rglob("*") if p.is_file() and not p.is_symlink() and not any(q.is_symlink() for q in p.parents if q != root and root in q.parents) and p.suffix in BUNDLED and p != out)
+    if not root.is_dir():
+        raise ValueError(f"no run in {folder}")
+    plain = lambda p: p.is_file() and not p.is_symlink() and p != out
+    found = {name: root / name for name in BUNDLED_FILES if plain(root / name)}
+    for name, files in [*((n, "*") for n in BUNDLED_FOLDERS), (".checkpoints", "manifest.json")]:
+        if (root / name).is_dir() and not (root / name).is_symlink():
+            found |= {p.relative_to(root).as_posix(): p for p in (root / name).rglob(files) if plain(p)}
+    for x in map(Path, extra):
+        name = f"inputs/{x.name}"
+        if not plain(x) or name in found:
+            raise ValueError(f"{x} is no plain file or repeats a name")
+        found[name] = x
+    out.parent.mkdir(parents=True, exist_ok=True)
     part = out.with_name(f".{out.name}.part")
-    with zipfile.ZipFile(part, "w", zipfile.ZIP_DEFLATED) as z:
-        for name in names:
+    with zipfile.ZipFile(part, "w", zipfile.ZIP_DEFLATED, compresslevel=9) as z:
+        for name in sorted(found):
             info = zipfile.ZipInfo(name, (1980, 1, 1, 0, 0, 0))
-            info.compress_type, info.external_attr = zipfile.ZIP_DEFLATED, 0o644 << 16
-            z.writestr(info, (root / name).read_bytes())
+            info.compress_type, info.external_attr = zipfile.ZIP_DEFLATED, 0o100644 << 16
+            with found[name].open("rb") as f, z.open(info, "w") as to:
+                shutil.copyfileobj(f, to)
     os.replace(part, out)
-    return names
+    return sorted(found)
 
 
 def html_table(title: str, columns: tuple[str, ...], rows) -> str:
