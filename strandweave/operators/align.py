@@ -13,6 +13,8 @@ from strandweave.plans.storage import materialize
 OPEN, EXTEND, MATCH, MISMATCH = 3.0, 0.5, 1.0, -1.0
 #: Length of the exact words that anchor long sequences, and letters between anchors aligned in full.
 ANCHOR, FULL = 24, 2_000
+#: Cells of the matrices that are held at once; larger alignments are halved until they fit.
+CELLS = 16_000_000
 _TABLE = str.maketrans(iupac.CODES, iupac.PAIRED)
 
 
@@ -92,6 +94,52 @@ def global_path(a: str, b: str) -> tuple[float, list[tuple[int, int]]]:
     return float(h[-1]), [(op, k) for op, k in reversed(out)]
 
 
+def _last_row(a: str, b: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best scores of all of ``a`` against each beginning of ``b``: of any alignment, of those that end
+    in letters of ``a`` alone, and how many letters of ``a`` come before that last run."""
+    x, y = (np.frombuffer(s.encode(), np.uint8) for s in (a, b))
+    m = len(y)
+    slope = EXTEND * np.arange(m + 1)
+    h = np.concatenate([[0.0], -OPEN - slope[1:]])
+    down, before = np.full(m + 1, -1e18), np.zeros(m + 1, np.int64)
+    for i in range(1, len(x) + 1):
+        fresh, longer = h - OPEN - EXTEND, down - EXTEND
+        new = fresh >= longer
+        before = np.where(new, i - 1, before)
+        down = np.where(new, fresh, longer)
+        now = down.copy()
+        now[1:] = np.maximum(now[1:], h[:-1] + np.where(y == x[i - 1], MATCH, MISMATCH))
+        ahead = np.maximum.accumulate(now + slope)
+        now[1:] = np.maximum(now[1:], ahead[:-1] - OPEN - slope[1:])
+        h = now
+    return h, down, before
+
+
+def best_path(a: str, b: str) -> tuple[float, list[tuple[int, int]]]:
+    """``global_path`` in memory of one row: long sequences are halved where the best alignment crosses
+    the middle of ``a``, in a place or within a run of letters of ``a`` alone (Myers and Miller, 1988)."""
+    n = len(a)
+    if n < 2 or n * len(b) <= CELLS:
+        return global_path(a, b)
+    mid = n // 2
+    h, down, before = _last_row(a[:mid], b)
+    h2, down2, after = (r[::-1] for r in _last_row(a[mid:][::-1], b[::-1]))
+    meet, run = h + h2, down + down2 + OPEN
+    i, j = int(meet.argmax()), int(run.argmax())
+    if meet[i] >= run[j]:
+        score, parts = meet[i], [best_path(a[:mid], b[:i])[1], best_path(a[mid:], b[i:])[1]]
+    else:
+        first, last = int(before[j]), n - int(after[j])
+        score, parts = run[j], [best_path(a[:first], b[:j])[1], [(1, last - first)], best_path(a[last:], b[j:])[1]]
+    out: list[list[int]] = []
+    for op, k in (x for part in parts for x in part):
+        if out and out[-1][0] == op:
+            out[-1][1] += k
+        else:
+            out.append([op, k])
+    return float(score), [tuple(x) for x in out]
+
+
 def anchors(a: str, b: str) -> list[tuple[int, int]]:
     """Places of words that occur once in each, in the longest run that grows in both."""
     def once(s):
@@ -124,19 +172,19 @@ def anchors(a: str, b: str) -> list[tuple[int, int]]:
 def align_pair(reference: str, seq: str) -> tuple[float, list[tuple[int, int]]]:
     """Alignment of two sequences; long ones are cut at anchors and joined between them."""
     if len(reference) * len(seq) <= FULL * FULL:
-        return global_path(reference, seq)
+        return best_path(reference, seq)
     chain = anchors(reference, seq)
     if not chain:
-        return global_path(reference, seq)
+        return best_path(reference, seq)
     total, path, x, y = 0.0, [], 0, 0
     for i, j in chain:
         if i < x or j < y:
             continue
-        score, part = global_path(reference[x:i], seq[y:j])
+        score, part = best_path(reference[x:i], seq[y:j])
         total += score + 1
         path += [*part, (0, 1)]
         x, y = i + 1, j + 1
-    score, part = global_path(reference[x:], seq[y:])
+    score, part = best_path(reference[x:], seq[y:])
     return total + score, [*path, *part]
 
 

@@ -13,10 +13,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.plans.storage import materialize
+from strandweave.plans.storage import materialize, number_rows, running_sum
 
 
 def word_length(identity: float) -> int:
@@ -95,8 +95,6 @@ def clusters(sequences: DataFrame, least: float = 0.95) -> DataFrame:
     )
     homes = best.select(F.col("member").alias("ordinal"), "b.leader", "b.identity").unionByName(leaders.select(F.col("leader").alias("ordinal"), "leader", F.lit(None).cast("double").alias("identity")))
     first = homes.groupBy("leader").agg(F.min("ordinal").alias("first"))
-    from strandweave.plans.storage import number_rows
-
     named = number_rows(first, "n", "first").select("leader", F.format_string("cluster-%05d", F.col("n") - 1).alias("cluster_id"))
     ids = sequences.select("ordinal", "sequence_id")
     return (
@@ -120,15 +118,31 @@ def input_gaps(sequences: DataFrame, evaluation: DataFrame, minimum: int) -> Dat
     return repeated.unionByName(one).unionByName(other).unionByName(short)
 
 
+def result_gaps(clusters_: DataFrame, evaluation: DataFrame) -> DataFrame:
+    """(problem, sequence_id): sequences in no cluster or in several, unknown ones, and clusters without
+    exactly one representative (by their id)."""
+    ids = clusters_.select("sequence_id")
+    wanted = evaluation.select("sequence_id")
+    often = ids.groupBy("sequence_id").count().where("count > 1").select(F.lit("IN_SEVERAL_CLUSTERS").alias("problem"), "sequence_id")
+    none = wanted.join(ids, "sequence_id", "left_anti").select(F.lit("IN_NO_CLUSTER").alias("problem"), "sequence_id")
+    other = ids.join(wanted, "sequence_id", "left_anti").select(F.lit("UNKNOWN_SEQUENCE").alias("problem"), "sequence_id")
+    led = clusters_.groupBy(F.col("cluster_id").cast("string").alias("sequence_id")).agg(F.count_if("is_representative").alias("n")).where("n <> 1").select(F.lit("REPRESENTATIVES").alias("problem"), "sequence_id")
+    return often.unionByName(none).unionByName(other).unionByName(led)
+
+
 def parse_clstr(lines: DataFrame) -> DataFrame:
-    """(cluster, member, sequence_id, is_representative, identity, strand) of ``.clstr`` lines.
+    """(cluster, number, sequence_id, is_representative, identity, strand) of ``.clstr`` lines.
 
-    ``lines``: (number, value) of one report; a running count of headers names each line's cluster.
+    ``lines``: (number, value) of one report; the headers before a line, counted in blocks of lines,
+    tell its cluster. A line that is neither header nor member fails the query; ``result_gaps`` tells
+    whether each sequence is there once and each cluster has one representative.
     """
     header = r"^>Cluster \d+$"
     member = r"^\d+\t\d+nt, >(.+?)\.\.\. (\*|at (?:([+-])/)?([0-9.]+)%)$"
-    rows = lines.where(F.trim("value") != "").withColumn("cluster", F.sum(F.when(F.col("value").rlike(header), 1).otherwise(0)).over(Window.orderBy("number")) - 1)
-    rows = rows.where(~F.col("value").rlike(header))
+    is_header = F.col("value").rlike(header)
+    rows = running_sum(lines.where(F.trim("value") != ""), "number", F.when(is_header, 1).otherwise(0), "_headers")
+    rows = rows.where(~is_header)
     part = lambda i: F.regexp_extract("value", member, i)
-    checked = F.when(F.col("value").rlike(member), part(1)).otherwise(F.raise_error(F.concat(F.lit("bad cluster line "), F.col("number").cast("string"))).cast("string"))
-    return rows.select("cluster", F.col("number"), checked.alias("sequence_id"), (part(2) == "*").alias("is_representative"), (F.nullif(part(4), F.lit("")).cast("double") / 100).alias("identity"), F.nullif(part(3), F.lit("")).alias("strand"))
+    fine = F.col("value").rlike(member) & (F.col("_headers") > 0)
+    checked = F.when(fine, part(1)).otherwise(F.raise_error(F.concat(F.lit("bad cluster line "), F.col("number").cast("string"))).cast("string"))
+    return rows.select((F.col("_headers") - 1).alias("cluster"), F.col("number"), checked.alias("sequence_id"), (part(2) == "*").alias("is_representative"), (F.nullif(part(4), F.lit("")).cast("double") / 100).alias("identity"), F.nullif(part(3), F.lit("")).alias("strand"))

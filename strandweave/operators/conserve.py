@@ -113,3 +113,18 @@ def annotations(features: DataFrame, reference_length: int) -> tuple[DataFrame,
     out = rows.where(fine).select("type", start.alias("start"), end.alias("end"), F.col("p.strand").alias("strand"), text.feature_label(F.col("qualifiers"), F.col("type")).alias("label"))
     skipped = features.where(source).select(F.greatest(F.lit(1), F.size("parts")).alias("n")).unionByName(rows.where(~F.coalesce(fine, F.lit(False))).select(F.lit(1).alias("n")))
     return out.orderBy("start", "end", "type", "label"), skipped.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("skipped"))
+
+
+def input_problems(aligned: DataFrame, coordinates: DataFrame, reference_id: str) -> DataFrame:
+    """(problem, at): rows of another width, a reference that isn't there once, repeated sequences, and
+    coordinates that aren't those of the reference's row."""
+    width = aligned.agg(F.max(F.length("aligned_sequence")).alias("w"))  # one row
+    odd = aligned.crossJoin(F.broadcast(width)).where(F.length("aligned_sequence") != F.col("w")).select(F.lit("WIDTH").alias("problem"), F.col("sequence_id").alias("at"))
+    often = aligned.groupBy("sequence_id").count().where("count > 1").select(F.lit("REPEATED_SEQUENCE").alias("problem"), F.col("sequence_id").alias("at"))
+    own = aligned.where(F.col("sequence_id") == reference_id)
+    none = own.agg(F.count(F.lit(1)).alias("n")).where("n <> 1").select(F.lit("REFERENCE").alias("problem"), F.lit(reference_id).alias("at"))
+    told = coordinate_map(cells(own)).withColumnsRenamed({"reference_position": "_position", "reference_base": "_base"}).withColumn("_own", F.lit(True))
+    both = coordinates.withColumn("_given", F.lit(True)).join(told, "alignment_position", "full_outer")
+    same = F.col("reference_position").eqNullSafe(F.col("_position")) & F.col("reference_base").eqNullSafe(F.col("_base")) & F.col("_own").isNotNull() & F.col("_given").isNotNull()
+    moved = both.where(~same).select(F.lit("COORDINATES").alias("problem"), F.col("alignment_position").cast("string").alias("at"))
+    return odd.unionByName(often).unionByName(none).unionByName(moved)

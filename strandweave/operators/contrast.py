@@ -107,10 +107,15 @@ def evidence(windows: DataFrame, datasets: DataFrame, matches: DataFrame) -> Dat
 def summarize(evidence_: DataFrame) -> DataFrame:
     """Worst dataset of each window, highest similarity by criticality, and the target's margin."""
     of = lambda kind: F.max(F.when(F.col("criticality") == kind, F.col("similarity")))
-    worst = F.max_by(F.struct("dataset", "similarity"), F.struct("similarity", (-F.col("panel_ordinal")).alias("o")))
+    worst = F.max_by(F.struct("dataset", "similarity", "criticality"), F.struct("similarity", (-F.col("panel_ordinal")).alias("o")))
     measures = [F.first(c).alias(c) for c in evidence_.columns if c in ("mean_conservation", "minimum_conservation", "mean_coverage", "mean_gap_frequency", "mean_entropy_bits", "usable_length", "position_count")]
     out = evidence_.groupBy("reference_start", "reference_end").agg(worst.alias("w"), of("CRITICAL").alias("worst_critical_similarity"), of("IMPORTANT").alias("worst_important_similarity"), *measures)
-    return out.withColumns({"worst_dataset": F.col("w.dataset"), "worst_similarity": F.col("w.similarity")}).withColumn("conservation_margin", F.col("mean_conservation") - F.col("worst_similarity")).drop("w")
+    return out.withColumns({"worst_dataset": F.col("w.dataset"), "worst_criticality": F.col("w.criticality"), "worst_similarity": F.col("w.similarity")}).withColumn("conservation_margin", F.col("mean_conservation") - F.col("worst_similarity")).drop("w")
+
+
+def named_worst(rows: DataFrame) -> DataFrame:
+    """Summaries or candidates with their columns named as they are published."""
+    return rows.withColumnsRenamed({"worst_dataset": "worst_dataset_name", "worst_criticality": "worst_dataset_criticality", "conservation_margin": "contrast_margin"})
 
 
 def _first(name: str) -> Column:
@@ -127,7 +132,7 @@ def candidates(summaries: DataFrame, positions: DataFrame, reference_length: int
     The window is what must be eligible; the region's own metrics may be worse.
     """
     wide = regions.expanded_windows(summaries.where(regions.eligible(c)), reference_length, c)
-    led = F.struct("peak_start", "peak_end", "worst_dataset", "worst_similarity", "worst_critical_similarity", "worst_important_similarity", "conservation_margin")
+    led = F.struct("peak_start", "peak_end", "worst_dataset", "worst_criticality", "worst_similarity", "worst_critical_similarity", "worst_important_similarity", "conservation_margin")
     key = F.struct(*(k.alias(f"k{i}") for i, k in enumerate(representative_key())))
     grouped = wide.groupBy(F.col("_first").alias("reference_start"), F.col("_last").alias("reference_end")).agg(
         F.min_by(led, key).alias("r"), F.sort_array(F.collect_list(F.struct(F.col("peak_start").alias("start"), F.col("peak_end").alias("end")))).alias("contributing_windows")

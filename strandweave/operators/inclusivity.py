@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strandweave.functions import iupac
 from strandweave.operators.match import ORIENTATIONS, ROLES, Oligo, local_sites, reverse_masks, to_masks
 from strandweave.plans.config import InclusivityConfig
+from strandweave.plans.storage import small
 
 _HIT = (
     "struct<role: string, orientation: string, hit_rank: int, source_start: int, source_end: int, expected_start: int, expected_end: int, displacement: int, "
@@ -140,13 +141,14 @@ def variations(bound: DataFrame, assays: DataFrame, sequence_count: int, config:
     """
     sites = selected_sites(bound)
     grouped = sites.groupBy("assay_id", "role", "site").agg(F.count(F.lit(1)).alias("n"))
-    rows = grouped.join(F.broadcast(long_oligos(assays)), ["assay_id", "role"]).select("*", F.explode(F.sequence(F.lit(1), F.length("oligo"))).alias("oligo_position"))
+    rows = grouped.join(small(long_oligos(assays)), ["assay_id", "role"]).select("*", F.explode(F.sequence(F.lit(1), F.length("oligo"))).alias("oligo_position"))
     seen, own = iupac.mask_at(F.col("site"), F.col("oligo_position")), iupac.mask_at(F.col("oligo"), F.col("oligo_position"))
     rows = rows.withColumns({"seen": seen, "own": own, "original_symbol": F.substr("oligo", F.col("oligo_position"), F.lit(1)), "size": F.length("oligo")})
     keys = ["assay_id", "role", "oligo_position", "original_symbol", "own", "size"]
     out = rows.groupBy(*keys).agg(F.sum(F.when(F.col("seen") != F.col("own"), F.col("n")).otherwise(0)).alias("affected_sequence_count"), F.bit_or("seen").alias("seen")).where("affected_sequence_count > 0")
     out = out.select(
-        "assay_id", "role", "oligo_position", "original_symbol", iupac.symbol(F.col("seen")).alias("observed_symbol"), "affected_sequence_count",
+        "assay_id", "role", "oligo_position", "original_symbol", iupac.bases(F.col("own")).alias("original_support"),
+        iupac.symbol(F.col("seen")).alias("observed_symbol"), iupac.bases(F.col("seen")).alias("observed_support"), "affected_sequence_count",
         (F.col("affected_sequence_count") / F.lit(sequence_count)).alias("affected_fraction"),
         ((F.col("role") != "PROBE") & (F.col("oligo_position") > F.col("size") - config.primer_3_prime_bases)).alias("primer_3_prime_position"),
     )
@@ -241,7 +243,7 @@ def proposals(bound: DataFrame, assays: DataFrame, config: InclusivityConfig) ->
 def proposed_compatibility(bound: DataFrame, proposals_: DataFrame, config: InclusivityConfig) -> DataFrame:
     """(assay_id, sequence_id, role, ...) of the proposed oligos at the sites already selected."""
     effective = F.when(F.col("status") == "ACCEPTED", F.col("proposed_sequence")).otherwise(F.col("original_sequence")).alias("effective_sequence")
-    rows = selected_sites(bound).join(F.broadcast(proposals_.select("assay_id", "role", effective)), ["assay_id", "role"])
+    rows = selected_sites(bound).join(small(proposals_.select("assay_id", "role", effective)), ["assay_id", "role"])
     rows = rows.withColumn("mismatch_positions", iupac.mismatch_positions(F.col("effective_sequence"), F.col("site")))
     n = F.length("effective_sequence")
     fine = iupac.compatible(F.col("mismatch_positions"), n, F.col("role"), config.max_primer_mismatches, config.max_probe_mismatches, config.reject_primer_3_prime_mismatch, config.primer_3_prime_bases)
@@ -250,9 +252,20 @@ def proposed_compatibility(bound: DataFrame, proposals_: DataFrame, config: Incl
 
 
 def assay_results(bound: DataFrame, proposed: DataFrame) -> DataFrame:
-    """Bindings with whether the proposed oligos would be compatible, without their sites."""
-    all_fine = proposed.groupBy("assay_id", "sequence_id", "ordinal").agg((F.count_if("compatible") == len(ROLES)).alias("_fine"))
-    return bound.drop("hits").join(all_fine, ["assay_id", "sequence_id", "ordinal"], "left").withColumn("proposed_compatible", F.col("geometry_found") & F.coalesce("_fine", F.lit(False))).drop("_fine")
+    """Bindings, without their sites, with each role's selected site and what the proposed oligos do there.
+
+    (role)_hit_rank and original_(role)_compatible are of the selected sites, also where no geometry
+    was found; proposed_(role)_compatible are null there, as nothing is proposed at such sites.
+    """
+    of = lambda role: F.try_element_at(F.filter("hits", lambda h: h["selected"] & (h["role"] == role)), F.lit(1))
+    told = bound.select("*", *(of(r).alias(f"_{r}") for r in ROLES))
+    ranks = [F.col(f"_{r}.hit_rank").alias(f"{r.lower()}_hit_rank") for r in ROLES]
+    fits = [F.col(f"_{r}.compatible").alias(f"original_{r.lower()}_compatible") for r in ROLES]
+    told = told.select(*(c for c in bound.columns if c != "hits"), *ranks, *fits)
+    each = [F.bool_and(F.when(F.col("role") == r, F.col("compatible"))).alias(f"proposed_{r.lower()}_compatible") for r in ROLES]
+    fine = proposed.groupBy("assay_id", "sequence_id", "ordinal").agg(*each, (F.count_if("compatible") == len(ROLES)).alias("_fine"))
+    out = told.join(fine, ["assay_id", "sequence_id", "ordinal"], "left")
+    return out.withColumn("proposed_compatible", F.col("geometry_found") & F.coalesce("_fine", F.lit(False))).drop("_fine")
 
 
 def counts(results: DataFrame) -> DataFrame:

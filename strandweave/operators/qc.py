@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandweave.functions import iupac
 from strandweave.plans.config import QCConfig
+from strandweave.plans.storage import join_groups, materialize
 
 REJECTED, ACCEPTED = "REJECTED", "ACCEPTED"
 
@@ -17,8 +18,8 @@ def rule_code(config: QCConfig):
     rules = F.when(iupac.invalid_position(seq) > 0, "INVALID_NUCLEOTIDE")
     if config.min_length is not None:
         rules = rules.when(n < config.min_length, "TOO_SHORT")
-    if config.max_ambiguity_fraction is not None:
-        rules = rules.when((n > 0) & (iupac.ambiguous_fraction(seq) > config.max_ambiguity_fraction), "EXCESSIVE_AMBIGUITY")
+    if config.max_ambiguous_fraction is not None:
+        rules = rules.when((n > 0) & (iupac.ambiguous_fraction(seq) > config.max_ambiguous_fraction), "EXCESSIVE_AMBIGUITY")
     if config.expected_length is not None and config.length_tolerance_fraction is not None:
         slack = config.expected_length * config.length_tolerance_fraction
         rules = rules.when(~n.between(config.expected_length - slack, config.expected_length + slack), "INCONSISTENT_LENGTH")
@@ -29,19 +30,22 @@ def evaluate(sequences: DataFrame, config: QCConfig) -> DataFrame:
     """``sequences`` (ordinal, sequence_id, sequence, ...) with status and reason_codes.
 
     A sequence that passes the rules and repeats an earlier one that passed is a duplicate. Rules
-    depend on the sequence alone, so equal sequences share one answer and the earliest is the one
-    that stays: a group's least ordinal, combined before rows move, tells it.
+    depend on the sequence alone, so equal sequences share one answer and the earliest stays. Each
+    sequence is read once for its rule and digest, which are stored; only those and ordinals move,
+    and a sequence that is often repeated takes its answer to its rows.
     """
-    rows = sequences.withColumn("_rule", rule_code(config)).withColumn("_digest", F.sha2(F.col("sequence"), 256))
-    first = rows.where("_rule is null").groupBy("_digest").agg(F.min("ordinal").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    rows = rows.join(first.drop("_n"), "_digest", "left")
-    code = F.coalesce("_rule", F.when(F.col("ordinal") > F.col("_first"), "DUPLICATE_SEQUENCE"))
+    told = materialize(sequences.select("ordinal", rule_code(config).alias("code"), F.unhex(F.sha2("sequence", 256)).alias("digest")), "qc")
+    passed = told.where("code is null").select("ordinal", "digest")
+    first = passed.groupBy("digest").agg(F.min("ordinal").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    later = join_groups(passed, first, "digest", "n", told.count()).where("ordinal > first").select("ordinal", F.lit("DUPLICATE_SEQUENCE").alias("_code"))
+    rows = sequences.join(told.where("code is not null").select("ordinal", F.col("code").alias("_code")).unionByName(later), "ordinal", "left")
+    fine = F.col("_code").isNull()
     return rows.withColumns(
         {
-            "status": F.when(code.isNull(), ACCEPTED).otherwise(REJECTED),
-            "reason_codes": F.when(code.isNull(), F.array().cast("array<string>")).otherwise(F.array(code)),
+            "status": F.when(fine, ACCEPTED).otherwise(REJECTED),
+            "reason_codes": F.when(fine, F.array().cast("array<string>")).otherwise(F.array("_code")),
         }
-    ).drop("_rule", "_first", "_digest")
+    ).drop("_code")
 
 
 def approved(sequences: DataFrame, evaluated: DataFrame) -> DataFrame:
@@ -60,8 +64,3 @@ def stage_counts(evaluated: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("input_count"), F.count_if(F.col("status") == ACCEPTED).alias("accepted_count"),
         F.count_if(F.col("status") == REJECTED).alias("rejected_count"),
     )
-
-
-def by_window(sequences: DataFrame) -> DataFrame:
-    """Rank of each row among equal sequences by ordinal."""
-    return sequences.withColumn("copy", F.row_number().over(Window.partitionBy("sequence").orderBy("ordinal")))

@@ -38,17 +38,9 @@ def _reason(code: str, severity: str, source: str, evidence: dict[str, Column] |
     return F.struct(F.lit(code).alias("code"), F.lit(severity).alias("severity"), F.lit(source).alias("source"), F.lit(message or MESSAGES[code]).alias("message"), told.alias("evidence"))
 
 
-def _ordered(reasons: Column) -> Column:
-    """Reasons without repeats of code and source, by severity, source and code."""
-    key = lambda r: F.concat(F.array_position(F.array(*map(F.lit, SEVERITIES)), r["severity"]), F.lit("|"), r["source"], F.lit("|"), r["code"])
-    keyed = F.transform(reasons, lambda r: F.struct(key(r).alias("k"), r.alias("r")))
-    first = F.filter(keyed, lambda x, i: ~F.exists(F.slice(keyed, 1, i), lambda y: y["k"] == x["k"]))
-    names = F.array_sort(F.transform(first, lambda x: x["k"]))
-    return F.transform(names, lambda k: F.element_at(F.filter(first, lambda x: x["k"] == k), 1)["r"])
-
-
-def classify(evidence: DataFrame, c: RankingConfig) -> DataFrame:
-    """``evidence`` per assay with reasons, missing_components and classification.
+def classify(evidence: DataFrame, c: RankingConfig, run: Column | None = None) -> DataFrame:
+    """``evidence`` per assay with reasons, missing_components and classification; ``run`` is a reason
+    that all assays share.
 
     Columns read: assay_id, pair_penalty, inclusivity_status, evaluation_sequence_count,
     original_compatible_count, specificity_status, compatible_hit_count, plausible_count,
@@ -71,20 +63,22 @@ def classify(evidence: DataFrame, c: RankingConfig) -> DataFrame:
     roles = lambda name: {"roles": F.array_join(name, ",")}
     low, high = c.min_inclusivity_before_high_risk, c.min_inclusivity_for_pass
     rows = evidence.withColumn("missing_components", F.array_sort(lacking))
+    # by severity, source and code; at most one of each, so nothing is left to sort or to drop
     every = F.array(
-        F.when(skipped, _reason("INCLUSIVITY_EVIDENCE_MISSING", "REVIEW", "inclusivity")),
-        F.when(empty, _reason("INCLUSIVITY_EVIDENCE_MISSING", "REVIEW", "inclusivity", {"evaluation_sequence_count": F.lit(0)}, MESSAGES["INCLUSIVITY_EVIDENCE_EMPTY"])),
-        F.when(F.col("specificity_status") == "SKIPPED", _reason("SPECIFICITY_EVIDENCE_MISSING", "REVIEW", "specificity")),
         F.when(share < low, _reason("INCLUSIVITY_BELOW_MINIMUM", "HIGH_RISK", "inclusivity", counted(low))),
-        F.when((share >= low) & (share < high), _reason("INCLUSIVITY_BELOW_PASS", "REVIEW", "inclusivity", counted(high))),
         F.when(off & (detectable > 0), _reason("DETECTABLE_OFF_TARGET", "HIGH_RISK", "specificity", {"detectable_off_target_count": detectable, "plausible_off_target_count": plausible})),
+        F.lit(None).cast(REASON) if run is None else run,
+        F.when((share >= low) & (share < high), _reason("INCLUSIVITY_BELOW_PASS", "REVIEW", "inclusivity", counted(high))),
+        F.when(skipped, _reason("INCLUSIVITY_EVIDENCE_MISSING", "REVIEW", "inclusivity"))
+        .when(empty, _reason("INCLUSIVITY_EVIDENCE_MISSING", "REVIEW", "inclusivity", {"evaluation_sequence_count": F.lit(0)}, MESSAGES["INCLUSIVITY_EVIDENCE_EMPTY"])),
+        F.when(F.size("missing_components") > 0, _reason("EVIDENCE_INCOMPLETE", "REVIEW", "ranking", {"components": F.array_join("missing_components", ",")})),
         F.when(off & (detectable == 0) & (plausible > 0), _reason("PLAUSIBLE_OFF_TARGET_AMPLICON", "REVIEW", "specificity", {"plausible_off_target_count": plausible})),
-        F.when(off & (detectable == 0) & (plausible == 0) & (hits > 0), _reason("ISOLATED_OFF_TARGET_HITS", "ADVISORY", "specificity", {"compatible_hit_count": hits})),
+        F.when(F.col("specificity_status") == "SKIPPED", _reason("SPECIFICITY_EVIDENCE_MISSING", "REVIEW", "specificity")),
         F.when(F.size("accepted_roles") > 0, _reason("IUPAC_PROPOSAL_ACCEPTED", "ADVISORY", "degeneracy", roles("accepted_roles"))),
         F.when(F.size("rejected_roles") > 0, _reason("IUPAC_PROPOSAL_REJECTED", "ADVISORY", "degeneracy", roles("rejected_roles"))),
-        F.when(F.size("missing_components") > 0, _reason("EVIDENCE_INCOMPLETE", "REVIEW", "ranking", {"components": F.array_join("missing_components", ",")})),
+        F.when(off & (detectable == 0) & (plausible == 0) & (hits > 0), _reason("ISOLATED_OFF_TARGET_HITS", "ADVISORY", "specificity", {"compatible_hit_count": hits})),
     )
-    rows = rows.withColumn("reasons", _ordered(F.filter(every, lambda r: r.isNotNull())))
+    rows = rows.withColumn("reasons", F.array_compact(every))
     return rows.withColumn("classification", classification(F.col("reasons")))
 
 
@@ -141,15 +135,12 @@ def rank(evidence: DataFrame, c: RankingConfig, missing_run_evidence: list[str]
     With ``missing_run_evidence`` (codes of what a run lacks) every assay gets a reason for review,
     lacks the component ``execution`` and has no score; earlier reasons stay as they were.
     """
-    rows = score_components(classify(evidence, c)).withColumn("final_score", final_score(c))
+    run = _reason("RUN_EVIDENCE_INCOMPLETE", "REVIEW", "execution", {"missing": F.lit(",".join(sorted(missing_run_evidence)))}) if missing_run_evidence else None
+    rows = score_components(classify(evidence, c, run)).withColumn("final_score", final_score(c))
     if missing_run_evidence:
-        more = F.array(_reason("RUN_EVIDENCE_INCOMPLETE", "REVIEW", "execution", {"missing": F.lit(",".join(sorted(missing_run_evidence)))}))
         rows = rows.withColumns(
-            {
-                "reasons": _ordered(F.concat("reasons", more)), "final_score": F.lit(None).cast("double"),
-                "missing_components": F.array_sort(F.array_union("missing_components", F.array(F.lit("execution")))),
-            }
-        ).withColumn("classification", classification(F.col("reasons")))
+            {"final_score": F.lit(None).cast("double"), "missing_components": F.array_sort(F.array_union("missing_components", F.array(F.lit("execution"))))}
+        )
     rows = rows.withColumn("score_status", F.when(F.col("final_score").isNull(), "INCOMPLETE").otherwise("COMPLETE"))
     return number_rows(rows, "rank", *sort_keys())
 
@@ -172,3 +163,24 @@ def evidence_gaps(assays: DataFrame, rows: DataFrame, keys: list[str], expected:
     repeated = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.lit("DUPLICATE").alias("problem"), *keys)
     missing = expected.join(rows.select(*keys), keys, "left_anti").select(F.lit("MISSING").alias("problem"), *keys)
     return unknown.unionByName(repeated).unionByName(missing)
+
+
+def invalid_evidence(rows: DataFrame) -> DataFrame:
+    """(problem, assay_id) of rows whose evidence contradicts itself, the first problem of each."""
+    share = lambda *names: [F.col(n).isNull() | F.isnan(n) | ~F.col(n).between(0.0, 1.0) for n in names]
+    least = lambda *names: [F.col(n) < 0 for n in names]
+    of = lambda tests: F.coalesce(F.exists(F.array(*tests), lambda x: x), F.lit(False))
+    done = lambda stage: F.col(f"{stage}_status") == "COMPLETE"
+    code = (
+        F.when(~F.col("inclusivity_status").isin("COMPLETE", "SKIPPED") | ~F.col("specificity_status").isin("COMPLETE", "SKIPPED"), "STATUS")
+        .when(of(least("evaluation_sequence_count", "original_compatible_count", "compatible_hit_count", "plausible_count", "detectable_count")), "NEGATIVE_COUNT")
+        .when(done("inclusivity") & F.col("evaluation_sequence_count").isNull(), "INCLUSIVITY_COUNT")
+        .when(F.col("original_compatible_count") > F.col("evaluation_sequence_count"), "MORE_COMPATIBLE_THAN_EVALUATED")
+        .when(done("specificity") & (F.col("compatible_hit_count").isNull() | F.col("plausible_count").isNull() | F.col("detectable_count").isNull()), "SPECIFICITY_COUNT")
+        .when(F.col("detectable_count") > F.col("plausible_count"), "MORE_DETECTABLE_THAN_PLAUSIBLE")
+        .when(of(share("mean_conservation", "minimum_conservation", "mean_coverage", "mean_gap_frequency")), "REGION_SHARE")
+        .when(F.col("mean_entropy_bits").isNull() | F.isnan("mean_entropy_bits") | (F.col("mean_entropy_bits") < 0), "REGION_ENTROPY")
+        .when(F.isnan("pair_penalty") | (F.col("pair_penalty") < 0), "PENALTY")
+        .when(F.exists("accepted_degeneracies", lambda d: (d["original"] < 1) | (d["proposed"] < d["original"])), "DEGENERACY")
+    )
+    return rows.select(code.alias("problem"), "assay_id").where("problem is not null")

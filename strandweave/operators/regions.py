@@ -109,15 +109,21 @@ def select_regions(windows: DataFrame, positions: DataFrame, reference_length: i
 def exclusions(regions: DataFrame, positions: DataFrame, c: PrimerDesignConfig) -> DataFrame:
     """(region_id, start, end) runs of positions of each region where nothing may bind.
 
-    A region with a position that has no metrics fails the query.
+    A region with a position that has no metrics fails the query, whether or not it has such runs;
+    without any metrics at all nothing is excluded.
     """
+    spans = F.broadcast(regions.select("region_id", "reference_start", "reference_end"))  # one row a region, of which a design has few
     inside = F.col("reference_position").between(F.col("reference_start"), F.col("reference_end"))
-    rows = F.broadcast(regions.select("region_id", "reference_start", "reference_end")).join(positions, inside)
-    complete = rows.groupBy("region_id", "reference_start", "reference_end").agg(F.count(F.lit(1)).alias("n"))
+    rows = positions.where("reference_position is not null").join(spans, inside)
+    known = rows.groupBy("region_id").agg(F.countDistinct("reference_position").alias("n"))
     bad = rows.where(~bindable(c)).withColumn("_island", F.col("reference_position") - F.row_number().over(Window.partitionBy("region_id").orderBy("reference_position")))
     runs = bad.groupBy("region_id", "_island").agg(F.min("reference_position").alias("start"), F.max("reference_position").alias("end")).drop("_island")
-    fine = complete.select("region_id", F.when(F.col("n") == F.col("reference_end") - F.col("reference_start") + 1, True).otherwise(F.raise_error(F.lit("region has positions without metrics")).cast("boolean")).alias("ok"))
-    return runs.join(fine, "region_id").where("ok").drop("ok")
+    some = positions.agg(F.count(F.lit(1)).alias("some"))
+    told = spans.join(known, "region_id", "left").crossJoin(F.broadcast(some))  # one row
+    short = F.coalesce("n", F.lit(0)) < F.col("reference_end") - F.col("reference_start") + 1
+    said = F.concat(F.lit("no metrics for some positions of region "), F.col("region_id"))
+    fine = told.select("region_id", F.when((F.col("some") > 0) & short, F.raise_error(said).cast("boolean")).otherwise(True).alias("ok"))
+    return fine.where("ok").join(runs, "region_id", "left").where("start is not null").select("region_id", "start", "end")
 
 
 def excluded_tags(runs: DataFrame) -> DataFrame:

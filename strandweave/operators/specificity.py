@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandweave.operators.match import ROLES, collect_oligos, scan_compatible
 from strandweave.plans.config import SpecificityConfig
+from strandweave.plans.storage import small
 
 KEYS = ["dataset", "dataset_ordinal", "ordinal", "sequence_id"]
 
@@ -22,7 +23,7 @@ def off_target_hits(sequences: DataFrame, oligos: DataFrame, config: Specificity
     """
     hits = scan_compatible(sequences, collect_oligos(oligos), config, KEYS)
     order = oligos.select("assay_id", "assay_ordinal").distinct()
-    return hits.join(F.broadcast(order), "assay_id").withColumn("role_ordinal", role_ordinal()).withColumn("compatible", F.lit(True))
+    return hits.join(small(order), "assay_id").withColumn("role_ordinal", role_ordinal()).withColumn("compatible", F.lit(True))
 
 
 def enumeration_order() -> list:
@@ -40,7 +41,7 @@ def retained(hits: DataFrame, config: SpecificityConfig) -> DataFrame:
 def retention(hits: DataFrame, datasets: DataFrame, assays: DataFrame, config: SpecificityConfig) -> DataFrame:
     """Totals of every dataset, assay and role, zero where there is no hit."""
     roles = hits.sparkSession.createDataFrame([(r,) for r in ROLES], "role string")
-    keys = datasets.select("dataset").crossJoin(F.broadcast(assays.select("assay_id"))).crossJoin(F.broadcast(roles))
+    keys = datasets.select("dataset").crossJoin(assays.select("assay_id")).crossJoin(F.broadcast(roles))  # every total is a row of the result; three roles
     totals = hits.groupBy("dataset", "assay_id", "role").agg(F.count(F.lit(1)).alias("n"))
     n = F.coalesce("n", F.lit(0).cast("long"))
     kept = F.least(n, F.lit(config.max_hits_per_oligo_per_dataset).cast("long"))
@@ -99,7 +100,7 @@ def summary(hits: DataFrame, amplicons_: DataFrame) -> DataFrame:
 def by_dataset(hits: DataFrame, amplicons_: DataFrame, datasets: DataFrame, assays: DataFrame) -> DataFrame:
     """Hits, plausible and detectable amplicons of every assay and dataset, zero where none."""
     keys = ["assay_id", "dataset"]
-    base = assays.select("assay_id").crossJoin(F.broadcast(datasets.select("dataset")))
+    base = assays.select("assay_id").crossJoin(datasets.select("dataset"))  # every pair is a row of the result
     h = hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("hit_count"))
     a = amplicons_.groupBy(*keys).agg(F.count(F.lit(1)).alias("plausible_count"), F.count_if("detectable_off_target").alias("detectable_count"))
     return base.join(h, keys, "left").join(a, keys, "left").fillna(0, ["hit_count", "plausible_count", "detectable_count"])
