@@ -11,6 +11,8 @@ import json
 from dataclasses import asdict, dataclass
 from pathlib import Path
 
+import pyarrow as pa
+
 from strandweave.sources.panel import canonical_sha256, write_json
 
 # Fixed values, in the order they are looked for.
@@ -20,6 +22,10 @@ PROBLEMS = (
 )
 
 
+#: Folders of so many files or more are hashed in tasks.
+DISTRIBUTED = 64
+
+
 @dataclass(frozen=True)
 class Request:
     stage: str
@@ -34,17 +40,37 @@ class Request:
         return canonical_sha256(asdict(self))
 
 
-def tree_sha256(path: Path) -> str:
-    """Hash of a file, or of the data files below a folder by name."""
+def file_sha256(path: str | Path) -> str:
+    digest = hashlib.sha256()
+    with open(path, "rb") as f:
+        while block := f.read(1 << 20):
+            digest.update(block)
+    return digest.hexdigest()
+
+
+def tree_sha256(path: Path, spark=None) -> str:
+    """Hash of a file, or of the data files below a folder by name; with ``spark`` many files are read
+    in tasks, which see the run's folder, and only their hashes come to the driver."""
     if path.is_file():
-        return hashlib.sha256(path.read_bytes()).hexdigest()
+        return file_sha256(path)
     files = sorted(p for p in path.rglob("*") if p.is_file() and p.suffix != ".crc" and p.name != "_SUCCESS")
-    return canonical_sha256([[p.relative_to(path).as_posix(), hashlib.sha256(p.read_bytes()).hexdigest()] for p in files])
+    names = [p.relative_to(path).as_posix() for p in files]
+    if spark is None or len(files) < DISTRIBUTED:
+        return canonical_sha256([[n, file_sha256(p)] for n, p in zip(names, files, strict=True)])
+    root = str(path.resolve())
+
+    def run(batches):
+        for batch in batches:
+            yield pa.record_batch([batch.column(0), pa.array([file_sha256(f"{root}/{n}") for n in batch.column(0).to_pylist()])], names=["name", "sha"])
+
+    rows = spark.createDataFrame([(n,) for n in names], "name string").repartition(min(len(names), 2 * spark.sparkContext.defaultParallelism))
+    told = {r.name: r.sha for r in rows.mapInArrow(run, "name string, sha string").collect()}
+    return canonical_sha256([[n, told[n]] for n in names])
 
 
 class Checkpoints:
-    def __init__(self, folder: str):
-        self.root = Path(folder)
+    def __init__(self, folder: str, spark=None):
+        self.root, self.spark = Path(folder), spark
 
     def manifest_path(self, stage: str) -> Path:
         return self.root / ".checkpoints" / stage / "manifest.json"
@@ -64,7 +90,7 @@ class Checkpoints:
         return self._write(request, status="FAILED", error={"type": type(error).__name__, "message": str(error)[:1000]})
 
     def complete(self, request: Request, outputs: list[str] = ()) -> dict:
-        state = tree_sha256(self.state_path(request.stage))
+        state = tree_sha256(self.state_path(request.stage), self.spark)
         listed = [{"path": p, "sha256": tree_sha256(self.root / p)} for p in sorted(outputs)]
         result = canonical_sha256({"fingerprint": request.fingerprint, "state_sha256": state, "outputs": listed})
         return self._write(request, status="COMPLETE", state_sha256=state, outputs=listed, result_fingerprint=result)
@@ -85,7 +111,7 @@ class Checkpoints:
             return "FINGERPRINT_MISMATCH"
         if not state.exists():
             return "MISSING_STATE"
-        if tree_sha256(state) != m.get("state_sha256"):
+        if tree_sha256(state, self.spark) != m.get("state_sha256"):
             return "STATE_HASH_MISMATCH"
         if state.is_dir() and not any(state.rglob("*.parquet")):
             return "INVALID_STATE"

@@ -14,8 +14,9 @@ from strandweave.functions.intervals import expanded
 from strandweave.operators import cluster, conserve, contrast, inclusivity, qc, ranking, regions, specificity
 from strandweave.operators import design as assay_design
 from strandweave.plans.config import ConservationConfig, InclusivityConfig, PrimerDesignConfig, QCConfig, RankingConfig, SpecificityConfig
+from strandweave.plans.storage import materialize, spread
 
-QC = QCConfig(min_length=40, max_ambiguity_fraction=0.5, expected_length=1500, length_tolerance_fraction=0.95)
+QC = QCConfig(min_length=40, max_ambiguous_fraction=0.5, expected_length=1500, length_tolerance_fraction=0.95)
 ALN_LENGTH = 240
 WINDOWS = ConservationConfig(window_size=40, step_size=9)
 DESIGN = PrimerDesignConfig(
@@ -34,7 +35,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def sequences(spark: SparkSession, sf: str) -> DataFrame:
     """(ordinal, sequence_id, sequence, dataset) of the nucleotide letters of each document."""
     letters = F.regexp_replace(F.upper(F.regexp_replace("text", LETTERS, "")), f"[^{iupac.CODES}]", "")
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("ordinal"), F.concat(F.lit("seq-"), F.col("doc_id").cast("string")).alias("sequence_id"), letters.alias("sequence"), F.col("lang").alias("dataset"))
+    return spread(table(spark, sf, "documents")).select(F.col("doc_id").alias("ordinal"), F.concat(F.lit("seq-"), F.col("doc_id").cast("string")).alias("sequence_id"), letters.alias("sequence"), F.col("lang").alias("dataset"))
 
 
 SEQ = """seq AS (SELECT doc_id AS ordinal, 'seq-' || doc_id AS sequence_id, lang AS dataset,
@@ -121,16 +122,18 @@ def q01_seq_normalize(spark, sf):
     return s.select("sequence_id", F.length("sequence").cast("long").alias("n"), F.md5(F.col("sequence").cast("binary")).alias("digest"), (iupac.invalid_position(F.col("sequence")) == 0).alias("valid"))
 
 
-@query(f"""WITH {SEQ}, s AS (SELECT sequence_id, sequence, substr(sequence, 1, 24) AS head FROM seq)
-SELECT sequence_id, md5(reverse(translate(sequence, 'ACMGRSVTWYHKDBN', 'TGKCYSBAWRDMHVN'))) AS reverse_digest, length(regexp_replace(sequence, '[^GCS]', '', 'g')) AS gc_count,
-  coalesce(list_reduce(list_prepend(1::BIGINT, list_transform(string_split(head, ''), lambda c: greatest(1, bit_count(instr('ACMGRSVTWYHKDBN', c)))::BIGINT)), lambda a, b: a * b), 1) AS head_degeneracy FROM s""")
+_COUNT = lambda codes: f"length(regexp_replace(sequence, '[^{codes}]', '', 'g'))"
+
+
+@query(f"""WITH {SEQ} SELECT sequence_id, md5(reverse(translate(sequence, 'ACMGRSVTWYHKDBN', 'TGKCYSBAWRDMHVN'))) AS reverse_digest, {_COUNT('GCS')} AS gc_count,
+  round({_COUNT('MRSWYK')} + {_COUNT('VHDB')} * log2(3) + {_COUNT('N')} * 2, 6) AS log2_degeneracy FROM seq""")
 def q02_revcomp_gc_degeneracy(spark, sf):
     s = sequences(spark, sf)
-    return s.select("sequence_id", F.md5(iupac.reverse_complement(F.col("sequence")).cast("binary")).alias("reverse_digest"), F.length(F.regexp_replace("sequence", "[^GCS]", "")).cast("long").alias("gc_count"), iupac.degeneracy(F.substr("sequence", F.lit(1), F.lit(24))).alias("head_degeneracy"))
+    return s.select("sequence_id", F.md5(iupac.reverse_complement(F.col("sequence")).cast("binary")).alias("reverse_digest"), F.length(F.regexp_replace("sequence", "[^GCS]", "")).cast("long").alias("gc_count"), F.round(iupac.log2_degeneracy(F.col("sequence")), 6).alias("log2_degeneracy"))
 
 
 _QC_CASE = f"""CASE WHEN regexp_matches(sequence, '[^ACMGRSVTWYHKDBN]') THEN 'INVALID_NUCLEOTIDE' WHEN length(sequence) < {QC.min_length} THEN 'TOO_SHORT'
-  WHEN length(sequence) > 0 AND length(regexp_replace(sequence, '[ACGT]', '', 'g')) / length(sequence) > {QC.max_ambiguity_fraction} THEN 'EXCESSIVE_AMBIGUITY'
+  WHEN length(sequence) > 0 AND length(regexp_replace(sequence, '[ACGT]', '', 'g')) / length(sequence) > {QC.max_ambiguous_fraction} THEN 'EXCESSIVE_AMBIGUITY'
   WHEN length(sequence) NOT BETWEEN {QC.expected_length - QC.expected_length * QC.length_tolerance_fraction} AND {QC.expected_length + QC.expected_length * QC.length_tolerance_fraction} THEN 'INCONSISTENT_LENGTH' END"""
 # letters that are no nucleotides stay in some documents, so that every rule is met
 _RAW = """raw AS (SELECT doc_id AS ordinal, 'seq-' || doc_id AS sequence_id, CASE WHEN source = 'src1' THEN upper(regexp_replace(text, '[^A-Za-z]', '', 'g'))
@@ -142,7 +145,7 @@ qc AS (SELECT ordinal, sequence_id, coalesce(rule, CASE WHEN row_number() OVER (
 def _evaluated(spark, sf) -> DataFrame:
     up = F.upper(F.regexp_replace("text", LETTERS, ""))
     seq = F.when(F.col("source") == "src1", up).otherwise(F.regexp_replace(up, f"[^{iupac.CODES}]", ""))
-    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("ordinal"), F.concat(F.lit("seq-"), F.col("doc_id").cast("string")).alias("sequence_id"), seq.alias("sequence"))
+    rows = spread(table(spark, sf, "documents")).select(F.col("doc_id").alias("ordinal"), F.concat(F.lit("seq-"), F.col("doc_id").cast("string")).alias("sequence_id"), seq.alias("sequence"))
     return qc.evaluate(rows, QC)
 
 
@@ -254,8 +257,9 @@ def q16_exclusion_islands(spark, sf):
 
 
 def _designed(spark, sf) -> DataFrame:
-    """An assay cut from the first long sequence, so that hits exist."""
-    rows = sequences(spark, sf).where(F.length("sequence") >= 130).orderBy("ordinal").limit(1)
+    """An assay cut from the first long sequence of each dataset, so that hits exist."""
+    long = sequences(spark, sf).where(F.length("sequence") >= 130)
+    rows = long.groupBy("dataset").agg(F.min_by(F.struct("ordinal", F.left("sequence", F.lit(130)).alias("sequence")), "ordinal").alias("f")).select("f.*")
     cut = lambda a, n: F.substr("sequence", F.lit(a), F.lit(n))
     each = F.array(
         F.struct(F.lit("FORWARD").alias("role"), cut(11, 20).alias("oligo")), F.struct(F.lit("PROBE").alias("role"), cut(51, 22).alias("oligo")),
@@ -267,7 +271,7 @@ def _designed(spark, sf) -> DataFrame:
 # A primer's last five letters allow no mismatch and a probe's first six one at most: what is left is compared in full.
 _AT = lambda j: f"(l[p + {j}] & ~pm[{j} + 1]) <> 0"
 _NONE = lambda js: "NOT (" + " OR ".join(_AT(j) for j in js) + ")"
-OFFSQL = f"""{SEQ}, cut AS (SELECT * FROM seq WHERE length(sequence) >= 130 ORDER BY ordinal LIMIT 1),
+OFFSQL = f"""{SEQ}, cut AS (SELECT * FROM seq WHERE length(sequence) >= 130 QUALIFY row_number() OVER (PARTITION BY dataset ORDER BY ordinal) = 1),
 oligo AS (SELECT *, list_transform(string_split(pat, ''), lambda c: instr('ACMGRSVTWYHKDBN', c)) AS pm, length(pat) AS k FROM (
   SELECT 'assay-' || ordinal AS assay_id, ordinal AS assay_ordinal, 'FORWARD' AS role, 1 AS ro, substr(sequence, 11, 20) AS pat FROM cut
   UNION ALL SELECT 'assay-' || ordinal, ordinal, 'PROBE', 2, substr(sequence, 51, 22) FROM cut UNION ALL SELECT 'assay-' || ordinal, ordinal, 'REVERSE', 3, substr(sequence, 91, 20) FROM cut)),
@@ -305,13 +309,13 @@ AMP = f"""{OFFSQL}, amp AS (SELECT f.dataset, f.assay_id, f.ordinal, f.sequence_
 
 @query(f"WITH {AMP} SELECT dataset, assay_id, sequence_id, orientation, source_start, source_end, amplicon_size FROM amp")
 def q19_amplicons_range_join(spark, sf):
-    return specificity.amplicons(_hits(spark, sf), OFF).select("dataset", "assay_id", "sequence_id", "orientation", "source_start", "source_end", "amplicon_size")
+    return specificity.amplicons(materialize(_hits(spark, sf), "hits"), OFF).select("dataset", "assay_id", "sequence_id", "orientation", "source_start", "source_end", "amplicon_size")
 
 
 @query(f"""WITH {AMP} SELECT amp.dataset, amp.assay_id, amp.sequence_id, amp.orientation, source_start, amplicon_size, count(p.os) AS probes, count(p.os) > 0 AS detectable
   FROM amp LEFT JOIN hit p ON p.role = 'PROBE' AND p.assay_id = amp.assay_id AND p.ordinal = amp.ordinal AND p.orientation = amp.orientation AND p.os > fe AND p.oe < rs GROUP BY ALL""")
 def q20_detectable_probe(spark, sf):
-    a = specificity.amplicons(_hits(spark, sf), OFF)
+    a = specificity.amplicons(materialize(_hits(spark, sf), "hits"), OFF)
     return a.select("dataset", "assay_id", "sequence_id", "orientation", "source_start", "amplicon_size", F.size("probe_source_sites").cast("long").alias("probes"), F.col("detectable_off_target").alias("detectable"))
 
 
@@ -388,17 +392,6 @@ def q24_variations(spark, sf):
     return _rounded(v.withColumn("oligo_position", F.col("oligo_position").cast("long")), "affected_fraction")
 
 
-@query()
-def q25_degeneracy_proposals(spark, sf):
-    return inclusivity.proposals(_bound(spark, sf), _assays(spark, sf), INCL)
-
-
-@query()
-def q26_proposed_compat(spark, sf):
-    bound = _bound(spark, sf)
-    return inclusivity.proposed_compatibility(bound, inclusivity.proposals(bound, _assays(spark, sf), INCL), INCL)
-
-
 def _window_queries(spark, sf) -> DataFrame:
     base = conserve.consensus(positions(spark, sf)).select("major_consensus")
     return windows(spark, sf).crossJoin(F.broadcast(base)).withColumn("query", F.substr("major_consensus", F.col("reference_start"), F.col("reference_end") - F.col("reference_start") + 1)).drop("major_consensus")
@@ -425,7 +418,7 @@ ds AS (SELECT reference_start, reference_end, n_name AS dataset, n_nationkey AS
 summ AS (SELECT reference_start, reference_end, arg_max(dataset, (sim, -o)) AS worst_dataset, max(sim) AS worst, max(sim) FILTER (criticality = 'CRITICAL') AS wc, max(sim) FILTER (criticality = 'IMPORTANT') AS wi FROM ds GROUP BY ALL)"""
 
 
-def _summaries(spark, sf) -> DataFrame:
+def _evidence(spark, sf) -> DataFrame:
     pos = positions(spark, sf).select("alignment_position", "reference_position", "major_symbol")
     names = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("ordinal"), F.col("s_nationkey"))
     wins = windows(spark, sf)
@@ -434,7 +427,11 @@ def _summaries(spark, sf) -> DataFrame:
     per = cells.join(spans, F.col("reference_position").between(F.col("reference_start"), F.col("reference_end"))).groupBy("reference_start", "reference_end", "ordinal").agg(F.avg("same").alias("sim"))
     nation = table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("dataset"))
     best = per.join(names, "ordinal").join(F.broadcast(nation), "s_nationkey").groupBy("reference_start", "reference_end", "dataset").agg(F.max("sim").alias("similarity"), F.first(F.lit("x")).alias("sequence_id"))
-    return contrast.summarize(contrast.evidence(wins, _panel(spark, sf), best))
+    return contrast.evidence(wins, _panel(spark, sf), best)
+
+
+def _summaries(spark, sf) -> DataFrame:
+    return contrast.summarize(_evidence(spark, sf))
 
 
 @query(f"WITH {SIMSQL} SELECT reference_start, reference_end, worst_dataset, round(worst, 6) AS worst_similarity, round(wc, 6) AS worst_critical_similarity, round(wi, 6) AS worst_important_similarity, round(mean_c - worst, 6) AS conservation_margin FROM summ JOIN win USING (reference_start, reference_end)")
@@ -485,7 +482,7 @@ fin AS (SELECT *, 100.0 * (0.35 * s1 + 0.25 * s2 + 0.20 * s3 + 0.10 * s4 + 0.10
 
 
 def _reason_text(reasons) -> F.Column:
-    """Severity, source and code of each reason; the few of one severity and source sorted by code."""
+    """Severity, source and code of each reason, in the order they have."""
     return F.array_join(F.transform(reasons, lambda r: F.concat_ws(":", r["severity"], r["source"], r["code"])), ";")
 
 
@@ -535,9 +532,9 @@ def q35_stage_descendants(spark, sf):
     return spark.createDataFrame([(s, d) for s in dag.STAGES for d in dag.descendants(s)], "stage string, descendant string")
 
 
-@query("""SELECT doc_id, left(regexp_replace(regexp_replace(text, '[^A-Za-z]', '', 'g'), '(?i)[ACGTURYSWKMBDHVN]{40,}', '[SEQUENCE_REDACTED]', 'g'), 1000) AS message FROM documents""")
+@query("""SELECT doc_id, left(regexp_replace(regexp_replace(text, '[^A-Za-z-]', '', 'g'), '[ACGTURYSWKMBDHVNacgturyswkmbdhvn-]{40,}', '[SEQUENCE_REDACTED]', 'g'), 1000) AS message FROM documents""")
 def q36_log_redaction(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.redact(F.regexp_replace("text", LETTERS, "")).alias("message"))
+    return table(spark, sf, "documents").select("doc_id", text.redact(F.regexp_replace("text", "[^A-Za-z-]", "")).alias("message"))
 
 
 @query("""SELECT page_id, coalesce(nullif(trim(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'dataset') AS slug FROM pages""")
@@ -594,12 +591,4 @@ def q44_report_counts(spark, sf):
     return ranking.report_counts(ranking.rank(_rank_evidence(spark, sf), RankingConfig()))
 
 
-@query()
-def q45_design_assays(spark, sf):
-    pos = positions(spark, sf)
-    chosen = regions.select_regions(windows(spark, sf), pos, ALN_LENGTH, DESIGN).select("region_id", "reference_start", "reference_end", "peak_start", "peak_end")
-    from dataclasses import replace
-
-    wide = replace(DESIGN, product_min=50, product_max=60, primer=replace(DESIGN.primer, min_size=16, opt_size=18, max_size=20, min_tm=35.0, opt_tm=48.0, max_tm=60.0, min_gc=20.0, max_gc=80.0), probe=replace(DESIGN.probe, min_size=14, opt_size=16, max_size=18, min_tm=30.0, opt_tm=45.0, max_tm=60.0, min_gc=10.0, max_gc=90.0))
-    found = assay_design.assays(chosen, conserve.consensus(pos).select(F.col("major_consensus").alias("sequence")), regions.exclusions(chosen, pos, DESIGN), wide)
-    return found.select("assay_id", "region_id", "primer3_index", F.col("forward.sequence").alias("forward"), F.col("probe.sequence").alias("probe"), F.col("reverse.sequence").alias("reverse"), "product_size", F.round("pair_penalty", 6).alias("pair_penalty"))
+from strandweave.plans import evidence_queries  # noqa: E402, F401  (registers the rest)

@@ -5,29 +5,40 @@ Between stages only Parquet remains, so a stage's plan starts at its inputs' fil
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
 from dataclasses import asdict
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandweave import __name__ as ENGINE
 from strandweave.operators import align, cluster, conserve, contrast, design, inclusivity, qc, ranking, regions, specificity
-from strandweave.plans import dag
+from strandweave.plans import dag, report
 from strandweave.plans.checkpoint import Checkpoints, Request, tree_sha256
 from strandweave.plans.config import PipelineConfig
 from strandweave.plans.recorder import Recorder, missing_evidence
 from strandweave.sources import fasta, genbank, ncbi, panel, sinks
 
-VERSION = "1"
+VERSION = "2"
+#: What does the work of external tools in each stage, as part of its fingerprint.
+TOOLS = {"clustering": {"clustering": f"{ENGINE}-greedy-{VERSION}"}, "alignment": {"alignment": f"{ENGINE}-star-{VERSION}"}, "primer_design": {"oligos": f"{ENGINE}-nearest-neighbour-{VERSION}"}}
 
 
 class Run:
-    """Tables of a run by name: each stage's tables are Parquet folders in its state."""
+    """Tables of a run by name: each stage's tables are Parquet folders in its state.
 
-    def __init__(self, spark: SparkSession, config: PipelineConfig, folder: str):
-        self.spark, self.config, self.root = spark, config, Path(folder)
-        self.points, self.recorder = Checkpoints(folder), Recorder(folder)
+    The folder of a run lies on a file system that the driver and all executors mount; ``execute``
+    tries that before anything runs. ``client`` reaches the archive where the input asks for one.
+    """
+
+    def __init__(self, spark: SparkSession | None, config: PipelineConfig, folder: str, client=None):
+        self.spark, self.config, self.root, self.client = spark, config, Path(folder), client
+        self.points, self.recorder = Checkpoints(folder, spark), Recorder(folder)
+        self._datasets = None
 
     def put(self, stage: str, name: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"file://{self.points.state_path(stage).resolve()}/{name}")
@@ -38,6 +49,20 @@ class Run:
     def has(self, stage: str, name: str) -> bool:
         return (self.points.state_path(stage) / name).exists()
 
+    def status(self, stage: str) -> str:
+        return self.get(stage, "status").first().status if self.has(stage, "status") else "SKIPPED"
+
+    def told(self, stage: str, status: str) -> None:
+        self.put(stage, "status", self.spark.createDataFrame([(status,)], "status string"))
+
+    def path(self, name: str) -> str:
+        return str(self.root / name)
+
+    def report(self, name: str, stage: str, said: dict, publish=lambda: None) -> None:
+        """A stage's report, written after its data: its section of the config and what it found."""
+        section = asdict(self.config).get(stage)
+        sinks.write_report(self.path(name), {"schema_version": 1, "stage": stage, "config": section} | said, publish)
+
     # stages -------------------------------------------------------------------------------------
 
     def panel(self):
@@ -54,29 +79,37 @@ class Run:
         elif c.genbank:
             df = genbank.read(self.spark, c.genbank)
         else:
-            ncbi.validate_frozen(c.ncbi.frozen_dataset)
-            df = fasta.read(self.spark, f"{c.ncbi.frozen_dataset}/{ncbi.RECORDS}")
+            folder = c.ncbi.frozen_dataset or self.path("ncbi_dataset")
+            manifest = ncbi.validate_frozen(folder) if c.ncbi.frozen_dataset else ncbi.acquire(c.ncbi, folder, self.client)
+            sinks.replace_text(self.root / "ncbi_dataset_manifest.json", json.dumps(manifest, indent=2, sort_keys=True) + "\n")
+            df = genbank.read(self.spark, f"{folder}/{ncbi.RECORDS}")
         self.put("input", "sequences", df)
 
     def qc(self):
-        rows = qc.evaluate(self.get("input", "sequences"), self.config.qc)
-        self.put("qc", "sequences", rows)
-        sinks.write_report(str(self.root / "qc_report.json"), {"codes": {r.code: r.n for r in qc.counts(self.get("qc", "sequences")).collect()}}, lambda: None)
+        self.put("qc", "sequences", qc.evaluate(self.get("input", "sequences"), self.config.qc).select("ordinal", "sequence_id", "status", "reason_codes"))
 
     def evaluation(self) -> DataFrame:
-        rows = self.get("qc", "sequences")
-        return qc.approved(self.get("input", "sequences"), rows)
+        return qc.approved(self.get("input", "sequences"), self.get("qc", "sequences"))
 
     def clustering(self):
-        rows = self.evaluation()
-        if gaps := cluster.input_gaps(rows, rows, cluster.word_length(self.config.clustering.identity) if self.config.clustering.enabled else 0).limit(1).collect():
+        rows, c = self.evaluation(), self.config.clustering
+        wanted = self.get("qc", "sequences").where(F.col("status") == qc.ACCEPTED)
+        if gaps := cluster.input_gaps(rows, wanted, cluster.word_length(c.identity) if c.enabled else 0).limit(1).collect():
             raise ValueError(f"clustering: {gaps[0].problem} {gaps[0].sequence_id}")
-        if self.config.clustering.enabled:
-            found = cluster.clusters(rows, self.config.clustering.identity)
-            self.put("clustering", "clusters", found)
-            self.put("clustering", "discovery", cluster.discovery(self.get("clustering", "clusters")))
+        if c.enabled:
+            self.put("clustering", "clusters", cluster.clusters(rows, c.identity))
+            found = self.get("clustering", "clusters")
+            if gaps := cluster.result_gaps(found, wanted).limit(1).collect():
+                raise ValueError(f"clustering: {gaps[0].problem} {gaps[0].sequence_id}")
+            self.put("clustering", "discovery", cluster.discovery(found))
         else:
             self.put("clustering", "discovery", rows.select("ordinal", "sequence_id"))
+        chosen = self.get("clustering", "discovery")
+        n = {"evaluation_count": wanted.count(), "discovery_count": chosen.count(), "status": "COMPLETE" if c.enabled else "SKIPPED", "config": asdict(c)}
+        sinks.write_fasta(rows.join(chosen.select("sequence_id"), "sequence_id", "left_semi"), self.path("discovery_set.fasta"), "ordinal")
+        told = self.get("clustering", "clusters").drop("ordinal") if c.enabled else chosen.limit(0).select("sequence_id")
+        keys = ("cluster_id", "sequence_id") if c.enabled else ("sequence_id",)
+        sinks.write_json_rows(self.path("clustering_report.json"), "members", told, *keys, **n)
 
     def alignment(self):
         rows = self.evaluation().join(self.get("clustering", "discovery").select("sequence_id"), "sequence_id", "left_semi")
@@ -86,106 +119,202 @@ class Run:
             return
         reference, mode = align.choose_reference(rows, self.config.alignment.reference_id)
         self.put("alignment", "aligned", align.align_all(rows, reference))
-        if bad := align.problems(self.get("alignment", "aligned"), rows, reference).limit(1).collect():
+        aligned = self.get("alignment", "aligned")
+        if bad := align.problems(aligned, rows, reference).limit(1).collect():
             raise ValueError(f"alignment: {bad[0].problem} {bad[0].sequence_id}")
         length = rows.where(F.col("sequence_id") == reference).select(F.length("sequence")).first()[0]
-        self.put("alignment", "reference", self.spark.createDataFrame([(reference, mode, rows.count(), length)], shape))
-        cells = conserve.cells(self.get("alignment", "aligned").where(F.col("sequence_id") == reference))
+        n = rows.count()
+        self.put("alignment", "reference", self.spark.createDataFrame([(reference, mode, n, length)], shape))
+        cells = conserve.cells(aligned.where(F.col("sequence_id") == reference))
         self.put("alignment", "coordinates", conserve.coordinate_map(cells))
-        sinks.write_table(self.get("alignment", "coordinates"), str(self.root / "alignment/coordinate_map.tsv"), sinks.COORDINATES, "alignment_position")
+
+        def publish():
+            sinks.write_fasta(aligned.select("ordinal", "sequence_id", F.col("aligned_sequence").alias("sequence")), self.path("alignment/discovery_alignment.fasta"), "ordinal")
+            sinks.write_table(self.get("alignment", "coordinates"), self.path("alignment/coordinate_map.tsv"), sinks.COORDINATES, "alignment_position")
+
+        turned = {r.orientation: r["count"] for r in aligned.groupBy("orientation").count().collect()}
+        self.report("alignment_report.json", "alignment", {"status": "COMPLETE", "reference_id": reference, "reference_mode": mode, "sequence_count": n, "orientations": turned}, publish)
 
     def conservation(self):
         ref = self.get("alignment", "reference").first()
         if not self.config.conservation.enabled or ref is None:
             return self.put("conservation", "consensus", self.spark.createDataFrame([], "major_consensus string, iupac_consensus string"))
+        if bad := conserve.input_problems(self.get("alignment", "aligned"), self.get("alignment", "coordinates"), ref.reference_id).limit(1).collect():
+            raise ValueError(f"conservation: {bad[0].problem} {bad[0].at}")
         cells = conserve.cells(self.get("alignment", "aligned"))
         self.put("conservation", "positions", conserve.position_metrics(cells, self.get("alignment", "coordinates"), ref.sequence_count))
         pos = self.get("conservation", "positions")
         self.put("conservation", "windows", conserve.windows(pos, ref.reference_length, self.config.conservation, regions.usable(self.config.primer_design)))
         self.put("conservation", "consensus", conserve.consensus(pos))
+        skipped_count = 0
         if "features" in (source := self.get("input", "sequences")).columns:
             marks, skipped = conserve.annotations(source.where(F.col("sequence_id") == ref.reference_id).select(F.inline("features")), ref.reference_length)
             self.put("conservation", "annotations", marks)
+            skipped_count = int(skipped.first().skipped)
         win = self.get("conservation", "windows")
 
         def publish():
             named = pos.withColumnsRenamed({"major_symbol": "major_consensus", "iupac_symbol": "iupac_consensus"})
-            sinks.write_table(named, str(self.root / "conservation/position_metrics.tsv"), sinks.POSITIONS, "alignment_position")
-            sinks.write_table(win, str(self.root / "conservation/window_metrics.tsv"), sinks.WINDOWS, "reference_start")
+            sinks.write_table(named, self.path("conservation/position_metrics.tsv"), sinks.POSITIONS, "alignment_position")
+            sinks.write_table(win, self.path("conservation/window_metrics.tsv"), sinks.WINDOWS, "reference_start")
+            for kind in ("major", "iupac"):
+                text = self.get("conservation", "consensus").select(F.lit(f"{kind}-consensus").alias("sequence_id"), F.col(f"{kind}_consensus").alias("sequence"))
+                sinks.write_fasta(text, self.path(f"conservation/consensus_{kind}.fasta"), "sequence_id")
 
         top = [r.asDict() for r in conserve.top_windows(win).collect()]
-        sinks.write_report(str(self.root / "conservation/report.json"), {"status": "COMPLETE", "reference_id": ref.reference_id, "top_windows": top}, publish)
+        said = {"status": "COMPLETE", "reference_id": ref.reference_id, "position_count": pos.count(), "window_count": win.count(), "skipped_annotation_count": skipped_count, "top_windows": top}
+        self.report("conservation/conservation_report.json", "conservation", said, publish)
 
     def datasets(self) -> DataFrame | None:
-        paths = {o.name: o.fasta or f"{o.frozen_dataset}/{ncbi.RECORDS}" for o in self.config.off_targets}
-        return fasta.datasets(self.spark, paths) if paths else None
+        """Off-target datasets as configured; frozen ones are checked, and read as GenBank."""
+        if self._datasets is None and self.config.off_targets:
+            paths, frozen = {}, set()
+            for o in self.config.off_targets:
+                if o.frozen_dataset is not None:
+                    ncbi.validate_frozen(o.frozen_dataset)
+                    frozen.add(o.name)
+                paths[o.name] = o.fasta or f"{o.frozen_dataset}/{ncbi.RECORDS}"
+            self._datasets = fasta.datasets(self.spark, paths, lambda name: genbank.read if name in frozen else fasta.read)
+        return self._datasets
 
     def contrastive_conservation(self):
         if not self.config.contrastive_conservation.enabled or not self.has("conservation", "windows"):
-            return self.put("contrastive_conservation", "status", self.spark.createDataFrame([("SKIPPED",)], "status string"))
+            return self.told("contrastive_conservation", "SKIPPED")
+        c = self.config.primer_design
         ref, win, pos = self.get("alignment", "reference").first(), self.get("conservation", "windows"), self.get("conservation", "positions")
         names = self.spark.createDataFrame([(o.name,) for o in self.config.off_targets], "dataset string")
         bound = panel.bind_challenges(self.get("panel", "panel"), names).select("dataset", "criticality", "panel_ordinal")
+        if bound.isEmpty():
+            raise ValueError("the approved panel has no challenge to contrast with")
         counts = self.datasets().groupBy("dataset").agg(F.count(F.lit(1)).alias("sequence_count"))
         bound = bound.join(counts, "dataset", "left").na.fill(0, ["sequence_count"])
         base = self.get("conservation", "consensus").select("major_consensus")
         asked = win.crossJoin(F.broadcast(base)).withColumn("query", F.substr("major_consensus", F.col("reference_start"), F.col("reference_end") - F.col("reference_start") + 1)).drop("major_consensus")
         found = contrast.best_matches(asked, self.datasets().join(F.broadcast(bound.select("dataset")), "dataset", "left_semi"))
         self.put("contrastive_conservation", "evidence", contrast.evidence(win, bound, found))
-        self.put("contrastive_conservation", "summaries", contrast.summarize(self.get("contrastive_conservation", "evidence")))
-        several = contrast.candidates(self.get("contrastive_conservation", "summaries"), pos, ref.reference_length, self.config.primer_design)
-        self.put("contrastive_conservation", "regions", contrast.select_candidates(several, self.config.primer_design))
-        self.put("contrastive_conservation", "status", self.spark.createDataFrame([("COMPLETE",)], "status string"))
+        every = self.get("contrastive_conservation", "evidence")
+        self.put("contrastive_conservation", "summaries", contrast.summarize(every))
+        told = self.get("contrastive_conservation", "summaries")
+        several = contrast.candidates(told, pos, ref.reference_length, c)
+        self.put("contrastive_conservation", "regions", contrast.select_candidates(several, c))
+        chosen = self.get("contrastive_conservation", "regions")
+
+        def publish():
+            measures = ("mean_conservation", "minimum_conservation", "mean_coverage", "mean_gap_frequency", "mean_entropy_bits")
+            rows = contrast.named_worst(told).withColumn("target_eligible", regions.eligible(c)).withColumnsRenamed({m: f"target_{m}" for m in measures})
+            sinks.write_table(rows, self.path("contrastive_conservation/window_metrics.tsv"), sinks.CONTRAST_WINDOWS, "reference_start", "reference_end", quoted=True)
+            by = every.withColumnsRenamed({"dataset": "dataset_name", "sequence_id": "best_sequence_id", "orientation": "best_orientation"})
+            sinks.write_table(by, self.path("contrastive_conservation/dataset_metrics.tsv"), sinks.CONTRAST_DATASETS, "reference_start", "reference_end", "panel_ordinal", quoted=True)
+            sinks.write_table(contrast.named_worst(chosen), self.path("contrastive_conservation/candidate_regions.tsv"), sinks.CONTRAST_REGIONS, "rank", quoted=True)
+            report.contrast_page(self)
+
+        said = {"status": "COMPLETE", "window_count": told.count(), "challenge_dataset_count": bound.count(), "candidate_region_count": chosen.count()}
+        self.report("contrastive_conservation/contrastive_conservation_report.json", "contrastive_conservation", said, publish)
+        self.told("contrastive_conservation", "COMPLETE")
+
+    def regions(self) -> tuple[DataFrame, bool]:
+        """Regions to design in, and whether assays must hold their peaks: contrasted ones, else conserved ones."""
+        if self.status("contrastive_conservation") == "COMPLETE":
+            return self.get("contrastive_conservation", "regions"), True
+        ref, c = self.get("alignment", "reference").first(), self.config.primer_design
+        return regions.select_regions(self.get("conservation", "windows"), self.get("conservation", "positions"), ref.reference_length, c), False
+
+    def design_required(self) -> bool:
+        """Whether a design of oligos has anything to work on."""
+        return self.config.primer_design.enabled and self.has("conservation", "windows") and not self.regions()[0].isEmpty()
 
     def primer_design(self):
         c = self.config.primer_design
         shape = "assay_id string, region_id string"
         if not c.enabled or not self.has("conservation", "windows"):
             return self.put("primer_design", "assays", self.spark.createDataFrame([], shape))
-        ref, win, pos = self.get("alignment", "reference").first(), self.get("conservation", "windows"), self.get("conservation", "positions")
-        anchored = self.get("contrastive_conservation", "status").first().status == "COMPLETE"
-        chosen = self.get("contrastive_conservation", "regions") if anchored else regions.select_regions(win, pos, ref.reference_length, c)
+        if not self.design_required():
+            self.report("primer_design/primer_design_report.json", "primer_design", {"status": "COMPLETE", "candidate_region_count": 0, "assay_count": 0})
+            return self.put("primer_design", "assays", self.spark.createDataFrame([], shape))
+        pos = self.get("conservation", "positions")
+        chosen, anchored = self.regions()
         self.put("primer_design", "regions", chosen)
         chosen = self.get("primer_design", "regions")
         template = self.get("conservation", "consensus").select(F.col("major_consensus").alias("sequence"))
-        self.put("primer_design", "assays", design.assays(chosen, template, regions.exclusions(chosen, pos, c), c, anchored))
-        sinks.write_table(chosen, str(self.root / "primer_design/candidate_regions.tsv"), sinks.REGIONS, "rank")
+        self.put("primer_design", "exclusions", regions.exclusions(chosen, pos, c))
+        runs = self.get("primer_design", "exclusions")
+        self.put("primer_design", "assays", design.assays(chosen, template, runs, c, anchored))
+        found = self.get("primer_design", "assays")
+        if bad := design.problems(found, chosen, c, anchored).limit(1).collect():
+            raise ValueError(f"primer_design: {bad[0].problem} {bad[0].assay_id}")
+
+        def publish():
+            sinks.write_table(chosen, self.path("primer_design/candidate_regions.tsv"), sinks.REGIONS, "rank")
+            flat = [F.col(f"{o}.{k}").alias(f"{o}_{k}") for o in ("forward", "probe", "reverse") for k in sinks.OLIGO_FIELDS]
+            sinks.write_table(found.select("assay_id", "region_id", "primer3_index", *flat, "product_size", "pair_penalty"), self.path("primer_design/assays.tsv"), sinks.ASSAYS, "assay_id")
+            tags = regions.excluded_tags(runs).select("region_id", F.col("tag").alias("excluded"))
+            sinks.write_table(design.tool_input(chosen, template, tags, c), self.path("primer_design/primer3_input.txt"), ("value",), "rank", bare=True)
+            report.assay_page(self)
+
+        source = "CONTRASTIVE_CONSERVATION" if anchored else "CONSERVATION_ONLY"
+        self.report("primer_design/primer_design_report.json", "primer_design", {"status": "COMPLETE", "candidate_source": source, "candidate_region_count": chosen.count(), "assay_count": found.count()}, publish)
 
     def assays(self) -> DataFrame | None:
         found = self.get("primer_design", "assays")
         return found if "forward" in found.columns and not found.isEmpty() else None
 
     def inclusivity(self):
-        found = self.assays()
-        if not self.config.inclusivity.enabled or found is None:
-            return self.put("inclusivity", "status", self.spark.createDataFrame([("SKIPPED",)], "status string"))
+        found, c = self.assays(), self.config.inclusivity
+        if not c.enabled or found is None:
+            return self.told("inclusivity", "SKIPPED")
         rows = self.evaluation()
-        self.put("inclusivity", "bindings", inclusivity.bindings(rows, found, self.config.inclusivity))
-        bound = self.get("inclusivity", "bindings")
-        self.put("inclusivity", "variations", inclusivity.variations(bound, found, rows.count(), self.config.inclusivity))
-        self.put("inclusivity", "proposals", inclusivity.proposals(bound, found, self.config.inclusivity))
-        proposed = inclusivity.proposed_compatibility(bound, self.get("inclusivity", "proposals"), self.config.inclusivity)
+        self.put("inclusivity", "bindings", inclusivity.bindings(rows, found, c))
+        bound, n = self.get("inclusivity", "bindings"), rows.count()
+        self.put("inclusivity", "variations", inclusivity.variations(bound, found, n, c, with_ids=True))
+        self.put("inclusivity", "proposals", inclusivity.proposals(bound, found, c))
+        proposed = inclusivity.proposed_compatibility(bound, self.get("inclusivity", "proposals"), c)
         self.put("inclusivity", "results", inclusivity.assay_results(bound, proposed))
-        self.put("inclusivity", "status", self.spark.createDataFrame([("COMPLETE",)], "status string"))
+        results, offered = self.get("inclusivity", "results"), self.get("inclusivity", "proposals")
+        if gaps := ranking.evidence_gaps(found, results, ["assay_id", "sequence_id"], found.select("assay_id").crossJoin(rows.select("sequence_id"))).limit(1).collect():
+            raise ValueError(f"inclusivity: {gaps[0].problem} {gaps[0].assay_id} {gaps[0].sequence_id}")
+        role = specificity.role_ordinal()
+
+        def publish():
+            matches = inclusivity.oligo_matches(bound)
+            sinks.write_table(matches, self.path("inclusivity/oligo_matches.tsv"), sinks.OLIGO_MATCHES, "assay_id", "ordinal", role, "orientation", "hit_rank")
+            sinks.write_table(results, self.path("inclusivity/assay_inclusivity.tsv"), sinks.ASSAY_INCLUSIVITY, "assay_id", "ordinal")
+            sinks.write_table(self.get("inclusivity", "variations"), self.path("inclusivity/oligo_variations.tsv"), sinks.VARIATIONS, "assay_id", role, "oligo_position")
+            sinks.write_table(offered, self.path("inclusivity/degeneracy_proposals.tsv"), sinks.PROPOSALS, "assay_id", role)
+
+        counts = inclusivity.counts(results).agg(F.sum("original_compatible_count").alias("original_compatible_count"), F.sum("proposed_compatible_count").alias("proposed_compatible_count")).first().asDict()
+        said = {"status": "COMPLETE", "evaluation_sequence_count": n, "assay_count": found.count()} | counts
+        self.report("inclusivity/inclusivity_report.json", "inclusivity", said, publish)
+        self.told("inclusivity", "COMPLETE")
 
     def specificity(self):
         found = self.assays()
         if not self.config.specificity.enabled or found is None:
-            return self.put("specificity", "status", self.spark.createDataFrame([("SKIPPED",)], "status string"))
+            return self.told("specificity", "SKIPPED")
         c, off = self.config.specificity, self.datasets()
         order = found.select("assay_id", F.concat("region_id", F.format_string("-%05d", "primer3_index")).alias("o"))
         oligos = design.long_view(found).join(order, "assay_id").withColumnRenamed("o", "assay_ordinal").select("assay_id", "assay_ordinal", "role", "sequence")
         self.put("specificity", "hits", specificity.off_target_hits(off, oligos, c))
         hits = self.get("specificity", "hits")
+        names = self.spark.createDataFrame([(o.name,) for o in self.config.off_targets], "dataset string")
         self.put("specificity", "retained", specificity.retained(hits, c))
-        self.put("specificity", "retention", specificity.retention(hits, self.spark.createDataFrame([(o.name,) for o in self.config.off_targets], "dataset string"), found, c))
-        self.put("specificity", "amplicons", specificity.with_ranks(specificity.amplicons(hits, c), self.get("specificity", "retained")))
-        hit_rows = self.get("specificity", "retained").withColumnRenamed("dataset", "dataset_name")
-        sinks.write_table(hit_rows, str(self.root / "specificity/off_target_hits.tsv"), sinks.OFF_TARGET_HITS, "dataset_ordinal", *specificity.enumeration_order())
-        self.put("specificity", "status", self.spark.createDataFrame([("COMPLETE",)], "status string"))
+        self.put("specificity", "retention", specificity.retention(hits, names, found, c))
+        kept = self.get("specificity", "retained")
+        self.put("specificity", "amplicons", specificity.with_ranks(specificity.amplicons(hits, c), kept))
+        amplicons = self.get("specificity", "amplicons")
 
-    def status(self, stage: str) -> str:
-        return self.get(stage, "status").first().status
+        def publish():
+            sinks.write_table(kept.withColumnRenamed("dataset", "dataset_name"), self.path("specificity/off_target_hits.tsv"), sinks.OFF_TARGET_HITS, "dataset_ordinal", *specificity.enumeration_order())
+            rows = amplicons.join(F.broadcast(self._dataset_order()), "dataset").withColumnRenamed("dataset", "dataset_name")
+            sinks.write_table(rows, self.path("specificity/plausible_amplicons.tsv"), sinks.AMPLICONS, "dataset_ordinal", "assay_id", "ordinal", "orientation", "source_start", "source_end")
+
+        total = specificity.summary(hits, amplicons).first().asDict()
+        said = {"status": "COMPLETE", "dataset_count": len(self.config.off_targets), "sequence_count": off.count(), "assay_count": found.count(), "retained_hit_count": kept.count()} | total
+        said["retention"] = [r.asDict() for r in self.get("specificity", "retention").where("truncated").orderBy("dataset", "assay_id", "role").toLocalIterator()]
+        self.report("specificity/specificity_report.json", "specificity", said, publish)
+        self.told("specificity", "COMPLETE")
+
+    def _dataset_order(self) -> DataFrame:
+        return self.spark.createDataFrame([(o.name, i) for i, o in enumerate(self.config.off_targets)], "dataset string, dataset_ordinal int")
 
     def evidence(self) -> DataFrame:
         """What ranking reads, one row per assay."""
@@ -216,13 +345,21 @@ class Run:
 
     def ranking(self):
         if not self.config.ranking.enabled or self.assays() is None:
-            return self.put("ranking", "status", self.spark.createDataFrame([("SKIPPED",)], "status string"))
-        self.put("ranking", "ranked", ranking.rank(self.evidence(), self.config.ranking, self.missing()))
-        out = self.get("ranking", "ranked").withColumnsRenamed({f"{n}_score": n for n in ranking.COMPONENTS} | {"compatible_hit_count": "compatible_off_target_hit_count", "plausible_count": "plausible_off_target_count", "detectable_count": "detectable_off_target_count"})
+            return self.told("ranking", "SKIPPED")
+        rows = self.evidence()
+        if gaps := ranking.evidence_gaps(self.assays(), rows, ["assay_id"], self.assays().select("assay_id")).limit(1).collect():
+            raise ValueError(f"ranking: {gaps[0].problem} {gaps[0].assay_id}")
+        if bad := ranking.invalid_evidence(rows).limit(1).collect():
+            raise ValueError(f"ranking: {bad[0].problem} {bad[0].assay_id}")
+        self.put("ranking", "ranked", ranking.rank(rows, self.config.ranking, self.missing()))
+        ranked = self.get("ranking", "ranked")
+        out = ranked.withColumnsRenamed({f"{n}_score": n for n in ranking.COMPONENTS} | {"compatible_hit_count": "compatible_off_target_hit_count", "plausible_count": "plausible_off_target_count", "detectable_count": "detectable_off_target_count"})
         out = out.withColumns({"inclusivity_fraction": F.col("inclusivity"), "reason_codes": F.array_join("reasons.code", ";")})
-        best = ranking.recommended(self.get("ranking", "ranked")).first().assay_id
-        sinks.write_report(str(self.root / "ranking/ranking_report.json"), {"status": "COMPLETE", "recommended": best}, lambda: sinks.write_table(out, str(self.root / "ranking/assay_ranking.tsv"), sinks.RANKING, "rank"))
-        self.put("ranking", "status", self.spark.createDataFrame([("COMPLETE",)], "status string"))
+        best = ranking.recommended(ranked).first().assay_id
+        told = {f"{r.classification} {r.score_status}": r.n for r in ranking.report_counts(ranked).collect()}
+        publish = lambda: sinks.write_table(out, self.path("ranking/assay_ranking.tsv"), sinks.RANKING, "rank")
+        self.report("ranking/ranking_report.json", "ranking", {"status": "COMPLETE", "assay_count": ranked.count(), "counts": told, "top_recommended_assay_id": best}, publish)
+        self.told("ranking", "COMPLETE")
 
     # control ------------------------------------------------------------------------------------
 
@@ -233,26 +370,54 @@ class Run:
         inputs = {}
         if stage == "input":
             parameters = {k: c[k] for k in ("fasta", "genbank", "ncbi")}
-            inputs = {p: tree_sha256(Path(p)) for p in (self.config.fasta, self.config.genbank) if p}
+            frozen = self.config.ncbi and self.config.ncbi.frozen_dataset
+            inputs = {p: _identity(p) for p in (self.config.fasta, self.config.genbank, frozen) if p}
         if stage in ("contrastive_conservation", "specificity"):
             parameters["off_targets"] = c["off_targets"]
-            inputs = {o.name: tree_sha256(Path(o.fasta or o.frozen_dataset)) for o in self.config.off_targets}
+            inputs = {o.name: _identity(o.fasta or o.frozen_dataset) for o in self.config.off_targets}
         if stage == "contrastive_conservation":
-            parameters["regions"] = {k: v for k, v in c["primer_design"].items() if k not in ("primer", "probe", "product_min", "product_max", "max_assays_per_region", "enabled")}
+            parameters["regions"] = {k: v for k, v in c["primer_design"].items() if k not in ("primer", "probe", "product_size_min", "product_size_max", "assays_per_region", "enabled")}
         if stage == "panel" and self.config.panel and self.config.panel.frozen_manifest:
-            inputs = {"manifest": tree_sha256(Path(self.config.panel.frozen_manifest))}
-        return Request(stage, {d: self.points.result_fingerprint(d) for d in dag.NEEDS[stage]}, inputs, parameters, {"engine": ENGINE, "version": VERSION}, {})
+            inputs = {"manifest": _identity(self.config.panel.frozen_manifest)}
+        return Request(stage, {d: self.points.result_fingerprint(d) for d in dag.NEEDS[stage]}, inputs, parameters, {"engine": ENGINE, "version": VERSION}, TOOLS.get(stage, {}))
 
     def valid(self, stage: str) -> bool:
         return self.points.problem(self.request(stage)) is None
 
-    def execute(self, policy: dag.Policy = dag.Policy(), target: str = "target") -> str:
+    def _shared(self) -> None:
+        """Fails where an executor doesn't see the run's folder, which would lose what it writes there."""
+        if self.spark.conf.get("spark.master", "local").startswith("local"):
+            return
+        token = self.root / f".seen-{uuid.uuid4().hex}"
+        token.parent.mkdir(parents=True, exist_ok=True)
+        token.touch()
+        at = str(token.resolve())
+
+        def look(batches):
+            for _ in batches:
+                yield pa.record_batch([pa.array([os.path.exists(at)])], names=["seen"])
+
+        n = self.spark.sparkContext.defaultParallelism
+        try:
+            if self.spark.range(0, n, 1, n).mapInArrow(look, "seen boolean").where("not seen").limit(1).collect():
+                raise ValueError(f"{self.root} must lie on a file system that all executors mount")
+        finally:
+            token.unlink()
+
+    def execute(self, policy: dag.Policy = dag.Policy(), target: str | None = None) -> str:
         """Run what must run; COMPLETED, PARTIAL or ACTION_REQUIRED. A failure is recorded and raised."""
+        target = target or self.config.target_name
         self.recorder.begin(target)
-        ready = panel.preflight(self.config.panel, str(self.root))
-        if ready["status"] == "ACTION_REQUIRED":
-            return self.recorder.action_required("PANEL_APPROVAL", ready["proposal"])
-        actions = dag.plan(policy, self.valid)
+        self.recorder.log("environment_inspected")
+        try:
+            self._shared()
+            ready = panel.preflight(self.config.panel, str(self.root), target)
+            if ready["status"] == "ACTION_REQUIRED":
+                return self.recorder.action_required("PANEL_APPROVAL", ready["proposal"])
+            actions = dag.plan(policy, self.valid)
+        except Exception as error:
+            self.recorder.fail("preflight", error)
+            raise
         self.recorder.log("plan_created")
         for stage in dag.STAGES:
             if actions[stage] == "REUSE":
@@ -270,4 +435,11 @@ class Run:
             self.points.complete(request)
             self.recorder.stage(stage, actions[stage], "stage_completed", checkpoint_path=str(self.points.manifest_path(stage)))
         missing = self.missing(self.status("ranking"))
-        return self.recorder.finish(missing)
+        status = self.recorder.finish(missing)
+        report.publish_summary(self, status, missing)
+        return status
+
+
+def _identity(path: str) -> str | None:
+    """Hash of an input; null where it isn't there, which only a dry run meets."""
+    return tree_sha256(Path(path)) if Path(path).exists() else None
