@@ -100,6 +100,25 @@ def test_greedy_suppression(spark):
     assert got == [(i, s) for i, (s, _) in enumerate(want, 1)]
 
 
+def test_regions_without_metrics_fail(spark):
+    names = "alignment_position int, reference_position int, major_allele_frequency double, coverage double, gap_frequency double"
+    positions = spark.createDataFrame([(p, p, 0.5 if p in (12, 13, 20) else 1.0, 1.0, 0.0) for p in range(1, 50)], names)
+    c = PrimerDesignConfig()
+    spans = lambda *r: spark.createDataFrame([(f"r{i}", a, b) for i, (a, b) in enumerate(r)], "region_id string, reference_start int, reference_end int")
+    assert sorted(map(tuple, regions.exclusions(spans((10, 30), (40, 45)), positions, c).collect())) == [("r0", 12, 13), ("r0", 20, 20)]
+    for bad in ((40, 60), (200, 260)):
+        with pytest.raises(Exception, match="no metrics for some positions of region r1"):
+            regions.exclusions(spans((10, 30), bad), positions, c).collect()
+    assert regions.exclusions(spans((10, 30)), positions.limit(0), c).count() == 0
+
+
+def test_cluster_results_are_checked(spark):
+    rows = [("c0", "a", True), ("c0", "b", False), ("c1", "b", False), ("c2", "x", True)]
+    found = spark.createDataFrame(rows, "cluster_id string, sequence_id string, is_representative boolean")
+    got = sorted(map(tuple, cluster.result_gaps(found, spark.createDataFrame([("a",), ("b",), ("d",)], "sequence_id string")).collect()))
+    assert got == [("IN_NO_CLUSTER", "d"), ("IN_SEVERAL_CLUSTERS", "b"), ("REPRESENTATIVES", "c1"), ("UNKNOWN_SEQUENCE", "x")]
+
+
 def brute_hits(seq, oligo, role, config):
     turn = str.maketrans(iupac.CODES, iupac.PAIRED)
     rc = lambda s: s.translate(turn)[::-1]
@@ -222,6 +241,16 @@ def test_global_alignment_is_optimal():
         assert score == pytest.approx(path_score(a, b, path)) and score == pytest.approx(naive_global(a, b))
 
 
+def test_alignment_in_little_memory_is_optimal_too(monkeypatch):
+    rng = random.Random(4)
+    monkeypatch.setattr(align, "CELLS", 6)
+    for _ in range(150):
+        a = "".join(rng.choice("ACGT") for _ in range(rng.randrange(0, 24)))
+        b = a[: rng.randrange(12)] + a[rng.randrange(12, 20) :] if rng.random() < 0.5 else "".join(rng.choice("ACGT") for _ in range(rng.randrange(0, 16)))
+        score, path = align.best_path(a, b)
+        assert score == pytest.approx(path_score(a, b, path)) and score == pytest.approx(naive_global(a, b)), (a, b)
+
+
 def test_star_alignment_turns_and_merges(spark):
     rng = random.Random(1)
     ref = "".join(rng.choice("ACGT") for _ in range(80))
@@ -333,7 +362,7 @@ def test_boulder_and_temperature(spark):
     assert tuple(tags.select(*assay_design.oligo_location(F.col("tags"), "LEFT", F.lit(0))).first()) == (11, 30)
     tm = one(spark, assay_design.melting_temperature(F.lit("ACGTTGCATGGATCCATGCA")).alias("a"), assay_design.melting_temperature(F.lit("GCGCGCGCGCGCGCGCGCGC")).alias("b"), assay_design.melting_temperature(F.lit("ACGN")).alias("c"))
     assert 45 < tm.a < 70 < tm.b and tm.c is None
-    assert PrimerDesignConfig().product_max == 200
+    assert PrimerDesignConfig().product_size_max == 200
 
 
 def test_clstr_lines(spark):
