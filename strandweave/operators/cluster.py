@@ -11,7 +11,6 @@ so pairs alike but for many insertions may share no word and are never compared.
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,11 +32,16 @@ def identity(shorter: str, longer: str) -> float:
         return 0.0
     if shorter in longer:
         return 1.0
-    a, b = (np.frombuffer(x.encode(), np.uint8) for x in (shorter, longer))
-    row = np.zeros(len(b) + 1, np.int64)
-    for ch in a:
-        row = np.maximum.accumulate(np.maximum(row, np.concatenate([[0], row[:-1] + (b == ch)])))
-    return float(row[-1]) / len(a)
+    # a bit for each letter of the shorter one, set while the row's length doesn't grow there (Hyyro, 2004)
+    places: dict[str, int] = {}
+    for i, ch in enumerate(shorter):
+        places[ch] = places.get(ch, 0) | 1 << i
+    full = (1 << len(shorter)) - 1
+    row = full
+    for ch in longer:
+        hit = row & places.get(ch, 0)
+        row = (row + hit | row - hit) & full
+    return (len(shorter) - row.bit_count()) / len(shorter)
 
 
 def similar_pairs(sequences: DataFrame, least: float) -> DataFrame:

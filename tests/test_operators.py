@@ -263,6 +263,22 @@ def test_star_alignment_turns_and_merges(spark):
     assert align.choose_reference(df) == ("s1", "automatic")
 
 
+def test_identity_is_the_longest_common_subsequence():
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last, row = row, [0]
+            for j, y in enumerate(b, 1):
+                row.append(last[j - 1] + 1 if x == y else max(last[j], row[-1]))
+        return row[-1] / len(a)
+
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = sorted(("".join(rng.choice("ACGN") for _ in range(rng.randrange(1, 40))) for _ in range(2)), key=len)
+        assert cluster.identity(a, b) == plain(a, b)
+    assert cluster.identity("", "A") == 0.0
+
+
 def test_clusters_equal_one_pass_in_order(spark):
     rng = random.Random(8)
     seqs = []
