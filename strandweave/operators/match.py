@@ -96,12 +96,6 @@ HITS_DDL = (
 )
 
 
-def collect_oligos(oligos: DataFrame) -> list[Oligo]:
-    """Oligos of assays: designs number some per region, and turns bound what a task holds."""
-    rows = oligos.select("assay_id", "role", F.upper("sequence").alias("sequence"), *(c for c in ("reference_start", "reference_end") if c in oligos.columns)).toLocalIterator()
-    return [Oligo(**r.asDict()) for r in rows]
-
-
 def scan_compatible(sequences: DataFrame, oligos: list[Oligo], config: SpecificityConfig, keys: list[str]) -> DataFrame:
     """Every compatible site of every oligo in (keys..., sequence): exhaustive, without any cap."""
     if not oligos:

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandweave.operators.match import ROLES, collect_oligos, scan_compatible
+from strandweave.operators.match import ROLES, Oligo, scan_compatible
 from strandweave.plans.config import SpecificityConfig
-from strandweave.plans.storage import small
 
 KEYS = ["dataset", "dataset_ordinal", "ordinal", "sequence_id"]
 
@@ -21,9 +20,12 @@ def off_target_hits(sequences: DataFrame, oligos: DataFrame, config: Specificity
 
     ``oligos``: (assay_id, assay_ordinal, role, sequence). Hits carry what orders them.
     """
-    hits = scan_compatible(sequences, collect_oligos(oligos), config, KEYS)
-    order = oligos.select("assay_id", "assay_ordinal").distinct()
-    return hits.join(small(order), "assay_id").withColumn("role_ordinal", role_ordinal()).withColumn("compatible", F.lit(True))
+    spark = sequences.sparkSession
+    rows = oligos.select("assay_id", "assay_ordinal", "role", F.upper("sequence").alias("sequence")).collect()  # designs number some a region
+    hits = scan_compatible(sequences, [Oligo(r.assay_id, r.role, r.sequence) for r in rows], config, KEYS)
+    shape = oligos.select("assay_id", "assay_ordinal").schema
+    order = spark.createDataFrame(sorted({(r.assay_id, r.assay_ordinal) for r in rows}), shape)  # as large as what the tasks were sent
+    return hits.join(order, "assay_id").withColumn("role_ordinal", role_ordinal()).withColumn("compatible", F.lit(True))
 
 
 def enumeration_order() -> list:
