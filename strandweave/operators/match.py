@@ -25,11 +25,15 @@ MAX_OLIGOS = 3_000
 #: Longer sequences are scanned in parts that overlap by the longest oligo.
 PART = 4_000_000
 
+#: Letters of sequences that are scanned together, and the mask that parts them, which no oligo covers.
+TOGETHER, BETWEEN = 1 << 18, 16
 _MASK = np.zeros(256, np.uint8)
-_BACK = np.zeros(16, np.uint8)
+_MASK[0] = BETWEEN
+_BACK = np.zeros(BETWEEN + 1, np.uint8)
+_BACK[BETWEEN] = BETWEEN
 for _i, _c in enumerate(CODES, 1):
     _MASK[ord(_c)] = _MASK[ord(_c.lower())] = _i
-_BACK[1:] = [CODES.index(c) + 1 for c in PAIRED]
+_BACK[1:BETWEEN] = [CODES.index(c) + 1 for c in PAIRED]
 
 
 def to_masks(seq: str | bytes) -> np.ndarray:
@@ -117,45 +121,54 @@ def _scan_part(sequences: DataFrame, oligos: list[Oligo], config: SpecificityCon
     fields = {f.name: f for f in rows.schema}
     ddl = ", ".join(f"{k} {fields[k].dataType.simpleString()}" for k in keys)
 
+    def scan(group, lengths, froms, prepared):
+        """(row, hit...) of sequences laid end to end; a site belongs to the part where it starts."""
+        sizes = np.array([len(seq) for _, seq in group])
+        begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+        target = to_masks("\x00".join(seq for _, seq in group))
+        for orientation in ORIENTATIONS:
+            flipped = orientation != "FORWARD"
+            view = reverse_masks(target) if flipped else target
+            for o, pattern in prepared:
+                k, role = len(pattern), o.role
+                primer = role != "PROBE"
+                cap = config.max_primer_mismatches if primer else config.max_probe_mismatches
+                protected = config.primer_3_prime_bases if primer and config.reject_primer_3_prime_mismatch else 0
+                starts = compatible_starts(view, pattern, role, cap, protected)
+                plain = len(target) - starts - k if flipped else starts
+                which = np.searchsorted(begins, plain, side="right") - 1
+                local = plain - begins[which]
+                own = local + k <= sizes[which]  # not across two sequences
+                own &= (local < PART) | (froms[which] + PART >= lengths[which])
+                if not own.any():
+                    continue
+                bad = mismatch_rows(view, starts[own], pattern, role)
+                source = local[own] + froms[which[own]] + 1
+                oriented = lengths[which[own]] - (source + k - 1) + 1 if flipped else source
+                for i, s, e, b in zip(which[own].tolist(), source.tolist(), oriented.tolist(), bad, strict=True):
+                    places = (np.flatnonzero(b) + 1).tolist()
+                    tail = primer and any(p > k - config.primer_3_prime_bases for p in places)
+                    yield group[i][0], o.assay_id, role, orientation, e, e + k - 1, s, s + k - 1, places, len(places), not places, tail
+
     def run(batches):
         prepared = [(o, o.pattern) for o in oligos]
+        n_keys = len(keys)
         for batch in batches:
-            n_keys = len(keys)
-            lengths, offsets, seqs = (batch.column(n_keys + i) for i in range(3))
-            for row in range(batch.num_rows):
-                seq = seqs[row].as_py()
-                if not seq:
-                    continue
-                length, offset = lengths[row].as_py(), offsets[row].as_py()
-                target = to_masks(seq)
-                last_part = offset + PART >= length
-                found = []
-                for orientation in ORIENTATIONS:
-                    # in this part's own coordinates; a site belongs to the part where it starts
-                    for o, pattern in prepared:
-                        k, role = len(pattern), o.role
-                        flipped = orientation != "FORWARD"
-                        view = reverse_masks(target) if flipped else target
-                        primer = role != "PROBE"
-                        cap = config.max_primer_mismatches if primer else config.max_probe_mismatches
-                        protected = config.primer_3_prime_bases if primer and config.reject_primer_3_prime_mismatch else 0
-                        starts = compatible_starts(view, pattern, role, cap, protected)
-                        if not len(starts):
-                            continue
-                        plain = len(target) - starts - k if flipped else starts  # 0-based start in the part
-                        own = (plain < PART) | last_part
-                        starts, plain = starts[own], plain[own]
-                        bad = mismatch_rows(view, starts, pattern, role)
-                        source = plain + offset + 1
-                        oriented = length - (source + k - 1) + 1 if flipped else source
-                        for s, e, b in zip(source.tolist(), oriented.tolist(), bad, strict=True):
-                            places = (np.flatnonzero(b) + 1).tolist()
-                            tail = primer and any(p > k - config.primer_3_prime_bases for p in places)
-                            found.append((o.assay_id, role, orientation, e, e + k - 1, s, s + k - 1, places, len(places), not places, tail))
-                if found:
-                    columns = [pa.array(list(c), f.type) for c, f in zip(zip(*found, strict=True), HITS, strict=True)]
-                    same = [batch.column(i).take(pa.array([row] * len(found))) for i in range(n_keys)]
-                    yield pa.record_batch([*same, *columns], names=[*keys, *HITS.names])
+            lengths, froms = (batch.column(n_keys + i).to_numpy(zero_copy_only=False) for i in range(2))
+            seqs = batch.column(n_keys + 2)
+            group, size = [], 0
+            for row in range(batch.num_rows + 1):
+                if row == batch.num_rows or size >= TOGETHER:
+                    at = np.array([r for r, _ in group], np.int64)
+                    found = list(scan(group, lengths[at], froms[at], prepared)) if group else []
+                    if found:
+                        columns = list(zip(*found, strict=True))
+                        same = [batch.column(i).take(pa.array(columns[0])) for i in range(n_keys)]
+                        yield pa.record_batch([*same, *(pa.array(list(c), f.type) for c, f in zip(columns[1:], HITS, strict=True))], names=[*keys, *HITS.names])
+                    group, size = [], 0
+                if row < batch.num_rows and (seq := seqs[row].as_py()):
+                    group.append((row, seq))
+                    size += len(seq) + 1
 
     return rows.mapInArrow(run, f"{ddl}, {HITS_DDL}")
 

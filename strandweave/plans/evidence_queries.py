@@ -281,7 +281,7 @@ def q61_ranking_table(spark, sf):
 
 
 @query(f"""WITH {RANKSQL}, obs AS (SELECT assay_id, k, m, okc FROM fin WHERE k % 3 <> 1)
-SELECT coalesce(o.assay_id, f.assay_id) AS assay_id, CASE WHEN o.m THEN 20 END AS observed_sequences, CASE WHEN o.m THEN o.okc - CASE WHEN o.k % 7 = 0 THEN 1 ELSE 0 END END AS observed_compatible,
+SELECT coalesce(o.assay_id, f.assay_id) AS assay_id, CASE WHEN o.m THEN 20 ELSE -1 END::BIGINT AS observed_sequences, CASE WHEN o.m THEN o.okc - CASE WHEN o.k % 7 = 0 THEN 1 ELSE 0 END ELSE -1 END::BIGINT AS observed_compatible,
   coalesce(o.m AND o.k % 7 <> 0, false) OR (o.m IS NOT TRUE AND NOT f.m AND f.skip) AS reconciled FROM fin f LEFT JOIN (SELECT * FROM obs WHERE m) o ON o.assay_id = f.assay_id""")
 def q62_observations(spark, sf):
     ev = own._rank_evidence(spark, sf)
@@ -289,7 +289,7 @@ def q62_observations(spark, sf):
     seen = ev.where((F.col("inclusivity_status") == "COMPLETE") & (F.col("evaluation_sequence_count") > 0) & (k % 3 != 1))
     ok = F.col("original_compatible_count") - F.when(k % 7 == 0, 1).otherwise(0)
     rows = seen.select("assay_id", ok.alias("ok"), F.explode(F.sequence(F.lit(1), F.lit(20))).alias("i")).select("assay_id", (F.col("i") <= F.col("ok")).alias("original_compatible"))
-    return report.observations(rows, ev).select("assay_id", "observed_sequences", "observed_compatible", "reconciled")
+    return report.observations(rows, ev).fillna(-1, ["observed_sequences", "observed_compatible"]).select("assay_id", "observed_sequences", "observed_compatible", "reconciled")
 
 
 # conservation, contrast, regions ----------------------------------------------------------------
@@ -317,23 +317,23 @@ def q64_contrast_selection(spark, sf):
     return own._rounded(contrast.select_candidates(c, DESIGN).select("region_id", "reference_start", "peak_start", "worst_critical_similarity"), "worst_critical_similarity")
 
 
-@query(f"WITH {POS} SELECT {_LINE('alignment_position', 'reference_position', 'reference_base', 'depth', 'round(coverage, 4)', 'round(vA / (12.0 * depth), 4)', 'round(vC / (12.0 * depth), 4)', 'round(vG / (12.0 * depth), 4)', 'round(vT / (12.0 * depth), 4)', 'round(gap, 4)', 'round(major, 4)', 'round(entropy, 4)', 'major_symbol', 'iupac_symbol')} AS value FROM pos".replace("12.0", "12.0::DOUBLE"))
+@query(f"WITH {POS} SELECT {_LINE('alignment_position', 'reference_position', 'reference_base', 'depth', 'round(coverage, 6)', 'round(vA / (12.0 * depth), 6)', 'round(vC / (12.0 * depth), 6)', 'round(vG / (12.0 * depth), 6)', 'round(vT / (12.0 * depth), 6)', 'round(gap, 6)', 'round(major, 6)', 'round(entropy, 6)', 'major_symbol', 'iupac_symbol')} AS value FROM pos".replace("12.0", "12.0::DOUBLE"))
 def q65_position_table(spark, sf):
     named = own.positions(spark, sf).withColumnsRenamed({"major_symbol": "major_consensus", "iupac_symbol": "iupac_consensus"})
     shares = ("coverage", "frequency_a", "frequency_c", "frequency_g", "frequency_t", "gap_frequency", "major_allele_frequency", "entropy_bits")
-    return sinks.lines(named.withColumns({n: F.round(n, 4) for n in shares}), sinks.POSITIONS)
+    return sinks.lines(named.withColumns({n: F.round(n, 6) for n in shares}), sinks.POSITIONS)
 
 
-@query(f"WITH {WIN} SELECT {_LINE('reference_start', 'reference_end', 'n', 'round(mean_c, 4)', 'round(min_c, 4)', 'round(cov, 4)', 'round(gap, 4)', 'round(ent, 4)')} AS value FROM win")
+@query(f"WITH {WIN} SELECT {_LINE('reference_start', 'reference_end', 'n', 'round(mean_c, 6)', 'round(min_c, 6)', 'round(cov, 6)', 'round(gap, 6)', 'round(ent, 6)')} AS value FROM win")
 def q66_window_table(spark, sf):
-    return sinks.lines(own.windows(spark, sf).withColumns({n: F.round(n, 4) for n in sinks.WINDOWS[3:]}), sinks.WINDOWS)
+    return sinks.lines(own.windows(spark, sf).withColumns({n: F.round(n, 6) for n in sinks.WINDOWS[3:]}), sinks.WINDOWS)
 
 
 @query(f"""WITH RECURSIVE {own.SQL['q15_region_greedy'].partition('WITH RECURSIVE ')[2].rpartition('SELECT list_position')[0]}
-SELECT {_LINE("'region-' || lpad(list_position(starts, a)::VARCHAR, 3, '0')", 'list_position(starts, a)', 'a', 'b', 'peak_start', 'peak_end', 'n', 'usable', 'round(usable / n, 4)', 'round(mean_c, 4)')} AS value FROM reg, final WHERE list_contains(starts, a)""")
+SELECT {_LINE("'region-' || lpad(list_position(starts, a)::VARCHAR, 3, '0')", 'list_position(starts, a)', 'a', 'b', 'peak_start', 'peak_end', 'n', 'usable', 'round(usable / n, 6)', 'round(mean_c, 6)')} AS value FROM reg, final WHERE list_contains(starts, a)""")
 def q67_region_table(spark, sf):
     rows = regions.select_regions(own.windows(spark, sf), own.positions(spark, sf), own.ALN_LENGTH, DESIGN)
-    return sinks.lines(rows.withColumns({n: F.round(n, 4) for n in ("usable_fraction", "mean_conservation")}), sinks.REGIONS[:10])
+    return sinks.lines(rows.withColumns({n: F.round(n, 6) for n in ("usable_fraction", "mean_conservation")}), sinks.REGIONS[:10])
 
 
 @query(f"""WITH {POS}, k AS (SELECT reference_position AS p, reference_position - row_number() OVER (ORDER BY reference_position) AS r FROM pos WHERE entropy > 0.5) SELECT min(p)::BIGINT AS start, max(p)::BIGINT AS "end", count(*) AS n FROM k GROUP BY r""")

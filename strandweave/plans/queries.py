@@ -389,7 +389,7 @@ cell AS (SELECT assay_id, role, k, i AS oligo_position, substr(o, i, 1) AS origi
 def q24_variations(spark, sf):
     n = table(spark, sf, "supplier").count()
     v = inclusivity.variations(_bound(spark, sf), _assays(spark, sf), n, INCL)
-    return _rounded(v.withColumn("oligo_position", F.col("oligo_position").cast("long")), "affected_fraction")
+    return _rounded(v.drop("original_support", "observed_support").withColumn("oligo_position", F.col("oligo_position").cast("long")), "affected_fraction")
 
 
 def _window_queries(spark, sf) -> DataFrame:

@@ -62,11 +62,11 @@ def test_run_resume_and_page(spark, setup):
     windows = len(told("conservation/window_metrics.tsv")) - 1
     assert len(told("contrastive_conservation/dataset_metrics.tsv")) == windows + 1
     assert any(x.startswith("SEQUENCE_INCLUDED_REGION=") for x in told("primer_design/primer3_input.txt"))
-    assert told("discovery_set.fasta")[0] == ">t0" and (out / "alignment/discovery_alignment.fasta").exists() and told("conservation/consensus_major.fasta")[0] == ">major-consensus"
+    assert told("discovery_set.fasta")[0] == ">t3" and (out / "alignment/discovery_alignment.fasta").exists() and told("conservation/consensus_major.fasta")[0] == ">major-consensus"
     qc_report, summary = json.loads((out / "qc_report.json").read_text()), json.loads((out / "run_summary.json").read_text())
     assert [r["sequence_id"] for r in qc_report["records"]] == ["t0", "t1", "t2", "t3"] and [r["in_evaluation_set"] for r in qc_report["records"]] == [True, False, True, True]
     assert qc_report["codes"] == {"ACCEPTED": 3, "DUPLICATE_SEQUENCE": 1} and summary["unreconciled_assays"] == 0 and summary["provenance"]["panel"]["mode"] == "approved_manifest"
-    assert summary["provenance"]["input"]["kind"] == "fasta" and summary["provenance"]["reference"]["id"] == "t0"
+    assert summary["provenance"]["input"]["kind"] == "fasta" and summary["provenance"]["reference"]["id"] == "t3"
     for name in ("alignment_report.json", "clustering_report.json", "conservation/conservation_report.json", "contrastive_conservation/contrastive_conservation_report.json", "primer_design/primer_design_report.json", "inclusivity/inclusivity_report.json", "specificity/specificity_report.json", "ranking/ranking_report.json"):
         assert json.loads((out / name).read_text())["status"] == "COMPLETE", name
     assert (out / "contrastive_conservation/report.html").exists() and "contains_anchor" in (out / "primer_design/report.html").read_text()
