@@ -78,6 +78,12 @@ def op10_chat_preferences(spark, sf_dir):
     return out.withColumns(as_text).withColumn("n_prompt_turns", F.col("n_prompt_turns").cast("long"))
 
 
+def op13_merkle_manifest(spark, sf_dir):
+    from strandweave.llm.merkle import merkle_manifest
+
+    return merkle_manifest(read_table(spark, sf_dir, "documents"), tampered=F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+
+
 _MARK = lambda c: f"replace({c}, '<|im_', '<\\|im_')"
 _HEAD = lambda t: f"'<|im_start|>' || {_MARK(t + '.role')} || chr(10)"
 _TAIL = lambda t: f"{_MARK(t + '.text')} || '<|im_end|>'"
@@ -91,11 +97,30 @@ def _ranges(side: str) -> str:
     return f"array_to_string(list_transform({own}, lambda i: ({start}) || '-' || ({start} + length({_TAIL(f'{side}[i]')}))), ',')"
 
 
+def _tree(name: str, leaves: str) -> str:
+    """SQL for (tree, level, idx, n, digest): all nodes over ``leaves`` (the same columns at level 0)."""
+    return f"""{name} AS (
+          {leaves}
+          UNION ALL SELECT tree, level + 1, idx // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY idx)) FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 16, n
+        )"""
+
+
+#: SQL for zlib's CRC-32 of a bigint's decimal digits, with its table of bytes in ``crc.t``.
+_CRC_TABLE = """crc AS (
+          SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+        )"""
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+          lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295)"""
+_PART = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+_LEAF = lambda text: "sha256(" + " || ".join(map(_PART, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_quality_classifier, op3_best_fit_packing, op4_exact_dedup, op5_warc, op6_lm_scoring,
         op7_toxicity, op8_embedding_near_dedup, op9_simhash_near_dedup, op10_chat_preferences,
+        op13_merkle_manifest,
     )
 }
 
@@ -167,4 +192,29 @@ ORACLE_SQL = {
         SELECT pair_id, n AS n_prompt_turns, {_SHOWN('a[:n]')} AS prompt, {_SHOWN('a[n + 1:]')} AS chosen, {_ranges('a')} AS chosen_loss,
                {_SHOWN('b[n + 1:]')} AS rejected, {_ranges('b')} AS rejected_loss FROM m
     """,
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE {_CRC_TABLE}, d AS (
+          SELECT doc_id, coalesce('s' || source, '') AS tree, {_LEAF('text')} AS leaf, {_LEAF("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lowered,
+                 coalesce({_CRC} % 5 = 0, false) AS tampered FROM documents, crc
+        ), k AS (
+          SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS m FROM d
+        ), {_tree('t', 'SELECT tree, 0 AS level, i AS idx, m AS n, leaf AS digest FROM k')}, g AS (
+          SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS top_i, count(*) OVER () AS top_m FROM t WHERE n = 1
+        ), {_tree('u', "SELECT 'r' AS tree, 0 AS level, top_i AS idx, top_m AS n, subroot AS digest FROM g")}, runs AS (
+          SELECT tree, level, idx // 16 AS run, list(digest ORDER BY idx) AS ds FROM (FROM t UNION ALL FROM u) WHERE n > 1 GROUP BY ALL
+        ), spots AS (
+          SELECT tree AS own, i, tree, i AS place, 0 AS after FROM k
+          UNION ALL SELECT k.tree, i, 'r', top_i, 100 FROM k JOIN g USING (tree)
+        ), p AS (
+          SELECT own AS tree, i, list({{'l': array_to_string(ds[1:(place // (16 ** level)::BIGINT) % 16], ''), 'r': array_to_string(ds[(place // (16 ** level)::BIGINT) % 16 + 2:], '')}} ORDER BY after + level) AS path
+          FROM spots s JOIN runs ON runs.tree = s.tree AND runs.run = place // (16 ** (level + 1))::BIGINT GROUP BY ALL
+        ), f AS (
+          SELECT doc_id, leaf, subroot, (SELECT digest FROM u WHERE n = 1) AS root, coalesce(path, []) AS path, CASE WHEN tampered THEN lowered ELSE leaf END AS shown
+          FROM k JOIN g USING (tree) LEFT JOIN p USING (tree, i)
+        ), z AS (
+          SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda x: x.l || x.r), '')) AS proof_sha256,
+                 list_reduce(list_prepend({{'l': shown, 'r': ''}}, path), lambda a, b: {{'l': sha256(b.l || a.l || b.r), 'r': ''}}).l AS folded_root FROM f
+        )
+        SELECT *, folded_root = root AS verified FROM z
+    """,
 }
