@@ -78,6 +78,19 @@ def op10_chat_preferences(spark, sf_dir):
     return out.withColumns(as_text).withColumn("n_prompt_turns", F.col("n_prompt_turns").cast("long"))
 
 
+def op11_substring_dedup(spark, sf_dir):
+    from strandweave.llm.substring_dedup import substring_dedup
+
+    out = substring_dedup(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    from strandweave.llm.periodic_runs import looped, periodic_runs, run_report
+
+    return run_report(periodic_runs(looped(read_table(spark, sf_dir, "documents"))))
+
+
 def op13_merkle_manifest(spark, sf_dir):
     from strandweave.llm.merkle import merkle_manifest
 
@@ -120,7 +133,7 @@ QUERIES = {
     for f in (
         op1_sentencepiece, op2_quality_classifier, op3_best_fit_packing, op4_exact_dedup, op5_warc, op6_lm_scoring,
         op7_toxicity, op8_embedding_near_dedup, op9_simhash_near_dedup, op10_chat_preferences,
-        op13_merkle_manifest,
+        op11_substring_dedup, op12_periodic_runs, op13_merkle_manifest,
     )
 }
 
@@ -192,6 +205,19 @@ ORACLE_SQL = {
         SELECT pair_id, n AS n_prompt_turns, {_SHOWN('a[:n]')} AS prompt, {_SHOWN('a[n + 1:]')} AS chosen, {_ranges('a')} AS chosen_loss,
                {_SHOWN('b[n + 1:]')} AS rejected, {_ranges('b')} AS rejected_loss FROM m
     """,
+    "op11_substring_dedup": """
+        WITH d AS (
+          SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+        ), p AS (
+          SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS k FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d)
+        ), f AS (SELECT k, min(doc_id) AS least FROM p GROUP BY k
+        ), g AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS j FROM p JOIN f USING (k) WHERE doc_id > least
+        ), t AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS j FROM d
+        ), s AS (
+          SELECT doc_id, string_agg(word, ' ' ORDER BY j) FILTER (g.j IS NULL) AS kept, count(g.j) AS n_removed FROM t LEFT JOIN g USING (doc_id, j) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN s USING (doc_id)
+    """,
     "op13_merkle_manifest": f"""
         WITH RECURSIVE {_CRC_TABLE}, d AS (
           SELECT doc_id, coalesce('s' || source, '') AS tree, {_LEAF('text')} AS leaf, {_LEAF("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lowered,
