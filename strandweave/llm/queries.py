@@ -45,10 +45,12 @@ def op5_warc(spark, sf_dir):
 
 
 def op6_lm_scoring(spark, sf_dir):
-    from strandweave.llm.lm_score import lm_scores
+    """The model counts the documents whose CRC-32 mod 4 isn't 2; all are scored, the others backing off."""
+    from strandweave.llm.lm_score import score, train
 
-    out = lm_scores(read_table(spark, sf_dir, "documents"))
-    return out.withColumns({c: F.round(c, 5) for c in ("log_score", "mean_log_score")})
+    docs = read_table(spark, sf_dir, "documents")
+    known = docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
+    return score(docs, train(known)).withColumns({c: F.round(c, 5) for c in ("log_score", "mean_log_score")})
 
 
 def op7_toxicity(spark, sf_dir):
@@ -153,23 +155,23 @@ ORACLE_SQL = {
                CASE WHEN first_id <> page_id THEN first_id END AS refers_to
         FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND payload_bytes >= 100
     """,
-    "op6_lm_scoring": """
-        WITH d AS (
-          SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                 '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
-        ), p AS (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM d
+    "op6_lm_scoring": f"""
+        WITH {_CRC_TABLE}, d AS (
+          SELECT doc_id, {_CRC} % 4 <> 2 AS known, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents, crc
+        ), p AS (SELECT doc_id, known, w, unnest(generate_series(1, len(w))) AS i FROM d
         ), t AS (
-          SELECT doc_id, i, w[i] AS w3, CASE WHEN i > 1 THEN w[i - 1] END AS w2, CASE WHEN i > 2 THEN w[i - 2] END AS w1 FROM p
-        ), total AS (SELECT count(*) AS n FROM t
-        ), u AS (SELECT w3 AS a, count(*) AS n FROM t GROUP BY ALL
-        ), b AS (SELECT w2 AS a, w3 AS b, count(*) AS n FROM t WHERE i > 1 GROUP BY ALL 
-        ), c AS (SELECT w1 AS a, w2 AS b, w3 AS c, count(*) AS n FROM t WHERE i > 2 GROUP BY ALL 
+          SELECT doc_id, known, i, w[i] AS w3, CASE WHEN i > 1 THEN w[i - 1] END AS w2, CASE WHEN i > 2 THEN w[i - 2] END AS w1 FROM p
+        ), total AS (SELECT count(*) AS n FROM t WHERE known
+        ), u AS (SELECT w3 AS a, count(*) AS n FROM t WHERE known GROUP BY ALL
+        ), b AS (SELECT w2 AS a, w3 AS b, count(*) AS n FROM t WHERE known AND i > 1 GROUP BY ALL
+        ), c AS (SELECT w1 AS a, w2 AS b, w3 AS c, count(*) AS n FROM t WHERE known AND i > 2 GROUP BY ALL
         ), s AS (
           SELECT doc_id, CASE
               WHEN c.n IS NOT NULL THEN ln(c.n / p12.n)
               WHEN b.n IS NOT NULL THEN ln(b.n / p2.n) + CASE WHEN i > 2 THEN ln(0.4) ELSE 0 END
-              ELSE ln(u.n / total.n) + ln(0.4) * least(i - 1, 2) END AS v
-          FROM t CROSS JOIN total JOIN u ON u.a = w3
+              ELSE coalesce(ln(u.n / total.n), 0) + ln(0.4) * least(i - 1, 2) END AS v
+          FROM t CROSS JOIN total LEFT JOIN u ON u.a = w3
           LEFT JOIN b ON b.a = w2 AND b.b = w3 LEFT JOIN u p2 ON p2.a = w2
           LEFT JOIN c ON c.a = w1 AND c.b = w2 AND c.c = w3 LEFT JOIN b p12 ON p12.a = w1 AND p12.b = w2
         ), g AS (SELECT doc_id, count(*) AS n, sum(v) AS v FROM s GROUP BY doc_id)

@@ -92,7 +92,7 @@ def window_anchors(flat: pa.Array, offsets: np.ndarray, least: int) -> tuple[np.
     edge = np.ones(len(starts), bool)
     edge[1:] = anchor[1:] != anchor[:-1]
     first = np.flatnonzero(edge)
-    last = np.append(first[1:], len(starts)) - 1
+    last = np.append(first, len(starts))[1:] - 1
     place = anchor[first]
     high, low = place - starts[first], place - starts[last]
     around = two(place - high, place - low + least)

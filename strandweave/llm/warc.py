@@ -43,7 +43,7 @@ def _one_line(text: str) -> str:
 
 
 def plan_revisits(pages: DataFrame, id_col: str, payload_col: str, least: int, folder: str) -> DataFrame:
-    """(_id, _bytes, _digest, _first): each row's payload figures and, where it is a revisit, of which row."""
+    """(_id, _digest, _first) of each row that is a revisit: whose payload an earlier row has."""
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_col).alias("_id"), F.octet_length(payload).cast("long").alias("_bytes"), F.unhex(F.sha2(payload, 256)).alias("_digest"))
     rows = stored(rows, f"{folder}/digests")
@@ -51,7 +51,7 @@ def plan_revisits(pages: DataFrame, id_col: str, payload_col: str, least: int, f
         rows.where(F.col("_bytes") >= least).groupBy("_digest").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_size")).where("_size > 1"),
         f"{folder}/groups",
     )
-    return join_to_groups(rows.where(F.col("_bytes") >= least), groups, "_digest", "_size", rows.count()).where("_first <> _id").select("_id", "_first").distinct()
+    return join_to_groups(rows.where(F.col("_bytes") >= least), groups, "_digest", "_size", rows.count()).where("_first <> _id").select("_id", "_digest", "_first").distinct()
 
 
 def write_captures(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = REVISIT_BYTES, date: str = "2024-01-01T00:00:00Z") -> None:
@@ -59,27 +59,29 @@ def write_captures(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
     The payload is ``payload_col`` in UTF-8, null as empty. Of rows with equal payloads of at least
     ``least`` bytes the one with the least id is the response and others are revisits of it; rows
-    with a null id are responses. Rows that repeat an id repeat its capture; null urls are empty. An
-    empty table gives a folder without records.
+    with a null id are responses, whose record ids come from their url and payload. Rows that repeat an
+    id repeat its capture under one record id; null urls are empty; other columns are left out. An empty table gives a folder without records.
     """
     folder = workspace(pages.sparkSession, "warc-plan")
     revisits = plan_revisits(pages, id_col, payload_col, least, folder)
     slim = pages.select(
         F.col(id_col).alias("_id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("_url"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("_payload"),
-    )
+    ).withColumn("_digest", F.unhex(F.sha2("_payload", 256)))
     # a row without id revisits nothing: no join, in which all such rows would meet in one task
-    rows = slim.where("_id is not null").join(revisits, "_id", "left")
-    rows = rows.unionByName(slim.where("_id is null").withColumn("_first", F.lit(None).cast(rows.schema["_first"].dataType)))
+    rows = slim.where("_id is not null").join(revisits, ["_id", "_digest"], "left").drop("_digest")
+    rows = rows.unionByName(slim.where("_id is null").drop("_digest").withColumn("_first", F.lit(None).cast(rows.schema["_first"].dataType)))
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 key = "" if row["_id"] is None else str(row["_id"])
                 url, payload = _one_line(row["_url"]), row["_payload"]
-                main = record_id("capture", key)
+                # a row without id is named by what it holds
+                name = key if row["_id"] is not None else f"null:{hashlib.sha256(url.encode()).hexdigest()}:{hashlib.sha256(payload).hexdigest()}"
+                main = record_id("capture", name)
                 shared = [("WARC-Target-URI", url), ("WARC-Date", date)]
-                request = _record("request", [("WARC-Record-ID", record_id("request", key)), *shared, ("WARC-Concurrent-To", main), ("Content-Type", "application/http;msgtype=request")], f"GET {url} HTTP/1.1\r\n\r\n".encode())
+                request = _record("request", [("WARC-Record-ID", record_id("request", name)), *shared, ("WARC-Concurrent-To", main), ("Content-Type", "application/http;msgtype=request")], f"GET {url} HTTP/1.1\r\n\r\n".encode())
                 head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
                 digest = ("WARC-Payload-Digest", "sha256:" + hashlib.sha256(payload).hexdigest())
                 http = ("Content-Type", "application/http;msgtype=response")
@@ -88,7 +90,7 @@ def write_captures(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                 else:
                     refers = record_id("capture", str(row["_first"]))
                     capture = _record("revisit", [("WARC-Record-ID", main), *shared, digest, ("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", refers), http], head)
-                note = _record("metadata", [("WARC-Record-ID", record_id("metadata", key)), *shared, ("WARC-Concurrent-To", main), ("Content-Type", "application/warc-fields")], f"capture-key: {key}\r\n".encode())
+                note = _record("metadata", [("WARC-Record-ID", record_id("metadata", name)), *shared, ("WARC-Concurrent-To", main), ("Content-Type", "application/warc-fields")], f"capture-key: {key}\r\n".encode())
                 yield pa.record_batch([pa.array([request, capture, note], pa.binary())], names=["value"])
 
     records = rows.mapInArrow(run, "value binary")
@@ -106,7 +108,7 @@ def _headers(head: bytes) -> dict[str, str]:
 def _parse(pieces, with_payload: bool):
     """Records of (file, piece) rows in order. A record is its head's piece and the pieces that its
     Content-Length takes; a torn record at a file's end is given as far as it goes, marked truncated."""
-    head, block, need, file = None, [], 0, None
+    head, block, need, have, file = None, [], 0, 0, None
 
     def close(truncated):
         body = (RECORD_END.encode()).join(block)
@@ -133,20 +135,20 @@ def _parse(pieces, with_payload: bool):
         if name != file:
             if head is not None:
                 yield close(True)
-            head, block, need, file = None, [], 0, name
+            head, block, need, have, file = None, [], 0, 0, name
         while True:
             if head is None:
                 start = piece.lstrip(b"\r\n")
                 if start.startswith(b"WARC/"):
                     size = _headers(start).get("content-length", "0")
-                    head, block, need = start, [], int(size) if size.isdigit() else 0
+                    head, block, need, have = start, [], int(size) if size.isdigit() else 0, -len(RECORD_END)
                     if need == 0:  # an empty block: its end follows the head's at once
                         block = [b""]
                         yield close(False)
                         head = None
                 break
             block.append(piece)
-            have = sum(map(len, block)) + 4 * (len(block) - 1)
+            have += len(piece) + len(RECORD_END)  # the block so far, its pieces joined once it is whole
             if have < need:
                 break
             # a block that ends in a line end is cut early, and the next head then comes with it
@@ -173,7 +175,8 @@ RECORDS_DDL = (
 def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """Records of gzip WARC files; bare SHA-256 (or stated) payload digests and full payload lengths.
 
-    ``with_payload`` false leaves out the payloads of responses, whose digests are still computed.
+    ``with_payload`` false leaves out the payloads of responses, whose digests are still computed. Each
+    record is a row, repeated ones too; heads that lack a field have a null there; an empty archive gives no rows.
     """
     lines = spark.read.option("lineSep", RECORD_END).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value"))
 
@@ -236,7 +239,9 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """Write ``pages`` as an archive, read it back, assemble it; one row per page.
 
     (id_col, payload_bytes, payload_digest, record_type, refers_to): refers_to is the id of the page
-    whose response a revisit refers to. An empty table gives no rows.
+    whose response a revisit refers to. Null payloads are empty; null ids stay null (as do ids of no letters),
+    and their rows are responses; rows that repeat give a row each; other columns, whatever their names, are
+    ignored; an empty table gives no rows.
     """
     spark = pages.sparkSession
     folder = workspace(spark, "warc")

@@ -216,3 +216,29 @@ def test_spliced_pairs(spark):
     plan = chat.format_preferences(chat.spliced_pairs(table))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
     assert chat.spliced_pairs(table.limit(0)).count() == 0
+
+
+def test_archive_of_null_and_repeated_ids(spark):
+    long = "x" * 200
+    rows = [(None, "u", long), (None, "v", long), (None, "u", long), (None, "", None), (7, "u", long), (7, "w", "y" * 150), (3, "u", long), (9, None, "")]
+    pages = spark.createDataFrame([(*r, "c", "r") for r in rows], "page_id long, url string, html string, capture string, record_id string").repartition(3)
+    got = warc.round_trip(pages).collect()
+    assert sorted((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to or 0) for r in got) == sorted(
+        [(0, 200, "response", 0)] * 3 + [(0, 0, "response", 0), (3, 200, "response", 0), (7, 200, "revisit", 3), (7, 150, "response", 0), (9, 0, "response", 0)]
+    )
+    path = workspace(spark, "warc-nulls")
+    warc.write_captures(pages, path)
+    ids = [r.record_id for r in warc.read_warc(spark, path).where("record_type <> 'metadata' and record_type <> 'request'").collect()]
+    assert len(ids) == 8 and len(set(ids)) == 6  # one row is repeated whole, and one id has two rows
+
+
+def test_reader_takes_time_in_proportion_to_the_payload():
+    import time
+
+    body = b"a\r\n\r\n" * 1_000_000
+    record = warc._record("response", [("WARC-Record-ID", "<a>"), ("Content-Type", "application/http;msgtype=response")], b"HTTP/1.1 200 OK\r\n\r\n" + body)
+    pieces = (record + b"\r\n\r\n").split(b"\r\n\r\n")
+    began = time.process_time()
+    (found,) = warc._parse((("f", p) for p in pieces), True)
+    assert time.process_time() - began < 2
+    assert found["payload"] == body and not found["truncated"]
