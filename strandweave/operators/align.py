@@ -1,4 +1,5 @@
-"""Star alignment: every sequence against one reference, merged on the reference's positions."""
+"""Star alignment: every sequence against one reference, merged on the reference's positions; letters
+inserted at one place are aligned among themselves."""
 
 from __future__ import annotations
 
@@ -8,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandweave.functions import iupac
-from strandweave.plans.storage import materialize
+from strandweave.operators.insertions import align_insertions
+from strandweave.plans.storage import join_groups, materialize
 
 OPEN, EXTEND, MATCH, MISMATCH = 3.0, 0.5, 1.0, -1.0
 #: Length of the exact words that anchor long sequences, and letters between anchors aligned in full.
@@ -192,7 +194,8 @@ def align_all(sequences: DataFrame, reference_id: str) -> DataFrame:
     """(ordinal, sequence_id, aligned_sequence, orientation) of (ordinal, sequence_id, sequence).
 
     Each sequence is aligned in the orientation that scores higher; the reference, one sequence sent
-    to every task, never turns. Insertions are as wide as the longest before each reference position.
+    to every task, never turns. What sequences have inserted before a reference position is aligned by
+    merging profiles, each distinct text once.
     """
     reference = sequences.where(F.col("sequence_id") == reference_id).select(F.upper("sequence").alias("s")).first().s
 
@@ -216,7 +219,8 @@ def align_all(sequences: DataFrame, reference_id: str) -> DataFrame:
                         on_reference.append("-" * k)
                         place += k
                     else:
-                        extra.append((place, seq[at : at + k]))
+                        text = seq[at : at + k]
+                        extra.append((place, extra.pop()[1] + text if extra and extra[-1][0] == place else text))
                         at += k
                 ordinals.append(row["ordinal"])
                 ids.append(row["sequence_id"])
@@ -231,7 +235,12 @@ def align_all(sequences: DataFrame, reference_id: str) -> DataFrame:
 
     slim = sequences.select(F.col("ordinal").cast("long").alias("ordinal"), "sequence_id", F.upper("sequence").alias("sequence"))
     rows = materialize(slim.mapInArrow(run, "ordinal long, sequence_id string, orientation string, on_reference string, inserted array<struct<place:int,text:string>>"), "aligned")
-    widths = {r.place: r.width for r in rows.select(F.explode("inserted").alias("i")).groupBy("i.place").agg(F.max(F.length("i.text")).alias("width")).collect()}
+    inserted = materialize(rows.select("ordinal", F.inline("inserted")), "inserted")
+    counted = inserted.groupBy("place", "text").agg(F.count(F.lit(1)).alias("n"))
+    columns = materialize(align_insertions(counted).join(counted, ["place", "text"]).select(F.struct("place", "text").alias("at"), "aligned", "n"), "columns")
+    widths = {r.place: r.width for r in columns.groupBy("at.place").agg(F.max(F.length("aligned")).alias("width")).collect()}  # at most the reference's places
+    found = join_groups(inserted.select("ordinal", F.struct("place", "text").alias("at")), columns, "at", "n", inserted.count())
+    own = found.groupBy("ordinal").agg(F.collect_list(F.struct("at.place", F.col("aligned").alias("text"))).alias("inserted"))
 
     @F.pandas_udf("string")
     def merged(on_reference, inserted):
@@ -239,17 +248,16 @@ def align_all(sequences: DataFrame, reference_id: str) -> DataFrame:
 
         out = []
         for text, extra in zip(on_reference, inserted, strict=True):
-            own = {}
-            for e in extra if extra is not None else ():
-                own[e["place"]] = own.get(e["place"], "") + e["text"]
+            own = {e["place"]: e["text"] for e in extra} if extra is not None else {}
             parts, at = [], 0
             for place in sorted(widths):
-                parts += [text[at:place], own.get(place, "").ljust(widths[place], "-")]
+                parts += [text[at:place], own.get(place, "-" * widths[place])]
                 at = place
             out.append("".join([*parts, text[at:]]))
         return pd.Series(out, dtype="object")
 
-    return rows.select("ordinal", "sequence_id", merged("on_reference", "inserted").alias("aligned_sequence"), "orientation")
+    whole = rows.drop("inserted").join(own, "ordinal", "left")
+    return whole.select("ordinal", "sequence_id", merged("on_reference", "inserted").alias("aligned_sequence"), "orientation")
 
 
 def problems(aligned: DataFrame, sequences: DataFrame, reference_id: str) -> DataFrame:

@@ -1,22 +1,29 @@
 """Greedy identity clustering, longest first, done in parallel.
 
 A sequence leads a cluster if no leader before it (longer, then earlier) is similar enough; others
-join their best leader. Decided in rounds: a sequence without undecided similar sequences before it
-is decided by the leaders among them. That gives what one pass in order gives, in few rounds.
-Similar pairs come from shared words: an alignment with at most e differences leaves one of e+1
-pieces of the shorter sequence whole, so its first letters are a word of the longer one. That holds
-where letters inserted in the longer sequence count as differences; ``identity`` doesn't count them,
-so pairs alike but for many insertions may share no word and are never compared.
+join their best leader. Sequences are compared with leaders only, never with each other: in rounds,
+the first undecided sequences (a bounded number of letters) are decided in order in one task, and the
+leaders found there are compared with all later sequences where those lie. So the work is sequences
+times leaders, whatever the size of a family.
+
+Every pair with a leader is compared in full. Letters inserted in the longer sequence don't lower the
+identity, so no shared words can be asked for: sequences of identity 1 may share none. A comparison is
+cheap instead: a block of sequences is one integer with a bit a letter, and a leader's letter is four
+operations on it.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandweave.plans.storage import materialize, number_rows, running_sum
 
+#: Letters and sequences that a round decides in one task, and letters that are compared at once.
+ROUND_LETTERS, ROUND_ROWS, BLOCK_LETTERS = 250_000, 1_000, 250_000
+
 
 def word_length(identity: float) -> int:
     """Words get shorter as the identity asked for falls."""
@@ -44,66 +51,120 @@ def identity(shorter: str, longer: str) -> float:
     return (len(shorter) - row.bit_count()) / len(shorter)
 
 
-def similar_pairs(sequences: DataFrame, least: float) -> DataFrame:
-    """(leader, member, identity) for pairs of ordinals in clustering order with enough identity."""
-    word = word_length(least)
-    order = F.struct((-F.length("sequence")).alias("n"), F.col("ordinal").alias("o"))
-    rows = sequences.select("ordinal", F.upper("sequence").alias("sequence"), order.alias("place"))
-    differences = F.floor((1 - F.lit(least)) * F.length("sequence") + F.lit(1e-9)).cast("int")
-    piece = F.greatest(F.lit(1), (F.length("sequence") / (differences + 1)).cast("int"))
-    k = F.least(F.lit(word), piece)
-    seeds = rows.withColumn("k", k).select(
-        F.col("ordinal").alias("member"), F.col("place").alias("later"), "k",
-        F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), differences), lambda i: F.substr("sequence", i * piece + 1, F.col("k"))))).alias("word"),
-    )
-    lengths = [r[0] for r in seeds.select("k").distinct().collect()]  # at most the word length many
-
-    def of_length(n: int):
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("sequence") - n + 1)), lambda i: F.substr("sequence", i, F.lit(n)))
-
-    every = F.array_distinct(F.flatten(F.array(*map(of_length, lengths or [word]))))
-    words = rows.select(F.col("ordinal").alias("leader"), F.col("place").alias("earlier"), F.explode(every).alias("word"))
-    pairs = seeds.join(words, "word").where("earlier < later").select("leader", "member").distinct()
-    text = sequences.select("ordinal", F.upper("sequence").alias("s"))
-    both = pairs.join(text.select(F.col("ordinal").alias("leader"), F.col("s").alias("long")), "leader").join(text.select(F.col("ordinal").alias("member"), F.col("s").alias("short")), "member")
-
-    @F.pandas_udf("double")
-    def score(short: pd.Series, long: pd.Series) -> pd.Series:
-        return pd.Series([identity(a, b) for a, b in zip(short, long, strict=True)], dtype="float64")
-
-    return both.select("leader", "member", score("short", "long").alias("identity")).where(F.col("identity") >= least)
+class SideBySide:
+    """Sequences in one integer, a bit a letter and a spare bit after each, to be compared at once."""
+
+    def __init__(self, sequences: list[str]):
+        self.sizes = np.array([len(s) for s in sequences], np.int64)
+        text = "\0".join(sequences).encode("latin-1", "replace")[::-1]
+        self.begins = np.concatenate([[0], np.cumsum(self.sizes + 1)[:-1]])
+        self.bits = int(self.sizes.sum() + len(sequences))
+        self.at = {c: int(text.translate(bytes(49 if b == c else 48 for b in range(256))), 2) for c in set(text) - {0}}
+        self.full = 0
+        for mask in self.at.values():
+            self.full |= mask
+
+    def identities(self, longer: str) -> np.ndarray:
+        """What ``identity`` gives for each sequence and ``longer``."""
+        row, full, at = self.full, self.full, self.at
+        for ch in longer.encode("latin-1", "replace"):
+            if ch in at:
+                hit = row & at[ch]
+                row = (row + hit | row - hit) & full
+        held = np.unpackbits(np.frombuffer(row.to_bytes(self.bits // 8 + 1, "little"), np.uint8), bitorder="little")
+        same = self.sizes - np.add.reduceat(held[: self.bits], self.begins, dtype=np.int64)
+        return np.where(self.sizes > 0, same / np.maximum(self.sizes, 1), 0.0)
+
+
+def _leaders(rows: DataFrame, least: float) -> DataFrame:
+    """(rank, sequence) of the leaders among the first of ``rows``, as many as ROUND_LETTERS allow, decided in order in one task."""
+
+    def run(batches):
+        rows = sorted(r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        letters = np.cumsum([len(s) for _, s in rows])
+        rows = rows[: max(1, int(np.searchsorted(letters, ROUND_LETTERS, side="right")))]
+        led, packed, waiting = [], None, np.arange(len(rows))
+        held = waiting
+        while len(waiting):
+            if packed is None or len(waiting) * 2 < len(held):
+                held, packed = waiting, SideBySide([rows[k][1] for k in waiting])
+            first = waiting[0]
+            led.append(rows[first])
+            fine = np.isin(held, waiting) & (packed.identities(rows[first][1]) < least)
+            waiting = held[fine & (held != first)]
+        if led:
+            yield pa.record_batch([pa.array([r for r, _ in led], pa.int64()), pa.array([s for _, s in led], pa.string())], names=["rank", "sequence"])
+
+    return rows.repartition(1).mapInArrow(run, "rank long, sequence string")
+
+
+def _joined(rows: DataFrame, leaders: list[tuple[int, str]], least: float) -> DataFrame:
+    """(rank, leader, identity): the best of ``leaders`` (in order) of each later sequence similar to any."""
+
+    def block(ranks: list[int], sequences: list[str]):
+        packed, at = SideBySide(sequences), np.array(ranks)
+        best, home = np.zeros(len(at)), np.zeros(len(at), np.int64)
+        for rank, sequence in leaders:
+            if rank < at.max():
+                found = np.where(at > rank, packed.identities(sequence), 0.0)
+                better = (found >= least) & (found > best)
+                best[better], home[better] = found[better], rank
+        some = home > 0
+        return pa.record_batch([pa.array(at[some]), pa.array(home[some]), pa.array(best[some])], names=["rank", "leader", "identity"])
+
+    def run(batches):
+        ranks, sequences, letters = [], [], 0
+        for batch in batches:
+            for rank, sequence in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ranks.append(rank)
+                sequences.append(sequence)
+                letters += len(sequence)
+                if letters >= BLOCK_LETTERS:
+                    yield block(ranks, sequences)
+                    ranks, sequences, letters = [], [], 0
+        if ranks:
+            yield block(ranks, sequences)
+
+    return rows.mapInArrow(run, "rank long, leader long, identity double")
 
 
 def clusters(sequences: DataFrame, least: float = 0.95) -> DataFrame:
     """(cluster_id, representative_id, sequence_id, ordinal, is_representative, identity).
 
-    ``sequences``: (ordinal, sequence_id, sequence), ids unique. Clusters are numbered by their first
-    member, from cluster-00000.
+    ``sequences``: (ordinal, sequence_id, sequence), ids unique. Of equally similar leaders the first in
+    the order is joined. Clusters are numbered by their first member, from cluster-00000. An empty
+    sequence is similar to none and leads; an empty table gives no rows.
     """
     spark = sequences.sparkSession
-    pairs = materialize(similar_pairs(sequences, least), "similar")
-    decided = materialize(
-        sequences.select("ordinal").join(pairs.select(F.col("member").alias("ordinal")).distinct(), "ordinal", "left_anti").withColumn("leads", F.lit(True)), "decided"
-    )
+    ranked = number_rows(sequences.select("ordinal", "sequence_id", F.upper(F.coalesce("sequence", F.lit(""))).alias("sequence"), (-F.length(F.coalesce("sequence", F.lit("")))).alias("_n")), "rank", "_n", "ordinal")
+    ranked = materialize(ranked.drop("_n"), "ranked")
+    rows = ranked.select("rank", "sequence")
+    empty = spark.createDataFrame([], "rank long, leader long, identity double")
+    joined, leaders, decided = [], [], rows.select("rank").limit(0)
     while True:
-        known = decided.select(F.col("ordinal").alias("leader"), "leads")
-        open_ = pairs.join(decided.select(F.col("ordinal").alias("member")), "member", "left_anti").join(known, "leader", "left")
-        state = open_.groupBy(F.col("member").alias("ordinal")).agg(F.bool_or(F.coalesce("leads", F.lit(False))).alias("taken"), F.bool_or(F.col("leads").isNull()).alias("waits"))
-        new = materialize(state.where("taken or not waits").select("ordinal", (~F.col("taken")).alias("leads")), "decided")
-        if new.isEmpty():
+        waiting = rows.select("rank").join(decided, "rank", "left_anti").orderBy("rank").limit(ROUND_ROWS)
+        found = materialize(_leaders(rows.join(F.broadcast(waiting), "rank", "left_semi"), least), "leaders")
+        new = sorted((r.rank, r.sequence) for r in found.collect())  # at most a round's letters
+        if not new:
             break
-        decided = materialize(decided.unionByName(new), "decided")
-    leaders = decided.where("leads").select(F.col("ordinal").alias("leader"))
-    best = pairs.join(leaders, "leader").join(decided.where("not leads").select(F.col("ordinal").alias("member")), "member").groupBy("member").agg(
-        F.min_by(F.struct("leader", "identity"), F.struct((-F.col("identity")).alias("i"), "leader")).alias("b")
-    )
-    homes = best.select(F.col("member").alias("ordinal"), "b.leader", "b.identity").unionByName(leaders.select(F.col("leader").alias("ordinal"), "leader", F.lit(None).cast("double").alias("identity")))
+        leaders.append(found.select("rank"))
+        joined.append(materialize(_joined(rows.where(F.col("rank") > new[0][0]), new, least), "joined"))
+        decided = materialize(decided.unionByName(leaders[-1]).unionByName(joined[-1].select("rank")).distinct(), "decided")
+    homes = empty
+    for part in joined:
+        homes = homes.unionByName(part)
+    best = homes.groupBy("rank").agg(F.min_by(F.struct("leader", "identity"), F.struct((-F.col("identity")).alias("i"), "leader")).alias("b"))
+    led = empty.select("rank")
+    for part in leaders:
+        led = led.unionByName(part)
+    homes = best.select("rank", "b.leader", "b.identity").unionByName(led.select("rank", F.col("rank").alias("leader"), F.lit(None).cast("double").alias("identity")))
+    ids = ranked.select("rank", "ordinal", "sequence_id")
+    homes = materialize(homes.join(ids, "rank"), "homes")
     first = homes.groupBy("leader").agg(F.min("ordinal").alias("first"))
     named = number_rows(first, "n", "first").select("leader", F.format_string("cluster-%05d", F.col("n") - 1).alias("cluster_id"))
-    ids = sequences.select("ordinal", "sequence_id")
-    return (
-        homes.join(named, "leader").join(ids, "ordinal").join(ids.select(F.col("ordinal").alias("leader"), F.col("sequence_id").alias("representative_id")), "leader")
-        .select("cluster_id", "representative_id", "sequence_id", "ordinal", (F.col("leader") == F.col("ordinal")).alias("is_representative"), "identity")
+    heads = named.join(ids.select(F.col("rank").alias("leader"), F.col("sequence_id").alias("representative_id")), "leader")
+    return homes.join(heads, "leader").select(
+        "cluster_id", "representative_id", "sequence_id", "ordinal", (F.col("leader") == F.col("rank")).alias("is_representative"), "identity"
     )
 
 

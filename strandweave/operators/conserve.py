@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandweave.functions import iupac, text
 from strandweave.functions.intervals import window_starts
+from strandweave.operators.ranges import interval_aggregates
 from strandweave.plans.config import ConservationConfig
 from strandweave.plans.storage import running_sum
 
@@ -69,23 +70,25 @@ def consensus(positions: DataFrame) -> DataFrame:
 def windows(positions: DataFrame, reference_length: int, config: ConservationConfig, usable=None) -> DataFrame:
     """Sliding windows, the last anchored at the end; a short reference gives one partial window.
 
-    Each position goes to the windows that hold it, so windows are sums by their start: nothing is
-    ordered as a whole. ``usable`` (a predicate) adds a count of usable positions.
+    A window is three look-ups, whatever its size and step. ``usable`` (a predicate) adds a count of
+    usable positions.
     """
     w, step = config.window_size, config.step_size
     last = max(1, reference_length - w + 1)
-    p = F.col("reference_position")
-    low = F.greatest(F.lit(0), F.ceil((p - w) / step)).cast("int")
-    high = F.least(F.floor((p - 1) / step), F.lit((last - 1) // step)).cast("int")
-    regular = F.when(low <= high, F.transform(F.sequence(low, high), lambda i: i * step + 1)).otherwise(F.array().cast("array<int>"))
-    tail = F.when(p >= last, F.array(F.lit(last))).otherwise(F.array().cast("array<int>"))
-    rows = positions.where("reference_position is not null").withColumn("reference_start", F.explode(F.array_distinct(F.concat(regular, tail))))
-    extra = [F.count_if(usable).cast("int").alias("usable_length")] if usable is not None else []
-    mean = lambda c: (F.sum(c) / F.count(F.lit(1))).alias
-    return rows.groupBy("reference_start").agg(
-        F.max("reference_position").alias("reference_end"), F.count(F.lit(1)).cast("int").alias("position_count"),
-        mean("major_allele_frequency")("mean_conservation"), F.min("major_allele_frequency").alias("minimum_conservation"),
-        mean("coverage")("mean_coverage"), mean("gap_frequency")("mean_gap_frequency"), mean("entropy_bits")("mean_entropy_bits"), *extra,
+    number = -(-(last - 1) // step) + 1  # starts at 1, 1 + step, ...; the last is a window in any case
+    starts = positions.sparkSession.range(number).select(F.least(F.col("id") * step + 1, F.lit(last)).cast("int").alias("reference_start"))
+    spans = starts.withColumn("reference_end", F.least(F.col("reference_start") + (w - 1), F.lit(reference_length)).cast("int"))
+    own = F.col("reference_position")
+    sums = {"position_count": own.isNotNull().cast("int"), "_major": F.col("major_allele_frequency"), "_coverage": F.col("coverage"), "_gap": F.col("gap_frequency"), "_entropy": F.col("entropy_bits")}
+    if usable is not None:
+        sums["usable_length"] = F.when(usable, 1).otherwise(0)
+    length = min(w, reference_length)
+    rows = interval_aggregates(spans, positions, "reference_position", sums, {"minimum_conservation": F.col("major_allele_frequency")}, [length.bit_length() - 1])
+    mean = lambda c: F.col(c) / F.col("position_count")
+    return rows.where("position_count > 0").select(
+        "reference_start", "reference_end", F.col("position_count").cast("int").alias("position_count"), mean("_major").alias("mean_conservation"), "minimum_conservation",
+        mean("_coverage").alias("mean_coverage"), mean("_gap").alias("mean_gap_frequency"), mean("_entropy").alias("mean_entropy_bits"),
+        *([F.col("usable_length").cast("int").alias("usable_length")] if usable is not None else []),
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandweave.functions.intervals import expanded, overlap_fraction
+from strandweave.operators.ranges import interval_aggregates
 from strandweave.plans.config import PrimerDesignConfig
 from strandweave.plans.storage import materialize
 
@@ -47,19 +48,20 @@ def rank_key(prefix: str = "") -> list[Column]:
     ]
 
 
-def interval_metrics(intervals: DataFrame, positions: DataFrame, c: PrimerDesignConfig, block: int = 1024) -> DataFrame:
+def interval_metrics(intervals: DataFrame, positions: DataFrame, c: PrimerDesignConfig, levels: list[int] | None = None) -> DataFrame:
     """Means over the reference positions of distinct (reference_start, reference_end) intervals.
 
-    A range join by blocks: an interval meets only the blocks it touches.
+    Intervals without positions are left out. ``levels``: see ``interval_aggregates``.
     """
-    spans = intervals.withColumn("_block", F.explode(F.sequence(F.floor(F.col("reference_start") / block), F.floor(F.col("reference_end") / block))))
-    points = positions.where("reference_position is not null").withColumn("_block", F.floor(F.col("reference_position") / block))
-    rows = spans.join(points, "_block").where(F.col("reference_position").between(F.col("reference_start"), F.col("reference_end")))
-    mean = lambda name: F.sum(name) / F.count(F.lit(1))
-    return rows.groupBy("reference_start", "reference_end").agg(
-        F.count(F.lit(1)).cast("int").alias("position_count"), F.count_if(usable(c)).cast("int").alias("usable_length"),
-        mean("major_allele_frequency").alias("mean_conservation"), F.min("major_allele_frequency").alias("minimum_conservation"),
-        mean("coverage").alias("mean_coverage"), mean("gap_frequency").alias("mean_gap_frequency"), mean("entropy_bits").alias("mean_entropy_bits"),
+    sums = {
+        "position_count": F.col("reference_position").isNotNull().cast("int"), "usable_length": F.when(usable(c), 1).otherwise(0),
+        "_major": F.col("major_allele_frequency"), "_coverage": F.col("coverage"), "_gap": F.col("gap_frequency"), "_entropy": F.col("entropy_bits"),
+    }
+    rows = interval_aggregates(intervals, positions, "reference_position", sums, {"minimum_conservation": F.col("major_allele_frequency")}, levels)
+    mean = lambda name: F.col(name) / F.col("position_count")
+    return rows.where("position_count > 0").select(
+        "reference_start", "reference_end", F.col("position_count").cast("int").alias("position_count"), F.col("usable_length").cast("int").alias("usable_length"),
+        mean("_major").alias("mean_conservation"), "minimum_conservation", mean("_coverage").alias("mean_coverage"), mean("_gap").alias("mean_gap_frequency"), mean("_entropy").alias("mean_entropy_bits"),
     )
 
 
@@ -77,7 +79,8 @@ def candidate_regions(windows: DataFrame, positions: DataFrame, reference_length
     wide = expanded_windows(windows, reference_length, c)
     best = wide.groupBy("_first", "_last").agg(F.min_by(F.struct("peak_start", "peak_end"), F.struct(*(k.alias(f"k{i}") for i, k in enumerate(rank_key())))).alias("peak"))
     spans = best.select(F.col("_first").alias("reference_start"), F.col("_last").alias("reference_end"), "peak.peak_start", "peak.peak_end")
-    metrics = interval_metrics(spans.select("reference_start", "reference_end"), positions, c)
+    length = min(c.candidate_region_length, reference_length)
+    metrics = interval_metrics(spans.select("reference_start", "reference_end"), positions, c, [length.bit_length() - 1])
     return metrics.where(eligible(c)).join(spans, ["reference_start", "reference_end"]).withColumn("usable_fraction", F.col("usable_length") / F.col("position_count"))
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandweave.operators.match import ROLES, Oligo, scan_compatible
+from strandweave.operators.match import MAX_OLIGOS, ROLES, Oligo, scan_compatible
+from strandweave.operators.seed_index import search_once
 from strandweave.plans.config import SpecificityConfig
 
 KEYS = ["dataset", "dataset_ordinal", "ordinal", "sequence_id"]
@@ -18,13 +19,17 @@ def role_ordinal():
 def off_target_hits(sequences: DataFrame, oligos: DataFrame, config: SpecificityConfig) -> DataFrame:
     """All compatible hits in (dataset, dataset_ordinal, ordinal, sequence_id, sequence), uncapped.
 
-    ``oligos``: (assay_id, assay_ordinal, role, sequence). Hits carry what orders them.
+    ``oligos``: (assay_id, assay_ordinal, role, sequence). Hits carry what orders them. Up to MAX_OLIGOS
+    oligos are sent to the sequences; more are searched for in a seed index.
     """
     spark = sequences.sparkSession
-    rows = oligos.select("assay_id", "assay_ordinal", "role", F.upper("sequence").alias("sequence")).collect()  # designs number some a region
-    hits = scan_compatible(sequences, [Oligo(r.assay_id, r.role, r.sequence) for r in rows], config, KEYS)
-    shape = oligos.select("assay_id", "assay_ordinal").schema
-    order = spark.createDataFrame(sorted({(r.assay_id, r.assay_ordinal) for r in rows}), shape)  # as large as what the tasks were sent
+    order = oligos.select("assay_id", "assay_ordinal").distinct()
+    rows = oligos.select("assay_id", "assay_ordinal", "role", F.upper("sequence").alias("sequence")).limit(MAX_OLIGOS + 1).collect()
+    if len(rows) > MAX_OLIGOS:
+        hits = search_once(sequences, oligos, config, KEYS)
+    else:
+        hits = scan_compatible(sequences, [Oligo(r.assay_id, r.role, r.sequence) for r in rows], config, KEYS)
+        order = spark.createDataFrame(sorted({(r.assay_id, r.assay_ordinal) for r in rows}), order.schema)  # no more than what the tasks were sent
     return hits.join(order, "assay_id").withColumn("role_ordinal", role_ordinal()).withColumn("compatible", F.lit(True))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strandweave.functions import iupac, text
 from strandweave.functions.intervals import expanded
-from strandweave.operators import cluster, conserve, contrast, inclusivity, qc, ranking, regions, specificity
+from strandweave.operators import cluster, conserve, contrast, inclusivity, qc, ranking, regions, seed_index, specificity
 from strandweave.operators import design as assay_design
 from strandweave.plans.config import ConservationConfig, InclusivityConfig, PrimerDesignConfig, QCConfig, RankingConfig, SpecificityConfig
 from strandweave.plans.storage import materialize, spread
@@ -259,7 +259,11 @@ def q16_exclusion_islands(spark, sf):
 def _designed(spark, sf) -> DataFrame:
     """An assay cut from the first long sequence of each dataset, so that hits exist."""
     long = sequences(spark, sf).where(F.length("sequence") >= 130)
-    rows = long.groupBy("dataset").agg(F.min_by(F.struct("ordinal", F.left("sequence", F.lit(130)).alias("sequence")), "ordinal").alias("f")).select("f.*")
+    return _cut_assays(long.groupBy("dataset").agg(F.min_by(F.struct("ordinal", F.left("sequence", F.lit(130)).alias("sequence")), "ordinal").alias("f")).select("f.*"))
+
+
+def _cut_assays(rows: DataFrame) -> DataFrame:
+    """An assay of each (ordinal, sequence), its oligos at fixed places."""
     cut = lambda a, n: F.substr("sequence", F.lit(a), F.lit(n))
     each = F.array(
         F.struct(F.lit("FORWARD").alias("role"), cut(11, 20).alias("oligo")), F.struct(F.lit("PROBE").alias("role"), cut(51, 22).alias("oligo")),
@@ -271,8 +275,7 @@ def _designed(spark, sf) -> DataFrame:
 # A primer's last five letters allow no mismatch and a probe's first six one at most: what is left is compared in full.
 _AT = lambda j: f"(l[p + {j}] & ~pm[{j} + 1]) <> 0"
 _NONE = lambda js: "NOT (" + " OR ".join(_AT(j) for j in js) + ")"
-OFFSQL = f"""{SEQ}, cut AS (SELECT * FROM seq WHERE length(sequence) >= 130 QUALIFY row_number() OVER (PARTITION BY dataset ORDER BY ordinal) = 1),
-oligo AS (SELECT *, list_transform(string_split(pat, ''), lambda c: instr('ACMGRSVTWYHKDBN', c)) AS pm, length(pat) AS k FROM (
+_SITES = f"""oligo AS (SELECT *, list_transform(string_split(pat, ''), lambda c: instr('ACMGRSVTWYHKDBN', c)) AS pm, length(pat) AS k FROM (
   SELECT 'assay-' || ordinal AS assay_id, ordinal AS assay_ordinal, 'FORWARD' AS role, 1 AS ro, substr(sequence, 11, 20) AS pat FROM cut
   UNION ALL SELECT 'assay-' || ordinal, ordinal, 'PROBE', 2, substr(sequence, 51, 22) FROM cut UNION ALL SELECT 'assay-' || ordinal, ordinal, 'REVERSE', 3, substr(sequence, 91, 20) FROM cut)),
 views AS (SELECT dataset, ordinal, sequence_id, orientation, length(v) AS len, list_transform(string_split(v, ''), lambda c: instr('ACMGRSVTWYHKDBN', c)) AS l FROM (
@@ -285,6 +288,8 @@ cand AS (
 mm AS (SELECT * EXCLUDE (l), list_sort(list_transform(list_filter(generate_series(1, k), lambda j: (l[p + j - 1] & ~pm[j]) <> 0), lambda j: CASE role WHEN 'REVERSE' THEN k - j + 1 ELSE j END)) AS places FROM cand),
 hit AS (SELECT dataset, ordinal, sequence_id, assay_id, assay_ordinal, role, ro, orientation, p AS os, p + k - 1 AS oe, CASE orientation WHEN 'FORWARD' THEN p ELSE len - p - k + 2 END AS ss,
   CASE orientation WHEN 'FORWARD' THEN p + k - 1 ELSE len - p + 1 END AS se, len(places) AS n, places FROM mm WHERE len(places) <= CASE role WHEN 'PROBE' THEN 1 ELSE 2 END)"""
+OFFSQL = f"""{SEQ}, cut AS (SELECT * FROM seq WHERE length(sequence) >= 130 QUALIFY row_number() OVER (PARTITION BY dataset ORDER BY ordinal) = 1),
+{_SITES}"""
 
 
 def _hits(spark, sf) -> DataFrame:
@@ -339,8 +344,9 @@ def _assays(spark, sf) -> DataFrame:
 
 
 _RC = "reverse(translate({0}, 'ACMGRSVTWYHKDBN', 'TGKCYSBAWRDMHVN'))"
-INCSQL = f"""{ALN}, ev AS (SELECT ordinal, sequence_id, CASE ordinal % 10 WHEN 3 THEN {_RC.format('s0')} WHEN 7 THEN left(s0, 130) ELSE s0 END AS s
-  FROM (SELECT ordinal, sequence_id, string_agg(symbol, '' ORDER BY alignment_position) AS s0 FROM aln WHERE symbol <> '-' GROUP BY ALL)),
+EVSQL = f"""{ALN}, ev AS (SELECT ordinal, sequence_id, CASE ordinal % 10 WHEN 3 THEN {_RC.format('s0')} WHEN 7 THEN left(s0, 130) ELSE s0 END AS s
+  FROM (SELECT ordinal, sequence_id, string_agg(symbol, '' ORDER BY alignment_position) AS s0 FROM aln WHERE symbol <> '-' GROUP BY ALL))"""
+INCSQL = f"""{EVSQL},
 base AS (SELECT string_agg(reference_base, '' ORDER BY reference_position) AS b FROM ref),
 spot AS (SELECT 'assay-' || a AS assay_id, role, st, st + k - 1 AS en, k, rs + 19 - fs + 1 AS size, substr(b, st, k) AS pat FROM base, (SELECT 0 AS a, 11 AS fs, 51 AS ps, 91 AS rs UNION ALL SELECT 1, 61, 100, 141 UNION ALL SELECT 2, 121, 160, 201),
   LATERAL (SELECT 'FORWARD' AS role, fs AS st, 20 AS k UNION ALL SELECT 'PROBE', ps, 22 UNION ALL SELECT 'REVERSE', rs, 20)),
@@ -591,4 +597,15 @@ def q44_report_counts(spark, sf):
     return ranking.report_counts(ranking.rank(_rank_evidence(spark, sf), RankingConfig()))
 
 
+@query(f"""WITH {EVSQL}, seq AS (SELECT ordinal, sequence_id, 'family' AS dataset, s AS sequence FROM ev), cut AS (SELECT * FROM seq WHERE length(sequence) >= 130),
+{_SITES} SELECT sequence_id, assay_id, role, orientation, ss AS source_start, se AS source_end, n AS mismatch_count, array_to_string(places, ',') AS places FROM hit""")
+def q79_seed_index_hits(spark, sf):
+    """An assay of every long sequence of a family, searched for in the seed index of all of them."""
+    seqs = materialize(_evaluation(spark, sf), "family")
+    hits = seed_index.search_once(seqs, _cut_assays(seqs.where(F.length("sequence") >= 130)), OFF, ["ordinal", "sequence_id"])
+    return hits.select(
+        "sequence_id", "assay_id", "role", "orientation", "source_start", "source_end", F.col("mismatch_count").cast("long").alias("mismatch_count"), F.array_join("mismatch_positions", ",").alias("places"),
+    )
+
+
 from strandweave.plans import evidence_queries  # noqa: E402, F401  (registers the rest)
