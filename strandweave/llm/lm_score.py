@@ -139,6 +139,30 @@ def _holds(batches):
         yield close()
 
 
+HELD = "a binary, b binary, sizes binary, words binary, at binary"
+
+
+def _hold(texts: DataFrame, path: str) -> DataFrame:
+    """Texts (a, b, text) cut into words once and stored: a row for each hold, with its distinct words."""
+
+    def run(batches):
+        for (a, b), words, starts in _holds(batches):
+            known, at = np.unique(words, return_inverse=True)
+            row = (np.array(a, np.int64).tobytes(), np.array(b, np.int64).tobytes(), _pack(np.diff(starts)), known.tobytes(), _pack(at))
+            yield pa.record_batch([pa.array([x], pa.binary()) for x in row], names=[c.split()[0] for c in HELD.split(", ")])
+
+    return stored(texts.select("a", "b", "text").mapInArrow(run, HELD), path)
+
+
+def _held(batches):
+    """((a, b), words, starts) of stored holds."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            a, b, sizes, words, at = (c[row].as_py() for c in batch.columns)
+            starts = np.concatenate([[0], np.cumsum(_unpack(sizes))]).astype(np.int64)
+            yield (np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)), np.frombuffer(words, np.uint64)[_unpack(at)], starts
+
+
 @dataclass
 class NgramModel:
     """``table``: stored rows (k, turn, part, total, key, n, of) of packed n-grams, sorted by key: how
@@ -192,10 +216,10 @@ def _parcels(part: np.ndarray, make, names: list[str]):
 
 
 def _explode_counts(k: int, turn: int, model: NgramModel):
-    """Texts to (part, hist, key, n): n-grams of k words of one turn, counted for each hold."""
+    """Holds to (part, hist, key, n): n-grams of k words of one turn, counted for each hold."""
 
     def run(batches):
-        for _, words, starts in _holds(batches):
+        for _, words, starts in _held(batches):
             sizes = np.diff(starts)
             place = np.arange(len(words)) - np.repeat(starts[:-1], sizes)
             keys = _keys(words, k)
@@ -285,17 +309,19 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, alpha: fl
     """
     spark = docs.sparkSession
     folder = folder or workspace(spark, "ngrams")
-    texts = docs.select(F.col(text_col).cast("binary").alias("text"))
+    none = F.lit(0).cast("long")
+    texts = docs.select(none.alias("a"), none.alias("b"), F.col(text_col).cast("binary").alias("text"))
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     # six bytes a word or so; only the size of parts hangs on it
     parts = max(spark.sparkContext.defaultParallelism, -(-size // (6 * turns * PART)))
     model = NgramModel(order, alpha, parts, turns)
     with released_shuffles(spark):
+        holds = _hold(texts, f"{folder}/holds")
         for k in range(1, order + 1):
             own = []
             for turn in range(turns):
                 sent = model.shape()
-                exploded = texts.mapInArrow(_explode_counts(k, turn, sent), "part int, hist binary, key binary, n binary")
+                exploded = holds.mapInArrow(_explode_counts(k, turn, sent), "part int, hist binary, key binary, n binary")
                 counted = exploded.repartitionById(parts, "part").mapInArrow(_count(k, turn, sent), TABLE)
                 own.append(stored(counted, f"{folder}/{k}-{turn}"))
             for t in own:
@@ -312,16 +338,24 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, alpha: fl
 ENTRIES = "kind int, k int, part int, a binary, b binary, doc binary, key binary, more binary"
 
 
-def _lower(keys: list[np.ndarray], k: int, at: np.ndarray) -> list[np.ndarray]:
-    """What n-grams of k words ending at these tokens need to be looked up by shorter histories."""
-    out = []
-    for j in range(k - 1, 0, -1):
-        out += [*([keys[j - 2][at - 1]] if j > 1 else []), keys[j - 1][at]]
-    return out
+def _grams(words: np.ndarray, k: int, at: np.ndarray) -> list[np.ndarray]:
+    """The k words of the n-grams that end at these tokens."""
+    return [words[at - i] for i in range(k - 1, -1, -1)]
 
 
-def _entries(model: NgramModel, k: int, a: np.ndarray, b: np.ndarray, doc: np.ndarray, hist: np.ndarray, key: np.ndarray, lower: list[np.ndarray], turn: int | None):
-    """Rows of the n-grams of k words, but hot ones, of one turn or all, for their parts."""
+def _gram_keys(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(history, key) of n-grams by their words."""
+    keys, hist = grams, np.zeros(len(grams[0]), np.uint64)
+    while len(keys) > 1:
+        hist = keys[0]
+        keys = [join_keys(a, b) for a, b in zip(keys, keys[1:], strict=False)]
+    return hist, keys[0]
+
+
+def _entries(model: NgramModel, a: np.ndarray, b: np.ndarray, doc: np.ndarray, grams: list[np.ndarray], turn: int | None):
+    """Rows of n-grams, but hot ones, of one turn or all, for their parts: distinct words and each n-gram's places in them."""
+    k = len(grams)
+    hist, key = _gram_keys(grams)
     rest = ~_find(model.hot[k - 1][0], key)[1]
     turns, part = model.places(k, hist, key)
     own = np.flatnonzero(rest & (turns == turn) if turn is not None else rest)
@@ -330,26 +364,25 @@ def _entries(model: NgramModel, k: int, a: np.ndarray, b: np.ndarray, doc: np.nd
     def make(p, i):
         i = own[i]
         docs, local = np.unique(doc[i], return_inverse=True)
-        return 1, k, p, a[docs].tobytes(), b[docs].tobytes(), _pack(local), key[i].tobytes(), b"".join(x[i].tobytes() for x in lower)
+        words, at = np.unique(np.concatenate([g[i] for g in grams]), return_inverse=True)
+        return 1, k, p, a[docs].tobytes(), b[docs].tobytes(), _pack(local), words.tobytes(), _pack(at)
 
     yield from _parcels(part, make, [c.split()[0] for c in ENTRIES.split(", ")])
 
 
 def _explode(model: NgramModel, orders: tuple[int, ...], turn: int | None):
-    """Texts (a, b, text) to their n-grams of some orders: of the model's own order those at all
-    tokens, of shorter ones those at the texts' beginnings."""
+    """Holds to their n-grams of some orders: of the model's own order those at all tokens, of shorter
+    ones those at the texts' beginnings."""
 
     def run(batches):
-        for (a, b), words, starts in _holds(batches):
-            a, b = (np.array(x, np.int64) for x in (a, b))
+        for (a, b), words, starts in _held(batches):
             sizes = np.diff(starts)
             doc = np.repeat(np.arange(len(sizes)), sizes)
             place = np.arange(len(words)) - starts[doc]
-            keys = _keys(words, max(orders))
             for k in orders:
                 at = np.flatnonzero(place >= k - 1 if k == model.order else place == k - 1)
-                hist = keys[k - 2][at - 1] if k > 1 else np.zeros(len(at), np.uint64)
-                yield from _entries(model, k, a, b, doc[at], hist, keys[k - 1][at], _lower(keys, k, at), turn)
+                if len(at):
+                    yield from _entries(model, a, b, doc[at], _grams(words, k, at), turn)
 
     return run
 
@@ -391,25 +424,25 @@ def _join(model: NgramModel):
                     known.setdefault(k, []).append((r["key"], r["more"], r["doc"]))
                     continue
                 a, b = np.frombuffer(r["a"], np.int64), np.frombuffer(r["b"], np.int64)
-                doc, key = _unpack(r["doc"]), np.frombuffer(r["key"], np.uint64)
+                doc, grams = _unpack(r["doc"]), list(np.frombuffer(r["key"], np.uint64)[_unpack(r["more"])].reshape(k, -1))
+                key = _gram_keys(grams)[1]
                 keys, value = table(k)
                 where, found = _find(keys, key)
                 if found.any():
                     yield sums(a, b, doc[found], value[where[found]])
                 if found.all() or k == 1:
                     continue
-                lower = np.frombuffer(r["more"], np.uint64).reshape(-1, len(key))
                 left = np.flatnonzero(~found)
                 yield sums(a, b, doc[left], np.full(len(left), back))
                 # hot n-grams are known here; the others go on to their parts
-                k -= 1
-                hist, key = (lower[0], lower[1]) if k > 1 else (np.zeros(lower.shape[1], np.uint64), lower[0])
+                grams, k = [g[left] for g in grams[1:]], k - 1
                 hot, _, values = model.hot[k - 1]
-                where, found = _find(hot, key[left])
+                where, found = _find(hot, _gram_keys(grams)[1])
                 if found.any():
                     yield sums(a, b, doc[left[found]], values[where[found]])
-                left = left[~found]
-                for e in _entries(model, k, a, b, doc[left], hist[left], key[left], [x[left] for x in lower[2:]], None):
+                if found.all():
+                    continue
+                for e in _entries(model, a, b, doc[left[~found]], [g[~found] for g in grams], None):
                     none = [pa.nulls(e.num_rows, t) for t in (pa.int64(), pa.int64(), pa.float64())]
                     yield pa.record_batch([*none, pa.StructArray.from_arrays([c.cast(f.type) for c, f in zip(e.columns, _ENTRY, strict=True)], fields=list(_ENTRY))], names=["a", "b", "s", "entry"])
 
@@ -458,16 +491,16 @@ def score(docs: DataFrame, model: NgramModel, id_col: str = "doc_id", text_col:
     with released_shuffles(spark):
         first = slim.schema["id"].dataType
         base = stored(slim.mapInArrow(_beginnings(sent, _arrow_type(first)), f"id {first.simpleString()}, a long, b long, t long, s double"), f"{folder}/base")
-        texts = slim.select("a", "b", "text")
+        holds = _hold(slim, f"{folder}/holds")
         found, waiting = [], []
         for turn in range(model.turns):
-            entries = texts.mapInArrow(_explode(sent, (model.order,), turn), ENTRIES)
+            entries = holds.mapInArrow(_explode(sent, (model.order,), turn), ENTRIES)
             out = joined(entries, (model.order,), turn, f"{folder}/{model.order}-{turn}")
             found.append(out)
             waiting.append(out)
         for k in range(model.order - 1, 0, -1):
             orders = (k,)
-            entries = texts.mapInArrow(_explode(sent, orders, None), ENTRIES)
+            entries = holds.mapInArrow(_explode(sent, orders, None), ENTRIES)
             for w in waiting:
                 entries = entries.unionByName(w.where(F.col("entry.k").isin(*orders)).select("entry.*"))
             out = joined(entries, orders, None, f"{folder}/{orders[0]}")
