@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +42,42 @@ def column_votes(cells_: DataFrame) -> DataFrame:
     return rows.groupBy("alignment_position").agg(F.count_if(F.col("m") > 0).alias("depth"), F.count(F.lit(1)).alias("n"), *votes, F.bit_or("m").alias("support"))
 
 
+def aligned_votes(aligned: DataFrame) -> DataFrame:
+    """``column_votes`` of (aligned_sequence): each task adds up a matrix of its rows' votes, and the
+    tasks' matrices are added; a row for each column and task moves, not one for each cell."""
+    masks = np.zeros(256, np.int64)
+    for i, code in enumerate(iupac.CODES, 1):
+        masks[ord(code)] = i
+    shares = np.array([[SCALE // m.bit_count() if m >> b & 1 else 0 for m in range(16)] for b in range(len(BASES))])
+    names = ["alignment_position", "depth", "n", *(f"votes_{b}" for b in BASES), "support"]
+
+    def run(batches):
+        held = np.zeros((len(names) - 1, 0), np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                m = masks[np.frombuffer((text or "").encode("latin-1", "replace"), np.uint8)]
+                if len(m) > held.shape[1]:
+                    held = np.pad(held, ((0, 0), (0, len(m) - held.shape[1])))
+                own = held[:, : len(m)]
+                own[0] += m > 0
+                own[1] += 1
+                own[2:6] += shares[:, m]
+                own[6] |= m
+        if held.shape[1]:
+            yield pa.record_batch([pa.array(np.arange(1, held.shape[1] + 1)), *map(pa.array, held)], names=names)
+
+    rows = aligned.select("aligned_sequence").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    sums = [F.sum(n).alias(n) for n in names[1:-1]]
+    return rows.groupBy(F.col("alignment_position").cast("int").alias("alignment_position")).agg(*sums, F.bit_or("support").cast("int").alias("support"))
+
+
 def position_metrics(cells_: DataFrame, coordinates: DataFrame, sequence_count: int) -> DataFrame:
-    """One row per column. A column of gaps only fails the query."""
-    votes = column_votes(cells_)
+    """One row per column of cells. A column of gaps only fails the query."""
+    return vote_metrics(column_votes(cells_), coordinates, sequence_count)
+
+
+def vote_metrics(votes: DataFrame, coordinates: DataFrame, sequence_count: int) -> DataFrame:
+    """One row per column of votes. A column of gaps only fails the query."""
     depth = F.when(F.col("depth") > 0, F.col("depth")).otherwise(F.raise_error(F.lit("alignment column has no bases")).cast("long"))
     top = F.greatest(*(F.col(f"votes_{b}") for b in BASES))
     freq = {b: F.col(f"votes_{b}") / (SCALE * F.col("depth")) for b in BASES}

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from strandweave.functions import iupac
 from strandweave.operators import regions
 from strandweave.plans.config import PrimerDesignConfig
+from strandweave.plans.storage import materialize, number_rows, small
 
 MATCH, OPEN, EXTEND = 1.0, -1.0, -0.5
 #: Windows aligned in one go; their scores are rows of one matrix.
 TOGETHER = 64
+#: Windows of a block, letters of a block of sequences, lengths of words that are looked for, bits of a word's place.
+WINDOWS, LETTERS, WORDS, PRESENT = 512, 100_000, (4, 8), 20
 
 
 def local_scores(queries: np.ndarray, subject: np.ndarray) -> np.ndarray:
@@ -59,39 +62,110 @@ def similarities(queries: list[str], subject: str) -> list[float]:
     return out
 
 
+def _grams(text: str, k: int) -> np.ndarray:
+    """Places in a table of presence of the k-letter words; words may share one."""
+    codes = np.frombuffer(text.encode("latin-1", "replace"), np.uint8).astype(np.uint64)
+    n = len(codes) - k + 1
+    if n < 1:
+        return np.empty(0, np.int64)
+    out = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(k):
+            out = out * np.uint64(0x9E3779B97F4A7C15) + codes[i : i + n]
+        return ((out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - PRESENT)).astype(np.int64)
+
+
+def upper_bounds(queries: list[str], subjects: list[str]) -> np.ndarray:
+    """The most that each subject's (row's) similarity with each query can be.
+
+    Each letter of a query without its like, and each gap, costs a score of 1 at least and touches k of the
+    query's words at most. So a query with m words that the subject lacks scores m / k less than its length
+    at most.
+    """
+    out = np.ones((len(subjects), len(queries)))
+    size = np.array([max(1, len(q)) for q in queries])
+    for k in WORDS:
+        grams = [_grams(q, k) for q in queries]
+        flat, ends = np.concatenate([*grams, np.empty(0, np.int64)]), np.concatenate([[0], np.cumsum([len(g) for g in grams])])
+        table = np.zeros(1 << PRESENT, bool)
+        for row, subject in enumerate(subjects):
+            own = _grams(subject, k)
+            table[own] = True
+            lacks = np.concatenate([[0], np.cumsum(~table[flat])])
+            table[own] = False
+            missing = lacks[ends[1:]] - lacks[ends[:-1]]
+            out[row] = np.minimum(out[row], (size - -(-missing // k)) / size)
+    return np.maximum(out, 0.0)
+
+
+def block_best(queries: list[str], subjects: list[tuple[str, str]]) -> list[tuple[float, str, bool]]:
+    """(similarity, id, reversed) of the best of (id, sequence) subjects for each query, in either direction.
+
+    Ties go to the least id, forward first. Each query is aligned with the subject that can be best, and
+    after that only with subjects that can still be better.
+    """
+    n = len(queries)
+    table = str.maketrans(iupac.CODES, iupac.PAIRED)
+    both = queries + [q.translate(table)[::-1] for q in queries]
+    subjects = sorted(subjects)
+    bounds = upper_bounds(both, [s for _, s in subjects])
+    score, who, flip = np.full(n, -1.0), np.full(n, len(subjects)), np.zeros(n, bool)
+
+    def align(row: int, some: np.ndarray) -> None:
+        for q, value in zip(some.tolist(), similarities([both[i] for i in some], subjects[row][1]), strict=True):
+            i, turned = q % n, q >= n
+            if (-value, row, turned) < (-score[i], who[i], flip[i]):
+                score[i], who[i], flip[i] = value, row, turned
+        bounds[row, some] = -1.0
+
+    first = bounds.argmax(axis=0)
+    ahead = np.arange(n) + np.where(bounds.max(axis=0)[n:] > bounds.max(axis=0)[:n], n, 0)
+    for row in np.unique(first[ahead]).tolist():
+        align(row, ahead[first[ahead] == row])
+    for row in np.argsort(-bounds.mean(axis=1), kind="stable").tolist():
+        best, holder, turned = np.tile(score, 2), np.tile(who, 2), np.tile(flip, 2)
+        earlier = (row < holder) | ((row == holder) & (np.arange(2 * n) < n) & turned)
+        live = np.flatnonzero((bounds[row] >= 0) & ((bounds[row] > best + 1e-12) | (bounds[row] > best - 1e-12) & earlier))
+        if len(live):
+            align(row, live)
+    return [(float(s), subjects[w][0], bool(f)) for s, w, f in zip(score, who, flip, strict=True)]
+
+
 def best_matches(windows: DataFrame, sequences: DataFrame) -> DataFrame:
     """(reference_start, reference_end, dataset, similarity, sequence_id, orientation) of the best match.
 
-    ``windows``: (reference_start, reference_end, query), some hundreds per reference, go to every
-    task; (dataset, sequence_id, sequence) stay put and each batch gives its best only. Ties go to
-    the least sequence id, forward first. Empty sequences are skipped.
+    ``windows``: (reference_start, reference_end, query); (dataset, sequence_id, sequence). Blocks of windows
+    meet blocks of each dataset's sequences, and each meeting gives its best only. Ties go to the least
+    sequence id, forward first. Empty sequences are skipped.
     """
-    wanted = [(r.reference_start, r.reference_end, r.query.upper()) for r in windows.select("reference_start", "reference_end", "query").collect()]
+    wanted = number_rows(windows.select("reference_start", "reference_end", F.upper("query").alias("query")), "_n", "reference_start", "reference_end")
+    turns = wanted.groupBy(F.floor((F.col("_n") - 1) / WINDOWS).alias("turn")).agg(F.collect_list(F.struct("reference_start", "reference_end", "query")).alias("windows"))
+    rows = sequences.select("dataset", "sequence_id", F.upper("sequence").alias("sequence")).where(F.length("sequence") > 0)
+    sizes = rows.groupBy("dataset").agg(F.ceil(F.sum(F.length("sequence")) / LETTERS).alias("_parts"))  # a row a dataset
+    parted = rows.join(small(sizes), "dataset").withColumn("part", F.pmod(F.xxhash64("sequence_id"), F.col("_parts")))
+    blocks = materialize(parted.groupBy("dataset", "part").agg(F.collect_list(F.struct("sequence_id", "sequence")).alias("sequences")), "similarity-blocks")
+    meetings = blocks.select("dataset", "part").crossJoin(turns).join(blocks, ["dataset", "part"])  # each is a unit of work
+    spark = windows.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    meetings = meetings.repartition(tasks, "dataset", "part", "turn").select("dataset", "windows", "sequences")
 
     def run(batches):
-        forward = [q for _, _, q in wanted]
-        table = str.maketrans(iupac.CODES, iupac.PAIRED)
-        both = forward + [q.translate(table)[::-1] for q in forward]
         for batch in batches:
-            best: dict = {}
-            for row in batch.to_pylist():
-                if not row["sequence"]:
-                    continue
-                got = similarities(both, row["sequence"])
-                for i, s in enumerate(got):
-                    key = (i % len(forward), row["dataset"])
-                    value = (-s, row["sequence_id"], i >= len(forward))
-                    if key not in best or value < best[key]:
-                        best[key] = value
-            rows = [(*wanted[i][:2], d, -s, name, "REVERSE_COMPLEMENT" if flip else "FORWARD") for (i, d), (s, name, flip) in best.items()]
-            names = ["reference_start", "reference_end", "dataset", "similarity", "sequence_id", "orientation"]
-            types = [pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.string(), pa.string()]
-            yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
+            for row in range(batch.num_rows):
+                dataset, own, held = (batch.column(i)[row].as_py() for i in range(3))
+                found = block_best([w["query"] for w in own], [(s["sequence_id"], s["sequence"]) for s in held])
+                yield pa.record_batch(
+                    [
+                        pa.array([w["reference_start"] for w in own], pa.int32()), pa.array([w["reference_end"] for w in own], pa.int32()), pa.array([dataset] * len(own), pa.string()),
+                        pa.array([s for s, _, _ in found]), pa.array([n for _, n, _ in found], pa.string()), pa.array(["REVERSE_COMPLEMENT" if f else "FORWARD" for _, _, f in found]),
+                    ],
+                    names=["reference_start", "reference_end", "dataset", "similarity", "sequence_id", "orientation"],
+                )
 
     shape = "reference_start int, reference_end int, dataset string, similarity double, sequence_id string, orientation string"
-    rows = sequences.select("dataset", "sequence_id", F.upper("sequence").alias("sequence")).mapInArrow(run, shape)
     key = F.struct((-F.col("similarity")).alias("s"), "sequence_id", "orientation")
-    return rows.groupBy("reference_start", "reference_end", "dataset").agg(F.min_by(F.struct("similarity", "sequence_id", "orientation"), key).alias("m")).select("reference_start", "reference_end", "dataset", "m.*")
+    best = meetings.mapInArrow(run, shape).groupBy("reference_start", "reference_end", "dataset").agg(F.min_by(F.struct("similarity", "sequence_id", "orientation"), key).alias("m"))
+    return best.select("reference_start", "reference_end", "dataset", "m.*")
 
 
 def evidence(windows: DataFrame, datasets: DataFrame, matches: DataFrame) -> DataFrame:

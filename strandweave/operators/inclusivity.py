@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from strandweave.functions import iupac
 from strandweave.operators.match import ORIENTATIONS, ROLES, Oligo, local_sites, reverse_masks, to_masks
 from strandweave.plans.config import InclusivityConfig
-from strandweave.plans.storage import small
+from strandweave.plans.storage import materialize, number_rows, small
 
+#: Designs that are sent to tasks at once, and letters of a block of sequences.
+DESIGNS, LETTERS = 500, 250_000
 _HIT = (
     "struct<role: string, orientation: string, hit_rank: int, source_start: int, source_end: int, expected_start: int, expected_end: int, displacement: int, "
     "mismatch_positions: array<int>, mismatch_count: int, exact_match: boolean, three_prime_mismatch: boolean, probe_mismatch: boolean, compatible: boolean, "
@@ -90,31 +92,51 @@ def _bind(target: np.ndarray, oligos: dict[str, Oligo], product_size: int, confi
     return {"orientation": None, "geometry_found": False, "source_amplicon_start": None, "source_amplicon_end": None, "amplicon_size": None, "original_compatible": False, "hits": hits}
 
 
+def _bound_to(sequences: list[tuple], designs: list, config: InclusivityConfig):
+    """Record batches of the bindings of (ordinal, sequence_id, sequence) rows to designs."""
+    out = []
+    for ordinal, sequence_id, sequence in sequences:
+        target = to_masks(sequence or "")
+        for r in designs:
+            oligos = {role: Oligo(r["assay_id"], role, o["sequence"].upper(), o["reference_start"], o["reference_end"]) for role in ROLES for o in (r[role.lower()],)}
+            out.append({"assay_id": r["assay_id"], "ordinal": ordinal, "sequence_id": sequence_id} | _bind(target, oligos, r["product_size"], config))
+            if len(out) >= 200:
+                yield pa.RecordBatch.from_pylist(out, schema=BINDING_ARROW)
+                out = []
+    yield pa.RecordBatch.from_pylist(out, schema=BINDING_ARROW)
+
+
 def bindings(sequences: DataFrame, assays: DataFrame, config: InclusivityConfig) -> DataFrame:
-    """One row per assay and sequence of the evaluation set: (ordinal, sequence_id, sequence) stay put.
+    """One row per assay and sequence of the evaluation set (ordinal, sequence_id, sequence).
 
     ``assays``: (assay_id, product_size, forward, probe, reverse), the last three structs of
-    (sequence, reference_start, reference_end). Their number is that of designs: some per region.
+    (sequence, reference_start, reference_end). Up to DESIGNS of them are sent to the sequences, which stay
+    put; of more, blocks meet blocks of sequences, so no task holds them all.
     """
-    designs = []
-    for r in assays.select("assay_id", "product_size", "forward", "probe", "reverse").toLocalIterator():
-        oligos = {role: Oligo(r.assay_id, role, getattr(r, role.lower()).sequence.upper(), getattr(r, role.lower()).reference_start, getattr(r, role.lower()).reference_end) for role in ROLES}
-        designs.append((r.assay_id, r.product_size, oligos))
     slim = sequences.select(F.col("ordinal").cast("long").alias("ordinal"), "sequence_id", iupac.normalize_or_raise(F.col("sequence"), F.concat(F.lit("record "), F.col("sequence_id"))).alias("sequence"))
-
-    def run(batches):
+    designs = assays.select("assay_id", "product_size", "forward", "probe", "reverse")
+    few = [r.asDict(recursive=True) for r in designs.limit(DESIGNS + 1).collect()]
+    if len(few) <= DESIGNS:
+
+        def run(batches):
+            for batch in batches:
+                yield from _bound_to([tuple(r.values()) for r in batch.to_pylist()], few, config)
+
+        return slim.mapInArrow(run, BINDING_DDL)
+    turns = number_rows(designs, "_n", "assay_id").groupBy(F.floor((F.col("_n") - 1) / DESIGNS).alias("turn")).agg(F.collect_list(F.struct(*designs.columns)).alias("designs"))
+    letters = slim.agg(F.sum(F.length("sequence"))).first()[0] or 1
+    parts = F.pmod(F.xxhash64("ordinal", "sequence_id"), F.lit(-(-letters // LETTERS)))
+    blocks = materialize(slim.groupBy(parts.alias("part")).agg(F.collect_list(F.struct("ordinal", "sequence_id", "sequence")).alias("sequences")), "binding-blocks")
+    spark = sequences.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    meetings = blocks.select("part").crossJoin(turns).join(blocks, "part").repartition(tasks, "part", "turn").select("sequences", "designs")  # each is a unit of work
+
+    def meet(batches):
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                target = to_masks(row["sequence"] or "")
-                for assay_id, size, oligos in designs:
-                    out.append({"assay_id": assay_id, "ordinal": row["ordinal"], "sequence_id": row["sequence_id"]} | _bind(target, oligos, size, config))
-                    if len(out) >= 200:
-                        yield pa.RecordBatch.from_pylist(out, schema=BINDING_ARROW)
-                        out = []
-            yield pa.RecordBatch.from_pylist(out, schema=BINDING_ARROW)
-
-    return slim.mapInArrow(run, BINDING_DDL)
+            for row in range(batch.num_rows):
+                yield from _bound_to([tuple(r.values()) for r in batch.column(0)[row].as_py()], batch.column(1)[row].as_py(), config)
+
+    return meetings.mapInArrow(meet, BINDING_DDL)
 
 
 def oligo_matches(bound: DataFrame) -> DataFrame:

@@ -597,6 +597,43 @@ def q44_report_counts(spark, sf):
     return ranking.report_counts(ranking.rank(_rank_evidence(spark, sf), RankingConfig()))
 
 
+def _fasta_folder(spark, sf) -> str:
+    from strandweave.plans.storage import shared_folder
+    from strandweave.sources import data_source, fasta
+
+    data_source.register(spark)
+    path = shared_folder(spark, "fasta")
+    fasta.write(sequences(spark, sf).where("sequence <> ''"), path)
+    return path
+
+
+def _digests(rows: DataFrame) -> DataFrame:
+    return rows.select("sequence_id", F.length("sequence").cast("long").alias("n"), F.md5(F.col("sequence").cast("binary")).alias("digest"))
+
+
+@query(SQL["q39_fasta_roundtrip"])
+def q81_fasta_format(spark, sf):
+    """FASTA files through the data source, in splits."""
+    return _digests(spark.read.format("fasta").option("splitBytes", 1 << 20).load(_fasta_folder(spark, sf)))
+
+
+@query(SQL["q39_fasta_roundtrip"])
+def q82_fasta_stream(spark, sf):
+    """FASTA files as a stream, appended to a table."""
+    path = _fasta_folder(spark, sf)
+    stream = _digests(spark.readStream.format("fasta").load(path))
+    stream.writeStream.format("parquet").option("path", f"{path}-out").option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}-out")
+
+
+@query(SQL["q06_column_metrics"])
+def q80_votes_of_rows(spark, sf):
+    """The same votes from whole aligned rows, a matrix a task."""
+    rows = alignment(spark, sf).groupBy("ordinal").agg(F.sort_array(F.collect_list(F.struct("alignment_position", "symbol"))).alias("s"))
+    v = conserve.aligned_votes(rows.select(F.array_join("s.symbol", "").alias("aligned_sequence")))
+    return v.select(F.col("alignment_position").cast("long").alias("alignment_position"), "depth", *(F.col(f"votes_{b}").alias(f"votes_{b.lower()}") for b in "ACGT"), F.col("support").cast("long").alias("support"))
+
+
 @query(f"""WITH {EVSQL}, seq AS (SELECT ordinal, sequence_id, 'family' AS dataset, s AS sequence FROM ev), cut AS (SELECT * FROM seq WHERE length(sequence) >= 130),
 {_SITES} SELECT sequence_id, assay_id, role, orientation, ss AS source_start, se AS source_end, n AS mismatch_count, array_to_string(places, ',') AS places FROM hit""")
 def q79_seed_index_hits(spark, sf):

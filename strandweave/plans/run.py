@@ -141,8 +141,8 @@ class Run:
             return self.put("conservation", "consensus", self.spark.createDataFrame([], "major_consensus string, iupac_consensus string"))
         if bad := conserve.input_problems(self.get("alignment", "aligned"), self.get("alignment", "coordinates"), ref.reference_id).limit(1).collect():
             raise ValueError(f"conservation: {bad[0].problem} {bad[0].at}")
-        cells = conserve.cells(self.get("alignment", "aligned"))
-        self.put("conservation", "positions", conserve.position_metrics(cells, self.get("alignment", "coordinates"), ref.sequence_count))
+        votes = conserve.aligned_votes(self.get("alignment", "aligned"))
+        self.put("conservation", "positions", conserve.vote_metrics(votes, self.get("alignment", "coordinates"), ref.sequence_count))
         pos = self.get("conservation", "positions")
         self.put("conservation", "windows", conserve.windows(pos, ref.reference_length, self.config.conservation, regions.usable(self.config.primer_design)))
         self.put("conservation", "consensus", conserve.consensus(pos))

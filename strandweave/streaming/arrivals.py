@@ -24,7 +24,7 @@ def accumulate_votes(aligned: DataFrame, path: str, checkpoint: str):
     its own part."""
 
     def add(batch: DataFrame, number: int) -> None:
-        conserve.column_votes(conserve.cells(batch)).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        conserve.aligned_votes(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return aligned.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
 

@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandweave.operators import align, cluster, conserve, insertions, match, ranges, seed_index
-from strandweave.plans.config import ConservationConfig, SpecificityConfig
+from strandweave.operators import align, cluster, conserve, contrast, inclusivity, insertions, match, ranges, seed_index
+from strandweave.plans.config import ConservationConfig, InclusivityConfig, SpecificityConfig
 from strandweave.plans.storage import shared_folder
 
 COMPLEMENT = str.maketrans("ACGT", "TGCA")
@@ -251,3 +251,69 @@ def test_long_windows_take_rows_in_proportion(spark):
     ends = np.concatenate([[0], np.cumsum(e)])
     assert (r.n, r.low, r.c) == (n - w + 1, 0.0, w)
     assert abs(r.m - ((sums[w:] - sums[:-w]) / w).sum()) < 1e-5 and abs(r.e - ((ends[w:] - ends[:-w]) / w).sum()) < 1e-5
+
+
+# similarity ---------------------------------------------------------------------------------------
+
+
+def naive_best(queries, subjects):
+    out = []
+    for q in queries:
+        both = [(q, False), (align.reverse_text(q), True)]
+        found = [(-contrast.similarities([x], s)[0], name, flip) for name, s in subjects for x, flip in both]
+        score, name, flip = min(found)
+        out.append((-score, name, flip))
+    return out
+
+
+def test_pruned_similarities_equal_all_of_them():
+    rnd = random.Random(12)
+    subjects = [(f"s{i}", s) for i, s in enumerate(families(rnd, 3, 8, 80))]
+    subjects += [("copy", subjects[3][1]), ("turned", align.reverse_text(subjects[5][1])), ("short", "ACG")]
+    base = [s for _, s in subjects[:20]]
+    queries = [mutated(rnd, s[a : a + 30], rnd.randrange(6), "ACGTRN") for s in base for a in (0, 20)] + ["ACGT", "A", "N" * 12, "TTTTTTTTTTTTTTTT"]
+    assert contrast.block_best(queries, subjects) == naive_best(queries, subjects)
+    bounds = contrast.upper_bounds(queries, [s for _, s in subjects])
+    for row, (_, s) in enumerate(subjects):
+        assert (np.array(contrast.similarities(queries, s)) <= bounds[row] + 1e-12).all()
+
+
+def test_similarities_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(contrast, "WINDOWS", 3)
+    monkeypatch.setattr(contrast, "LETTERS", 300)
+    rnd = random.Random(13)
+    seqs = [(f"d{i % 2}", f"s{i:02d}", s) for i, s in enumerate([*families(rnd, 2, 8, 60), ""])]
+    queries = [(i, i + 24, seqs[i][2][5:30]) for i in range(10)]
+    windows = spark.createDataFrame(queries, "reference_start int, reference_end int, query string")
+    got = contrast.best_matches(windows, spark.createDataFrame(seqs, "dataset string, sequence_id string, sequence string")).collect()
+    want = {}
+    for d in ("d0", "d1"):
+        for (a, b, _), (score, name, flip) in zip(queries, naive_best([q for _, _, q in queries], [(n, s) for x, n, s in seqs if x == d and s]), strict=True):
+            want[a, b, d] = (score, name, "REVERSE_COMPLEMENT" if flip else "FORWARD")
+    assert {(r.reference_start, r.reference_end, r.dataset): (r.similarity, r.sequence_id, r.orientation) for r in got} == want
+
+
+def test_votes_of_rows_equal_votes_of_cells(spark):
+    rnd = random.Random(2)
+    rows = [(i, f"s{i}", "".join(rnd.choice(insertions.SYMBOLS + "ax?") for _ in range(30 + i % 3))) for i in range(50)]
+    df = spark.createDataFrame(rows, "ordinal long, sequence_id string, aligned_sequence string").repartition(4)
+    columns = ("alignment_position", "depth", "n", "votes_A", "votes_C", "votes_G", "votes_T", "support")
+    got, want = conserve.aligned_votes(df).select(*columns), conserve.column_votes(conserve.cells(df)).select(*columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert conserve.aligned_votes(df.limit(0)).count() == 0
+
+
+def test_many_designs_bind_as_few_do(spark, monkeypatch):
+    rnd = random.Random(21)
+    base = "".join(rnd.choice("ACGT") for _ in range(260))
+    seqs = [(i, f"s{i}", mutated(rnd, base, rnd.randrange(12)) if i % 4 else align.reverse_text(base)) for i in range(9)]
+    spot = lambda a, n, flip: (align.reverse_text(base[a - 1 : a - 1 + n]) if flip else base[a - 1 : a - 1 + n], a, a + n - 1)
+    assays = [(f"a{k}", 110, spot(10 + k, 20, False), spot(50 + k, 22, False), spot(100 + k, 20, True)) for k in range(5)]
+    oligo = "struct<sequence:string,reference_start:int,reference_end:int>"
+    table = spark.createDataFrame(assays, f"assay_id string, product_size int, forward {oligo}, probe {oligo}, reverse {oligo}")
+    df = spark.createDataFrame(seqs, "ordinal long, sequence_id string, sequence string")
+    run = lambda: sorted(map(repr, inclusivity.bindings(df, table, InclusivityConfig()).collect()))
+    want = run()
+    monkeypatch.setattr(inclusivity, "DESIGNS", 2)
+    monkeypatch.setattr(inclusivity, "LETTERS", 600)
+    assert run() == want and len(want) == 45

@@ -339,3 +339,74 @@ def test_streams(spark, tmp_path):
     q.stop()
     got = {r.alignment_position: (r.depth, r.votes_A) for r in arrivals.votes(spark, str(tmp_path / "votes")).collect()}
     assert got[1] == (2, 24) and got[3] == (0, 0)
+
+
+# data sources -------------------------------------------------------------------------------------
+
+
+def test_records_of_splits_are_each_read_once():
+    import io
+
+    from strandweave.sources import data_source
+
+    text = b"; a note\n>a one\nAC>GT\n\n>b\n>c\r\nNN\r\n" + b">long " + b"x" * 50 + b"\n" + b"ACGT\n" * 200 + b">last"
+    whole = list(data_source.records(io.BytesIO(text), 0, len(text), b">"))
+    assert [t.split(b"\n")[0].strip()[:5] for _, t in whole] == [b">a on", b">b", b">c", b">long", b">last"]
+    assert b"".join(t for _, t in whole) == text[text.index(b">a") :] and all(text[p : p + len(t)] == t for p, t in whole)
+    for size in (1, 2, 3, 7, 20, 64, 333):
+        parts = [list(data_source.records(io.BytesIO(text), a, min(len(text), a + size), b">")) for a in range(0, len(text), size)]
+        assert [r for p in parts for r in p] == whole
+
+
+def test_formats_read_what_the_readers_read(spark, tmp_path):
+    from strandweave.sources import data_source
+
+    data_source.register(spark)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.fasta").write_text(">s1 first one\nacgt\nNNAC\n>s2\n\n" + ">s3 x\n" + "ACGTACGTAC\n" * 40)
+    (folder / "b.fasta").write_text(">s4\r\nAC GT\r\n")
+    (folder / "_c.fasta").write_text(">hidden\nA\n")
+    (folder / "empty.fasta").write_text("")
+    columns = ("sequence_id", "description", "sequence")
+    want = sorted(map(tuple, fasta.read(spark, str(folder / "[ab].fasta")).select(*columns).collect()))
+    for size in (16, 1 << 20):
+        rows = spark.read.format("fasta").option("splitBytes", size).load(str(folder))
+        assert sorted(map(tuple, rows.select(*columns).collect())) == want and rows.select("file", "place").distinct().count() == 4
+    assert spark.read.format("fasta").option("splitBytes", 16).load(str(folder)).rdd.getNumPartitions() > 5
+    record = "LOCUS       {0}\nDEFINITION  Some {0}.\nVERSION     {0}.1\nFEATURES             Location/Qualifiers\n     gene            1..3\n                     /gene=\"g\"\nORIGIN\n        1 acgtac\n//\n"
+    (tmp_path / "r.gb").write_text("".join(record.format(f"G{i}") for i in range(9)))
+    want = [(r.sequence_id, r.sequence, r.description, r.features) for r in genbank.read(spark, str(tmp_path / "r.gb")).orderBy("ordinal").collect()]
+    rows = spark.read.format("genbank").option("splitBytes", 100).load(str(tmp_path / "r.gb")).orderBy("place")
+    assert [(r.sequence_id, r.sequence, r.description, r.features) for r in rows.collect()] == want and len(want) == 9
+    with pytest.raises(Exception, match="nowhere"):
+        spark.read.format("fasta").load(str(tmp_path / "nowhere")).collect()
+
+
+def test_arriving_files_are_read_once(spark, tmp_path):
+    import os
+
+    from strandweave.sources import data_source
+
+    data_source.register(spark)
+    folder = tmp_path / "in"
+    folder.mkdir()
+
+    def arrive(name, text, at):
+        (tmp_path / "new").write_text(text)
+        os.utime(tmp_path / "new", (at, at))
+        os.rename(tmp_path / "new", folder / name)
+
+    def run():
+        stream = spark.readStream.format("fasta").option("splitBytes", 12).load(str(folder))
+        hits = arrivals.stream_hits(stream, [Oligo("a", "PROBE", "GTAC")], SpecificityConfig(max_probe_mismatches=0), ["sequence_id"])
+        q = hits.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        return sorted((r.sequence_id, r.orientation) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    arrive("b.fa", ">s1\nAAGTACAA\n>s2\nCCCC\n", 1_000)
+    both = lambda *names: sorted((n, o) for n in names for o in ("FORWARD", "REVERSE_COMPLEMENT"))
+    assert run() == both("s1")
+    arrive("a.fa", ">s3\nTTGTACTT\n", 2_000)
+    assert run() == both("s1", "s3")
+    assert run() == both("s1", "s3")
