@@ -332,6 +332,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, alpha: fl
             if k == 1:
                 model.tokens = level.agg(F.sum("total")).first()[0] or 0
             model.hot.append(_hot_of(level, k, max(1, model.tokens)))
+        spark.createDataFrame([], holds.schema).write.mode("overwrite").parquet(f"{folder}/holds")  # nothing reads them any more
     return model
 
 
