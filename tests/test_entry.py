@@ -36,7 +36,7 @@ def test_query(spark, name):
 def test_registry():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     if importlib.util.find_spec("strandweave.llm"):
-        assert {f"op{n}_" for n in range(1, 11)} <= {k[: k.index("_") + 1] for k in entry.queries() if k.startswith("op")}
+        assert {f"op{n}_" for n in range(1, 14)} <= {k[: k.index("_") + 1] for k in entry.queries() if k.startswith("op")}
 
 
 def test_entry(spark):
