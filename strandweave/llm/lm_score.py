@@ -10,12 +10,18 @@ to the next shorter order, and the parts are summed per document. N-grams with o
 tokens are few: scores of those come from a broadcast, and n-grams after such a history are dealt by
 their own hash, so that no partition is crowded.
 
+``split_scores`` is ``score(docs, train(known rows))`` in one go, for a table of which some rows are
+counted and all are scored. A hold's distinct n-grams of all orders are dealt once by their hash; a
+part counts its n-grams into its table, joins the table to what each hold asked for and answers with
+counts, a byte each or so. The hold's texts then meet their counts, back off where there are none, and
+are summed. So an n-gram travels once, whether it is counted, scored or both, and no text goes along.
+
 ``lm_scores`` counts and scores the same texts, so every longest history answers and the logs of a
 text's relative frequencies, a difference of two counts' logs each, chain up: n-grams of the model's
 order add the log of their count, the (order - 1)-grams within the text take theirs off. One
 exploded row then serves both: a partition counts its n-grams and joins the counts to them at once.
 
-Both work in turns, each for the n-grams of one range of hashes, so that no shuffle holds all n-grams
+All work in turns, each for the n-grams of one range of hashes, so that no shuffle holds all n-grams
 of an order at once; rows travel packed, one row for many n-grams of a hold of texts. An n-gram that
 is frequent in a hold is dealt as one count, which the partition answers to the hold.
 """
@@ -31,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandweave.llm.common import join_to_groups, row_order, stored, workspace
@@ -522,6 +528,175 @@ def _arrow_type(kind) -> pa.DataType:
     return to_arrow_type(kind)
 
 
+ASKED = "part int, k int, hold long, slot int, key binary, n binary"
+_ASKED = pa.schema([("part", pa.int32()), ("k", pa.int32()), ("hold", pa.int64()), ("slot", pa.int32()), ("key", pa.binary()), ("n", pa.binary())])
+_ANSWERED = pa.schema([f for f in _ASKED if f.name in ("k", "hold", "slot", "n")])
+_EVEN = ~np.uint64(1)
+
+
+def _pack_counts(n: np.ndarray) -> bytes:
+    """Counts in a byte each; those of 255 and more follow in full."""
+    large = n[n >= 255]
+    return np.minimum(n, 255).astype(np.uint8).tobytes() + large.astype("<i8").tobytes() + np.int64(len(large)).tobytes()
+
+
+def _unpack_counts(data: bytes) -> np.ndarray:
+    n_large = int(np.frombuffer(data[-8:], "<i8")[0])
+    end = len(data) - 8 * (n_large + 1)
+    out = np.frombuffer(data, np.uint8, end).astype(np.int64)
+    if n_large:
+        out[out == 255] = np.frombuffer(data, "<i8", n_large, end)
+    return out
+
+
+def _hold_split(texts: DataFrame, kind: str, path: str) -> DataFrame:
+    """Texts (id, known, text) cut into words once and stored: a row for each hold, which numbers it."""
+    ddl = f"hold long, ids array<{kind}>, known binary, tokens long, sizes binary, words binary, at binary"
+    ids_type = pa.list_(_arrow_type(texts.schema["id"].dataType))
+
+    def run(batches):
+        hold = TaskContext.get().partitionId() << 32
+        for (ids, flags), words, starts in _holds(batches):
+            known, sizes = np.array(flags, bool), np.diff(starts)
+            own, at = np.unique(words, return_inverse=True)
+            row = (hold, ids, known.tobytes(), int(sizes[known].sum()), _pack(sizes), own.tobytes(), _pack(at))
+            kinds = (pa.int64(), ids_type, pa.binary(), pa.int64(), *[pa.binary()] * 3)
+            yield pa.record_batch([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names=[c.split()[0] for c in ddl.split(", ")])
+            hold += 1
+
+    return stored(texts.mapInArrow(run, ddl), path)
+
+
+def _opened(sizes: bytes, words: bytes, at: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, text, place in the text) of a stored hold's tokens."""
+    n = _unpack(sizes)
+    doc = np.repeat(np.arange(len(n)), n)
+    return np.frombuffer(words, np.uint64)[_unpack(at)], doc, np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _ask(order: int, turn: int, turns: int, parts: int):
+    """Holds (hold, known, sizes, words, at) to their distinct n-grams of all orders in one turn's range of hashes, with their known counts, a row a part."""
+
+    def run(batches):
+        for batch in batches:
+            for hold, known, sizes, words, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words, doc, place = _opened(sizes, words, at)
+                counted = np.frombuffer(known, np.uint8)[doc].astype(np.uint64)
+                rows = []
+                for k, key in enumerate(_keys(words, order), 1):
+                    # parts are ranges of hashes; the last bit tells the known, so one sort counts them
+                    slot = ((key >> np.uint64(32)) * np.uint64(parts * turns)) >> np.uint64(32)
+                    own = (place >= k - 1) & (slot // np.uint64(parts) == turn)
+                    key = np.sort(key[own] & _EVEN | counted[own])
+                    if not len(key):
+                        continue
+                    flag, key = key & np.uint64(1), key & _EVEN
+                    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                    n, key = np.add.reduceat(flag, first).astype(np.int64), key[first]
+                    slot = (((key >> np.uint64(32)) * np.uint64(parts * turns)) >> np.uint64(32)).astype(np.int64)
+                    cuts = np.append(np.flatnonzero(np.diff(slot, prepend=-1)), len(slot))
+                    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                        rows.append((int(slot[i]) % parts, k, hold, int(slot[i]), key[i:j].tobytes(), _pack_counts(n[i:j])))
+                for i in range(0, len(rows), 64):
+                    yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows[i : i + 64], strict=True), _ASKED, strict=True)], schema=_ASKED)
+
+    return run
+
+
+def _answer():
+    """A part's rows: its n-grams are counted, and the counts joined to what each hold asked for."""
+
+    def run(batches):
+        asked = defaultdict(list)
+        for batch in batches:
+            for _, k, hold, slot, key, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                asked[k].append((hold, slot, key, n))
+        for k in sorted(asked):
+            rows = asked.pop(k)
+            key = np.frombuffer(b"".join(r[2] for r in rows), np.uint64)
+            n = np.concatenate([_unpack_counts(r[3]) for r in rows])
+            ends = np.cumsum([len(r[2]) // 8 for r in rows])
+            order = np.argsort(key)
+            key = key[order]
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            table = np.add.reduceat(n[order], np.flatnonzero(new))
+            n[order] = table[np.cumsum(new) - 1]
+            del key, new, order, table
+            heads, counts = [(k, hold, slot) for hold, slot, _, _ in rows], np.split(n, ends[:-1])
+            del rows
+            for i in range(0, len(heads), 64):
+                own = [(*head, _pack_counts(x)) for head, x in zip(heads[i : i + 64], counts[i : i + 64], strict=True)]
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*own, strict=True), _ANSWERED, strict=True)], schema=_ANSWERED)
+
+    return run
+
+
+def _meet(order: int, alpha: float, total: int, kind: pa.DataType):
+    """Rows sorted by hold, k and slot, each hold's own (k 0) before its answers, to each text's (id, n_tokens, log_score)."""
+    back = np.log(alpha)
+
+    def close(head, answers):
+        words, doc, place = _opened(head["sizes"], head["words"], head["at"])
+        counts = [np.full(len(words), total)]  # of the n-gram of k words that ends at each token, 0 where there is none
+        for k, key in enumerate(_keys(words, order), 1):
+            at = np.flatnonzero(place >= k - 1)
+            found = np.zeros(len(words), np.int64)
+            if len(at):
+                inverse = np.unique(key[at] & _EVEN, return_inverse=True)[1]
+                found[at] = np.concatenate([_unpack_counts(x) for x in answers[k]])[inverse]
+            counts.append(found)
+        most = np.minimum(place, order - 1)
+        value, left = back * most, np.ones(len(words), bool)
+        for k in range(order, 0, -1):
+            at = np.flatnonzero(left & (counts[k] > 0))
+            before = counts[k - 1][at - 1] if k > 1 else total
+            value[at] = np.log(counts[k][at] / before) + back * (most[at] + 1 - k)
+            left[at] = False
+        sizes = _unpack(head["sizes"])
+        return pa.record_batch([pa.array(head["ids"], kind), pa.array(sizes), pa.array(np.bincount(doc, value, len(sizes)), pa.float64())], names=["id", "n_tokens", "log_score"])
+
+    def run(batches):
+        head, answers = None, defaultdict(list)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                k = batch.column("k")[row].as_py()
+                if k:
+                    answers[k].append(batch.column("n")[row].as_py())
+                    continue
+                if head:
+                    yield close(head, answers)
+                head, answers = {c: batch.column(c)[row].as_py() for c in ("ids", "sizes", "words", "at")}, defaultdict(list)
+        if head:
+            yield close(head, answers)
+
+    return run
+
+
+def split_scores(docs: DataFrame, known: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, alpha: float = ALPHA, turns: int = TURNS) -> DataFrame:
+    """(id_col, n_tokens, log_score, mean_log_score) of all rows under the model of all rows where
+    ``known`` holds: what ``score(docs, train(docs.where(known)))`` gives, with each n-gram dealt once.
+    """
+    spark = docs.sparkSession
+    folder = workspace(spark, "split-scores")
+    slim = docs.select(F.col(id_col).alias("id"), F.coalesce(known, F.lit(False)).alias("known"), F.col(text_col).cast("binary").alias("text"))
+    kind = slim.schema["id"].dataType
+    with released_shuffles(spark):
+        holds = _hold_split(slim, kind.simpleString(), f"{folder}/holds")
+        total, held = holds.agg(F.sum("tokens"), F.sum(F.length("at"))).first()
+        # two bytes of a hold a word and under two n-grams a word; only the size of parts hangs on it
+        parts = max(spark.sparkContext.defaultParallelism, -(-(held or 0) // (turns * PART)))
+        rows = holds.select("hold", F.lit(0).alias("k"), F.lit(0).alias("slot"), F.lit(None).cast("binary").alias("n"), "ids", "sizes", "words", "at")
+        for turn in range(turns):
+            asked = holds.select("hold", "known", "sizes", "words", "at").mapInArrow(_ask(order, turn, turns, parts), ASKED)
+            answers = asked.repartitionById(parts, "part").mapInArrow(_answer(), "k int, hold long, slot int, n binary")
+            rows = rows.unionByName(stored(answers, f"{folder}/answers-{turn}"), allowMissingColumns=True)
+        homes = max(2 * spark.sparkContext.defaultParallelism, -(-(held or 0) // (8 * HOLD)))
+        met = rows.repartition(homes, "hold").sortWithinPartitions("hold", "k", "slot").select("k", "n", "ids", "sizes", "words", "at")
+        met = met.mapInArrow(_meet(order, alpha, total or 0, _arrow_type(kind)), f"id {kind.simpleString()}, n_tokens long, log_score double")
+        out = stored(met, f"{folder}/scores")
+    return out.select(F.col("id").alias(id_col), "n_tokens", "log_score", F.expr("log_score / nullif(n_tokens, 0)").alias("mean_log_score"))
+
+
 OWN = "part int, kind int, hold long, size int, sign int, key binary, n binary, m binary, doc binary, a binary, b binary"
 _OWN = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("hold", pa.int64()), ("size", pa.int32()), ("sign", pa.int32()), *((c, pa.binary()) for c in ("key", "n", "m", "doc", "a", "b"))])
 #: Kinds of rows: a hold's texts; its n-grams for a part; those it has often, their counts for a part and their

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strandweave.llm import chat, embedding_dedup, lm_score, warc
 from strandweave.llm.common import workspace
@@ -121,6 +122,42 @@ def test_language_model_backs_off_on_other_texts(spark, monkeypatch, order, hot)
     assert all(0 < r.n <= r.of for r in rows) and len({(r.k, r.key) for r in rows}) == len(rows)
 
 
+@pytest.mark.parametrize("order,turns,hold", [(1, 2, 50), (2, 3, 50), (3, 1, 1000), (3, 2, 70), (4, 2, 90)])
+def test_language_model_of_known_rows_scores_all_rows(spark, monkeypatch, order, turns, hold):
+    monkeypatch.setattr(lm_score, "HOLD", hold)
+    texts = [*lm_cases(random.Random(7), 40), "unheard of words", "aa unheard b dd e", "gg " * 700]
+    rows = [(i, t, None if i % 7 == 6 else i % 4 != 2) for i, t in enumerate(texts)] + [(3, texts[3], True), (3, "gg", False), (None, "aa b", True), (None, "aa b", False)]
+    out = lm_score.split_scores(spark.createDataFrame(rows, "doc_id long, text string, own boolean").repartition(3), F.col("own"), order=order, turns=turns).collect()
+    known = [t for _, t, own in rows if own]
+    want = sorted((-1 if i is None else i, s) for (i, _, _), s in zip(rows, brute_lm(known, order, lm_score.ALPHA, [t for _, t, _ in rows]), strict=True))
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.log_score) for r in out)
+    assert [i for i, _ in got] == [i for i, _ in want] and [s for _, s in got] == pytest.approx([s for _, s in want])
+    assert sum(r.n_tokens for r in out) == sum(len((t or "").encode().split()) for _, t, _ in rows)
+
+
+def test_language_model_without_known_rows(spark):
+    rows = spark.createDataFrame([(1, "a b c d"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_tokens, r.log_score, r.mean_log_score) for r in lm_score.split_scores(rows, F.lit(False)).collect()}
+    assert got[1][:2] == (4, pytest.approx(5 * np.log(lm_score.ALPHA))) and got[2] == (0, 0.0, None)
+    assert lm_score.split_scores(rows.limit(0), F.lit(True)).count() == 0
+
+
+def test_language_model_query_stores_little(spark, tmp_path, monkeypatch):
+    """Its n-grams go out once, without tables of all of them: what it stores is under seven bytes a token."""
+    from strandweave.llm import queries
+
+    monkeypatch.setattr(lm_score, "workspace", lambda spark, name: f"file://{tmp_path}/{name}")
+    queries.QUERIES["op6_lm_scoring"](spark, "/root/testdata/sf0.01").count()
+    stored = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    tokens = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").agg(F.sum(F.size(F.split(F.trim("text"), r"\s+")))).first()[0]
+    assert stored < 7 * tokens
+
+
+def test_counts_are_packed_whole():
+    for n in ([], [0, 1, 254], [255, 3, 256, 1 << 40, 0]):
+        assert lm_score._unpack_counts(lm_score._pack_counts(np.array(n, np.int64))).tolist() == n
+
+
 def test_language_model_of_nothing(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
     assert lm_score.lm_scores(spark.read.parquet(str(tmp_path / "d"))).count() == 0
