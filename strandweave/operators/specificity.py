@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strandweave.operators.match import MAX_OLIGOS, ROLES, Oligo, scan_compatible
 from strandweave.operators.seed_index import search_once
 from strandweave.plans.config import SpecificityConfig
+from strandweave.plans.storage import materialize
 
 KEYS = ["dataset", "dataset_ordinal", "ordinal", "sequence_id"]
 
@@ -26,7 +27,7 @@ def off_target_hits(sequences: DataFrame, oligos: DataFrame, config: Specificity
     order = oligos.select("assay_id", "assay_ordinal").distinct()
     rows = oligos.select("assay_id", "assay_ordinal", "role", F.upper("sequence").alias("sequence")).limit(MAX_OLIGOS + 1).collect()
     if len(rows) > MAX_OLIGOS:
-        hits = search_once(sequences, oligos, config, KEYS)
+        hits = materialize(search_once(sequences, oligos, config, KEYS), "hits")  # read more than once
     else:
         hits = scan_compatible(sequences, [Oligo(r.assay_id, r.role, r.sequence) for r in rows], config, KEYS)
         order = spark.createDataFrame(sorted({(r.assay_id, r.assay_ordinal) for r in rows}), order.schema)  # no more than what the tasks were sent

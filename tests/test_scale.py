@@ -113,6 +113,27 @@ def test_index_gives_what_the_scan_gives(spark, changed):
     assert got == want and len(want) > 20
 
 
+@pytest.mark.parametrize("changed", [{}, {"reject_primer_3_prime_mismatch": False}, {"max_primer_mismatches": 0, "max_probe_mismatches": 0}])
+def test_blocks_and_packs_give_what_the_scan_gives(spark, monkeypatch, changed):
+    for name, value in (("CROWD", -1), ("BLOCK", 3_000), ("PACK", 60)):
+        monkeypatch.setattr(seed_index, name, value)
+    test_index_gives_what_the_scan_gives(spark, changed)
+
+
+def test_sites_of_a_family_are_not_listed(spark):
+    """Oligos of a family's members are in most of its members: a list of the sites, or of the hits, is its square."""
+    rnd = random.Random(8)
+    base = "".join(rnd.choice("ACGT") for _ in range(200))
+    seqs = [mutated(rnd, base, 4, "ACGT") for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(seqs)), "ordinal long, sequence string")
+    oligos = [(f"a{i}", "FORWARD", s[50:70]) for i, s in enumerate(seqs)]
+    found = seed_index.search_once(df, spark.createDataFrame(oligos, "assay_id string, role string, sequence string"), SpecificityConfig(), ["ordinal"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan
+    want = match.scan_compatible(df, [match.Oligo(*o) for o in oligos], SpecificityConfig(), ["ordinal"]).collect()
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, map(tuple, want))) and len(want) > 1000
+
+
 def test_index_is_opened_again_and_grows(spark):
     config, rnd = SpecificityConfig(), random.Random(6)
     folder, keys = shared_folder(spark, "index-test"), "ordinal long"
