@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandweave.plans.storage import materialize, number_rows, running_sum
+from strandweave.plans.storage import materialize, number_rows, running_sum, spread
 
 #: Letters and sequences that a round decides in one task, and letters that are compared at once.
-ROUND_LETTERS, ROUND_ROWS, BLOCK_LETTERS = 250_000, 1_000, 250_000
+ROUND_LETTERS, ROUND_ROWS, BLOCK_LETTERS = 250_000, 1_000, 500_000
+#: Sequences of at most so many letters are compared in machine words, where there are so many of them.
+SHORT, MANY = 504, 500
 
 
 def word_length(identity: float) -> int:
@@ -56,6 +58,9 @@ class SideBySide:
 
     def __init__(self, sequences: list[str]):
         self.sizes = np.array([len(s) for s in sequences], np.int64)
+        self.short = len(sequences) >= MANY and 0 < self.sizes.max() <= min(SHORT, 4 * self.sizes.mean())
+        if self.short:
+            return self._words(sequences)
         text = "\0".join(sequences).encode("latin-1", "replace")[::-1]
         self.begins = np.concatenate([[0], np.cumsum(self.sizes + 1)[:-1]])
         self.bits = int(self.sizes.sum() + len(sequences))
@@ -64,8 +69,38 @@ class SideBySide:
         for mask in self.at.values():
             self.full |= mask
 
+    def _words(self, sequences: list[str]) -> None:
+        """Masks as words of 63 letters, (words, sequences); a carry goes through the last bit."""
+        words = -(-int(self.sizes.max()) // 63)
+        texts = np.array([s.encode("latin-1", "replace") for s in sequences], f"S{words * 63}").view(np.uint8).reshape(len(sequences), words, 63)
+
+        def masks(held: np.ndarray) -> np.ndarray:
+            bits = np.packbits(np.pad(held, ((0, 0), (0, 0), (0, 1))), axis=2, bitorder="little")
+            return np.ascontiguousarray(bits.view("<u8")[:, :, 0].T)
+
+        self.full = masks(texts != 0)
+        self.at = {int(c): masks(texts == c) for c in np.unique(texts) if c}
+
+    def _identities(self, longer: str) -> np.ndarray:
+        row, total, hit = self.full.copy(), np.empty_like(self.full), np.empty_like(self.full)
+        carry, steps = np.empty_like(row[0]), list(zip(total, total[1:], strict=False))
+        for ch in longer.encode("latin-1", "replace"):
+            if ch in self.at:
+                np.bitwise_and(row, self.at[ch], out=hit)
+                np.add(row, hit, out=total)
+                np.subtract(row, hit, out=row)
+                for low, high in steps:
+                    np.right_shift(low, 63, out=carry)
+                    np.add(high, carry, out=high)
+                np.bitwise_or(row, total, out=row)
+                np.bitwise_and(row, self.full, out=row)
+        same = self.sizes - np.bitwise_count(row).sum(axis=0, dtype=np.int64)
+        return np.where(self.sizes > 0, same / np.maximum(self.sizes, 1), 0.0)
+
     def identities(self, longer: str) -> np.ndarray:
         """What ``identity`` gives for each sequence and ``longer``."""
+        if self.short:
+            return self._identities(longer)
         row, full, at = self.full, self.full, self.at
         for ch in longer.encode("latin-1", "replace"):
             if ch in at:
@@ -137,7 +172,7 @@ def clusters(sequences: DataFrame, least: float = 0.95) -> DataFrame:
     """
     spark = sequences.sparkSession
     ranked = number_rows(sequences.select("ordinal", "sequence_id", F.upper(F.coalesce("sequence", F.lit(""))).alias("sequence"), (-F.length(F.coalesce("sequence", F.lit("")))).alias("_n")), "rank", "_n", "ordinal")
-    ranked = materialize(ranked.drop("_n"), "ranked")
+    ranked = materialize(spread(ranked.drop("_n")), "ranked")  # few letters are one file, whose comparisons would be one task's
     rows = ranked.select("rank", "sequence")
     empty = spark.createDataFrame([], "rank long, leader long, identity double")
     joined, leaders, decided = [], [], rows.select("rank").limit(0)

@@ -81,6 +81,16 @@ def test_side_by_side_gives_identities():
         assert packed.identities(longer).tolist() == [cluster.identity(s, longer) for s in seqs]
 
 
+def test_many_short_sequences_are_compared_in_words():
+    rnd = random.Random(12)
+    base = "".join(rnd.choice("ACGT") for _ in range(240))
+    seqs = ["".join(rnd.choice("ACGTN") if rnd.random() < 0.1 else c for c in base)[: rnd.choice([62, 63, 64, 126, 127, 189, 240])] for _ in range(cluster.MANY)] + ["", "A" * 252]
+    packed = cluster.SideBySide(seqs)
+    assert packed.short and not cluster.SideBySide(seqs[:5]).short and not cluster.SideBySide([*seqs, "A" * 505]).short
+    for longer in ("", "ACGT", base, base[::-1], base * 3, "é" + base, "A" * 300):
+        assert packed.identities(longer).tolist() == [cluster.identity(s, longer) for s in seqs]
+
+
 # seed index ---------------------------------------------------------------------------------------
 
 
