@@ -49,7 +49,7 @@ def _keyed(*parts) -> F.Column:
 def alignment(spark: SparkSession, sf: str) -> DataFrame:
     """(ordinal, sequence_id, alignment_position, symbol): a row per supplier and column."""
     pos, key = F.col("pos").cast("string"), F.col("s_suppkey").cast("string")
-    cells = table(spark, sf, "supplier").select("s_suppkey", F.explode(F.sequence(F.lit(1), F.lit(ALN_LENGTH))).alias("pos"))
+    cells = spread(table(spark, sf, "supplier").select("s_suppkey")).select("s_suppkey", F.explode(F.sequence(F.lit(1), F.lit(ALN_LENGTH))).alias("pos"))
     base = F.substr(F.lit("ACGT"), 1 + _keyed("r", pos) % 4, F.lit(1))
     other = F.substr(F.lit(iupac.CODES), 1 + _keyed("m", key, "_", pos, "x") % 15, F.lit(1))
     changed = _keyed("c", key, "_", pos) % 16 == 0
@@ -639,10 +639,9 @@ def q80_votes_of_rows(spark, sf):
 def q79_seed_index_hits(spark, sf):
     """An assay of every long sequence of a family, searched for in the seed index of all of them."""
     seqs = materialize(_evaluation(spark, sf), "family")
-    hits = seed_index.search_once(seqs, _cut_assays(seqs.where(F.length("sequence") >= 130)), OFF, ["ordinal", "sequence_id"])
-    return hits.select(
-        "sequence_id", "assay_id", "role", "orientation", "source_start", "source_end", F.col("mismatch_count").cast("long").alias("mismatch_count"), F.array_join("mismatch_positions", ",").alias("places"),
-    )
+    derived = {"places": F.array_join("mismatch_positions", ",")}
+    hits = seed_index.search_once(seqs, _cut_assays(seqs.where(F.length("sequence") >= 130)), OFF, ["ordinal", "sequence_id"], derived)
+    return hits.select("sequence_id", "assay_id", "role", "orientation", "source_start", "source_end", F.col("mismatch_count").cast("long").alias("mismatch_count"), "places")
 
 
 from strandweave.plans import evidence_queries  # noqa: E402, F401  (registers the rest)

@@ -5,6 +5,7 @@ import random
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,78 @@ def test_sites_of_a_family_are_not_listed(spark):
     assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, map(tuple, want))) and len(want) > 1000
 
 
+def test_equal_oligos_and_sites_are_compared_once(monkeypatch):
+    """A task gives lists of assays and sites, short enough that no row stands for many hits."""
+    for name, value in (("ALIKE", 5), ("EXPANDED", 20), ("SENT", 16), ("CHECKED", 50)):
+        monkeypatch.setattr(seed_index, name, value)
+    config, rnd = SpecificityConfig(), random.Random(3)
+    base = "".join(rnd.choice("ACGT") for _ in range(90))
+    kinds = [base, base[:33] + "N" + base[34:], base.translate(COMPLEMENT)[::-1], mutated(rnd, base, 5, "ACGTRN")]
+    seqs = [kinds[i % 4] for i in range(60)] + ["ACG", base[:25], base[30:] * 3]
+    texts = [(role, s[at : at + k]) for role, at, k in (("FORWARD", 20, 20), ("PROBE", 30, 22), ("PROBE", 8, 40), ("REVERSE", 50, 20)) for s in dict.fromkeys(kinds[:2] + kinds[3:])]
+    texts = [(r, t.translate(str.maketrans("ACGTRN", "TGCAYN"))[::-1] if r == "REVERSE" else t) for r, t in texts]
+    pack = []
+    for n, (role, text) in enumerate(texts):
+        seeds = [{"key": int(key), "flipped": flipped, "first": first} for keys, flipped, first in seed_index.oligo_seeds(match.Oligo("", role, text), config) for key in keys]
+        pack.append({"role": role, "sequence": text, "seeds": seeds, "assays": [f"a{n}-{i}" for i in range(1 + n % 5)]})
+    parts = [{"ordinal": i, "spot": (i + 1) << 24, "length": len(s), "letters": s} for i, s in enumerate(seqs)]
+    rows = pa.Table.from_pylist([{"oligos": pack, "parts": None}, {"oligos": None, "parts": parts}])
+    sent = [r for batch in seed_index._block_checker(config, ["ordinal"])(iter(rows.combine_chunks().to_batches())) for r in batch.to_pylist()]
+    got = [
+        (s["ordinal"], a, r["role"], r["orientation"], s["oriented_start"], s["source_start"], r["_last"], tuple(h["mismatch_positions"]), h["mismatch_count"], h["three_prime_mismatch"])
+        for r in sent for a in r["_assays"] for h in r["_hits"] for s in h["_sites"]
+    ]
+    want = []
+    for (role, text), own in zip(texts, pack, strict=True):
+        pattern, k = match.Oligo("", role, text).pattern, len(text)
+        cap, protected = (1, 0) if role == "PROBE" else (2, 5)
+        for i, s in enumerate(seqs):
+            for flip, way in enumerate(match.ORIENTATIONS):
+                target = match.reverse_masks(match.to_masks(s)) if flip else match.to_masks(s)
+                starts = match.compatible_starts(target, pattern, role, cap, protected)
+                for at, bad in zip(starts.tolist(), match.mismatch_rows(target, starts, pattern, role), strict=True):
+                    places = tuple((np.flatnonzero(bad) + 1).tolist())
+                    tail = role != "PROBE" and any(p > k - 5 for p in places)
+                    want += [(i, a, role, way, at + 1, (len(s) - at - k if flip else at) + 1, k - 1, places, len(places), tail) for a in own["assays"]]
+    assert sorted(got) == sorted(want) and len(want) > 1000 and len(sent) < len(want) / 3
+    assert max(len(r["_assays"]) * sum(len(h["_sites"]) for h in r["_hits"]) for r in sent) <= 20 + 5 * 5
+
+
+def test_a_crowded_search_writes_no_seeds(spark, monkeypatch):
+    monkeypatch.setattr(seed_index, "ASSAYS", 50)
+    monkeypatch.setattr(seed_index, "ALIKE", 20)
+    monkeypatch.setattr(seed_index.SeedIndex, "_add_seeds", lambda *_: pytest.fail("seeds are written"))
+    rnd = random.Random(10)
+    base = "".join(rnd.choice("ACGT") for _ in range(200))
+    kinds = [mutated(rnd, base, 4, "ACGT") for _ in range(4)]
+    seqs = [kinds[i % 4] for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(seqs)), "ordinal long, sequence string")
+    oligos = [(f"a{i}", role, s[50:72]) for i, s in enumerate(seqs) for role in match.ROLES]
+    found = seed_index.search_once(df, spark.createDataFrame(oligos, "assay_id string, role string, sequence string"), SpecificityConfig(), ["ordinal"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "explode(_assays" in plan and "inline(_sites" in plan
+    want = match.scan_compatible(df, [match.Oligo(*o) for o in oligos], SpecificityConfig(), ["ordinal"]).collect()
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, map(tuple, want))) and len(want) > 20_000
+
+
+@pytest.mark.parametrize("crowd", [-1, 10**9])
+def test_words_are_counted_without_an_index_and_hits_have_derived_columns(spark, monkeypatch, crowd):
+    monkeypatch.setattr(seed_index, "CROWD", crowd)
+    rnd = random.Random(11)
+    seqs = ["".join(rnd.choice("ACGTN") for _ in range(n)) for n in (40_000, 300, 17_000, 5)]
+    df = spark.createDataFrame(list(enumerate(seqs)), "ordinal long, sequence string")
+    index = seed_index.SeedIndex(spark, shared_folder(spark, "index-test"), "ordinal long", 4)
+    parts = index._add_parts(df)
+    index._add_seeds(parts)
+    counted = parts.select("spot", "letters").mapInArrow(seed_index._seed_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    assert dict(counted.collect()) == dict(spark.table(index.seeds).groupBy("key").count().collect())
+    index.forget()
+    oligos = [("a", "FORWARD", seqs[0][50:70]), ("b", "PROBE", seqs[1][9:31]), ("short", "PROBE", seqs[2][9:19])]
+    table = spark.createDataFrame(oligos, "assay_id string, role string, sequence string")
+    found = seed_index.search_once(df, table, SpecificityConfig(), ["ordinal"], {"places": F.array_join("mismatch_positions", ",")}).collect()
+    assert {r.assay_id for r in found} == {"a", "b", "short"} and all(r.places == ",".join(map(str, r.mismatch_positions)) for r in found)
+
+
 def test_index_is_opened_again_and_grows(spark):
     config, rnd = SpecificityConfig(), random.Random(6)
     folder, keys = shared_folder(spark, "index-test"), "ordinal long"
